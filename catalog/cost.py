@@ -1 +1,242 @@
-"""Placeholder."""
+"""Token and cost analytics. Conversations stand in for recorded calls: one file per conversation,
+one call per assistant turn; the turns before it are the prompt of later calls.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tallyloom.functions import pricing
+from tallyloom.functions.text import approx_tokens
+from tallyloom.operators import costs
+from tallyloom.plans import flows
+from tallyloom.session import scratch_path
+from tallyloom.streaming import folds
+
+from .base import query, table, tidy
+
+FOLDERS = ("ade_reproducibility/optimization", "baseline", "ade_pipeline_integration", "other")
+
+
+def interactions(spark, sf):
+    """One recorded call per turn: user and system text is prompt, assistant text is completion."""
+    turns = table(spark, sf, "conversations")
+    tokens = approx_tokens(F.col("text"))
+    told = F.when(F.col("role") == "assistant", F.lit(0).cast("long")).otherwise(tokens)
+    said = F.when(F.col("role") == "assistant", tokens).otherwise(F.lit(0).cast("long"))
+    usage = F.struct(told.alias("prompt_tokens"), said.alias("completion_tokens"))
+    folder = F.element_at(F.array(*map(F.lit, FOLDERS)), (F.col("conv_id") % 4).cast("int") + 1)
+    body = F.when(F.col("role") == "system", F.lit("not JSON")).otherwise(F.to_json(F.struct(usage.alias("usage"))))
+    return turns.select(
+        F.concat(folder, F.lit("/conversation_"), F.col("conv_id").cast("string"), F.lit(".yml")).alias("cassette"),
+        F.col("turn").alias("idx"),
+        F.lit("post").alias("method"),
+        F.when(F.col("turn") == 5, "https://datasets-server.example/list")
+        .otherwise("https://api.openai.com/v1/chat/completions")
+        .alias("uri"),
+        body.alias("response_body"),
+        "conv_id",
+        "role",
+    )
+
+
+CALLS_SQL = """calls AS (SELECT conv_id, role, turn AS idx,
+    ['ade_reproducibility/optimization', 'baseline', 'ade_pipeline_integration', 'other'][conv_id % 4 + 1] || '/conversation_' || conv_id || '.yml' AS cassette,
+    CASE WHEN role = 'assistant' THEN 0 ELSE ceil(length(text) / 4.0)::BIGINT END AS i,
+    CASE WHEN role = 'assistant' THEN ceil(length(text) / 4.0)::BIGINT ELSE 0 END AS o
+  FROM conversations WHERE turn <> 5 AND role <> 'system')"""
+# Exact prices in billionths of a dollar: 150 per prompt token, 600 per completion token.
+NANO = "(i * 150 + o * 600)"
+
+
+def money(nano: str, digits: int = 6) -> str:
+    step = 10 ** (9 - digits)
+    return f"((({nano}) + {step // 2}) // {step} / {10 ** digits}.0::DOUBLE)"
+
+
+FILES_SQL = f"""{CALLS_SQL}, files AS (SELECT cassette, sum(i)::BIGINT AS i, sum(o)::BIGINT AS o, count(*) AS requests,
+    (sum(i) * 150 + sum(o) * 600)::BIGINT AS nano FROM calls GROUP BY cassette),
+  costs AS (SELECT cassette, i AS input_tokens, o AS output_tokens, i + o AS total_tokens, requests,
+    ((nano + 500) // 1000) AS micro, ((nano * 2 + requests * 1000) // (requests * 2000)) AS micro_each FROM files)"""
+
+
+@query("read_interactions", f"WITH {CALLS_SQL} SELECT cassette, idx, i AS input_tokens, o AS output_tokens, i + o AS total_tokens FROM calls")
+def read_interactions(spark, sf):
+    calls = costs.calls_with_usage(interactions(spark, sf))
+    return calls.select("cassette", "idx", "input_tokens", "output_tokens", "total_tokens")
+
+
+@query(
+    "usage_tokens",
+    """SELECT event_id, CASE WHEN event_type = 'view' THEN 0 ELSE user_id END AS input, value::BIGINT AS output,
+      CASE WHEN event_type = 'click' THEN 7 ELSE CASE WHEN event_type = 'view' THEN 0 ELSE user_id END + value::BIGINT END AS total
+    FROM (SELECT event_id, event_type, user_id, floor(value) AS value FROM events)""",
+)
+def usage_tokens(spark, sf):
+    kind, user = F.col("event_type"), F.col("user_id").cast("string")
+    said = F.floor("value").cast("string")
+    usage = F.concat(
+        F.lit("{"),
+        F.when(kind == "view", "").otherwise(F.concat(F.lit('"prompt_tokens": '), user, F.lit(", "))),
+        F.when(kind == "click", '"total_tokens": 7, ').otherwise(""),
+        F.lit('"completion_tokens": '), said, F.lit("}"),
+    )
+    return table(spark, sf, "events").select("event_id", pricing.usage_tokens(usage).alias("t")).select("event_id", "t.*")
+
+
+@query("request_cost", f"WITH {CALLS_SQL} SELECT cassette, idx, {NANO} / 1000000000.0::DOUBLE AS cost FROM calls")
+def request_cost(spark, sf):
+    calls = costs.calls_with_usage(interactions(spark, sf))
+    cost = pricing.request_cost(F.col("input_tokens"), F.col("output_tokens"))
+    return calls.select("cassette", "idx", pricing.dollars(cost, 9).alias("cost"))
+
+
+@query(
+    "cassette_costs",
+    f"WITH {FILES_SQL} SELECT cassette, input_tokens, output_tokens, total_tokens, requests, micro / 1000000.0::DOUBLE AS total_cost, micro_each / 1000000.0::DOUBLE AS cost_per_request FROM costs",
+)
+def cassette_costs(spark, sf):
+    return tidy(flows.cost_report(interactions(spark, sf))["files"])
+
+
+@query(
+    "cassette_filter",
+    f"WITH {FILES_SQL} SELECT cassette, requests FROM costs WHERE regexp_matches(lower(cassette), 'ade|baseline|optimization')",
+)
+def cassette_filter(spark, sf):
+    files = costs.cassette_costs(costs.calls_with_usage(interactions(spark, sf)))
+    return costs.cassette_filter(files).select("cassette", "requests")
+
+
+@query(
+    "cost_summary",
+    f"""WITH {FILES_SQL}, s AS (SELECT count(*) AS cassettes_analyzed, sum(requests)::BIGINT AS requests, sum(input_tokens)::BIGINT AS input_tokens,
+      sum(output_tokens)::BIGINT AS output_tokens, sum(total_tokens)::BIGINT AS total_tokens, sum(micro)::BIGINT AS micro
+      FROM costs WHERE regexp_matches(cassette, 'ade|baseline|optimization'))
+    SELECT cassettes_analyzed, requests, input_tokens, output_tokens, total_tokens, micro / 1000000.0::DOUBLE AS total_cost,
+      {money('input_tokens * 150')} AS input_cost, {money('output_tokens * 600')} AS output_cost,
+      round(total_tokens / requests::DOUBLE * 10) / 10 AS avg_tokens_per_request,
+      round(micro / 1000000.0::DOUBLE / total_tokens * 1000 * 1000000) / 1000000 AS cost_per_1k_tokens FROM s""",
+)
+def cost_summary(spark, sf):
+    return tidy(flows.cost_report(interactions(spark, sf))["summary"])
+
+
+@query(
+    "cost_rollup",
+    f"""WITH {CALLS_SQL} SELECT role, cassette, grouping(role, cassette)::BIGINT AS level, sum(i)::BIGINT AS input_tokens, sum(o)::BIGINT AS output_tokens,
+      count(*) AS requests, {money('sum(i * 150 + o * 600)::BIGINT')} AS total_cost FROM calls GROUP BY ROLLUP (role, cassette)""",
+)
+def cost_rollup(spark, sf):
+    return tidy(costs.cost_rollup(costs.calls_with_usage(interactions(spark, sf)), ["role", "cassette"]))
+
+
+PHASES_SQL = f"""{FILES_SQL}, p(phase, pattern) AS (VALUES ('baseline', 'baseline_predictor'), ('baseline', 'debug_empty_input'),
+    ('optimization', 'ade_reproducibility/optimization'), ('integration', 'ade_pipeline_integration'), ('reproducibility', 'ade_reproducibility')),
+  matched AS (SELECT phase, costs.* FROM costs JOIN p ON contains(cassette, pattern)),
+  phases AS (SELECT phase, sum(micro)::BIGINT AS micro, sum(requests)::BIGINT AS requests, count(*) AS n_files FROM matched GROUP BY phase)"""
+
+
+@query("phase_join", f"WITH {PHASES_SQL} SELECT phase, cassette FROM matched")
+def phase_join(spark, sf):
+    files = costs.cassette_costs(costs.calls_with_usage(interactions(spark, sf)))
+    return costs.phase_join(files).select("phase", "cassette")
+
+
+@query(
+    "phase_costs",
+    f"""WITH {PHASES_SQL} SELECT phase, micro / 1000000.0::DOUBLE AS total_cost, requests, n_files,
+      ((micro * 2 + requests) // (requests * 2)) / 1000000.0::DOUBLE AS cost_per_request FROM phases""",
+)
+def phase_costs(spark, sf):
+    return tidy(flows.cost_report(interactions(spark, sf))["phases"])
+
+
+@query(
+    "cost_recommendations",
+    f"""WITH {PHASES_SQL}, t AS (SELECT sum(micro)::BIGINT AS m, max(requests) FILTER (phase = 'reproducibility') AS r FROM phases),
+    a AS (SELECT *, regexp_replace(((m + 50) // 100 // 10000) || '.' || lpad(((m + 50) // 100 % 10000)::VARCHAR, 4, '0'), '(\\.[0-9]+?)0+$', '\\1') AS shown FROM t)
+    SELECT 1::BIGINT AS rule_no, 'Consider using fewer examples during development (current cost: $' || shown || ')' AS line FROM a WHERE m > 100000
+    UNION ALL SELECT 3, 'Many reproducibility tests - consider reducing redundant API calls' FROM a WHERE r > 20
+    UNION ALL SELECT 4, 'Total development cost so far: $' || shown FROM a WHERE m > 0""",
+)
+def cost_recommendations(spark, sf):
+    return flows.cost_report(interactions(spark, sf))["recommendations"]
+
+
+LEDGER_SQL = """e AS (SELECT *, (props->>'$.k')::BIGINT AS k FROM events)"""
+
+
+@query(
+    "usage_ledger",
+    f"""WITH {LEDGER_SQL}, s AS (SELECT event_type, user_id % 2 AS epoch, sum(user_id)::BIGINT AS i, sum(k)::BIGINT AS o, count(*) AS n FROM e GROUP BY ALL)
+    SELECT event_type, epoch, i AS input_total, o AS output_total, i + o AS token_total, n AS request_total,
+      round({NANO} / 1000000000.0::DOUBLE, 6) AS cost_total FROM s""",
+)
+def usage_ledger(spark, sf):
+    return tidy(costs.usage_ledger(ledger_calls(spark, sf), ["event_type", "epoch"]))
+
+
+def ledger_calls(spark, sf):
+    return table(spark, sf, "events").select(
+        "event_id",
+        "event_type",
+        (F.col("user_id") % 2).alias("epoch"),
+        F.col("user_id").alias("input_tokens"),
+        F.get_json_object("props", "$.k").cast("long").alias("output_tokens"),
+        F.lit(None).cast("long").alias("total_tokens"),
+    )
+
+
+@query(
+    "usage_ledger_running",
+    f"""WITH {LEDGER_SQL}, s AS (SELECT event_id, event_type, sum(user_id) OVER w AS i, sum(k) OVER w AS o, count(*) OVER w AS n FROM e
+      WINDOW w AS (PARTITION BY event_type ORDER BY event_id))
+    SELECT event_id, event_type, i::BIGINT AS input_total, o::BIGINT AS output_total, (i + o)::BIGINT AS token_total, n AS request_total,
+      round({NANO} / 1000000000.0::DOUBLE, 6) AS cost_total FROM s""",
+)
+def usage_ledger_running(spark, sf):
+    running = costs.usage_ledger(ledger_calls(spark, sf), ["event_type"], order="event_id")
+    return tidy(
+        running.select(
+            "event_id", "event_type", "input_total", "output_total", "token_total", "request_total", "cost_total"
+        )
+    )
+
+
+def token_events(df):
+    return df.select(
+        F.when(F.col("event_type") != "view", F.col("event_type")).alias("module"),
+        F.get_json_object("props", "$.k").cast("long").alias("tokens_input"),
+        F.when(F.col("user_id") % 3 > 0, F.col("user_id")).alias("tokens_output"),
+    )
+
+
+MODULES_SQL = """SELECT CASE WHEN event_type = 'view' THEN 'unknown' ELSE event_type END AS module, sum((props->>'$.k')::BIGINT)::BIGINT AS input,
+  sum(CASE WHEN user_id % 3 > 0 THEN user_id ELSE 0 END)::BIGINT AS output FROM events GROUP BY 1"""
+
+
+@query("tokens_by_module", MODULES_SQL)
+def tokens_by_module(spark, sf):
+    return costs.tokens_by_module(token_events(table(spark, sf, "events")))
+
+
+@query("stream_token_usage", MODULES_SQL)
+def stream_token_usage(spark, sf):
+    schema = table(spark, sf, "events").schema
+    stream = spark.readStream.schema(schema).parquet(f"{sf}/events.parquet*")
+    out = scratch_path(spark, "token-usage")
+    folds.stream_token_usage(token_events(stream), f"{out}/table", f"{out}/checkpoint").awaitTermination()
+    return folds.latest_token_usage(spark, f"{out}/table")
+
+
+@query(
+    "optimizer_cost_estimate",
+    """SELECT event_id, CASE event_type WHEN 'click' THEN 50 WHEN 'view' THEN 150 END::BIGINT AS estimated_api_calls,
+      CASE event_type WHEN 'click' THEN 0.1::DOUBLE WHEN 'view' THEN 0.3::DOUBLE ELSE 0 END AS estimated_cost,
+      CASE event_type WHEN 'click' THEN 'Few-shot optimization' WHEN 'view' THEN 'Bootstrap optimization with candidates' END AS method FROM events""",
+)
+def optimizer_cost_estimate(spark, sf):
+    kind = F.when(F.col("event_type") == "click", "few_shot").when(F.col("event_type") == "view", "bootstrap")
+    runs = table(spark, sf, "events").select("event_id", F.coalesce(kind, F.lit("other")).alias("optimizer"))
+    return tidy(costs.optimizer_cost_estimate(runs).drop("optimizer"))

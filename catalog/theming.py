@@ -1 +1,222 @@
-"""Placeholder."""
+"""Pull-request theming and documents. Parts and documents stand in for pull requests."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tallyloom.operators import themes
+from tallyloom.plans import flows
+from tallyloom.session import scratch_path
+from tallyloom.streaming import folds
+
+from .base import query, table, tidy
+
+
+def part_requests(spark, sf):
+    return table(spark, sf, "part").select(
+        F.col("p_partkey").alias("pr"),
+        F.col("p_name").alias("title"),
+        F.lower("p_type").alias("description"),
+        F.col("p_brand").alias("ellipsis_summary"),
+    )
+
+
+def document_requests(spark, sf):
+    return table(spark, sf, "documents").select(
+        F.col("doc_id").alias("pr"),
+        F.col("source").alias("title"),
+        F.col("text").alias("description"),
+        F.lit("").alias("ellipsis_summary"),
+    )
+
+
+def rule_sql(text: str, rules: dict, default: str) -> str:
+    tokens = rf"list_transform(regexp_extract_all({text}, '[\p{{L}}\p{{M}}\p{{N}}_]+'), lambda w: lower(w))"
+    cases = " ".join(
+        f"WHEN list_has_any({tokens}, [{', '.join(repr(w) for w in words)}]) THEN '{name}'" for name, words in rules.items()
+    )
+    return f"CASE {cases} ELSE {default} END"
+
+
+SERVICES = {"Managed PostgreSQL": ("der", "und"), "GitHub Runners": ("la", "que"), "Compute": ("the", "of")}
+CATEGORIES = {"internal_improvement": ("von", "avec", "with"), "bug_fix_maintenance": ("in", "en")}
+DOC_TEXT = "source || ' ' || text || ' '"
+CATEGORIZED_SQL = f"""categorized AS (SELECT doc_id AS pr, {rule_sql(DOC_TEXT, CATEGORIES, "'customer_facing_available'")} AS category,
+    {rule_sql(DOC_TEXT, SERVICES, "'Other'")} AS service FROM documents)"""
+
+
+@query("categorize", f"WITH {CATEGORIZED_SQL} SELECT pr, category, service FROM categorized")
+def categorize(spark, sf):
+    return themes.categorize(document_requests(spark, sf), SERVICES, CATEGORIES).select("pr", "category", "service")
+
+
+@query(
+    "customer_facing",
+    f"WITH {CATEGORIZED_SQL} SELECT pr, category FROM categorized WHERE category <> 'internal_improvement'",
+)
+def customer_facing(spark, sf):
+    categorized = themes.categorize(document_requests(spark, sf), SERVICES, CATEGORIES)
+    return themes.customer_facing(categorized).select("pr", "category")
+
+
+PART_SERVICES = {"Compute": ("gear", "bolt"), "Load Balancers": ("ring",), "AI & GPUs": ("widget", "plate")}
+VOCABULARY = ("economy", "large", "promo")
+PART_TEXT = "p_name || ' ' || lower(p_type) || ' ' || p_brand"
+
+
+def ids_sql(column: str = "pr") -> str:
+    return f"string_agg({column}::VARCHAR, ',' ORDER BY {column})"
+
+
+@query(
+    "group_features",
+    f"""WITH c AS (SELECT p_partkey AS pr, {rule_sql(PART_TEXT, PART_SERVICES, "'Other'")} AS service,
+      {rule_sql(PART_TEXT, {w: (w,) for w in VOCABULARY}, "'pr ' || p_partkey")} AS feature FROM part),
+    r AS (SELECT *, row_number() OVER (PARTITION BY service, feature ORDER BY pr) - 1 AS n FROM c)
+    SELECT service, feature, n // 50 AS part, {ids_sql()} AS pr_ids, 'shared topic: ' || feature || ' in ' || service AS rationale
+    FROM r GROUP BY ALL""",
+)
+def group_features(spark, sf):
+    categorized = themes.categorize(part_requests(spark, sf), PART_SERVICES, CATEGORIES)
+    groups = themes.group_features(categorized, VOCABULARY, size=50)
+    return groups.withColumn("pr_ids", F.array_join("pr_ids", ","))
+
+
+THEMES = {"Metal Rings": ("ring", "rod"), "Flat Plates": ("plate",), "Widgets": ("widget", "gear")}
+THEME_SQL = f"{rule_sql(PART_TEXT, THEMES, chr(39) + 'Other' + chr(39))}"
+ASSIGNED_SQL = f"""assigned AS (SELECT p_partkey AS pr, (row_number() OVER (ORDER BY p_partkey) - 1) // 30 AS batch_no, {THEME_SQL} AS theme FROM part)"""
+
+
+@query(
+    "assign_themes",
+    f"""WITH {ASSIGNED_SQL} SELECT batch_no, theme, 'Changes to ' || theme AS theme_description, {ids_sql()} AS pr_ids FROM assigned GROUP BY batch_no, theme""",
+)
+def assign_themes(spark, sf):
+    mapping = themes.assign_themes(part_requests(spark, sf), THEMES, 30)
+    return themes.batch_theme_lists(mapping).withColumn("pr_ids", F.array_join("pr_ids", ","))
+
+
+def _older(spark, sf):
+    """Themes of suppliers under other spellings of the same names."""
+    spelled = (
+        F.when(F.col("s_suppkey") % 3 == 0, "Managed Metal Ring")
+        .when(F.col("s_suppkey") % 3 == 1, "Plate, Flat Enhancements")
+        .otherwise("Cables")
+    )
+    return table(spark, sf, "supplier").select(
+        spelled.alias("theme"), F.lit("older").alias("theme_description"), F.col("s_suppkey").alias("pr")
+    )
+
+
+MERGED_SQL = f"""{ASSIGNED_SQL}, older AS (SELECT s_suppkey AS pr, s_suppkey % 3 AS t FROM supplier),
+  both_ AS (SELECT pr, CASE t WHEN 0 THEN 'metal ring' WHEN 1 THEN 'flat plate' ELSE 'cable' END AS theme_key FROM older
+    UNION SELECT pr, CASE theme WHEN 'Metal Rings' THEN 'metal ring' WHEN 'Flat Plates' THEN 'flat plate' WHEN 'Widgets' THEN 'widget' ELSE 'other' END FROM assigned),
+  merged AS (SELECT pr, theme_key, CASE theme_key WHEN 'metal ring' THEN 'Managed Metal Ring' WHEN 'flat plate' THEN 'Plate, Flat Enhancements'
+    WHEN 'cable' THEN 'Cables' WHEN 'widget' THEN 'Widgets' ELSE 'Other' END AS theme FROM both_)"""
+
+
+@query("merge_themes", f"WITH {MERGED_SQL} SELECT theme_key, theme, pr, CASE WHEN theme IN ('Widgets', 'Other') THEN 'Changes to ' || theme ELSE 'older' END AS theme_description FROM merged")
+def merge_themes(spark, sf):
+    new = themes.assign_themes(part_requests(spark, sf), THEMES, 30)
+    return themes.merge_themes(_older(spark, sf), new)
+
+
+@query(
+    "theme_details",
+    f"WITH {MERGED_SQL} SELECT theme_key, pr, p_name AS title FROM merged LEFT JOIN part ON p_partkey = pr",
+)
+def theme_details(spark, sf):
+    new = themes.assign_themes(part_requests(spark, sf), THEMES, 30)
+    merged = themes.merge_themes(_older(spark, sf), new)
+    return themes.theme_details(merged, part_requests(spark, sf)).select("theme_key", "pr", "title")
+
+
+SUBTHEMES = {"Economy": ("economy",), "Promotions": ("promo",)}
+SUB_SQL = rule_sql(PART_TEXT, SUBTHEMES, "'General'")
+
+
+@query(
+    "subthemes",
+    f"""SELECT {THEME_SQL} AS theme, {SUB_SQL} AS subtheme, count(*) AS n_prs, min(p_partkey) AS first_pr FROM part GROUP BY ALL""",
+)
+def subthemes(spark, sf):
+    mapping = themes.assign_themes(part_requests(spark, sf), THEMES, 30)
+    themed = themes.subthemes(themes.theme_details(mapping, part_requests(spark, sf)), SUBTHEMES)
+    return themed.groupBy("theme", "subtheme").agg(
+        F.count(F.lit(1)).alias("n_prs"), F.min("pr").alias("first_pr")
+    )
+
+
+HEAD_SQL = """'---' || chr(10) || 'title: "May 2025"' || chr(10) || '---' || chr(10) || chr(10) || 'import { PrList } from "@components/PrList"'"""
+BLOCKS_SQL = f"""t AS (SELECT p_partkey AS pr, {THEME_SQL} AS theme, {SUB_SQL} AS subtheme FROM part),
+  r AS (SELECT *, (row_number() OVER (PARTITION BY theme, subtheme ORDER BY pr) - 1) // 1000 AS part FROM t),
+  blocks AS (SELECT 'May 2025' AS document, '' AS theme, '' AS subtheme, 0 AS part, {HEAD_SQL} AS block
+    UNION ALL SELECT DISTINCT 'May 2025', theme, '', 0, '## ' || theme || chr(10) || chr(10) || 'Changes to ' || theme FROM t
+    UNION ALL SELECT 'May 2025', theme, subtheme, part, CASE WHEN part = 0 THEN '### ' || subtheme || chr(10) || chr(10) ELSE '' END ||
+      '<PrList ids={{[' || string_agg(pr::VARCHAR, ', ' ORDER BY pr) || ']}}></PrList>' FROM r GROUP BY theme, subtheme, part)"""
+BLOCKS_SQL = BLOCKS_SQL.replace("{{", "{").replace("}}", "}")
+
+
+def _blocks(spark, sf):
+    return flows.changelog(
+        part_requests(spark, sf), "May", 2025, THEMES, SUBTHEMES, batch_size=30, internal_hidden=False
+    )
+
+
+@query(
+    "render_changelog",
+    f"WITH {BLOCKS_SQL} SELECT document, theme, subtheme, part::BIGINT AS part, md5(block) AS block_md5 FROM blocks",
+)
+def render_changelog(spark, sf):
+    return _blocks(spark, sf).select("document", "theme", "subtheme", "part", F.md5("block").alias("block_md5"))
+
+
+@query(
+    "changelog_text",
+    f"""WITH {BLOCKS_SQL} SELECT document, count(*) AS n_blocks,
+      md5(string_agg(block, chr(10) || chr(10) ORDER BY theme, subtheme, part)) AS text_md5 FROM blocks GROUP BY document""",
+)
+def changelog_text(spark, sf):
+    return themes.changelog_text(_blocks(spark, sf)).select("document", "n_blocks", F.md5("text").alias("text_md5"))
+
+
+@query(
+    "document_coverage",
+    f"""WITH {BLOCKS_SQL} SELECT theme, subtheme, part::BIGINT AS part,
+      array_to_string(list_filter([1, 2, 5, 10], lambda i: NOT list_contains(list(pr), i)), ',') AS missing_ids,
+      list_has_all(list(pr), [1, 2, 5, 10]) AS covers_all FROM r GROUP BY theme, subtheme, part""",
+)
+def document_coverage(spark, sf):
+    blocks = _blocks(spark, sf).filter(F.col("subtheme") != "")
+    covered = themes.document_coverage(blocks, [1, 2, 5, 10], "block")
+    return covered.select("theme", "subtheme", "part", F.array_join("missing_ids", ",").alias("missing_ids"), "covers_all")
+
+
+@query(
+    "assemble_document",
+    """SELECT conv_id, turn // 10000 AS part, md5(string_agg('## ' || role || chr(10) || chr(10) || text, chr(10) || chr(10) ORDER BY turn)) AS text_md5
+    FROM conversations GROUP BY ALL""",
+)
+def assemble_document(spark, sf):
+    made = themes.assemble_document(table(spark, sf, "conversations"), ["conv_id"], "turn", "role", "text")
+    return made.select("conv_id", "part", F.md5("text").alias("text_md5"))
+
+
+@query(
+    "stream_merge_themes",
+    """WITH a AS (SELECT p_partkey AS pr, """
+    + THEME_SQL
+    + """ AS theme FROM part)
+    SELECT theme, 'Changes to ' || theme AS theme_description, pr FROM a""",
+)
+def stream_merge_themes(spark, sf):
+    stream = spark.readStream.schema(table(spark, sf, "part").schema).parquet(f"{sf}/part.parquet*")
+    prs = stream.select(
+        F.col("p_partkey").alias("pr"),
+        F.col("p_name").alias("title"),
+        F.lower("p_type").alias("description"),
+        F.col("p_brand").alias("ellipsis_summary"),
+    )
+    out = scratch_path(spark, "themes")
+    folds.stream_merge_themes(prs, f"{out}/table", f"{out}/checkpoint", THEMES, 30).awaitTermination()
+    return folds.accumulated_themes(spark, f"{out}/table").select("theme", "theme_description", "pr")

@@ -42,5 +42,5 @@ def file_stamp(instant: Column) -> Column:
 
 
 def from_epoch(seconds: Column) -> Column:
-    """Instant of an epoch-second count."""
-    return F.timestamp_seconds(seconds)
+    """UTC instant of an epoch-second count, without a time zone."""
+    return F.timestamp_add("SECOND", seconds, F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))

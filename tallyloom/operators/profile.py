@@ -105,7 +105,7 @@ def config_alignment(configs: dict[str, DataFrame], text: str = "text") -> DataF
             sums.append(F.count_if(F.col(f"in_{a}") & F.col(f"in_{b}")).alias(f"{a}&{b}"))
     if len(names) > 2:
         every = reduce(lambda x, y: x & y, [F.col(f"in_{n}") for n in names])
-        sums.append(F.count_if(every).alias("all"))
+        sums.append(F.count_if(every).alias("every"))
     counted = presence.agg(*sums)
     return counted.unpivot([], counted.columns, "configs", "n_texts")
 
