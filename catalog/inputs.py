@@ -251,7 +251,7 @@ def preview_rows(spark, sf):
       {pct_sql('positives::DOUBLE / total')} AS positives_pct FROM c""",
 )
 def corpus_stats(spark, sf):
-    return tidy(profile.corpus_stats(corpus.unify_corpus(*order_corpus(spark, sf))))
+    return tidy(profile.corpus_stats(corpus.unify_counts(*order_corpus(spark, sf))))
 
 
 @query(
@@ -262,7 +262,7 @@ def corpus_stats(spark, sf):
       count(*) FILTER (n_effects > 0 AND NOT label) = 0 AS all_annotated_positive FROM unified""",
 )
 def annotation_label_crosstab(spark, sf):
-    return tidy(profile.annotation_label_crosstab(corpus.unify_corpus(*order_corpus(spark, sf))))
+    return tidy(profile.annotation_label_crosstab(corpus.unify_counts(*order_corpus(spark, sf))))
 
 
 def text_configs(spark, sf):

@@ -14,17 +14,22 @@ from . import fixed
 _WORD = r"[\p{L}\p{M}\p{N}_]"
 
 
+def _word_pattern(words: Sequence[str]) -> str:
+    """Whole-word pattern; the leading letter test rejects most positions cheaply."""
+    choice = "|".join(re.escape(w) for w in words)
+    letters = sorted({c for w in words for c in (w[0].lower(), w[0].upper())})
+    first = "".join(re.escape(c) for c in letters)
+    return rf"(?=[{first}])(?<!{_WORD})(?i:({choice}))(?!{_WORD})"
+
+
 def word_hits(text: Column, words: Sequence[str]) -> Column:
     """Whole-word, case-insensitive matches in text order, as written (``array<string>``)."""
-    choice = "|".join(re.escape(w) for w in words)
-    pattern = rf"(?i)(?<!{_WORD})({choice})(?!{_WORD})"
-    return F.regexp_extract_all(text, F.lit(pattern), 1)
+    return F.regexp_extract_all(text, F.lit(_word_pattern(words)), 1)
 
 
 def has_word(text: Column, words: Sequence[str]) -> Column:
     """True when any of the words occurs; null text counts as no match."""
-    choice = "|".join(re.escape(w) for w in words)
-    return F.coalesce(text.rlike(rf"(?i)(?<!{_WORD})({choice})(?!{_WORD})"), F.lit(False))
+    return F.coalesce(text.rlike(_word_pattern(words)), F.lit(False))
 
 
 def extract_medications(

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed, text as txt
 from ..functions.status import PAIRS, label_to_bool, label_to_status
+from ..session import lookup_side
 from .joins import null_safe_join
 from .ranks import id_rank
 
@@ -37,47 +38,78 @@ def _pair_list(rows: Column, a: str, b: str) -> Column:
     return F.transform(ordered, lambda r: F.struct(r[a].alias(a), r[b].alias(b)))
 
 
+def _hot_groups(notes: DataFrame, keys: Sequence[str], limit: int) -> DataFrame:
+    """Groups with more than ``limit`` rows and their sizes: counted once, usually none."""
+    sizes = notes.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"))
+    return lookup_side(sizes.filter(F.col("n_rows") > limit))
+
+
 def pairs_by_text(
     notes: DataFrame, text: str, a: str, b: str, row_id: str, list_limit: int = LIST_LIMIT
 ) -> DataFrame:
     """Annotation pairs per text, cut into lists of at most ``list_limit``: ``text, part, pairs``.
 
-    Duplicates and nulls are kept, in ``row_id`` order (unique). Nearly every text has one part.
+    Duplicates and nulls are kept, in ``row_id`` order (unique). A text within the limit is one
+    list; only the texts above it are ranked and cut.
     """
-    placed = id_rank(notes.select(text, a, b, row_id), row_id, [text], name="_pos")
+    rows = notes.select(text, a, b, row_id)
+    hot = _hot_groups(rows, [text], list_limit).drop("n_rows")
+    whole = null_safe_join(rows, hot, [text], "left_anti")
+    whole = whole.groupBy(text, F.lit(0).cast("long").alias("part")).agg(
+        _pair_list(F.collect_list(F.struct(row_id, a, b)), a, b).alias("pairs")
+    )
+    placed = id_rank(null_safe_join(rows, hot, [text], "left_semi"), row_id, [text], name="_pos")
     part = F.floor((F.col("_pos") - 1) / list_limit).cast("long")
-    rows = F.collect_list(F.struct(F.col("_pos"), F.col(a), F.col(b)))
-    return placed.groupBy(F.col(text), part.alias("part")).agg(_pair_list(rows, a, b).alias("pairs"))
+    cut = placed.groupBy(text, part.alias("part")).agg(
+        _pair_list(F.collect_list(F.struct("_pos", a, b)), a, b).alias("pairs")
+    )
+    return whole.unionByName(cut)
+
+
+def _tagged(notes: DataFrame, kind: str, second: str, text: str, row_id: str) -> DataFrame:
+    return notes.select(
+        text_key(F.col(text)).alias("text_key"),
+        F.lit(kind).alias("kind"),
+        F.col(row_id).cast("long").alias("row_id"),
+        F.col("drug").cast("string").alias("drug"),
+        F.col(second).cast("string").alias("second"),
+    )
 
 
-def _annotation_lists(
-    effects: DataFrame, dosages: DataFrame, text: str, row_id: str, limit: int
+def _stacked(effects: DataFrame, dosages: DataFrame, text: str, row_id: str) -> DataFrame:
+    """Both annotation tables in one shape, so that they are aggregated and joined once."""
+    return _tagged(effects, "effect", "effect", text, row_id).unionByName(
+        _tagged(dosages, "dosage", "dosage", text, row_id)
+    )
+
+
+def _per_kind(count: Column) -> list[Column]:
+    return [
+        F.sum(F.when(F.col("kind") == "effect", count)).alias("n_effects"),
+        F.sum(F.when(F.col("kind") == "dosage", count)).alias("n_dosages"),
+    ]
+
+
+def unify_counts(
+    base: DataFrame, effects: DataFrame, dosages: DataFrame, text: str = "text", label: str = "label"
 ) -> DataFrame:
-    """Both pair lists per text in one aggregation; a kind with more than ``limit`` rows stays long."""
-
-    def tagged(notes: DataFrame, kind: str, second: str) -> DataFrame:
-        return notes.select(
-            text_key(F.col(text)).alias("text_key"),
-            F.lit(kind).alias("kind"),
-            F.col(row_id).cast("long").alias("row_id"),
-            F.col("drug").cast("string").alias("drug"),
-            F.col(second).cast("string").alias("second"),
-        )
+    """Classification rows with a boolean label and the exact number of annotations of each kind.
 
-    notes = tagged(effects, "effect", "effect").unionByName(tagged(dosages, "dosage", "dosage"))
-    sizes = notes.groupBy("text_key", "kind").agg(F.count(F.lit(1)).alias("n"))
-    small = sizes.filter(F.col("n") <= limit)
-    listed = null_safe_join(notes, small.drop("n"), ["text_key", "kind"])
-    row = F.struct("row_id", "drug", "second")
-    lists = listed.groupBy("text_key").agg(
-        F.collect_list(F.when(F.col("kind") == "effect", row)).alias("effect_rows"),
-        F.collect_list(F.when(F.col("kind") == "dosage", row)).alias("dosage_rows"),
+    The light form of ``unify_corpus`` for statistics: no list is built, no pair is shuffled.
+    """
+    kinds = effects.select(text_key(F.col(text)).alias("text_key"), F.lit("effect").alias("kind")).unionByName(
+        dosages.select(text_key(F.col(text)).alias("text_key"), F.lit("dosage").alias("kind"))
     )
-    counts = sizes.groupBy("text_key").agg(
-        F.sum(F.when(F.col("kind") == "effect", F.col("n"))).alias("n_effects"),
-        F.sum(F.when(F.col("kind") == "dosage", F.col("n"))).alias("n_dosages"),
+    counts = kinds.groupBy("text_key").agg(*_per_kind(F.lit(1)))
+    rows = base.withColumn("text_key", text_key(F.col(text)))
+    joined = null_safe_join(rows, counts, ["text_key"], "left")
+    return joined.select(
+        *[c for c in base.columns if c != label],
+        "text_key",
+        label_to_bool(F.col(label)).alias("label"),
+        F.coalesce("n_effects", F.lit(0)).alias("n_effects"),
+        F.coalesce("n_dosages", F.lit(0)).alias("n_dosages"),
     )
-    return null_safe_join(counts, lists, ["text_key"], "left")
 
 
 def unify_corpus(
@@ -96,28 +128,39 @@ def unify_corpus(
     Both annotation tables are aggregated together, so the classification rows shuffle once and
     AQE may split a hot text.
     """
-    notes = _annotation_lists(effects, dosages, text, row_id, list_limit)
-    rows = base.withColumn("text_key", text_key(F.col(text)))
-    joined = null_safe_join(rows, notes, ["text_key"], "left")
+    notes = _stacked(effects, dosages, text, row_id)
+    hot = _hot_groups(notes, ["text_key", "kind"], list_limit)
+    listed = null_safe_join(notes, hot.drop("n_rows"), ["text_key", "kind"], "left_anti")
+    # A hot group contributes one row that carries its size, every other annotation a row of 1.
+    rows = listed.withColumn("n_rows", F.lit(1).cast("long")).unionByName(hot, allowMissingColumns=True)
+    row = F.struct("row_id", "drug", "second")
 
-    def listed(rows_col: str, count: Column, second: str, kind: str) -> Column:
-        kept = F.transform(
-            F.array_sort(F.coalesce(F.col(rows_col), F.array().cast(
-                "array<struct<row_id:bigint,drug:string,second:string>>"))),
-            lambda r: F.struct(r["drug"].alias("drug"), r["second"].alias(second)),
-        )
-        return F.when(count <= list_limit, kept).alias(kind)
+    def collected(kind: str) -> Column:
+        return F.collect_list(F.when((F.col("kind") == kind) & F.col("row_id").isNotNull(), row))
+
+    lists = rows.groupBy("text_key").agg(
+        *_per_kind(F.col("n_rows")),
+        collected("effect").alias("effect_rows"),
+        collected("dosage").alias("dosage_rows"),
+    )
+    keyed = base.withColumn("text_key", text_key(F.col(text)))
+    joined = null_safe_join(keyed, lists, ["text_key"], "left")
+    none = F.array().cast("array<struct<row_id:bigint,drug:string,second:string>>")
+
+    def pairs(column: str, count: Column, second: str) -> Column:
+        ordered = F.array_sort(F.coalesce(F.col(column), none))
+        kept = F.transform(ordered, lambda r: F.struct(r["drug"].alias("drug"), r["second"].alias(second)))
+        return F.when(count <= list_limit, kept)
 
     n_effects = F.coalesce(F.col("n_effects"), F.lit(0))
     n_dosages = F.coalesce(F.col("n_dosages"), F.lit(0))
-    extra = [c for c in base.columns if c not in (text, label)]
     return joined.select(
-        *extra,
+        *[c for c in base.columns if c not in (text, label)],
         F.col(text).alias("text"),
         "text_key",
         label_to_bool(F.col(label)).alias("label"),
-        listed("effect_rows", n_effects, "effect", "drug_effect_pairs"),
-        listed("dosage_rows", n_dosages, "dosage", "drug_dosage_pairs"),
+        pairs("effect_rows", n_effects, "effect").alias("drug_effect_pairs"),
+        pairs("dosage_rows", n_dosages, "dosage").alias("drug_dosage_pairs"),
         n_effects.alias("n_effects"),
         n_dosages.alias("n_dosages"),
     )

@@ -305,14 +305,16 @@ def pipeline_scorecard(scored: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     return add_safety(add_classification(_add_micro(_add_micro(counted, "drug_"), "effect_")))
 
 
-def pipeline_performance(scored: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Calls, errors, mean time (3 places) and flat cost estimate (6 places)."""
-    counted = scored.groupBy(*by).agg(
+def _effort() -> list[Column]:
+    return [
         F.count(F.lit(1)).alias("examples_evaluated"),
         F.coalesce(F.sum(F.coalesce(F.col("api_calls"), F.lit(1)).cast("long")), F.lit(0)).alias("total_api_calls"),
         F.count_if(F.col("error").isNotNull()).alias("processing_errors"),
         F.coalesce(F.avg("latency_s"), F.lit(0.0)).alias("_seconds"),
-    )
+    ]
+
+
+def _add_performance(counted: DataFrame) -> DataFrame:
     calls = F.col("total_api_calls")
     price = F.lit(fixed.FLAT_COST_PER_CALL).cast("decimal(12,10)")
     return counted.withColumns(
@@ -324,6 +326,17 @@ def pipeline_performance(scored: DataFrame, by: Sequence[str] = ()) -> DataFrame
     ).drop("_seconds")
 
 
+def pipeline_performance(scored: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Calls, errors, mean time (3 places) and flat cost estimate (6 places)."""
+    return _add_performance(scored.groupBy(*by).agg(*_effort()))
+
+
+def run_table(scored: DataFrame, by: Sequence[str] = ("run_id",)) -> DataFrame:
+    """Classification, safety and performance of every run from one aggregation."""
+    counted = scored.groupBy(*by).agg(*_cells(F.col("y_true"), F.col("y_pred")), *_effort())
+    return _add_performance(add_safety(add_classification(counted)))
+
+
 def evaluator_summary(
     scored: DataFrame, by: Sequence[str] = (), low: float = 0.6, passed: str | None = None
 ) -> DataFrame:

@@ -23,17 +23,18 @@ def parse_structured_output(df: DataFrame, raw: str, schema: str, name: str = "o
     Adds ``name`` (struct) and ``<name>_corrupt`` (the JSON text when it does not parse, the whole
     answer when it has no such block).
     """
-    block = F.regexp_extract(F.col(raw), r"(?s)## Output values\s*```json\s*(.*?)\s*```", 1)
-    typed = F.from_json(
-        block, f"{schema}, _corrupt string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
-    )
-    missing = F.length(block) == 0
-    parsed = df.withColumns({"_block": block, "_typed": typed, "_missing": missing})
-    bad = F.when(F.col("_missing"), F.col(raw)).otherwise(F.col("_typed._corrupt"))
-    usable = ~F.col("_missing") & F.col("_typed._corrupt").isNull()
+    pattern = r"(?s)## Output values\s*```json\s*(.*?)\s*```"
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
+    found = df.withColumn("_block", F.regexp_extract(F.col(raw), pattern, 1))
+    parsed = found.withColumn("_typed", F.from_json("_block", f"{schema}, _corrupt string", options))
+    missing = F.length("_block") == 0
+    usable = ~missing & F.col("_typed._corrupt").isNull()
     return parsed.withColumns(
-        {name: F.when(usable, F.col("_typed").dropFields("_corrupt")), f"{name}_corrupt": bad}
-    ).drop("_block", "_typed", "_missing")
+        {
+            name: F.when(usable, F.col("_typed").dropFields("_corrupt")),
+            f"{name}_corrupt": F.when(missing, F.col(raw)).otherwise(F.col("_typed._corrupt")),
+        }
+    ).drop("_block", "_typed")
 
 
 def validate_predictions(
@@ -50,20 +51,22 @@ def validate_predictions(
     (direct form) or ``drugs`` and ``effects`` lists (staged form). Blank text is an error of its
     own: it fails the job in strict mode and marks the row otherwise.
     """
-    value = F.try_parse_json(F.col(raw))
-
-    def kind(field: str) -> Column:
-        found = F.schema_of_variant(F.try_variant_get(value, f"$.{field}", "variant"))
-        return F.coalesce(found, F.lit("VOID"))
+    # Parsed once, then read by name: an expensive expression used twice is not inlined again.
+    kinds = {"_has": "has_ade", "_sure": "confidence", "_why": "reasoning", "_drugs": "drugs", "_effects": "effects"}
+    parsed = df.withColumn("_value", F.try_parse_json(F.col(raw)))
+    parsed = parsed.withColumns(
+        {n: F.try_variant_get("_value", f"$.{field}", "variant") for n, field in kinds.items()}
+    )
 
-    def shown(field: str) -> Column:
-        return F.coalesce(F.get_json_object(F.col(raw), f"$.{field}"), F.lit("null"))
+    def kind(name: str) -> Column:
+        return F.coalesce(F.schema_of_variant(name), F.lit("VOID"))
 
     def complaint(field: str) -> Column:
-        return F.concat(F.lit(f"invalid {field}: "), shown(field))
+        shown = F.coalesce(F.get_json_object(F.col(raw), f"$.{field}"), F.lit("null"))
+        return F.concat(F.lit(f"invalid {field}: "), shown)
 
-    confidence = F.try_variant_get(value, "$.confidence", "double")
-    numeric = kind("confidence").rlike("^(BIGINT|DOUBLE|DECIMAL.*)$")
+    confidence = F.try_variant_get("_sure", "$", "double")
+    numeric = kind("_sure").rlike("^(BIGINT|DOUBLE|DECIMAL.*)$")
     fine_confidence = numeric & F.coalesce(confidence.between(0.0, 1.0), F.lit(False))
     blank = F.col(text).isNull() | (F.trim(F.col(text)) == "")
     blank_message = F.lit(EMPTY_TEXT)
@@ -71,17 +74,17 @@ def validate_predictions(
         blank_message = F.raise_error(blank_message).cast("string")
     message = F.when(blank, blank_message)
     if staged:
-        for field in ("drugs", "effects"):
-            message = message.when(~kind(field).startswith("ARRAY"), complaint(field))
-    message = message.when(kind("has_ade") != "BOOLEAN", complaint("has_ade"))
+        message = message.when(~kind("_drugs").startswith("ARRAY"), complaint("drugs"))
+        message = message.when(~kind("_effects").startswith("ARRAY"), complaint("effects"))
+    message = message.when(kind("_has") != "BOOLEAN", complaint("has_ade"))
     message = message.when(~fine_confidence, complaint("confidence"))
     if not staged:
-        message = message.when(kind("reasoning") != "STRING", complaint("reasoning"))
+        message = message.when(kind("_why") != "STRING", complaint("reasoning"))
     stamp = F.current_timestamp() if at is None else at
     failed = F.col("_message").isNotNull()
-    checked = df.withColumn("_message", message)
+    checked = parsed.withColumn("_message", message)
     columns = {
-        "has_ade": F.when(failed, F.lit(False)).otherwise(F.try_variant_get(value, "$.has_ade", "boolean")),
+        "has_ade": F.when(failed, F.lit(False)).otherwise(F.try_variant_get("_has", "$", "boolean")),
         "confidence": F.when(failed, F.lit(0.0)).otherwise(confidence),
         "api_calls": F.lit(3 if staged else 1),
         "error": F.when(
@@ -95,13 +98,13 @@ def validate_predictions(
     }
     if staged:
         none = F.array().cast("array<string>")
-        for field in ("drugs", "effects"):
-            items = F.try_variant_get(value, f"$.{field}", "array<string>")
+        for name, field in (("_drugs", "drugs"), ("_effects", "effects")):
+            items = F.try_variant_get(name, "$", "array<string>")
             columns[field] = F.when(failed, none).otherwise(items)
     else:
-        said = F.try_variant_get(value, "$.reasoning", "string")
+        said = F.try_variant_get("_why", "$", "string")
         columns["reasoning"] = F.when(failed, F.lit("Error occurred during classification")).otherwise(said)
-    return checked.withColumns(columns).drop("_message")
+    return checked.withColumns(columns).drop("_value", "_message", *kinds)
 
 
 def check_domains(

@@ -110,15 +110,13 @@ def assign_themes(
     default: str = fixed.SERVICES[-1],
 ) -> DataFrame:
     """Map every pull request of every batch to one theme: ``batch_no, theme, theme_description, pr``."""
-    theme = rule_value(pr_text(), rules, default)
     about = F.concat(F.lit("Changes to "), F.col("theme"))
     for name, text in (descriptions or {}).items():
         about = F.when(F.col("theme") == name, F.lit(text)).otherwise(about)
-    return (
-        batch_slices(prs, "pr", batch_size)
-        .withColumn("theme", theme)
-        .withColumn("theme_description", about)
-        .select("batch_no", "theme", "theme_description", "pr")
+    # Themes are decided where the texts are read; only ids and names are shuffled.
+    narrow = prs.select("pr", rule_value(pr_text(), rules, default).alias("theme"))
+    return batch_slices(narrow, "pr", batch_size).select(
+        "batch_no", "theme", about.alias("theme_description"), "pr"
     )
 
 

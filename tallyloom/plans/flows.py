@@ -28,10 +28,12 @@ from ..operators.themes import (
     categorize,
     customer_facing,
     merged_view,
+    pr_text,
     render_changelog,
-    subthemes,
+    rule_value,
     theme_details,
 )
+from ..session import settle
 
 
 def graded_run(scored: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -103,5 +105,7 @@ def changelog(
     visible = customer_facing(categorize(prs)).drop("category", "service") if internal_hidden else prs
     mapping = assign_themes(visible, rules, batch_size)
     merged = merged_view(mapping.withColumn("origin", F.col("batch_no")))
-    detailed = subthemes(theme_details(merged, visible), sub_rules or {})
-    return render_changelog(detailed, month, year)
+    named = visible.select("pr", rule_value(pr_text(), sub_rules or {}, "General").alias("subtheme"))
+    # Ids and names only; settled once because titles and id lists both read it.
+    themed = settle(theme_details(merged, named).select("theme", "theme_description", "subtheme", "pr"))
+    return render_changelog(themed, month, year)

@@ -43,12 +43,17 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/tallyloom/{label}-{uuid.uuid4().hex}"
 
 
+def settle(df: DataFrame) -> DataFrame:
+    """Write an intermediate table to the shared folder once and read it from there."""
+    shared_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def lookup_side(small: DataFrame, max_rows: int = BROADCAST_ROW_LIMIT) -> DataFrame:
     """Materialise a lookup table once and hint a broadcast only when its counted size allows it.
 
     The rows are checkpointed to the shared folder, so an executor loss does not recompute
     them; above ``max_rows`` the hint is left off and the join shuffles as usual.
     """
-    shared_dir(small.sparkSession)
-    kept = small.checkpoint(eager=True)
+    kept = settle(small)
     return F.broadcast(kept) if kept.limit(max_rows + 1).count() <= max_rows else kept
