@@ -331,8 +331,8 @@ def extraction_errors(spark, sf):
     errors = metrics.extraction_errors(scored_orders(spark, sf))
     return errors.select(
         "l_orderkey",
-        F.array_join(F.array_sort("false_positives"), ",").alias("false_positives"),
-        F.array_join(F.array_sort("false_negatives"), ",").alias("false_negatives"),
+        F.array_join(F.sort_array("false_positives"), ",").alias("false_positives"),
+        F.array_join(F.sort_array("false_negatives"), ",").alias("false_negatives"),
     )
 
 

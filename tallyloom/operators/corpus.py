@@ -9,17 +9,16 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed, text as txt
 from ..functions.status import PAIRS, label_to_bool, label_to_status
-from ..session import lookup_side
 from .joins import null_safe_join
-from .ranks import id_rank
+from .ranks import hot_groups, id_rank
 
 # A text with more annotations than this keeps them in long form only (``long_pairs``).
 LIST_LIMIT = 10_000
 
 
 def text_key(text: Column) -> Column:
-    """Fixed-width join key of a text; null stays null and joins null."""
-    return F.sha2(text, 256)
+    """Fixed-width join key of a text; all null texts share the empty key, so null joins null."""
+    return F.coalesce(F.sha2(text, 256), F.lit(""))
 
 
 def long_pairs(notes: DataFrame, text: str, a: str, b: str, row_id: str) -> DataFrame:
@@ -34,16 +33,10 @@ def long_pairs(notes: DataFrame, text: str, a: str, b: str, row_id: str) -> Data
 
 
 def _pair_list(rows: Column, a: str, b: str) -> Column:
-    ordered = F.array_sort(rows)
+    ordered = F.sort_array(rows)
     return F.transform(ordered, lambda r: F.struct(r[a].alias(a), r[b].alias(b)))
 
 
-def _hot_groups(notes: DataFrame, keys: Sequence[str], limit: int) -> DataFrame:
-    """Groups with more than ``limit`` rows and their sizes: counted once, usually none."""
-    sizes = notes.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"))
-    return lookup_side(sizes.filter(F.col("n_rows") > limit))
-
-
 def pairs_by_text(
     notes: DataFrame, text: str, a: str, b: str, row_id: str, list_limit: int = LIST_LIMIT
 ) -> DataFrame:
@@ -53,7 +46,7 @@ def pairs_by_text(
     list; only the texts above it are ranked and cut.
     """
     rows = notes.select(text, a, b, row_id)
-    hot = _hot_groups(rows, [text], list_limit).drop("n_rows")
+    hot = hot_groups(rows, [text], list_limit).drop("n_rows")
     whole = null_safe_join(rows, hot, [text], "left_anti")
     whole = whole.groupBy(text, F.lit(0).cast("long").alias("part")).agg(
         _pair_list(F.collect_list(F.struct(row_id, a, b)), a, b).alias("pairs")
@@ -102,7 +95,7 @@ def unify_counts(
     )
     counts = kinds.groupBy("text_key").agg(*_per_kind(F.lit(1)))
     rows = base.withColumn("text_key", text_key(F.col(text)))
-    joined = null_safe_join(rows, counts, ["text_key"], "left")
+    joined = rows.join(counts, "text_key", "left")
     return joined.select(
         *[c for c in base.columns if c != label],
         "text_key",
@@ -129,7 +122,7 @@ def unify_corpus(
     AQE may split a hot text.
     """
     notes = _stacked(effects, dosages, text, row_id)
-    hot = _hot_groups(notes, ["text_key", "kind"], list_limit)
+    hot = hot_groups(notes, ["text_key", "kind"], list_limit)
     listed = null_safe_join(notes, hot.drop("n_rows"), ["text_key", "kind"], "left_anti")
     # A hot group contributes one row that carries its size, every other annotation a row of 1.
     rows = listed.withColumn("n_rows", F.lit(1).cast("long")).unionByName(hot, allowMissingColumns=True)
@@ -144,11 +137,11 @@ def unify_corpus(
         collected("dosage").alias("dosage_rows"),
     )
     keyed = base.withColumn("text_key", text_key(F.col(text)))
-    joined = null_safe_join(keyed, lists, ["text_key"], "left")
+    joined = keyed.join(lists, "text_key", "left")
     none = F.array().cast("array<struct<row_id:bigint,drug:string,second:string>>")
 
     def pairs(column: str, count: Column, second: str) -> Column:
-        ordered = F.array_sort(F.coalesce(F.col(column), none))
+        ordered = F.sort_array(F.coalesce(F.col(column), none))
         kept = F.transform(ordered, lambda r: F.struct(r["drug"].alias("drug"), r["second"].alias(second)))
         return F.when(count <= list_limit, kept)
 

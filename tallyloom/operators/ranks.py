@@ -1,9 +1,10 @@
 """Exact ranks, cut points and running totals without a single-task window.
 
-Rows are spread over many buckets of the ordering key; a small table of per-bucket counts gives
+Rows are spread over many buckets of the ordering key; a small table of per-bucket sums gives
 each bucket its offset, and windows only ever run inside one bucket. Hash order buckets by the
-leading hex digits of ``md5(key|seed)``; id order buckets a unique integer id by fixed width, so
-a bucket can hold at most ``ID_BUCKET`` rows however many rows one group owns.
+leading hex digits of ``md5(key|seed)``; id order buckets a unique integer id by ranges of
+``ID_BUCKET`` values, so a bucket can hold at most that many rows. Groups of ordinary size are
+ranked by one plain window; only groups counted above ``ID_BUCKET`` rows are bucketed.
 """
 
 from __future__ import annotations
@@ -16,7 +17,8 @@ from pyspark.sql import functions as F
 from ..session import lookup_side
 from .joins import null_safe_join
 
-ID_BUCKET = 1 << 20
+ID_BITS = 20
+ID_BUCKET = 1 << ID_BITS
 HASH_DIGITS = 4
 
 
@@ -27,71 +29,96 @@ def hash_key(key: str | Sequence[str], seed: int | str) -> Column:
     return F.md5(F.concat_ws("|", *parts, F.lit(str(seed))))
 
 
-def _offsets(buckets: DataFrame, by: Sequence[str], sums: Sequence[str]) -> DataFrame:
+def hash_bucket() -> Column:
+    return F.conv(F.substring("_hash", 1, HASH_DIGITS), 16, 10).cast("long")
+
+
+def hot_groups(rows: DataFrame, keys: Sequence[str], limit: int) -> DataFrame:
+    """Groups with more than ``limit`` rows and their sizes (``n_rows``): counted once, usually none."""
+    sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"))
+    return lookup_side(sizes.filter(F.col("n_rows") > limit))
+
+
+def _offsets(buckets: DataFrame, sums: Sequence[str]) -> DataFrame:
     """Exclusive running sums over the bucket table, two levels deep so no window sees all buckets."""
-    upper = (F.col("_bucket") / F.lit(ID_BUCKET)).cast("long")
-    level = buckets.withColumn("_upper", F.floor(upper))
-    above = level.groupBy(*by, "_upper").agg(*[F.sum(s).alias(s) for s in sums])
-    before = Window.partitionBy(*by).orderBy("_upper").rowsBetween(Window.unboundedPreceding, -1)
+    level = buckets.withColumn("_upper", F.shiftright("_bucket", ID_BITS))
+    above = level.groupBy("_group", "_upper").agg(*[F.sum(s).alias(s) for s in sums])
+    before = Window.partitionBy("_group").orderBy("_upper").rowsBetween(Window.unboundedPreceding, -1)
     above = above.select(
-        *by, "_upper", *[F.coalesce(F.sum(s).over(before), F.lit(0)).alias(f"_above_{s}") for s in sums]
+        "_group", "_upper", *[F.coalesce(F.sum(s).over(before), F.lit(0)).alias(f"_above_{s}") for s in sums]
     )
     inside = (
-        Window.partitionBy(*by, "_upper").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+        Window.partitionBy("_group", "_upper")
+        .orderBy("_bucket")
+        .rowsBetween(Window.unboundedPreceding, -1)
     )
     within = level.select(
-        *by,
+        "_group",
         "_upper",
         "_bucket",
         *[F.coalesce(F.sum(s).over(inside), F.lit(0)).alias(f"_within_{s}") for s in sums],
     )
-    joined = null_safe_join(within, above, [*by, "_upper"])
-    return joined.select(
-        *by,
+    return within.join(above, ["_group", "_upper"]).select(
+        "_group",
         "_bucket",
         *[(F.col(f"_above_{s}") + F.col(f"_within_{s}")).alias(f"_before_{s}") for s in sums],
     )
 
 
-def _running(
+def _bucketed(
     df: DataFrame,
     bucket: Column,
     order: Sequence[Column],
     by: Sequence[str],
     totals: Mapping[str, Column],
 ) -> DataFrame:
-    """Inclusive running totals of each value within ``by``, in ``order``."""
+    """Inclusive running totals of each value within ``by``, in ``order``.
+
+    The group is one struct column: never null, so the join needs no null handling and reuses the
+    partitioning of the window. The rows are shuffled once.
+    """
     names = list(totals)
-    rows = df.withColumns({"_bucket": bucket, **{f"_v_{n}": c for n, c in totals.items()}})
-    counts = rows.groupBy(*by, "_bucket").agg(*[F.sum(f"_v_{n}").alias(n) for n in names])
-    offsets = _offsets(counts, by, names)
+    group = F.struct(*[F.col(n) for n in by]) if by else F.struct(F.lit(0).alias("all"))
+    rows = df.withColumns({"_group": group, "_bucket": bucket, **{f"_v_{n}": c for n, c in totals.items()}})
+    sums = rows.groupBy("_group", "_bucket").agg(*[F.sum(f"_v_{n}").alias(n) for n in names])
     inside = (
-        Window.partitionBy(*by, "_bucket")
+        Window.partitionBy("_group", "_bucket")
         .orderBy(*order)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     local = rows.withColumns({f"_w_{n}": F.sum(f"_v_{n}").over(inside) for n in names})
-    joined = null_safe_join(local, offsets, [*by, "_bucket"])
-    return joined.select(
-        *df.columns,
-        *[(F.col(f"_before_{n}") + F.col(f"_w_{n}")).alias(n) for n in names],
+    return local.join(_offsets(sums, names), ["_group", "_bucket"]).select(
+        *df.columns, *[(F.col(f"_before_{n}") + F.col(f"_w_{n}")).alias(n) for n in names]
     )
 
 
-def id_bucket(order: str) -> Column:
-    return F.floor(F.col(order) / F.lit(ID_BUCKET)).cast("long")
-
-
 def running_totals(
-    df: DataFrame, order: str, totals: Mapping[str, Column], by: Sequence[str] = ()
+    df: DataFrame,
+    order: str,
+    totals: Mapping[str, Column],
+    by: Sequence[str] = (),
+    group_limit: int = ID_BUCKET,
 ) -> DataFrame:
-    """Running totals along a unique integer id; a hot group is spread over its id buckets."""
-    return _running(df, id_bucket(order), [F.col(order)], list(by), totals)
+    """Running totals along a unique integer id, per group when ``by`` is given."""
+    by = list(by)
+    bucket = F.shiftright(F.col(order).cast("long"), ID_BITS)
+    if not by:
+        return _bucketed(df, bucket, [F.col(order)], by, totals)
+    hot = hot_groups(df, by, group_limit).drop("n_rows")
+    ordinary = null_safe_join(df, hot, by, "left_anti")
+    inside = (
+        Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    plain = ordinary.withColumns({n: F.sum(c).over(inside) for n, c in totals.items()})
+    spread = _bucketed(null_safe_join(df, hot, by, "left_semi"), bucket, [F.col(order)], by, totals)
+    return plain.unionByName(spread)
 
 
-def id_rank(df: DataFrame, order: str, by: Sequence[str] = (), name: str = "rank") -> DataFrame:
+def id_rank(
+    df: DataFrame, order: str, by: Sequence[str] = (), name: str = "rank", group_limit: int = ID_BUCKET
+) -> DataFrame:
     """1-based rank in the order of a unique integer id."""
-    return running_totals(df, order, {name: F.lit(1).cast("long")}, by)
+    return running_totals(df, order, {name: F.lit(1).cast("long")}, by, group_limit)
 
 
 def hash_rank(
@@ -100,9 +127,8 @@ def hash_rank(
     """1-based rank in the seeded hash order; reproducible on any cluster size."""
     keys = [key] if isinstance(key, str) else list(key)
     rows = df.withColumn("_hash", hash_key(keys, seed))
-    bucket = F.conv(F.substring("_hash", 1, HASH_DIGITS), 16, 10).cast("long")
     order = [F.col("_hash"), *[F.col(k) for k in keys]]
-    return _running(rows, bucket, order, list(by), {name: F.lit(1).cast("long")}).drop("_hash")
+    return _bucketed(rows, hash_bucket(), order, list(by), {name: F.lit(1).cast("long")}).drop("_hash")
 
 
 def hash_cuts(
@@ -119,7 +145,7 @@ def hash_cuts(
     """
     group = list(by)
     narrow = df.select(*group, F.col(key).alias("_key")).withColumn("_hash", hash_key("_key", seed))
-    narrow = narrow.withColumn("_bucket", F.conv(F.substring("_hash", 1, HASH_DIGITS), 16, 10).cast("long"))
+    narrow = narrow.withColumn("_bucket", hash_bucket())
     counts = narrow.groupBy(*group, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
     # At most 16^HASH_DIGITS rows per group.
     ordered = Window.partitionBy(*group).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0)
@@ -130,24 +156,13 @@ def hash_cuts(
         }
     )
     wanted = targets(F.col("_total"))
-    edges = edges.withColumn(
-        "_cut",
-        F.explode(
-            F.array(
-                *[
-                    F.struct(F.lit(i).alias("no"), c.cast("long").alias("rank"))
-                    for i, c in enumerate(wanted)
-                ]
-            )
-        ),
-    ).filter((F.col("_cut.rank") <= F.col("_upto")) & (F.col("_cut.rank") > F.col("_upto") - F.col("_n")))
+    ranks = [F.struct(F.lit(i).alias("no"), c.cast("long").alias("rank")) for i, c in enumerate(wanted)]
+    rank, upto = F.col("_cut.rank"), F.col("_upto")
+    edges = edges.withColumn("_cut", F.explode(F.array(*ranks))).filter(
+        (rank <= upto) & (rank > upto - F.col("_n"))
+    )
     hit = lookup_side(
-        edges.select(
-            *group,
-            "_bucket",
-            F.col("_cut.no").alias("_no"),
-            (F.col("_cut.rank") - (F.col("_upto") - F.col("_n"))).alias("_nth"),
-        )
+        edges.select(*group, "_bucket", F.col("_cut.no").alias("_no"), (rank - (upto - F.col("_n"))).alias("_nth"))
     )
     candidates = null_safe_join(narrow, hit, [*group, "_bucket"])
     nth = Window.partitionBy(*group, "_bucket", "_no").orderBy("_hash", "_key")

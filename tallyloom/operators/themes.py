@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed
 from ..functions.text import has_word
-from .joins import null_safe_join
 from .ranks import id_rank
 from .splits import batch_slices
 
@@ -133,7 +132,7 @@ def theme_key(name: Column, generic: Sequence[str] = GENERIC_WORDS) -> Column:
     specific = F.filter(words, lambda w: ~w.isin(*generic))
     kept = F.when(F.size(specific) > 0, specific).otherwise(words)
     singular = F.transform(kept, lambda w: F.regexp_replace(w, "(?<=[^s]{2})s$", ""))
-    return F.array_join(F.array_sort(F.array_distinct(singular)), " ")
+    return F.array_join(F.sort_array(F.array_distinct(singular)), " ")
 
 
 def theme_names(rows: DataFrame) -> DataFrame:
@@ -158,9 +157,9 @@ def merge_themes(existing: DataFrame, new: DataFrame) -> DataFrame:
 
 def merged_view(rows: DataFrame) -> DataFrame:
     """Merged themes from contributions with an ``origin`` order."""
-    keyed = rows.withColumn("theme_key", theme_key(F.col("theme")))
+    keyed = rows.withColumn("theme_key", F.coalesce(theme_key(F.col("theme")), F.lit("")))
     members = keyed.select("theme_key", "pr").distinct()
-    return null_safe_join(members, theme_names(keyed), ["theme_key"]).select(
+    return members.join(theme_names(keyed), "theme_key").select(
         "theme_key", "theme", "theme_description", "pr"
     )
 
@@ -222,11 +221,11 @@ def changelog_text(blocks: DataFrame, max_blocks: int = 10_000) -> DataFrame:
     small = sizes.filter(F.col("n_blocks") <= max_blocks)
     rows = F.collect_list(F.struct("theme", "subtheme", "part", "block"))
     texts = (
-        null_safe_join(blocks, small.drop("n_blocks"), ["document"])
+        blocks.join(small.drop("n_blocks"), "document")
         .groupBy("document")
-        .agg(F.array_join(F.transform(F.array_sort(rows), lambda r: r["block"]), "\n\n").alias("text"))
+        .agg(F.array_join(F.transform(F.sort_array(rows), lambda r: r["block"]), "\n\n").alias("text"))
     )
-    return null_safe_join(sizes, texts, ["document"], "left")
+    return sizes.join(texts, "document", "left")
 
 
 def document_ids(documents: DataFrame, text: str = "text") -> Column:
@@ -234,7 +233,7 @@ def document_ids(documents: DataFrame, text: str = "text") -> Column:
     lists = F.regexp_extract_all(F.col(text), F.lit(r"\[([0-9, ]*)\]"), 1)
     numbers = F.flatten(F.transform(lists, lambda s: F.split(s, r"\s*,\s*")))
     kept = F.array_compact(F.transform(numbers, lambda s: s.try_cast("bigint")))
-    return F.array_sort(F.array_distinct(kept))
+    return F.sort_array(F.array_distinct(kept))
 
 
 def document_coverage(documents: DataFrame, expected: Sequence[int], text: str = "text") -> DataFrame:
@@ -260,5 +259,5 @@ def assemble_document(
     part = F.floor(F.col(pos) / sections_per_part).cast("long")
     rows = F.collect_list(F.struct(F.col(pos).alias("p"), block.alias("b")))
     return sections.groupBy(*by, part.alias("part")).agg(
-        F.array_join(F.transform(F.array_sort(rows), lambda r: r["b"]), "\n\n").alias("text")
+        F.array_join(F.transform(F.sort_array(rows), lambda r: r["b"]), "\n\n").alias("text")
     )
