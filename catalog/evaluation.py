@@ -681,12 +681,7 @@ def best_recall(spark, sf):
       run_id = (SELECT run_id FROM runs ORDER BY f1 DESC, run_id LIMIT 1) AS is_best FROM runs""",
 )
 def candidate_grid(spark, sf):
-    lines = table(spark, sf, "lineitem")
-    limits = F.explode(F.array(*[F.lit(t) for t in range(5, 45, 5)]))
-    scored = lines.select("l_quantity", (F.col("l_returnflag") == "R").alias("y_true"), limits.alias("t")).select(
-        F.concat(F.lit("q"), F.lpad(F.col("t").cast("string"), 2, "0")).alias("run_id"),
-        "y_true",
-        (F.col("l_quantity") > F.col("t")).alias("y_pred"),
-    )
-    grid = compare.candidate_grid(metrics.classification_metrics(scored, RUN))
+    rules = {f"q{t:02d}": F.col("l_quantity") > t for t in range(5, 45, 5)}
+    cells = metrics.confusion_of_rules(table(spark, sf, "lineitem"), F.col("l_returnflag") == "R", rules)
+    grid = compare.candidate_grid(metrics.add_classification(cells))
     return tidy(grid.select("run_id", "f1", "recall", "is_best"))

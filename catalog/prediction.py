@@ -157,27 +157,29 @@ WORDS = ("the", "der", "la", "de", "of")
 WORDS_SQL = f"{word_count_sql('text', WORDS)}"
 
 
-def build_scorer():
-    import re
-
-    token, wanted = re.compile(r"\w+"), frozenset(WORDS)
-
-    def score(texts: list[str]) -> list[dict]:
-        counts = [sum(t.lower() in wanted for t in token.findall(text)) for text in texts]
-        return [{"y_pred": n >= 3, "confidence": min(1.0, n / 10), "hits": n} for n in counts]
-
-    return score
-
-
 @query(
     "score_batch",
     f"""WITH c AS (SELECT doc_id, {WORDS_SQL} AS hits FROM documents)
     SELECT doc_id, hits >= 3 AS y_pred, round(least(1, hits / 10.0::DOUBLE), 6) AS confidence, hits FROM c""",
 )
 def score_batch(spark, sf):
+    words = WORDS
+
+    # A closure, so that tasks receive it by value and need not import this package.
+    def build():
+        import re
+
+        token, wanted = re.compile(r"\w+"), frozenset(words)
+
+        def score(texts: list[str]) -> list[dict]:
+            counts = [sum(t.lower() in wanted for t in token.findall(text)) for text in texts]
+            return [{"y_pred": n >= 3, "confidence": min(1.0, n / 10), "hits": n} for n in counts]
+
+        return score
+
     documents = table(spark, sf, "documents")
     scored = predict.score_batch(
-        documents, build_scorer, "y_pred boolean, confidence double, hits bigint", "doc_id", "text"
+        documents, build, "y_pred boolean, confidence double, hits bigint", "doc_id", "text"
     )
     return tidy(scored.select("doc_id", "y_pred", "confidence", "hits"))
 

@@ -6,7 +6,7 @@ api_calls, latency_s, error``. Every metric is one aggregation with map-side com
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -44,6 +44,22 @@ def confusion_binary(scored: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     return scored.groupBy(*by).agg(*_cells(F.col("y_true"), F.col("y_pred")))
 
 
+def confusion_of_rules(df: DataFrame, y_true: Column, rules: Mapping[str, Column]) -> DataFrame:
+    """The four cells of many rules over the same rows: one pass, and no row is repeated per rule.
+
+    ``rules`` maps a run id to its prediction; the result has one row per run.
+    """
+    cells = []
+    for number, y_pred in enumerate(rules.values()):
+        cells += _cells(y_true, y_pred, f"r{number}_")
+    counted = df.agg(*cells)
+    runs = [
+        F.struct(F.lit(run).alias("run_id"), *[F.col(f"r{number}_{c}").alias(c) for c in _CELLS])
+        for number, run in enumerate(rules)
+    ]
+    return counted.select(F.inline(F.array(*runs)))
+
+
 def add_classification(counts: DataFrame) -> DataFrame:
     """Accuracy, precision, recall, F1, specificity and Wilson intervals from the four cells."""
     tp, fp, tn, fn = (F.col(c) for c in _CELLS)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..session import lookup_side
 from .joins import null_safe_join
-from .ranks import hash_cuts, hash_key, hash_rank, id_rank
+from .ranks import hash_cuts, hash_key, id_rank
 
 RATIOS = (0.7, 0.15, 0.15)
 
@@ -112,16 +112,20 @@ def train_val_edges(
     df: DataFrame, key: str, train_n: int = 15, val_min: int = 5, seed: int | str = 42
 ) -> DataFrame:
     """First ``train_n`` rows as train, last ``max(val_min, n - train_n)`` as val; both when they overlap."""
-    ranked = hash_rank(df, key, seed, name="_rank")
-    total = df.agg(F.count(F.lit(1)).alias("n")).scalar()
-    tail = F.greatest(F.lit(val_min).cast("long"), total - F.lit(train_n))
+
+    def edges(total: Column) -> list[Column]:
+        tail = F.greatest(F.lit(val_min).cast("long"), total - F.lit(train_n))
+        return [F.least(total, F.lit(train_n).cast("long")), total - tail]
+
+    cuts, h = hash_cuts(df, key, seed, [], edges), hash_key(key, seed)
+    before_val = F.coalesce(cuts.select("cut_1").scalar(), F.lit(""))  # no cut: every row is val
     roles = F.array_compact(
         F.array(
-            F.when(F.col("_rank") <= train_n, F.lit("train")),
-            F.when(F.col("_rank") > total - tail, F.lit("val")),
+            F.when(h <= cuts.select("cut_0").scalar(), F.lit("train")),
+            F.when(h > before_val, F.lit("val")),
         )
     )
-    return ranked.withColumn("role", F.explode(roles)).drop("_rank")
+    return df.withColumn("role", F.explode(roles))
 
 
 def cap_splits(
@@ -168,7 +172,7 @@ def few_shot_select(
     narrow = df.select(key, *by).withColumn("_hash", hash_key(key, seed))
     first = Window.partitionBy(*by).orderBy("_hash", key)
     picked = narrow.withColumn("_rn", F.row_number().over(first)).filter(F.col("_rn") <= k)
-    return df.join(picked.select(key), key, "left_semi")
+    return df.join(lookup_side(picked.select(key)), key, "left_semi")
 
 
 def bootstrap_set_count(candidates: int) -> int:

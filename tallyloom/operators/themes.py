@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed
 from ..functions.text import has_word
+from ..session import lookup_side
 from .ranks import id_rank
 from .splits import batch_slices
 
@@ -107,15 +108,23 @@ def assign_themes(
     batch_size: int = 5,
     descriptions: Mapping[str, str] | None = None,
     default: str = fixed.SERVICES[-1],
+    sub_rules: Rules | None = None,
 ) -> DataFrame:
-    """Map every pull request of every batch to one theme: ``batch_no, theme, theme_description, pr``."""
+    """Map every pull request of every batch to one theme: ``batch_no, theme, theme_description, pr``.
+
+    With ``sub_rules`` the subtheme is decided in the same scan and kept as ``subtheme``.
+    """
     about = F.concat(F.lit("Changes to "), F.col("theme"))
     for name, text in (descriptions or {}).items():
         about = F.when(F.col("theme") == name, F.lit(text)).otherwise(about)
-    # Themes are decided where the texts are read; only ids and names are shuffled.
-    narrow = prs.select("pr", rule_value(pr_text(), rules, default).alias("theme"))
+    # Decided where the texts are read: only ids and names are shuffled.
+    decided = {"theme": rule_value(pr_text(), rules, default)}
+    if sub_rules is not None:
+        decided["subtheme"] = rule_value(pr_text(), sub_rules, "General")
+    narrow = prs.select("pr", *[c.alias(n) for n, c in decided.items()])
+    extra = [n for n in decided if n != "theme"]
     return batch_slices(narrow, "pr", batch_size).select(
-        "batch_no", "theme", about.alias("theme_description"), "pr"
+        "batch_no", "theme", about.alias("theme_description"), "pr", *extra
     )
 
 
@@ -155,12 +164,16 @@ def merge_themes(existing: DataFrame, new: DataFrame) -> DataFrame:
     return merged_view(rows)
 
 
-def merged_view(rows: DataFrame) -> DataFrame:
-    """Merged themes from contributions with an ``origin`` order."""
+def merged_view(rows: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Merged themes from contributions with an ``origin`` order; ``keep`` adds member columns.
+
+    There is one name per theme, so the names are joined as a size-checked lookup: a theme that
+    owns a third of the members makes no large partition.
+    """
     keyed = rows.withColumn("theme_key", F.coalesce(theme_key(F.col("theme")), F.lit("")))
-    members = keyed.select("theme_key", "pr").distinct()
-    return members.join(theme_names(keyed), "theme_key").select(
-        "theme_key", "theme", "theme_description", "pr"
+    members = keyed.select("theme_key", "pr", *keep).distinct()
+    return members.join(lookup_side(theme_names(keyed)), "theme_key").select(
+        "theme_key", "theme", "theme_description", "pr", *keep
     )
 
 

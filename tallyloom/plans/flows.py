@@ -28,10 +28,7 @@ from ..operators.themes import (
     categorize,
     customer_facing,
     merged_view,
-    pr_text,
     render_changelog,
-    rule_value,
-    theme_details,
 )
 from ..session import settle
 
@@ -103,9 +100,7 @@ def changelog(
 ) -> DataFrame:
     """Pull requests of one month to changelog blocks."""
     visible = customer_facing(categorize(prs)).drop("category", "service") if internal_hidden else prs
-    mapping = assign_themes(visible, rules, batch_size)
-    merged = merged_view(mapping.withColumn("origin", F.col("batch_no")))
-    named = visible.select("pr", rule_value(pr_text(), sub_rules or {}, "General").alias("subtheme"))
-    # Ids and names only; settled once because titles and id lists both read it.
-    themed = settle(theme_details(merged, named).select("theme", "theme_description", "subtheme", "pr"))
-    return render_changelog(themed, month, year)
+    # Ids and names only, settled once: the texts are scanned a single time.
+    mapping = settle(assign_themes(visible, rules, batch_size, sub_rules=sub_rules or {}))
+    merged = settle(merged_view(mapping.withColumn("origin", F.col("batch_no")), ["subtheme"]))
+    return render_changelog(merged, month, year)

@@ -32,7 +32,11 @@ def shared_dir(spark: SparkSession) -> str:
     context = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
     if not named:
-        named = context.getCheckpointDir() or tempfile.mkdtemp(prefix="tallyloom-")
+        named = context.getCheckpointDir()
+    if not named:
+        if not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
+        named = tempfile.mkdtemp(prefix="tallyloom-")
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(named)
     return named

@@ -48,6 +48,12 @@ def test_runs_are_evaluated_together(rows):
     assert got == {"a": 0.88, "b": 0.8}
 
 
+def test_rules_agree_with_repeated_rows(rows):
+    df = rows(cells(4, 3, 2, 1), SCORED)
+    many = metrics.confusion_of_rules(df, F.col("y_true"), {"same": F.col("y_pred"), "not": ~F.col("y_pred")})
+    assert collected(many, "run_id") == [("not", 1, 2, 3, 4), ("same", 4, 3, 2, 1)]
+
+
 PREDS = ["none", "mild", "severe", "none", "mild"]
 ACTUALS = ["none", "mild", "mild", "none", "severe"]
 
