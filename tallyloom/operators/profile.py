@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.ratios import pct_round, safe_ratio
 from ..functions.text import snippet
+from ..session import settle
 
 
 def _stack(tables: Sequence[DataFrame]) -> DataFrame:
@@ -114,7 +115,7 @@ def shared_text_annotations(configs: dict[str, DataFrame], shown: dict[str, Sequ
     """All rows of one text that every configuration has (the smallest digest): ``config, row``."""
     presence = _text_presence(configs, text)
     every = reduce(lambda x, y: x & y, [F.col(f"in_{n}") for n in configs])
-    sample = presence.filter(every).agg(F.min("text_key").alias("k")).scalar()
+    sample = settle(presence.filter(every).agg(F.min("text_key").alias("k"))).scalar()
     parts = [
         df.filter(F.sha2(F.col(text), 256) == sample).select(
             F.lit(name).alias("config"), F.to_json(F.struct(*shown[name])).alias("row")

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import lookup_side
+from ..session import lookup_side, settle
 from .joins import null_safe_join
 from .ranks import hash_cuts, hash_key, id_rank
 
@@ -60,7 +60,7 @@ def split_plain(
         train = _rounded(total, ratios[0])
         return [train, train + _rounded(total, ratios[1])]
 
-    cuts = hash_cuts(df, key, seed, [], sizes)
+    cuts = settle(hash_cuts(df, key, seed, [], sizes))
     h = hash_key(key, seed)
     return df.withColumn(
         "split", _name_split(h, cuts.select("cut_0").scalar(), cuts.select("cut_1").scalar())
@@ -71,7 +71,7 @@ def split_tiny(
     df: DataFrame, key: str, ratios: Sequence[float] = RATIOS, seed: int | str = 42
 ) -> DataFrame:
     """``split_plain``, except that up to three rows give the last row to val and the rest to train."""
-    whole = df.agg(F.count(F.lit(1)).alias("n"), F.max(key).alias("last"))
+    whole = settle(df.agg(F.count(F.lit(1)).alias("n"), F.max(key).alias("last")))
     tiny = whole.select(F.col("n") <= 3).scalar()
     small = F.when(F.col(key) == whole.select("last").scalar(), "val").otherwise("train")
     plain = split_plain(df, key, ratios, seed)
@@ -117,7 +117,7 @@ def train_val_edges(
         tail = F.greatest(F.lit(val_min).cast("long"), total - F.lit(train_n))
         return [F.least(total, F.lit(train_n).cast("long")), total - tail]
 
-    cuts, h = hash_cuts(df, key, seed, [], edges), hash_key(key, seed)
+    cuts, h = settle(hash_cuts(df, key, seed, [], edges)), hash_key(key, seed)
     before_val = F.coalesce(cuts.select("cut_1").scalar(), F.lit(""))  # no cut: every row is val
     roles = F.array_compact(
         F.array(

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.compare import improvement, rank_runs, recommend, run_delta
+from ..operators.compare import cost_efficiency, improvement, rank_runs, recommend, run_delta
 from ..operators.corpus import classification_examples, unify_corpus
 from ..operators.costs import (
     calls_with_usage,
@@ -19,7 +19,13 @@ from ..operators.costs import (
     phase_join,
 )
 from ..operators.metrics import add_grades, add_safety, classification_metrics, pipeline_scorecard
-from ..operators.reports import comparison_lines, recommendation_lines
+from ..operators.reports import (
+    comparison_lines,
+    finding_lines,
+    metric_table,
+    recommendation_lines,
+    title_lines,
+)
 from ..operators.splits import split_stratified
 from ..operators.themes import (
     SERVICE_RULES,
@@ -72,9 +78,25 @@ def experiment(scored: DataFrame, base: str, candidate: str, names: Sequence[str
     }
 
 
-def approach_report(metrics: DataFrame, staged: str, direct: str, optimized: str | None = None) -> DataFrame:
-    """Numbered recommendation lines for a run table."""
-    return recommendation_lines(recommend(metrics, staged, direct, optimized))
+def approach_report(
+    metrics: DataFrame,
+    staged: str,
+    direct: str,
+    optimized: str | None = None,
+    title: str = "Pipeline Comparison",
+    facts: Mapping[str, str] | None = None,
+) -> DataFrame:
+    """Report lines of a run table: title, result table, findings, numbered recommendations."""
+    runs = settle(metrics)  # one row per run, read by every section
+    parts = [
+        metric_table(runs, 1),
+        finding_lines(cost_efficiency(runs, staged, direct, optimized), 2),
+        recommendation_lines(recommend(runs, staged, direct, optimized), 3),
+    ]
+    lines = title_lines(metrics.sparkSession, title, facts or {})
+    for part in parts:
+        lines = lines.unionByName(part)
+    return lines
 
 
 def cost_report(interactions: DataFrame, whole_path: bool = True) -> dict[str, DataFrame]:

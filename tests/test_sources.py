@@ -116,6 +116,18 @@ def test_text_report(spark, rows, tmp_path):
     ]
 
 
+def test_approach_report(rows):
+    from tallyloom.plans import flows
+
+    runs = rows(
+        [("staged", 0.8421, 3.0, 0.01125, 75, 0), ("direct", 0.7619, 1.0, 0.00375, 25, 0)],
+        "run_id string, f1 double, api_calls_per_prediction double, estimated_cost_usd double, total_api_calls long, processing_errors long",
+    )
+    lines = [r["line"] for r in flows.approach_report(runs, "staged", "direct").orderBy("section", "line_no").collect()]
+    assert lines[0] == "# Pipeline Comparison"
+    assert lines[-1] == "- **Cost Efficiency**: Direct pipeline uses 3.0x fewer API calls, saving 67% in costs"
+
+
 def test_registry(spark, tmp_path):
     path = str(tmp_path / "runs")
     for score in (0.80, 0.87):
