@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fixed
-from ..functions.text import has_word
+from ..functions.text import word_hits
 from ..session import lookup_side
 from .ranks import id_rank
 from .splits import batch_slices
@@ -48,11 +48,20 @@ GENERIC_WORDS = (
 )
 
 
-def rule_value(text: Column, rules: Rules, default: str | None) -> Column:
-    """Name of the first rule with a word in the text."""
+def rule_words(text: Column, *rule_sets: Rules) -> Column:
+    """Distinct rule words found in a text: one scan, however many rules there are."""
+    words = sorted({w.lower() for rules in rule_sets for listed in rules.values() for w in listed})
+    if not words:
+        return F.array().cast("array<string>")
+    return F.array_distinct(F.transform(word_hits(text, words), F.lower))
+
+
+def rule_value(found: Column, rules: Rules, default: str | None) -> Column:
+    """Name of the first rule with a word among the found ones."""
     chosen = F.lit(default).cast("string")
     for name, words in reversed(list(rules.items())):
-        chosen = F.when(has_word(text, words), F.lit(name)).otherwise(chosen)
+        listed = F.array(*[F.lit(w.lower()) for w in words])
+        chosen = F.when(F.arrays_overlap(found, listed), F.lit(name)).otherwise(chosen)
     return chosen
 
 
@@ -62,12 +71,16 @@ def pr_text(title: str = "title", description: str = "description", summary: str
 
 def categorize(prs: DataFrame, services: Rules = SERVICE_RULES, categories: Rules = CATEGORY_RULES) -> DataFrame:
     """Add ``category`` and ``service`` from ordered word rules: a row-wise scan, no shuffle."""
-    text = pr_text()
-    return prs.withColumns(
-        {
-            "category": rule_value(text, categories, fixed.CATEGORIES[0]),
-            "service": rule_value(text, services, fixed.SERVICES[-1]),
-        }
+    found = F.col("_found")
+    return (
+        prs.withColumn("_found", rule_words(pr_text(), services, categories))
+        .withColumns(
+            {
+                "category": rule_value(found, categories, fixed.CATEGORIES[0]),
+                "service": rule_value(found, services, fixed.SERVICES[-1]),
+            }
+        )
+        .drop("_found")
     )
 
 
@@ -85,18 +98,17 @@ def id_slices(df: DataFrame, by: Sequence[str], pr: str = "pr", size: int = 1000
     return ranked.groupBy(*by, part.alias("part")).agg(F.sort_array(F.collect_list(pr)).alias("pr_ids"))
 
 
-def feature_key(text: Column, vocabulary: Sequence[str]) -> Column:
-    """First vocabulary word, in vocabulary order, that the text contains."""
-    return rule_value(text, {w: (w,) for w in vocabulary}, None)
-
-
 def group_features(categorized: DataFrame, vocabulary: Sequence[str], size: int = 1000) -> DataFrame:
     """Related pull requests of a service as id lists with a rationale.
 
-    A pull request without a vocabulary word forms a group of its own.
+    The feature of a pull request is the first vocabulary word, in vocabulary order, in its text;
+    one without such a word forms a group of its own.
     """
-    key = F.coalesce(feature_key(pr_text(), vocabulary), F.concat(F.lit("pr "), F.col("pr").cast("string")))
-    groups = id_slices(categorized.withColumn("feature", key), ["service", "feature"], size=size)
+    topics = {w: (w,) for w in vocabulary}
+    alone = F.concat(F.lit("pr "), F.col("pr").cast("string"))
+    narrow = categorized.select("service", "pr", rule_words(pr_text(), topics).alias("_found"))
+    key = F.coalesce(rule_value(F.col("_found"), topics, None), alone)
+    groups = id_slices(narrow.withColumn("feature", key), ["service", "feature"], size=size)
     return groups.withColumn(
         "rationale", F.concat(F.lit("shared topic: "), F.col("feature"), F.lit(" in "), F.col("service"))
     )
@@ -118,10 +130,12 @@ def assign_themes(
     for name, text in (descriptions or {}).items():
         about = F.when(F.col("theme") == name, F.lit(text)).otherwise(about)
     # Decided where the texts are read: only ids and names are shuffled.
-    decided = {"theme": rule_value(pr_text(), rules, default)}
+    found = F.col("_found")
+    decided = {"theme": rule_value(found, rules, default)}
     if sub_rules is not None:
-        decided["subtheme"] = rule_value(pr_text(), sub_rules, "General")
-    narrow = prs.select("pr", *[c.alias(n) for n, c in decided.items()])
+        decided["subtheme"] = rule_value(found, sub_rules, "General")
+    scanned = prs.select("pr", rule_words(pr_text(), rules, sub_rules or {}).alias("_found"))
+    narrow = scanned.select("pr", *[c.alias(n) for n, c in decided.items()])
     extra = [n for n in decided if n != "theme"]
     return batch_slices(narrow, "pr", batch_size).select(
         "batch_no", "theme", about.alias("theme_description"), "pr", *extra
@@ -184,7 +198,8 @@ def theme_details(members: DataFrame, prs: DataFrame) -> DataFrame:
 
 def subthemes(details: DataFrame, rules: Rules, default: str = "General") -> DataFrame:
     """Add a subtheme to every themed pull request; every theme gets at least one."""
-    return details.withColumn("subtheme", rule_value(pr_text(), rules, default))
+    scanned = details.withColumn("_found", rule_words(pr_text(), rules))
+    return scanned.withColumn("subtheme", rule_value(F.col("_found"), rules, default)).drop("_found")
 
 
 def render_changelog(
