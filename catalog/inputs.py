@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tallyloom.functions import status, text, units
-from tallyloom.operators import corpus, predict, profile, reports
+from tallyloom.operators import corpus, profile, reports
 from tallyloom.plans import flows
 from tallyloom.sources import readers, writers
 
-from .base import LINES_SQL, RUNS_SQL, pct_sql, query, scored_lines, table, tidy, word_count_sql
+from .base import LINES_SQL, RUNS_SQL, pct_sql, query, scored_lines, table, tidy
 from .evaluation import PERFORMANCE_SQL, run_table
 
 LINE_ORDER = "l_linenumber, l_partkey, l_suppkey"

@@ -9,7 +9,7 @@ from tallyloom.functions.text import extract_medications, extract_symptoms, has_
 from tallyloom.operators import predict
 from tallyloom.operators.joins import replay_responses
 
-from .base import pct_sql, query, table, tidy, word_count_sql
+from .base import query, table, tidy, word_count_sql
 from .inputs import MEDS, MEDS_SQL, SYMS, SYMS_SQL
 
 PERCENT = "(event_id % 130)"

@@ -9,7 +9,7 @@ from tallyloom.plans import flows
 from tallyloom.session import scratch_path
 from tallyloom.streaming import folds
 
-from .base import query, table, tidy
+from .base import query, table
 
 
 def part_requests(spark, sf):

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -57,15 +55,6 @@ def format_prediction(
     )
 
 
-def clean_list(values: Column, is_array: bool) -> Column:
-    """Array without nulls as strings; a scalar becomes a one-element array; null becomes []."""
-    if is_array:
-        kept = F.transform(F.filter(values, lambda v: v.isNotNull()), lambda v: v.cast("string"))
-    else:
-        kept = F.when(values.isNotNull(), F.array(values.cast("string")))
-    return F.coalesce(kept, F.array().cast("array<string>"))
-
-
 def outcome_label(y_true: Column, y_pred: Column) -> Column:
     """TP / FP / TN / FN of one row; a missing side counts as negative."""
     truth = F.coalesce(y_true, F.lit(False))
@@ -73,13 +62,3 @@ def outcome_label(y_true: Column, y_pred: Column) -> Column:
     return (
         F.when(truth & guess, "TP").when(guess, "FP").when(truth, "FN").otherwise("TN")
     )
-
-
-def domain_violation(value: Column, allowed: Sequence[str]) -> Column:
-    """True when a present value lies outside the allowed set."""
-    return value.isNotNull() & ~value.isin(*allowed)
-
-
-def range_violation(value: Column, low: float, high: float) -> Column:
-    """True when a present value lies outside [low, high]."""
-    return value.isNotNull() & ~value.between(low, high)

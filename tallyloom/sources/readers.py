@@ -25,15 +25,6 @@ INTERACTION_SCHEMA = (
 PULL_REQUEST_SCHEMA = "pr bigint, title string, description string, ellipsis_summary string"
 
 
-def file_row_id() -> Column:
-    """Unique 64-bit row id from the file and the row position, in file order.
-
-    The upper bits hold a digest of the file path, the lower 40 the row index.
-    """
-    file_part = F.shiftleft(F.pmod(F.xxhash64(F.col("_metadata.file_path")), F.lit(1 << 22)), 40)
-    return (file_part + F.col("_metadata.row_index")).cast("long")
-
-
 def read_corpus(
     spark: SparkSession, paths: Mapping[str, str], schemas: Mapping[str, str | None] = CORPUS_SCHEMAS
 ) -> dict[str, DataFrame]:
