@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, packing, simhash
+from . import mixing, packing, repeats, simhash
 from .staging import stage, word_count
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -86,3 +86,8 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_packing")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+@query("op8_suffix_dedup")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.without_repeats(table(spark, sf_dir, "documents"), keep=["doc_id"], cut_text=False)
