@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, packing, repeats, simhash
+from . import mixing, ordinal, packing, repeats, simhash, toxicity
 from .staging import stage, word_count
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -91,3 +91,21 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_suffix_dedup")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.without_repeats(table(spark, sf_dir, "documents"), keep=["doc_id"], cut_text=False)
+
+
+def quality_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> ordinal.Model:
+    """Grades of ``labels``: 0 low quality, 1 good but toxic, 2 good."""
+    rating = F.when(F.col("quality") == 0, 0).when(F.col("quality").isNotNull(), F.when(F.col("toxic") == 1, 1).otherwise(2))
+    return ordinal.train(docs, table(spark, sf_dir, "labels"), rating)
+
+
+@query("op2_quality")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    graded = ordinal.grade(docs, quality_model(spark, docs, sf_dir), keep=["doc_id"])
+    return graded.withColumn("kept", F.col("tail_probability") >= 0.5)
+
+
+@query("op9_toxicity")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
