@@ -1,7 +1,7 @@
 """Toxicity: a counterfactual-regularised linear classifier over hashed words and word beginnings.
 
 A document is the set of its lower-cased words without surrounding punctuation; each word gives a slot for
-itself and one for each of its beginnings of 4 and 5 characters, so invented endings still match. The model
+itself and one for each of its beginnings of 3 to 7 characters, so invented endings still match. The model
 is a logistic regression with an L1 penalty and a counterfactual penalty: in every labelled text that names
 a group, the group's words are swapped for another group's, and the squared difference of the two scores is
 added to the loss. Naming a group then moves the score little whichever labels the groups happened to have.
@@ -28,8 +28,9 @@ from .sparse import Memo, Rows, sample_of_labels, slot
 
 WIDTH = 1 << 18
 PER_LABEL = 2000
-STEPS = 150
-SPARSITY = 3e-4
+STEPS = 200
+BEGINNINGS = (3, 4, 5, 6, 7)
+SPARSITY = 1e-4
 FAIRNESS = 1.0
 PUNCTUATION = ".,;:!?\"'()[]{}<>*#$%&|-_/\\"
 
@@ -55,7 +56,7 @@ def word_slots(word: str) -> list[int]:
     word = bare(word)
     if not word:
         return []
-    tokens = [f"w {word}"] + [f"b {word[:k]}" for k in (4, 5) if len(word) >= k]
+    tokens = [f"w {word}"] + [f"b {word[:k]}" for k in BEGINNINGS if len(word) >= k]
     return [slot(t, WIDTH) for t in tokens]
 
 
