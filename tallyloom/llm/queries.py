@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, ordinal, packing, repeats, simhash, toxicity
+from . import mixing, ordinal, packing, repeats, simhash, toxicity, weakrules
 from .staging import stage, word_count
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -109,3 +109,11 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_toxicity")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op7_weak_rules")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = weakrules.judged(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "good_probability"
+    )
