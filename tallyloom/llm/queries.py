@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, ordinal, packing, repeats, simhash, toxicity, weakrules
+from . import mixing, ordinal, packing, prefixhash, repeats, simhash, toxicity, weakrules
 from .staging import stage, word_count
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -117,3 +117,8 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "good_probability"
     )
+
+
+@query("op4_fingerprints")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefixhash.fingerprints(table(spark, sf_dir, "documents"))
