@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, ordinal, packing, prefixhash, repeats, simhash, toxicity, weakrules
+from . import chat, mixing, ordinal, packing, prefixhash, repeats, simhash, toxicity, weakrules
 from .staging import stage, word_count
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -122,3 +122,11 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_fingerprints")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefixhash.fingerprints(table(spark, sf_dir, "documents"))
+
+
+@query("op5_chat")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = "</s>[INST] ok [/INST]"
+    more = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, chat.ASSISTANT, said)], "conv_id long, turn long, role string, text string")
+    return chat.digests(chat.formatted(turns.union(more)))
