@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, mixing, ordinal, packing, prefixhash, repeats, simhash, toxicity, weakrules
+from . import chat, licences, mixing, ordinal, packing, prefixhash, repeats, simhash, toxicity, weakrules
 from .staging import stage, word_count
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -130,3 +130,9 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = "</s>[INST] ok [/INST]"
     more = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, chat.ASSISTANT, said)], "conv_id long, turn long, role string, text string")
     return chat.digests(chat.formatted(turns.union(more)))
+
+
+@query("op3_licences")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return licences.scan(docs, licences.train(docs))
