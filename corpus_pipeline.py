@@ -7,16 +7,36 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import mixing, packing, simhash
-from tallyloom.llm.queries import tokenizer_path
+from tallyloom.llm import mixing, ordinal, packing, repeats, simhash
+from tallyloom.llm.queries import quality_model, tokenizer_path
 from tallyloom.llm.staging import stage, word_count
 
 
+#: Least probability of being above the lowest grade.
+QUALITY = 0.5
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier, fitted on the rated ones, does not put into the lowest grade."""
+    graded = ordinal.grade(docs, quality_model(spark, docs, sf_dir))
+    return graded.where(F.col("tail_probability") >= QUALITY).select(*docs.columns)
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: the one whose key is the component's."""
+    """One document of each group of near copies: the one whose key is the component's.
+
+    Of rows with that key and one text, one stays; rows without key stay if their group has no key.
+    """
     found = simhash.near_duplicates(docs)
     kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi")
+    chosen = docs.join(kept, docs["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi")
+    return chosen.withColumn("_text", F.xxhash64("text")).dropDuplicates(["doc_id", "_text"]).drop("_text")
+
+
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the passages that also start earlier; ``n_chars`` is counted anew."""
+    cut = repeats.without_repeats(docs)
+    return cut.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,12 +51,14 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality", quality),
     ("near_duplicates", near_duplicates),
+    ("repeated_passages", repeated_passages),
     ("mixture", mixture),
     ("packing", packed),
 ]
 
-#: The classifier, SHA-like digests and token ids are beyond SQL; tests compare the stages with brute force.
+#: Fitted weights, suffix arrays and token ids are beyond SQL; tests compare each stage with brute force.
 ORACLE_SQL: str | None = None
 
 
