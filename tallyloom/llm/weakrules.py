@@ -30,7 +30,7 @@ from .staging import stage
 WINDOW = 8
 ROUNDS = 60
 KEEP = 0.5
-PRIOR = 0.8
+PRIOR, ACCURACY = 0.8, 0.9  # where EM starts
 BOUNDS = (0.55, 0.99)
 
 COUNTS = (
@@ -137,13 +137,13 @@ def fit(patterns: np.ndarray, counts: np.ndarray) -> tuple[float, np.ndarray]:
     A vote is right with the rule's accuracy, independently of the others given the truth; abstaining says
     nothing. Rules are taken to be better than chance, which settles which class is the good one.
     """
-    accuracy, prior = np.full(patterns.shape[1], PRIOR), PRIOR
+    accuracy, prior = np.full(patterns.shape[1], ACCURACY), PRIOR
     spoken = (patterns != 0) * counts[:, None]
     for _ in range(ROUNDS if len(counts) else 0):
         good = posterior(patterns, prior, accuracy)[:, None]
         prior = float(np.clip((good[:, 0] * counts).sum() / counts.sum(), 0.05, 0.95))
         right = np.where(patterns > 0, good, 1 - good) * spoken
-        accuracy = np.clip((right.sum(axis=0) + PRIOR) / (spoken.sum(axis=0) + 1), *BOUNDS)
+        accuracy = np.clip((right.sum(axis=0) + ACCURACY) / (spoken.sum(axis=0) + 1), *BOUNDS)
     return prior, accuracy
 
 
