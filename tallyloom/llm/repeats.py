@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .staging import drop_staged, stage
+from .staging import drop_staged, spare, stage
 from .suffixes import common_prefixes, suffix_array
 
 LENGTH = 100
@@ -206,11 +206,15 @@ def shard_spans(parts: list[tuple], length: int) -> list[tuple]:
     earliest = np.repeat(np.minimum.reduceat(at, edge), np.diff(np.append(edge, len(at))))
     repeats = np.sort(at[at > earliest])
     of = np.searchsorted(begins, repeats, side="right") - 1
+    # Runs of repeats within one piece that touch are one span.
+    cut = np.append(True, (of[1:] != of[:-1]) | (repeats[1:] > repeats[:-1] + length))[: len(repeats)]
+    first = np.flatnonzero(cut)
+    last = np.append(first[1:], len(repeats)) - 1
     out = []
-    for piece in np.unique(of):
-        key, tie, start, _ = parts[piece]
-        here = repeats[of == piece] - begins[piece] + start
-        out += [(key, tie, int(a), int(b)) for a, b in zip(*_joined(here, here + length))]
+    for a, b in zip(first.tolist(), last.tolist()):
+        key, tie, start, _ = parts[of[a]]
+        shift = start - int(begins[of[a]])
+        out.append((key, tie, int(repeats[a]) + shift, int(repeats[b]) + shift + length))
     return out
 
 
@@ -270,12 +274,12 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", len
     return out
 
 
-def _cut(names: list[str], text: str, cut_text: bool):
+def _cut(names: list[str], text: str, spans_name: str, cut_text: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at = {n: i for i, n in enumerate(batch.schema.names)}
             texts, sizes, removed, runs, digests = [], [], [], [], []
-            spans = batch.column(at["_spans"])
+            spans = batch.column(at[spans_name])
             for i, value in enumerate(batch.column(at[text])):
                 raw = (value.as_py() or "").encode("utf-8", "surrogatepass")
                 kept, n, lost = raw, 0, 0
@@ -306,10 +310,11 @@ def without_repeats(
     """
     added = ["n_bytes", "n_removed", "n_spans", "kept_sha256"]
     names = [c for c in (keep or docs.columns) if c not in added]
-    found = repeated_spans(docs, key, text, length).withColumnsRenamed({"doc_id": "_id", "tie": "_tie", "spans": "_spans"})
-    same = F.col(key).cast("long").eqNullSafe(F.col("_id")) & (F.hash(text) == F.col("_tie"))
-    joined = docs.select(*dict.fromkeys([*names, text])).join(found, same, "left").drop("_id", "_tie")
+    own_id, own_tie, spans = spare(docs, "_id", "_tie", "_spans")
+    found = repeated_spans(docs, key, text, length).toDF(own_id, own_tie, spans)
+    same = F.col(key).cast("long").eqNullSafe(F.col(own_id)) & (F.hash(text) == F.col(own_tie))
+    joined = docs.select(*dict.fromkeys([*names, key, text])).join(found, same, "left").select(*dict.fromkeys([*names, text]), spans)
     schema = T.StructType([docs.schema[c] for c in names])
     for c in added[:3]:
         schema = schema.add(c, "long")
-    return joined.mapInArrow(_cut(names, text, cut_text), schema.add(added[3], "string"))
+    return joined.mapInArrow(_cut(names, text, spans, cut_text), schema.add(added[3], "string"))

@@ -22,36 +22,116 @@ def _is_smaller(codes: np.ndarray) -> np.ndarray:
     return np.append(np.append(step, -1)[at] > 0, False)
 
 
-def _induce(codes: list[int], smaller: list[bool], starts: np.ndarray, seeds: list[int]) -> list[int]:
-    """Order of all suffixes (or of their first LMS substrings) induced from the order of the LMS ``seeds``."""
-    n = len(codes)
+def _induce(codes: np.ndarray, smaller: np.ndarray, starts: np.ndarray, seeds: np.ndarray) -> np.ndarray:
+    """Order of all suffixes induced from the order of the LMS suffixes ``seeds``, one suffix after the other."""
+    n, values, types = len(codes), codes.tolist(), smaller.tolist()
     order = [-1] * n
     tails = starts[1:].tolist()
-    for i in reversed(seeds):
-        c = codes[i]
+    for i in reversed(seeds.tolist()):
+        c = values[i]
         tails[c] -= 1
         order[tails[c]] = i
     heads = starts[:-1].tolist()
-    if n:  # the suffix before the end is larger than the end
-        c = codes[n - 1]
-        order[heads[c]] = n - 1
-        heads[c] += 1
+    c = values[n - 1]  # the last suffix is larger than the end
+    order[heads[c]] = n - 1
+    heads[c] += 1
     for at in range(n):
         i = order[at] - 1
-        if i >= 0 and not smaller[i]:
-            c = codes[i]
+        if i >= 0 and not types[i]:
+            c = values[i]
             order[heads[c]] = i
             heads[c] += 1
     tails = starts[1:].tolist()
     for at in range(n - 1, -1, -1):
         i = order[at] - 1
-        if i >= 0 and smaller[i]:
-            c = codes[i]
+        if i >= 0 and types[i]:
+            c = values[i]
             tails[c] -= 1
             order[tails[c]] = i
+    return np.array(order, dtype=np.int64)
+
+
+def _append(order: np.ndarray, edge: np.ndarray, codes: np.ndarray, new: np.ndarray, step: int) -> None:
+    """Put suffixes ``new`` into their buckets in the order given, from ``edge`` on in direction ``step``."""
+    c = codes[new]
+    by = np.argsort(c, kind="stable")
+    c = c[by]
+    first = np.flatnonzero(np.append(True, c[1:] != c[:-1]))
+    sizes = np.diff(np.append(first, len(c)))
+    within = np.arange(len(c)) - np.repeat(first, sizes)
+    order[edge[c] + step * within] = new[by]
+    edge[c[first]] += step * sizes
+
+
+def _induce_buckets(codes: np.ndarray, smaller: np.ndarray, starts: np.ndarray, seeds: np.ndarray) -> np.ndarray:
+    """As ``_induce``, a whole bucket at a time: for texts over few codes."""
+    n, used = len(codes), np.flatnonzero(np.diff(starts))
+    order = np.full(n, -1, dtype=np.int64)
+    ends = starts[1:] - 1
+    tails = ends.copy()
+    if len(seeds):
+        _append(order, tails, codes, seeds[::-1], -1)
+    heads = starts[:-1].copy()
+    _append(order, heads, codes, np.array([n - 1]), 1)
+
+    def before(at: np.ndarray, small: bool) -> np.ndarray:
+        at = at[at > 0] - 1
+        return at[smaller[at] == small]
+
+    for c in used:
+        at = starts[c]
+        while at < heads[c]:  # larger suffixes of the bucket; they may add to it
+            at, done = heads[c], at
+            if len(new := before(order[done:at], False)):
+                _append(order, heads, codes, new, 1)
+        if len(new := before(order[tails[c] + 1 : ends[c] + 1], False)):
+            _append(order, heads, codes, new, 1)
+    tails = ends.copy()
+    for c in used[::-1]:
+        at = ends[c]
+        while at > tails[c]:
+            at, done = tails[c], at
+            if len(new := before(order[at + 1 : done + 1][::-1], True)):
+                _append(order, tails, codes, new, -1)
+        if len(new := before(order[starts[c] : heads[c]][::-1], True)):
+            _append(order, tails, codes, new, -1)
     return order
 
 
+def _names(codes: np.ndarray, smaller: np.ndarray, lms: np.ndarray, size: int) -> np.ndarray:
+    """Ranks of the LMS substrings, equal ones alike. They compare by code, then type, position by position.
+
+    As many positions as fit go into one integer; substrings that are longer and still tied go on with the next.
+    """
+    n, bits = len(codes), (2 * size + 1).bit_length()
+    each = 62 // bits
+    symbol = np.append(2 * codes.astype(np.int64) + smaller + 1, np.zeros(1, dtype=np.int64))  # 0: the end
+    length = np.append(lms[1:] + 1, n + 1) - lms
+    rank, live, at = np.zeros(len(lms), dtype=np.int64), np.arange(len(lms)), 0
+    while len(live):
+        word = np.zeros(len(live), dtype=np.int64)
+        for k in range(at, at + each):
+            inside = k < length[live]
+            word = (word << bits) | np.where(inside, symbol[np.minimum(lms[live] + k, n)], 0)
+        # Ranks are places, so that a group of ties can be parted within the places it takes.
+        by = np.lexsort((word, rank[live]))
+        r, w = rank[live][by], word[by]
+        new_group, new = np.append(True, r[1:] != r[:-1]), np.append(True, (r[1:] != r[:-1]) | (w[1:] != w[:-1]))
+        place = np.arange(len(live))
+        group_at = np.maximum.accumulate(np.where(new_group, place, 0))
+        tie_at = np.maximum.accumulate(np.where(new, place, 0))
+        rank[live[by]] = r + tie_at - group_at
+        at += each
+        tied = np.append(~new[1:], False) | ~new
+        live = live[by[tied]]
+        live = live[length[live] > at]
+    return np.unique(rank, return_inverse=True)[1]
+
+
+#: Up to so many codes, whole buckets are induced at a time.
+FEW_CODES = 1024
+
+
 def suffix_array(codes: np.ndarray, size: int = 256) -> np.ndarray:
     """Starts of the suffixes of ``codes`` (values below ``size``) in ascending order."""
     n = len(codes)
@@ -59,36 +139,12 @@ def suffix_array(codes: np.ndarray, size: int = 256) -> np.ndarray:
         return np.arange(n, dtype=np.int64)
     smaller = _is_smaller(codes)
     lms = np.flatnonzero(smaller[1:] & ~smaller[:-1]) + 1
-    starts, values, types = _buckets(codes, size), codes.tolist(), smaller.tolist()
     if len(lms) > 1:
-        # Sort the LMS substrings, name equal ones alike, and sort the names' suffixes recursively.
-        rough = np.array(_induce(values, types, starts, lms.tolist()), dtype=np.int64)
-        length = np.zeros(n, dtype=np.int64)
-        length[lms] = np.append(lms[1:] + 1, n + 1) - lms
-        ranked = rough[length[rough] > 0]
-        names = np.zeros(n, dtype=np.int64)
-        names[ranked] = np.cumsum(np.append(True, ~_same(codes, smaller, ranked, length))) - 1
-        reduced = names[lms]
+        reduced = _names(codes, smaller, lms, size)
         top = int(reduced.max()) + 1
-        inner = suffix_array(reduced, top) if top < len(lms) else np.argsort(reduced)
-        lms = lms[inner]
-    return np.array(_induce(values, types, starts, lms.tolist()), dtype=np.int64)
-
-
-def _same(codes: np.ndarray, smaller: np.ndarray, ranked: np.ndarray, length: np.ndarray) -> np.ndarray:
-    """Whether each LMS substring of ``ranked`` equals the one before it, codes and types."""
-    a, b, n = ranked[:-1], ranked[1:], len(codes)
-    same = length[a] == length[b]
-    live, at = np.flatnonzero(same), 0
-    while len(live):
-        x, y = a[live] + at, b[live] + at
-        inside = (x < n) & (y < n)
-        x, y = np.minimum(x, n - 1), np.minimum(y, n - 1)
-        equal = inside & (codes[x] == codes[y]) & (smaller[x] == smaller[y])
-        same[live[~equal]] = False
-        at += 1
-        live = live[equal & (length[a[live]] > at)]
-    return same
+        lms = lms[suffix_array(reduced, top) if top < len(lms) else np.argsort(reduced)]
+    induce = _induce_buckets if size <= FEW_CODES else _induce
+    return induce(codes, smaller, _buckets(codes, size), lms)
 
 
 def common_prefixes(data: np.ndarray, order: np.ndarray, most: int) -> np.ndarray:
