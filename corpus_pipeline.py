@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.llm import mixing, ordinal, packing, repeats, simhash
 from tallyloom.llm.queries import quality_model, tokenizer_path
-from tallyloom.llm.staging import stage, word_count
+from tallyloom.llm.staging import spare, stage, word_count
 
 
 #: Least probability of being above the lowest grade.
@@ -30,7 +30,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     found = simhash.near_duplicates(docs)
     kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
     chosen = docs.join(kept, docs["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi")
-    return chosen.withColumn("_text", F.xxhash64("text")).dropDuplicates(["doc_id", "_text"]).drop("_text")
+    (text,) = spare(docs, "_text")
+    return chosen.withColumn(text, F.xxhash64("text")).dropDuplicates(["doc_id", text]).drop(text)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,8 +42,9 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Whole and fractional repetitions of every document, as rows."""
-    sized = docs.withColumn("_size", word_count(F.col("text")))
-    return mixing.repeated(mixing.mix(sized, size="_size")).select(*docs.columns)
+    (size,) = spare(docs, "_size")
+    sized = docs.withColumn(size, word_count(F.col("text")))
+    return mixing.repeated(mixing.mix(sized, size=size)).select(*docs.columns)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
