@@ -85,6 +85,14 @@ class PrefixHash:
             halves.append(_mod(_mod(gap) * inverse.upto(self.n + 1)[start]))
         return (halves[0] << np.uint64(31)) | halves[1]
 
+    def windows(self, width: int) -> np.ndarray:
+        """Hashes of all spans of ``width``, in order."""
+        halves = []
+        for sums, inverse in zip(self.sums, INVERSES):
+            gap = sums[width:] + np.uint64(PRIME) - sums[: self.n - width + 1]
+            halves.append(_mod(_mod(gap) * inverse.upto(self.n - width + 1)))
+        return (halves[0] << np.uint64(31)) | halves[1]
+
     def equal(self, i: int, j: int, length: int, other: PrefixHash | None = None) -> bool:
         """Whether the spans of ``length`` from i here and from j in ``other`` (or here) are equal."""
         other = other or self
@@ -108,8 +116,7 @@ def sketch(codes: np.ndarray) -> np.ndarray:
     width = min(SPAN, len(codes))
     for at in range(0, len(codes) - width + 1, BLOCK):
         part = PrefixHash(codes[at : at + BLOCK + width - 1])
-        starts = np.arange(part.n - width + 1)
-        values = _mix(part.spans(starts, starts + width))
+        values = _mix(part.windows(width))
         if len(values) > 4 * SKETCH:
             bound = np.partition(values, 4 * SKETCH)[4 * SKETCH]
             few = np.unique(values[values <= bound])
@@ -134,10 +141,10 @@ def whole(codes: np.ndarray) -> int:
     return value
 
 
-def fingerprint(codes: np.ndarray) -> tuple[str, np.ndarray]:
-    """Fingerprint as text (16 hex digits of the whole, 8 of the beginning of each span hash) and its sketch."""
+def fingerprint(codes: np.ndarray) -> tuple[bytes, np.ndarray]:
+    """Fingerprint (8 bytes of the whole, the first 4 of each span hash) and its sketch."""
     smallest = sketch(codes)
-    return f"{whole(codes):016x}" + "".join(f"{int(x) >> 32:08x}" for x in smallest), smallest
+    return whole(codes).to_bytes(8, "big") + (smallest >> np.uint64(32)).astype(">u4").tobytes(), smallest
 
 
 def likeness(a: np.ndarray, b: np.ndarray) -> float:
@@ -149,7 +156,7 @@ def likeness(a: np.ndarray, b: np.ndarray) -> float:
 
 
 RESULT = (
-    "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
+    "doc_id long, n_chars long, edited_sha256 binary, fingerprint binary, edited_fingerprint binary, "
     "near_edited double, near_next double, common_prefix long"
 )
 ROW = RESULT + ", task long, edge string, text string"
@@ -177,7 +184,7 @@ def compared(doc: Print, after: Print) -> tuple:
     codes = points(text)
     name, smallest = fingerprint(codes)
     shared = _common(doc.codes, codes)
-    digest = hashlib.sha256(text.encode("utf-8", "surrogatepass")).hexdigest()
+    digest = hashlib.sha256(text.encode("utf-8", "surrogatepass")).digest()
     return (doc.key, len(doc.codes), digest, doc.name, name, likeness(doc.sketch, smallest), likeness(doc.sketch, after.sketch), shared)
 
 
@@ -192,7 +199,7 @@ def _common(a: np.ndarray, b: np.ndarray) -> int:
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64(), pa.int64(), pa.int64(), pa.string(), pa.string()]
+    kinds = [pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.float64(), pa.float64(), pa.int64(), pa.int64(), pa.string(), pa.string()]
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=NAMES)
 
 
@@ -225,7 +232,10 @@ def _bridge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The columns of ``RESULT`` for every row; ``common_prefix`` is what text and edited text begin with alike."""
+    """The columns of ``RESULT`` for every row, bytes as hex digits.
+
+    ``common_prefix`` is what text and edited text begin with alike.
+    """
     texts = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     order = [F.col("doc_id").asc_nulls_first(), F.hash("text")]
     dealt = texts.repartitionByRange(*order).sortWithinPartitions(*order)
@@ -237,4 +247,5 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     places = firsts.select("task", F.coalesce(F.lead("task").over(ordered), F.min("task").over(Window.partitionBy())).alias("next_task"))
     lasts = walked.where("edge = 'last'").select("task", "doc_id", "text").join(places, "task")
     pairs = lasts.join(firsts.withColumnRenamed("task", "next_task"), "next_task").select("doc_id", "text", "next_id", "next_text")
-    return done.union(pairs.mapInArrow(_bridge, RESULT))
+    shown = {c: F.lower(F.hex(c)) for c in ("edited_sha256", "fingerprint", "edited_fingerprint")}
+    return done.union(pairs.mapInArrow(_bridge, RESULT)).withColumns(shown)
