@@ -11,6 +11,7 @@ from tallyloom.functions.text import approx_tokens
 from tallyloom.operators import costs
 from tallyloom.plans import flows
 from tallyloom.session import scratch_path
+from tallyloom.sources import readers
 from tallyloom.streaming import folds
 
 from .base import query, table, tidy
@@ -60,10 +61,37 @@ FILES_SQL = f"""{CALLS_SQL}, files AS (SELECT cassette, sum(i)::BIGINT AS i, sum
     ((nano + 500) // 1000) AS micro, ((nano * 2 + requests * 1000) // (requests * 2000)) AS micro_each FROM files)"""
 
 
-@query("read_interactions", f"WITH {CALLS_SQL} SELECT cassette, idx, i AS input_tokens, o AS output_tokens, i + o AS total_tokens FROM calls")
+CALL_COLUMNS = ("cassette", "idx", "input_tokens", "output_tokens", "total_tokens")
+
+
+@query(
+    "read_interactions",
+    f"""WITH {CALLS_SQL}, c AS (SELECT cassette, idx, i AS input_tokens, o AS output_tokens, i + o AS total_tokens FROM calls)
+    SELECT 'yaml' AS form, * FROM c UNION ALL SELECT 'json lines', * FROM c""",
+)
 def read_interactions(spark, sf):
-    calls = costs.calls_with_usage(interactions(spark, sf))
-    return calls.select("cassette", "idx", "input_tokens", "output_tokens", "total_tokens")
+    """Recorded calls written and read back: a YAML file per conversation, and JSON lines."""
+    out = scratch_path(spark, "recorded")
+    rows = interactions(spark, sf)
+    rows.select("cassette", "idx", "method", "uri", "response_body").write.json(f"{out}/lines")
+    # JSON is YAML, so a file is one line; it lies in a folder named like its conversation.
+    call = F.struct(
+        F.struct("method", "uri").alias("request"), F.struct(F.struct(F.col("response_body").alias("string")).alias("body")).alias("response")
+    )
+    every = F.aggregate(
+        F.sort_array(F.collect_list(F.struct("idx", call.alias("c")))),
+        F.array().cast("array<struct<request:struct<method:string,uri:string>,response:struct<body:struct<string:string>>>>"),
+        # The number of a call is its place in the file.
+        lambda made, r: F.concat(made, F.array_repeat(F.lit(None), (r["idx"] - F.size(made)).cast("int")), F.array(r["c"])),
+    )
+    files = rows.groupBy("cassette").agg(every.alias("calls"))
+    files = files.select("cassette", F.to_json(F.struct(F.col("calls").alias("http_interactions")), {"ignoreNullFields": "false"}).alias("value"))
+    files.repartition(8, "cassette").write.partitionBy("cassette").text(f"{out}/files")
+    yaml = readers.read_interactions(spark, f"{out}/files", "*.txt")
+    folder = F.url_decode(F.regexp_extract("cassette", "^cassette=([^/]+)/", 1))
+    lines = readers.read_interactions_json(spark, f"{out}/lines")
+    named = yaml.withColumn("cassette", folder).select(F.lit("yaml").alias("form"), "*").unionByName(lines.select(F.lit("json lines").alias("form"), "*"))
+    return costs.calls_with_usage(named).select("form", *CALL_COLUMNS)
 
 
 @query(
@@ -145,20 +173,38 @@ def phase_join(spark, sf):
 
 @query(
     "phase_costs",
-    f"""WITH {PHASES_SQL} SELECT phase, micro / 1000000.0::DOUBLE AS total_cost, requests, n_files,
-      ((micro * 2 + requests) // (requests * 2)) / 1000000.0::DOUBLE AS cost_per_request FROM phases""",
+    f"""WITH {PHASES_SQL} SELECT name AS phase, coalesce(micro, 0) / 1000000.0::DOUBLE AS total_cost, coalesce(requests, 0) AS requests,
+      coalesce(n_files, 0) AS n_files, coalesce(((micro * 2 + requests) // (requests * 2)) / 1000000.0::DOUBLE, 0) AS cost_per_request
+    FROM (SELECT DISTINCT phase AS name FROM p) LEFT JOIN phases ON phase = name""",
 )
 def phase_costs(spark, sf):
     return tidy(flows.cost_report(interactions(spark, sf))["phases"])
 
 
+@query(
+    "phase_files",
+    f"WITH {PHASES_SQL} SELECT phase, cassette, max(requests) AS requests, max(micro) / 1000000.0::DOUBLE AS total_cost, count(*) AS n_matches FROM matched GROUP BY phase, cassette",
+)
+def phase_files(spark, sf):
+    return tidy(flows.cost_report(interactions(spark, sf))["phase_files"])
+
+
+@query(
+    "phase_total",
+    f"""WITH {PHASES_SQL}, t AS (SELECT sum(micro)::BIGINT AS m, sum(requests)::BIGINT AS requests, count(*) AS n_files FROM matched)
+    SELECT m / 1000000.0::DOUBLE AS total_cost, requests, n_files, ((m * 2 + requests) // (requests * 2)) / 1000000.0::DOUBLE AS cost_per_request FROM t""",
+)
+def phase_total(spark, sf):
+    return tidy(flows.cost_report(interactions(spark, sf))["phase_total"])
+
+
 @query(
     "cost_recommendations",
     f"""WITH {PHASES_SQL}, t AS (SELECT sum(micro)::BIGINT AS m, max(requests) FILTER (phase = 'reproducibility') AS r FROM phases),
     a AS (SELECT *, regexp_replace(((m + 50) // 100 // 10000) || '.' || lpad(((m + 50) // 100 % 10000)::VARCHAR, 4, '0'), '(\\.[0-9]+?)0+$', '\\1') AS shown FROM t)
-    SELECT 1::BIGINT AS rule_no, 'Consider using fewer examples during development (current cost: $' || shown || ')' AS line FROM a WHERE m > 100000
-    UNION ALL SELECT 3, 'Many reproducibility tests - consider reducing redundant API calls' FROM a WHERE r > 20
-    UNION ALL SELECT 4, 'Total development cost so far: $' || shown FROM a WHERE m > 0""",
+    SELECT 1::BIGINT AS rule_no, 'high spending ($' || shown || '): develop on a smaller sample' AS line FROM a WHERE m > 100000
+    UNION ALL SELECT 3, r || ' requests repeat earlier runs: record them once' FROM a WHERE r > 20
+    UNION ALL SELECT 4, 'spent in all: $' || shown FROM a WHERE m > 0""",
 )
 def cost_recommendations(spark, sf):
     return flows.cost_report(interactions(spark, sf))["recommendations"]
@@ -171,7 +217,7 @@ LEDGER_SQL = """e AS (SELECT *, (props->>'$.k')::BIGINT AS k FROM events)"""
     "usage_ledger",
     f"""WITH {LEDGER_SQL}, s AS (SELECT event_type, user_id % 2 AS epoch, sum(user_id)::BIGINT AS i, sum(k)::BIGINT AS o, count(*) AS n FROM e GROUP BY ALL)
     SELECT event_type, epoch, i AS input_total, o AS output_total, i + o AS token_total, n AS request_total,
-      round({NANO} / 1000000000.0::DOUBLE, 6) AS cost_total FROM s""",
+      {money(NANO)} AS cost_total FROM s""",
 )
 def usage_ledger(spark, sf):
     return tidy(costs.usage_ledger(ledger_calls(spark, sf), ["event_type", "epoch"]))
@@ -193,7 +239,7 @@ def ledger_calls(spark, sf):
     f"""WITH {LEDGER_SQL}, s AS (SELECT event_id, event_type, sum(user_id) OVER w AS i, sum(k) OVER w AS o, count(*) OVER w AS n FROM e
       WINDOW w AS (PARTITION BY event_type ORDER BY event_id))
     SELECT event_id, event_type, i::BIGINT AS input_total, o::BIGINT AS output_total, (i + o)::BIGINT AS token_total, n AS request_total,
-      round({NANO} / 1000000000.0::DOUBLE, 6) AS cost_total FROM s""",
+      {money(NANO)} AS cost_total FROM s""",
 )
 def usage_ledger_running(spark, sf):
     running = costs.usage_ledger(ledger_calls(spark, sf), ["event_type"], order="event_id")
@@ -204,8 +250,9 @@ def usage_ledger_running(spark, sf):
     )
 
 
-def token_events(df):
+def token_events(df, *more):
     return df.select(
+        *more,
         F.when(F.col("event_type") != "view", F.col("event_type")).alias("module"),
         F.get_json_object("props", "$.k").cast("long").alias("tokens_input"),
         F.when(F.col("user_id") % 3 > 0, F.col("user_id")).alias("tokens_output"),
@@ -223,10 +270,14 @@ def tokens_by_module(spark, sf):
 
 @query("stream_token_usage", MODULES_SQL)
 def stream_token_usage(spark, sf):
-    schema = table(spark, sf, "events").schema
-    stream = spark.readStream.schema(schema).parquet(f"{sf}/events.parquet*")
+    """Events arrive in four files, and a tenth of them a second time."""
     out = scratch_path(spark, "token-usage")
-    folds.stream_token_usage(token_events(stream), f"{out}/table", f"{out}/checkpoint").awaitTermination()
+    events = table(spark, sf, "events")
+    rows = token_events(events, "event_id", F.timestamp_micros(F.unix_micros(F.col("ts").cast("timestamp"))).alias("ts"))
+    rows.repartition(3).write.parquet(f"{out}/arriving")
+    rows.where("event_id % 10 = 3").coalesce(1).write.mode("append").parquet(f"{out}/arriving")
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{out}/arriving")
+    folds.stream_token_usage(stream, f"{out}/table", f"{out}/checkpoint", horizon="36500 days").awaitTermination()
     return folds.latest_token_usage(spark, f"{out}/table")
 
 

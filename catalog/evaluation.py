@@ -599,34 +599,37 @@ def _of(run: str, column: str) -> str:
 TABLE_SQL = f"{LINES_SQL}, {RUNS_SQL}, {PERFORMANCE_SQL}, run_table AS (SELECT * FROM runs JOIN performance USING (run_id))"
 
 
-@query(
-    "cost_efficiency",
-    f"""WITH {TABLE_SQL}, p AS (SELECT {_of('open', 'api_calls_per_prediction')} AS sc, {_of('quantity', 'api_calls_per_prediction')} AS dc,
-        {_of('open', 'estimated_cost_usd')} AS scost, {_of('quantity', 'estimated_cost_usd')} AS dcost,
-        {_of('open', 'f1')} AS sf, {_of('quantity', 'f1')} AS df, {_of('discount', 'f1')} AS o FROM run_table)
-    SELECT round(sc / dc * 10) / 10 AS api_call_ratio, round(scost / dcost * 10) / 10 AS cost_ratio,
+EFFICIENCY_SELECT = f"""SELECT round(sc / dc * 10) / 10 AS api_call_ratio, round(scost / dcost * 10) / 10 AS cost_ratio,
       round((sc - dc) / sc * 100) AS cost_savings_pct, {change_sql('df', 'sf')} AS performance_trade_off_pct,
       {pct_sql('df')} AS baseline_f1_pct, {pct_sql('o')} AS optimized_f1_pct, {change_sql('o', 'df')} AS improvement_pct,
-      o - df > 0.05 AS optimization_worthwhile FROM p""",
-)
+      o - df > 0.05 AS optimization_worthwhile FROM
+      (SELECT {_of('open', 'api_calls_per_prediction')} AS sc, {_of('quantity', 'api_calls_per_prediction')} AS dc,
+        {_of('open', 'estimated_cost_usd')} AS scost, {_of('quantity', 'estimated_cost_usd')} AS dcost,
+        {_of('open', 'f1')} AS sf, {_of('quantity', 'f1')} AS df, {_of('discount', 'f1')} AS o FROM run_table)"""
+
+
+@query("cost_efficiency", f"WITH {TABLE_SQL} {EFFICIENCY_SELECT}")
 def cost_efficiency(spark, sf):
     return tidy(compare.cost_efficiency(run_table(spark, sf), "open", "quantity", "discount"))
 
 
+ADVICE_SQL = f"""{TABLE_SQL}, p AS (SELECT {_of('open', 'f1')} AS s, {_of('quantity', 'f1')} AS d, {_of('discount', 'f1')} AS o,
+        {_of('open', 'api_calls_per_prediction')} AS sc, {_of('quantity', 'api_calls_per_prediction')} AS dc FROM run_table),
+    q AS (SELECT {change_sql('d', 's')} AS diff, {change_sql('o', 'd')} AS gain, round(sc / dc * 10) / 10 AS ratio FROM p),
+    a AS (SELECT 1 AS k, 'architecture' AS category, CASE WHEN abs(diff) < 5 THEN 'direct' ELSE 'staged' END AS recommendation,
+        'F1 of the direct run against the staged one: ' || diff::VARCHAR || ' %' ||
+          CASE WHEN abs(diff) < 5 THEN '; calls saved by a factor of ' || ratio::VARCHAR ELSE '' END AS reasoning,
+        CASE WHEN abs(diff) < 5 THEN 'High' ELSE 'Medium' END AS confidence FROM q WHERE abs(diff) < 5 OR diff < -10
+      UNION ALL SELECT 2, 'optimisation', CASE WHEN gain > 10 THEN 'optimise' WHEN gain > 5 THEN 'try_optimising' ELSE 'keep_baseline' END,
+        'F1 after optimising: ' || gain::VARCHAR || ' %', CASE WHEN gain > 10 THEN 'High' ELSE 'Medium' END FROM q)"""
+
+
 @query(
     "recommend",
-    f"""WITH {LINES_SQL}, {RUNS_SQL}, p AS (SELECT {_of('open', 'f1')} AS s, {_of('quantity', 'f1')} AS d, {_of('discount', 'f1')} AS o FROM runs),
-    q AS (SELECT {change_sql('d', 's')} AS diff, {change_sql('o', 'd')} AS gain FROM p),
-    a AS (SELECT 1 AS k, 'Architecture Choice' AS category,
-        CASE WHEN abs(diff) < 5 THEN 'Use Direct Pipeline' ELSE 'Consider Multi-Stage Pipeline' END AS recommendation,
-        CASE WHEN abs(diff) < 5 THEN 'High' ELSE 'Medium' END AS confidence FROM q WHERE abs(diff) < 5 OR diff < -10
-      UNION ALL SELECT 2, 'Optimization', CASE WHEN gain > 10 THEN 'Apply few-shot optimizer' WHEN gain > 5 THEN 'Consider few-shot optimizer'
-        ELSE 'Baseline sufficient' END, CASE WHEN gain > 10 THEN 'High' ELSE 'Medium' END FROM q)
-    SELECT row_number() OVER (ORDER BY k) AS rule_no, category, recommendation, confidence FROM a""",
+    f"WITH {ADVICE_SQL} SELECT row_number() OVER (ORDER BY k) AS rule_no, category, recommendation, reasoning, confidence FROM a",
 )
 def recommend(spark, sf):
-    advice = compare.recommend(run_table(spark, sf), "open", "quantity", "discount")
-    return advice.select("rule_no", "category", "recommendation", "confidence")
+    return compare.recommend(run_table(spark, sf), "open", "quantity", "discount")
 
 
 @query(

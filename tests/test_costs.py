@@ -49,12 +49,15 @@ def test_report(rows):
     assert phases["optimization"]["requests"] == 1 and phases["optimization"]["total_cost"] == Decimal("0.000045")
     assert phases["reproducibility"]["n_files"] == 2
     lines = collected(out["recommendations"], "rule_no")
-    assert lines == [(4, "Total development cost so far: $0.0007")]
+    assert lines == [(4, "spent in all: $0.0007")]
 
 
 def test_literal_phase_patterns_stay_in_the_file_name(rows):
     out = flows.cost_report(recorded(rows), whole_path=False)
-    assert [r["phase"] for r in out["phases"].collect()] == ["optimization"]
+    phases = {r["phase"]: r["n_files"] for r in out["phases"].collect()}
+    assert {p for p, n in phases.items() if n} == {"optimization"} and len(phases) == 4
+    assert {r["phase"] for r in out["phase_files"].collect()} == {"optimization"}
+    assert out["phase_total"].first()["n_files"] == phases["optimization"]
 
 
 def test_file_filter(rows):
@@ -79,7 +82,7 @@ def test_all_advice_lines(rows):
         "phase string, total_cost decimal(20,6), requests long, n_files long, cost_per_request decimal(20,6)",
     )
     lines = [r["line"] for r in costs.cost_recommendations(phases).orderBy("rule_no").collect()]
-    assert lines[0].endswith("(current cost: $0.12)") and len(lines) == 4
+    assert lines[0] == "high spending ($0.12): develop on a smaller sample" and len(lines) == 4
 
 
 CALLS = "id long, predictor string, epoch int, input_tokens long, output_tokens long, total_tokens long"

@@ -224,11 +224,13 @@ def test_improvement_from_zero(rows):
 def test_recommendations(rows):
     got = collected(compare.recommend(published_runs(rows), "staged", "direct", "tuned"), "rule_no")
     # -9.5 % is neither similar nor more than 10 % worse, and a gain of exactly 5.0 % is not above 5.
-    assert [(r[1], r[2]) for r in got] == [("Optimization", "Baseline sufficient")]
-    close = rows([("s", 0.80), ("d", 0.79)], "run_id string, f1 double")
-    assert compare.recommend(close, "s", "d").first()["reasoning"] == "Similar performance (-1.3% difference) at 3x lower cost"
+    assert [(r[1], r[2]) for r in got] == [("optimisation", "keep_baseline")]
+    close = rows([("s", 0.80, 2.0), ("d", 0.79, 1.0)], "run_id string, f1 double, api_calls_per_prediction double")
+    reason = compare.recommend(close, "s", "d").first()["reasoning"]
+    assert reason == "F1 of the direct run against the staged one: -1.3 %; calls saved by a factor of 2.0"
+    assert compare.recommend(close.drop("api_calls_per_prediction"), "s", "d").first()["reasoning"].endswith("factor of unknown")
     far = rows([("s", 0.80), ("d", 0.60)], "run_id string, f1 double")
-    assert compare.recommend(far, "s", "d").first()["recommendation"] == "Consider Multi-Stage Pipeline"
+    assert compare.recommend(far, "s", "d").first()["recommendation"] == "staged"
 
 
 def test_ranking(rows):
