@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 from tallyloom.functions import status, text, units
 from tallyloom.operators import corpus, profile, reports
 from tallyloom.plans import flows
+from tallyloom.session import scratch_path
 from tallyloom.sources import readers, writers
 
 from .base import LINES_SQL, RUNS_SQL, pct_sql, query, scored_lines, table, tidy
-from .evaluation import PERFORMANCE_SQL, run_table
+from .evaluation import ADVICE_SQL, EFFICIENCY_SELECT, PERFORMANCE_SQL, run_table
 
 LINE_ORDER = "l_linenumber, l_partkey, l_suppkey"
 
@@ -77,14 +78,14 @@ def shown_pairs(column: str, second: str):
 def _unified(df):
     return tidy(
         df.select(
-            "row_id", F.md5("text").alias("text_md5"), "label", "n_effects", "n_dosages",
+            "row_id", F.md5("text").alias("text_md5"), "label", "part", "n_effects", "n_dosages",
             shown_pairs("drug_effect_pairs", "effect").alias("effects"),
             shown_pairs("drug_dosage_pairs", "dosage").alias("dosages"),
         )
     )
 
 
-UNIFIED_SELECT = "SELECT row_id, md5(text) AS text_md5, label, n_effects, n_dosages, effects, dosages FROM unified"
+UNIFIED_SELECT = "SELECT row_id, md5(text) AS text_md5, label, 0::BIGINT AS part, n_effects, n_dosages, effects, dosages FROM unified"
 
 
 # --- sources and sinks -----------------------------------------------------------------------
@@ -146,34 +147,57 @@ def read_examples(spark, sf):
 
 @query(
     "read_pull_requests",
-    """SELECT page_id AS pr, url AS title, CASE WHEN length(html) > 1500 THEN '' ELSE md5(html) END AS description,
-      '' AS ellipsis_summary FROM pages""",
+    "SELECT page_id AS pr, url AS title, md5(html) AS description, '' AS ellipsis_summary FROM pages",
 )
 def read_pull_requests(spark, sf):
-    pages = table(spark, sf, "pages").select(
+    """Whole pages written as JSON lines and read back as pull requests."""
+    path = scratch_path(spark, "pull-requests")
+    table(spark, sf, "pages").select(
         F.col("page_id").alias("pr"),
         F.col("url").alias("title"),
-        F.when(F.length("html") <= 1500, F.md5("html")).alias("description"),
+        F.col("html").alias("description"),
         F.lit(None).cast("string").alias("ellipsis_summary"),
-    )
-    return readers.typed_pull_requests(pages)
+    ).write.json(path)
+    back = readers.read_pull_requests(spark, path, multi_line=False)
+    return back.withColumn("description", F.md5("description"))
 
 
 @query(
     "run_registry",
-    """SELECT 'user ' || user_id AS run_id, arg_max(event_type, (ts, event_id)) AS best_score_name,
-      round(arg_max(value, (ts, event_id)), 6) AS best_score_value, arg_max(event_id, (ts, event_id)) AS event_id,
-      count(*) AS versions FROM events GROUP BY user_id""",
+    """WITH e AS (SELECT event_type AS run_id, event_id % 3 AS version, arg_max(value, event_id) AS score, max(event_id) AS last, max(ts) AS ts, count(*) AS n
+        FROM events GROUP BY ALL)
+    SELECT run_id, 'value' AS best_score_name, round(arg_max(score, (ts, version)), 6) AS best_score_value, arg_max(n, (ts, version))::VARCHAR AS n_events,
+      '{"last": ' || arg_max(last, (ts, version)) || '}' AS program, count(*) AS versions FROM e GROUP BY run_id""",
 )
 def run_registry(spark, sf):
-    registry = table(spark, sf, "events").select(
-        F.concat(F.lit("user "), F.col("user_id").cast("string")).alias("run_id"),
-        F.col("event_type").alias("best_score_name"),
-        F.col("value").alias("best_score_value"),
-        F.col("ts").alias("saved_at"),
-        "event_id",
-    )
-    return tidy(writers.latest_runs(registry, ["event_id"]).drop("saved_at"))
+    """Three versions of every run saved one after the other, and each run loaded by its id."""
+    path = scratch_path(spark, "registry")
+    events = table(spark, sf, "events")
+    for version in range(3):
+        rows = events.where(F.col("event_id") % 3 == version).groupBy(F.col("event_type").alias("run_id"))
+        made = rows.agg(
+            F.max_by("value", "event_id").alias("best_score_value"),
+            F.max("event_id").alias("last"),
+            # Saved later by a microsecond per version, so that equal times are no ties.
+            F.max(F.unix_micros(F.col("ts").cast("timestamp"))).alias("at"),
+            F.count(F.lit(1)).alias("n"),
+        )
+        writers.save_run(
+            made.select(
+                "run_id",
+                F.lit("value").alias("best_score_name"),
+                "best_score_value",
+                F.create_map(F.lit("n_events"), F.col("n").cast("string")).alias("metadata"),
+                F.concat(F.lit('{"last": '), F.col("last").cast("string"), F.lit("}")).alias("program"),
+                F.timestamp_micros(F.col("at") * 10 + version).alias("saved_at"),
+            ),
+            path,
+        )
+    # Every event type is a run; an unknown id and a registry that is not there give no rows.
+    loaded = writers.load_run(spark, f"{path}-missing", "view").unionByName(writers.load_run(spark, path, "no such run"))
+    for run_id in ("view", "click", "purchase", "signup", "error"):
+        loaded = loaded.unionByName(writers.load_run(spark, path, run_id))
+    return tidy(loaded.select("run_id", "best_score_name", "best_score_value", F.col("metadata")["n_events"].alias("n_events"), "program", "versions"))
 
 
 @query(
@@ -182,8 +206,6 @@ def run_registry(spark, sf):
 )
 def write_report_json(spark, sf):
     """Written to the shared folder and read back."""
-    from tallyloom.session import scratch_path
-
     path = scratch_path(spark, "report")
     metrics = flows.graded_run(scored_lines(spark, sf), ["run_id"]).withColumnRenamed("run_id", "run")
     writers.write_report_json(metrics.select("run", "tp", "fp", "tn", "fn", "accuracy", "f1"), path, "r1")
@@ -194,18 +216,38 @@ def write_report_json(spark, sf):
 
 
 @query(
-    "write_report_text",
+    "metric_table",
     f"""WITH {LINES_SQL}, {RUNS_SQL}, {PERFORMANCE_SQL},
     t AS (SELECT *, row_number() OVER (ORDER BY run_id) AS rn FROM runs JOIN performance USING (run_id))
-    SELECT 1::BIGINT AS section, 1::BIGINT AS line_no, '| Approach | F1 Score | API Calls | Cost | Errors |' AS line
-    UNION ALL SELECT 1, 2, '|----------|----------|-----------|------|--------|'
+    SELECT 1::BIGINT AS section, 1::BIGINT AS line_no, '| Run | F1 | Calls | Dollars | Failed |' AS line
+    UNION ALL SELECT 1, 2, '|---|---|---|---|---|'
     UNION ALL SELECT 1, rn + 2, '| ' || upper(run_id[1]) || run_id[2:] || ' | ' || {pct_sql('f1')}::VARCHAR || '% | ' || total_api_calls || ' | $' ||
       printf('%.6f', estimated_cost_usd) || ' | ' || processing_errors || ' |' FROM t""",
 )
-def write_report_text(spark, sf):
+def metric_table(spark, sf):
     return reports.metric_table(run_table(spark, sf))
 
 
+@query(
+    "write_report_text",
+    f"""WITH {ADVICE_SQL}, c AS ({EFFICIENCY_SELECT})
+    SELECT line, count(*) AS n FROM (
+      SELECT unnest(['# Runs over line items', '', '**Direct run**: quantity', '| Run | F1 | Calls | Dollars | Failed |', '|---|---|---|---|---|']) AS line
+      UNION ALL SELECT '| ' || upper(run_id[1]) || run_id[2:] || ' | ' || {pct_sql('f1')}::VARCHAR || '% | ' || total_api_calls || ' | $' ||
+        printf('%.6f', estimated_cost_usd) || ' | ' || processing_errors || ' |' FROM run_table
+      UNION ALL SELECT '- calls per prediction, staged to direct: ' || api_call_ratio::VARCHAR || ' to 1 (' || cost_savings_pct::BIGINT || ' % saved)' FROM c
+      UNION ALL SELECT '- F1 before and after optimising: ' || baseline_f1_pct::VARCHAR || ' %, ' || optimized_f1_pct::VARCHAR || ' % (' || improvement_pct::VARCHAR || ' % change)' FROM c
+      UNION ALL SELECT row_number() OVER (ORDER BY k) || '. ' || category || ': ' || recommendation || ' - ' || reasoning || ' [' || lower(confidence) || ' confidence]' FROM a)
+    GROUP BY line""",
+)
+def write_report_text(spark, sf):
+    """All sections written to the shared folder and read back."""
+    path = scratch_path(spark, "report-text")
+    lines = flows.approach_report(run_table(spark, sf), "open", "quantity", "discount", "Runs over line items", {"Direct run": "quantity"})
+    writers.write_report_text(lines, path)
+    return spark.read.text(path).groupBy(F.col("value").alias("line")).agg(F.count(F.lit(1)).alias("n"))
+
+
 # --- profiles --------------------------------------------------------------------------------
 
 @query(
@@ -458,6 +500,31 @@ def classification_examples(spark, sf):
     )
 
 
+@query(
+    "corpus_scorecard",
+    f"""WITH {ORDER_CORPUS_SQL}, ranked AS (SELECT o_orderkey AS k, o_orderstatus = 'F' AS label, row_number() OVER w AS r, count(*) OVER (PARTITION BY o_orderstatus = 'F') AS n
+        FROM orders WINDOW w AS (PARTITION BY o_orderstatus = 'F' ORDER BY md5(o_orderkey || '|42'), o_orderkey)),
+    test AS (SELECT k, label FROM ranked WHERE r > floor(n * 0.7::DOUBLE + 0.5) + floor(n * 0.15::DOUBLE + 0.5)),
+    items AS (SELECT k, count(*) AS n, count(DISTINCT drug) AS d, count(DISTINCT effect) AS e FROM notes GROUP BY k),
+    x AS (SELECT test.k, label, coalesce(n, 0) AS n, coalesce(d, 0) AS d, coalesce(e, 0) AS e FROM test LEFT JOIN items USING (k))
+    SELECT count(*) AS examples_evaluated, count(*) FILTER (d > 0) AS drug_valid_examples, 1.0::DOUBLE AS drug_f1, sum(d)::BIGINT AS drug_item_tp,
+      sum((e > 0)::INT)::BIGINT AS effect_item_tp, sum(e - (e > 0)::INT)::BIGINT AS effect_item_fn, round(avg(1.0::DOUBLE / e) FILTER (e > 0), 6) AS effect_recall,
+      count(*) FILTER (label AND n > 3) AS tp, count(*) FILTER (NOT label AND n > 3) AS fp, count(*) FILTER (NOT label AND n <= 3) AS tn,
+      count(*) FILTER (label AND n <= 3) AS fn FROM x""",
+)
+def corpus_scorecard(spark, sf):
+    def scorer(df):
+        return df.withColumns({"y_pred": F.size("drugs") > 3, "pred_drugs": F.col("drugs"), "pred_effects": F.slice("effects", 1, 1)})
+
+    card = flows.corpus_scorecard(*order_corpus(spark, sf), scorer, "row_id")
+    return tidy(
+        card.select(
+            "examples_evaluated", "drug_valid_examples", "drug_f1", "drug_item_tp", "effect_item_tp", "effect_item_fn", "effect_recall",
+            "tp", "fp", "tn", "fn",
+        )
+    )
+
+
 @query(
     "clean_input",
     """SELECT event_id, coalesce(CASE WHEN event_type <> 'view' THEN props END, '') AS patient_report,

@@ -69,6 +69,15 @@ def split_tiny(spark, sf):
     return tidy(splits.split_tiny(table(spark, sf, "region"), "r_regionkey").select("r_regionkey", "split"))
 
 
+@query(
+    "split_three_rows",
+    "SELECT o_orderstatus, CASE WHEN o_orderstatus = max(o_orderstatus) OVER () THEN 'val' ELSE 'train' END AS split FROM (SELECT DISTINCT o_orderstatus FROM orders)",
+)
+def split_three_rows(spark, sf):
+    """The three statuses of all orders: too few rows for three splits."""
+    return splits.split_tiny(table(spark, sf, "orders").select("o_orderstatus").distinct(), "o_orderstatus")
+
+
 @query(
     "leakage_check",
     f"""WITH {STRATIFIED_SQL}, c AS (SELECT o_custkey, count(*) AS n, count(DISTINCT split) AS s FROM split GROUP BY 1)

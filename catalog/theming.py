@@ -101,7 +101,7 @@ def _older(spark, sf):
     spelled = (
         F.when(F.col("s_suppkey") % 3 == 0, "Managed Metal Ring")
         .when(F.col("s_suppkey") % 3 == 1, "Plate, Flat Enhancements")
-        .otherwise("Cables")
+        .otherwise("Widget Cables")
     )
     return table(spark, sf, "supplier").select(
         spelled.alias("theme"), F.lit("older").alias("theme_description"), F.col("s_suppkey").alias("pr")
@@ -109,13 +109,13 @@ def _older(spark, sf):
 
 
 MERGED_SQL = f"""{ASSIGNED_SQL}, older AS (SELECT s_suppkey AS pr, s_suppkey % 3 AS t FROM supplier),
-  both_ AS (SELECT pr, CASE t WHEN 0 THEN 'metal ring' WHEN 1 THEN 'flat plate' ELSE 'cable' END AS theme_key FROM older
-    UNION SELECT pr, CASE theme WHEN 'Metal Rings' THEN 'metal ring' WHEN 'Flat Plates' THEN 'flat plate' WHEN 'Widgets' THEN 'widget' ELSE 'other' END FROM assigned),
+  both_ AS (SELECT pr, CASE t WHEN 0 THEN 'metal ring' WHEN 1 THEN 'flat plate' ELSE 'cable widget' END AS theme_key FROM older
+    UNION SELECT pr, CASE theme WHEN 'Metal Rings' THEN 'metal ring' WHEN 'Flat Plates' THEN 'flat plate' WHEN 'Widgets' THEN 'cable widget' ELSE 'other' END FROM assigned),
   merged AS (SELECT pr, theme_key, CASE theme_key WHEN 'metal ring' THEN 'Managed Metal Ring' WHEN 'flat plate' THEN 'Plate, Flat Enhancements'
-    WHEN 'cable' THEN 'Cables' WHEN 'widget' THEN 'Widgets' ELSE 'Other' END AS theme FROM both_)"""
+    WHEN 'cable widget' THEN 'Widget Cables' ELSE 'Other' END AS theme FROM both_)"""
 
 
-@query("merge_themes", f"WITH {MERGED_SQL} SELECT theme_key, theme, pr, CASE WHEN theme IN ('Widgets', 'Other') THEN 'Changes to ' || theme ELSE 'older' END AS theme_description FROM merged")
+@query("merge_themes", f"WITH {MERGED_SQL} SELECT theme_key, theme, pr, CASE WHEN theme = 'Other' THEN 'Changes to ' || theme ELSE 'older' END AS theme_description FROM merged")
 def merge_themes(spark, sf):
     new = themes.assign_themes(part_requests(spark, sf), THEMES, 30)
     return themes.merge_themes(_older(spark, sf), new)
@@ -147,20 +147,38 @@ def subthemes(spark, sf):
     )
 
 
-HEAD_SQL = """'---' || chr(10) || 'title: "May 2025"' || chr(10) || '---' || chr(10) || chr(10) || 'import { PrList } from "@components/PrList"'"""
-BLOCKS_SQL = f"""t AS (SELECT p_partkey AS pr, {THEME_SQL} AS theme, {SUB_SQL} AS subtheme FROM part),
-  r AS (SELECT *, (row_number() OVER (PARTITION BY theme, subtheme ORDER BY pr) - 1) // 1000 AS part FROM t),
-  blocks AS (SELECT 'May 2025' AS document, '' AS theme, '' AS subtheme, 0 AS part, {HEAD_SQL} AS block
-    UNION ALL SELECT DISTINCT 'May 2025', theme, '', 0, '## ' || theme || chr(10) || chr(10) || 'Changes to ' || theme FROM t
-    UNION ALL SELECT 'May 2025', theme, subtheme, part, CASE WHEN part = 0 THEN '### ' || subtheme || chr(10) || chr(10) ELSE '' END ||
-      '<PrList ids={{[' || string_agg(pr::VARCHAR, ', ' ORDER BY pr) || ']}}></PrList>' FROM r GROUP BY theme, subtheme, part)"""
-BLOCKS_SQL = BLOCKS_SQL.replace("{{", "{").replace("}}", "}")
+HEAD_SQL = """'---' || chr(10) || 'title: "' || document || '"' || chr(10) || '---' || chr(10) || chr(10) || 'import { PrList } from "@components/PrList"'"""
+LIST_SQL = """CASE WHEN part = 0 THEN chr(10) || chr(10) || '### ' || subtheme || chr(10) || chr(10) || '<PrList ids={[' ELSE ', ' END
+  || string_agg(pr::VARCHAR, ', ' ORDER BY pr) || CASE WHEN part = last THEN ']}></PrList>' ELSE '' END"""
+
+
+def blocks_sql(document: str) -> str:
+    return f"""t AS (SELECT p_partkey AS pr, {document} AS document, {THEME_SQL} AS theme, {SUB_SQL} AS subtheme FROM part),
+  n AS (SELECT *, (row_number() OVER (PARTITION BY document, theme, subtheme ORDER BY pr) - 1) // 1000 AS part FROM t),
+  r AS (SELECT *, max(part) OVER (PARTITION BY document, theme, subtheme) AS last FROM n),
+  blocks AS (SELECT DISTINCT document, '' AS theme, '' AS subtheme, 0 AS part, {HEAD_SQL} AS block FROM t
+    UNION ALL SELECT DISTINCT document, theme, '', 0, chr(10) || chr(10) || '## ' || theme || chr(10) || chr(10) || 'Changes to ' || theme FROM t
+    UNION ALL SELECT document, theme, subtheme, part, {LIST_SQL} FROM r GROUP BY document, theme, subtheme, part, last)"""
+
+
+BLOCKS_SQL = blocks_sql("'May 2025'")
+MONTHS = ("January", "February", "March", "April")
+MONTH_SQL = "['" + "', '".join(MONTHS) + "'][p_size % 4 + 1] || ' ' || (2024 + p_size % 3)"
 
 
 def _blocks(spark, sf):
     return flows.changelog(
-        part_requests(spark, sf), "May", 2025, THEMES, SUBTHEMES, batch_size=30, internal_hidden=False
+        part_requests(spark, sf), "May", 2025, THEMES, SUBTHEMES, internal_hidden=False
+    )
+
+
+def _monthly(spark, sf):
+    size = table(spark, sf, "part").select(
+        F.col("p_partkey").alias("pr"),
+        F.element_at(F.array(*map(F.lit, MONTHS)), (F.col("p_size") % 4).cast("int") + 1).alias("month"),
+        (F.col("p_size") % 3 + 2024).alias("year"),
     )
+    return flows.changelog(part_requests(spark, sf).join(size, "pr"), None, None, THEMES, SUBTHEMES, False)
 
 
 @query(
@@ -171,25 +189,36 @@ def render_changelog(spark, sf):
     return _blocks(spark, sf).select("document", "theme", "subtheme", "part", F.md5("block").alias("block_md5"))
 
 
-@query(
-    "changelog_text",
-    f"""WITH {BLOCKS_SQL} SELECT document, count(*) AS n_blocks,
-      md5(string_agg(block, chr(10) || chr(10) ORDER BY theme, subtheme, part)) AS text_md5 FROM blocks GROUP BY document""",
-)
+TEXT_SQL = """SELECT document, count(*) FILTER (part = 0) AS n_blocks,
+      md5(string_agg(block, '' ORDER BY theme, subtheme, part)) AS text_md5 FROM blocks GROUP BY document"""
+
+
+@query("changelog_text", f"WITH {BLOCKS_SQL} {TEXT_SQL}")
 def changelog_text(spark, sf):
     return themes.changelog_text(_blocks(spark, sf)).select("document", "n_blocks", F.md5("text").alias("text_md5"))
 
 
+@query("monthly_changelogs", f"WITH {blocks_sql(MONTH_SQL)} {TEXT_SQL}")
+def monthly_changelogs(spark, sf):
+    return themes.changelog_text(_monthly(spark, sf)).select("document", "n_blocks", F.md5("text").alias("text_md5"))
+
+
 @query(
     "document_coverage",
-    f"""WITH {BLOCKS_SQL} SELECT theme, subtheme, part::BIGINT AS part,
-      array_to_string(list_filter([1, 2, 5, 10], lambda i: NOT list_contains(list(pr), i)), ',') AS missing_ids,
-      list_has_all(list(pr), [1, 2, 5, 10]) AS covers_all FROM r GROUP BY theme, subtheme, part""",
+    f"""WITH {blocks_sql(MONTH_SQL)}, e AS (SELECT DISTINCT document, pr FROM t UNION SELECT 'January 2024', -1000000 * s_suppkey FROM supplier
+        UNION SELECT 'April 2026', s_suppkey FROM supplier)
+    SELECT e.document, count(*) AS n_expected, count(*) FILTER (t.pr IS NULL) AS n_missing, count(*) FILTER (t.pr IS NULL) = 0 AS covers_all
+    FROM e LEFT JOIN t ON t.document = e.document AND t.pr = e.pr GROUP BY e.document""",
 )
 def document_coverage(spark, sf):
-    blocks = _blocks(spark, sf).filter(F.col("subtheme") != "")
-    covered = themes.document_coverage(blocks, [1, 2, 5, 10], "block")
-    return covered.select("theme", "subtheme", "part", F.array_join("missing_ids", ",").alias("missing_ids"), "covers_all")
+    month = F.concat_ws(" ", F.element_at(F.array(*map(F.lit, MONTHS)), (F.col("p_size") % 4).cast("int") + 1), F.col("p_size") % 3 + 2024)
+    supplier = table(spark, sf, "supplier")
+    expected = (
+        table(spark, sf, "part").select(month.alias("document"), F.col("p_partkey").alias("pr"))
+        .union(supplier.select(F.lit("January 2024"), -1_000_000 * F.col("s_suppkey")))
+        .union(supplier.select(F.lit("April 2026"), "s_suppkey"))
+    )
+    return themes.document_coverage(_monthly(spark, sf), expected, text="block")
 
 
 @query(
@@ -202,6 +231,16 @@ def assemble_document(spark, sf):
     return made.select("conv_id", "part", F.md5("text").alias("text_md5"))
 
 
+@query(
+    "joined_document",
+    """SELECT conv_id, md5(string_agg('## ' || role || chr(10) || chr(10) || text, chr(10) || chr(10) ORDER BY turn)) AS text_md5
+    FROM conversations GROUP BY ALL""",
+)
+def joined_document(spark, sf):
+    parts = themes.assemble_document(table(spark, sf, "conversations"), ["conv_id"], "turn", "role", "text", sections_per_part=3)
+    return themes.join_parts(parts, ["conv_id"]).select("conv_id", F.md5("text").alias("text_md5"))
+
+
 @query(
     "stream_merge_themes",
     """WITH a AS (SELECT p_partkey AS pr, """
@@ -210,13 +249,10 @@ def assemble_document(spark, sf):
     SELECT theme, 'Changes to ' || theme AS theme_description, pr FROM a""",
 )
 def stream_merge_themes(spark, sf):
-    stream = spark.readStream.schema(table(spark, sf, "part").schema).parquet(f"{sf}/part.parquet*")
-    prs = stream.select(
-        F.col("p_partkey").alias("pr"),
-        F.col("p_name").alias("title"),
-        F.lower("p_type").alias("description"),
-        F.col("p_brand").alias("ellipsis_summary"),
-    )
+    """Three files arrive one after the other."""
     out = scratch_path(spark, "themes")
+    rows = part_requests(spark, sf)
+    rows.repartition(3).write.parquet(f"{out}/arriving")
+    prs = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{out}/arriving")
     folds.stream_merge_themes(prs, f"{out}/table", f"{out}/checkpoint", THEMES, 30).awaitTermination()
     return folds.accumulated_themes(spark, f"{out}/table").select("theme", "theme_description", "pr")

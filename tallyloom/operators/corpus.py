@@ -4,16 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import fixed, text as txt
 from ..functions.status import PAIRS, label_to_bool, label_to_status
-from .joins import null_safe_join
-from .ranks import hot_groups, id_rank
+from .ranks import id_rank
 
-# A text with more annotations than this keeps them in long form only (``long_pairs``).
-LIST_LIMIT = 10_000
+# Pairs of a text in one row. Lists of all texts are cut into parts of this size, so no row grows with a text.
+PART = 1_000
 
 
 def text_key(text: Column) -> Column:
@@ -37,26 +36,24 @@ def _pair_list(rows: Column, a: str, b: str) -> Column:
     return F.transform(ordered, lambda r: F.struct(r[a].alias(a), r[b].alias(b)))
 
 
+def _part(pos: Column, size: int) -> Column:
+    return F.floor((pos - 1) / size).cast("long")
+
+
 def pairs_by_text(
-    notes: DataFrame, text: str, a: str, b: str, row_id: str, list_limit: int = LIST_LIMIT
+    notes: DataFrame, text: str, a: str, b: str, row_id: str, part_size: int = PART
 ) -> DataFrame:
-    """Annotation pairs per text, cut into lists of at most ``list_limit``: ``text, part, pairs``.
+    """Annotation pairs per text in parts of ``part_size``: ``text, part, pairs``, parts from 0.
 
-    Duplicates and nulls are kept, in ``row_id`` order (unique). A text within the limit is one
-    list; only the texts above it are ranked and cut.
+    Duplicates and nulls are kept, in ``row_id`` order. Digests are grouped and ranked; each text is
+    attached once, at the end.
     """
-    rows = notes.select(text, a, b, row_id)
-    hot = hot_groups(rows, [text], list_limit).drop("n_rows")
-    whole = null_safe_join(rows, hot, [text], "left_anti")
-    whole = whole.groupBy(text, F.lit(0).cast("long").alias("part")).agg(
-        _pair_list(F.collect_list(F.struct(row_id, a, b)), a, b).alias("pairs")
-    )
-    placed = id_rank(null_safe_join(rows, hot, [text], "left_semi"), row_id, [text], name="_pos")
-    part = F.floor((F.col("_pos") - 1) / list_limit).cast("long")
-    cut = placed.groupBy(text, part.alias("part")).agg(
-        _pair_list(F.collect_list(F.struct("_pos", a, b)), a, b).alias("pairs")
+    placed = long_pairs(notes, text, a, b, row_id)
+    parts = placed.groupBy("text_key", _part(F.col("pos"), part_size).alias("part")).agg(
+        _pair_list(F.collect_list(F.struct("pos", a, b)), a, b).alias("pairs")
     )
-    return whole.unionByName(cut)
+    texts = notes.groupBy(text_key(F.col(text)).alias("text_key")).agg(F.first(text).alias(text))
+    return parts.join(texts, "text_key").select(text, "part", "pairs")
 
 
 def _tagged(notes: DataFrame, kind: str, second: str, text: str, row_id: str) -> DataFrame:
@@ -105,6 +102,20 @@ def unify_counts(
     )
 
 
+def _note_parts(effects: DataFrame, dosages: DataFrame, text: str, row_id: str, size: int) -> DataFrame:
+    """Both pair lists of every annotated text, cut into parts, beside the counts of the whole text."""
+    placed = id_rank(_stacked(effects, dosages, text, row_id), "row_id", ["text_key", "kind"], name="_pos")
+
+    def collected(kind: str) -> Column:
+        return F.collect_list(F.when(F.col("kind") == kind, F.struct("_pos", "drug", "second")))
+
+    parts = placed.groupBy("text_key", _part(F.col("_pos"), size).alias("part")).agg(
+        *_per_kind(F.lit(1)), collected("effect").alias("effect_rows"), collected("dosage").alias("dosage_rows")
+    )
+    whole = Window.partitionBy("text_key")
+    return parts.withColumns({n: F.sum(n).over(whole) for n in ("n_effects", "n_dosages")})
+
+
 def unify_corpus(
     base: DataFrame,
     effects: DataFrame,
@@ -112,50 +123,33 @@ def unify_corpus(
     text: str = "text",
     label: str = "label",
     row_id: str = "row_id",
-    list_limit: int = LIST_LIMIT,
+    part_size: int = PART,
 ) -> DataFrame:
     """Every classification row (duplicates too) with a boolean label and both pair lists.
 
-    ``n_effects`` and ``n_dosages`` are always exact. A text with more than ``list_limit`` pairs of
-    a kind has a null list there; its pairs are the ``long_pairs`` rows of its ``text_key``.
-    Both annotation tables are aggregated together, so the classification rows shuffle once and
-    AQE may split a hot text.
+    Lists of every text are cut into parts of ``part_size`` pairs: a row comes once per ``part`` of its
+    text, from 0, and part 0 always exists. ``n_effects`` and ``n_dosages`` count the whole text.
+    Annotations are ranked and listed by digest, so a text with most of them is spread like any other.
     """
-    notes = _stacked(effects, dosages, text, row_id)
-    hot = hot_groups(notes, ["text_key", "kind"], list_limit)
-    listed = null_safe_join(notes, hot.drop("n_rows"), ["text_key", "kind"], "left_anti")
-    # A hot group contributes one row that carries its size, every other annotation a row of 1.
-    rows = listed.withColumn("n_rows", F.lit(1).cast("long")).unionByName(hot, allowMissingColumns=True)
-    row = F.struct("row_id", "drug", "second")
-
-    def collected(kind: str) -> Column:
-        return F.collect_list(F.when((F.col("kind") == kind) & F.col("row_id").isNotNull(), row))
-
-    lists = rows.groupBy("text_key").agg(
-        *_per_kind(F.col("n_rows")),
-        collected("effect").alias("effect_rows"),
-        collected("dosage").alias("dosage_rows"),
-    )
+    lists = _note_parts(effects, dosages, text, row_id, part_size)
     keyed = base.withColumn("text_key", text_key(F.col(text)))
     joined = keyed.join(lists, "text_key", "left")
-    none = F.array().cast("array<struct<row_id:bigint,drug:string,second:string>>")
+    none = F.array().cast("array<struct<_pos:bigint,drug:string,second:string>>")
 
-    def pairs(column: str, count: Column, second: str) -> Column:
+    def pairs(column: str, second: str) -> Column:
         ordered = F.sort_array(F.coalesce(F.col(column), none))
-        kept = F.transform(ordered, lambda r: F.struct(r["drug"].alias("drug"), r["second"].alias(second)))
-        return F.when(count <= list_limit, kept)
+        return F.transform(ordered, lambda r: F.struct(r["drug"].alias("drug"), r["second"].alias(second)))
 
-    n_effects = F.coalesce(F.col("n_effects"), F.lit(0))
-    n_dosages = F.coalesce(F.col("n_dosages"), F.lit(0))
     return joined.select(
         *[c for c in base.columns if c not in (text, label)],
         F.col(text).alias("text"),
         "text_key",
         label_to_bool(F.col(label)).alias("label"),
-        pairs("effect_rows", n_effects, "effect").alias("drug_effect_pairs"),
-        pairs("dosage_rows", n_dosages, "dosage").alias("drug_dosage_pairs"),
-        n_effects.alias("n_effects"),
-        n_dosages.alias("n_dosages"),
+        F.coalesce("part", F.lit(0)).cast("long").alias("part"),
+        pairs("effect_rows", "effect").alias("drug_effect_pairs"),
+        pairs("dosage_rows", "dosage").alias("drug_dosage_pairs"),
+        F.coalesce("n_effects", F.lit(0)).alias("n_effects"),
+        F.coalesce("n_dosages", F.lit(0)).alias("n_dosages"),
     )
 
 
@@ -184,36 +178,33 @@ def to_examples(df: DataFrame, text: str = "text", label: str = "label") -> Data
 
 
 def extraction_examples(unified: DataFrame) -> DataFrame:
-    """One row per (record, kind): distinct drugs, and distinct effects, in first-seen order.
+    """Distinct drugs, and distinct effects, of each record in first-seen order: ``part, kind, items``.
 
-    Drugs come from the effect pairs, else from the dosage pairs.
+    Drugs come from the effect pairs, else from the dosage pairs. An item is listed in the part of its
+    first occurrence only, so the parts of a record, one after the other, are its distinct items.
     """
     effects, dosages = F.col("drug_effect_pairs"), F.col("drug_dosage_pairs")
-    has_effects, has_dosages = F.col("n_effects") > 0, F.col("n_dosages") > 0
-    drugs = F.when(has_effects, F.transform(effects, lambda p: p["drug"])).otherwise(
+    drugs = F.when(F.col("n_effects") > 0, F.transform(effects, lambda p: p["drug"])).otherwise(
         F.transform(dosages, lambda p: p["drug"])
     )
-    kinds = F.array_compact(
-        F.array(
-            F.when(
-                has_effects | has_dosages,
-                F.struct(F.lit("drugs").alias("kind"), F.array_distinct(drugs).alias("items")),
-            ),
-            F.when(
-                has_effects,
-                F.struct(
-                    F.lit("effects").alias("kind"),
-                    F.array_distinct(F.transform(effects, lambda p: p["effect"])).alias("items"),
-                ),
-            ),
-        )
+
+    def listed(kind: str, items: Column) -> Column:
+        return F.transform(items, lambda i, n: F.struct(F.lit(kind).alias("kind"), n.cast("long").alias("at"), i.alias("item")))
+
+    found = F.concat(listed("drugs", drugs), listed("effects", F.transform(effects, lambda p: p["effect"])))
+    # Once per text, whatever the number of records that share it.
+    once = unified.groupBy("text_key", "part").agg(F.first(found).alias("_x"))
+    seen = once.select("text_key", "part", F.explode("_x").alias("_x")).select("text_key", "part", "_x.*")
+    first = seen.groupBy("text_key", "kind", "item").agg(F.min(F.struct("part", "at")).alias("_f"))
+    items = first.groupBy("text_key", F.col("_f.part").alias("part"), "kind").agg(
+        F.transform(F.sort_array(F.collect_list(F.struct(F.col("_f.at").alias("at"), "item"))), lambda r: r["item"]).alias("items")
     )
     keep = [c for c in unified.columns if c not in ("drug_effect_pairs", "drug_dosage_pairs")]
-    return unified.select(*keep, F.explode(kinds).alias("_x")).select(*keep, "_x.kind", "_x.items")
+    return unified.select(*keep).join(items, ["text_key", "part"]).select(*keep, "kind", "items")
 
 
 def classification_examples(unified: DataFrame) -> DataFrame:
-    """Text with its drugs and effects (duplicates kept) and the expected answer."""
+    """Text with its drugs and effects (duplicates kept) and the expected answer, part by part."""
     pairs = F.col("drug_effect_pairs")
     return unified.withColumns(
         {

@@ -26,6 +26,7 @@ from ..functions.ratios import (
 )
 from ..functions.scoring import Metric
 from ..functions.text import snippet
+from ..session import settle
 
 _CELLS = ("tp", "fp", "tn", "fn")
 
@@ -298,6 +299,17 @@ def error_item_bag(errors: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     )
 
 
+def _scorecard(rows: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Metric families from one row per example with counts of hits, predicted and true items."""
+    counted = rows.groupBy(*by).agg(
+        *_extraction_aggregates(F.col("d_hits"), F.col("d_n_pred"), F.col("d_n_true"), "drug_"),
+        *_extraction_aggregates(F.col("e_hits"), F.col("e_n_pred"), F.col("e_n_true"), "effect_"),
+        *_cells(F.col("y_true"), F.col("y_pred")),
+        F.count(F.lit(1)).alias("examples_evaluated"),
+    )
+    return add_safety(add_classification(_add_micro(_add_micro(counted, "drug_"), "effect_")))
+
+
 def pipeline_scorecard(scored: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Drug and effect extraction, classification and safety of every run from one pass.
 
@@ -312,13 +324,42 @@ def pipeline_scorecard(scored: DataFrame, by: Sequence[str] = ()) -> DataFrame:
         *[c.alias(f"d_{n}") for n, c in drugs.items()],
         *[c.alias(f"e_{n}") for n, c in effects.items()],
     )
-    counted = rows.groupBy(*by).agg(
-        *_extraction_aggregates(F.col("d_hits"), F.col("d_n_pred"), F.col("d_n_true"), "drug_"),
-        *_extraction_aggregates(F.col("e_hits"), F.col("e_n_pred"), F.col("e_n_true"), "effect_"),
-        *_cells(F.col("y_true"), F.col("y_pred")),
-        F.count(F.lit(1)).alias("examples_evaluated"),
+    return _scorecard(rows, by)
+
+
+def pipeline_scorecard_parts(scored: DataFrame, key: str, by: Sequence[str] = (), part: str = "part") -> DataFrame:
+    """The same scorecard when the lists of an example are cut into parts.
+
+    Items are compared in long form over all parts of an example; ``y_true`` and ``y_pred`` are those of
+    part 0. Nothing is gathered per example but counts.
+    """
+
+    def items(name: str, kind: str, pred: int) -> Column:
+        values = F.coalesce(F.col(name), F.array().cast("array<string>"))
+        return F.transform(
+            values,
+            lambda v: F.struct(F.lit(kind).alias("kind"), F.lower(v).alias("item"), F.lit(pred).alias("p"), F.lit(1 - pred).alias("t")),
+        )
+
+    example = F.array(F.struct(F.lit("example").alias("kind"), F.lit(None).cast("string").alias("item"), F.lit(0).alias("p"), F.lit(0).alias("t")))
+    every = F.concat(
+        example, items("pred_drugs", "d", 1), items("true_drugs", "d", 0), items("pred_effects", "e", 1), items("true_effects", "e", 0)
     )
-    return add_safety(add_classification(_add_micro(_add_micro(counted, "drug_"), "effect_")))
+    answer = F.when(F.col(part) == 0, F.struct("y_true", "y_pred"))
+    long = scored.select(*by, key, answer.alias("_a"), F.explode(every).alias("_i")).select(
+        *by, key, "_i.*", F.when(F.col("_i.kind") == "example", F.col("_a")).alias("_a")
+    )
+    distinct = long.groupBy(*by, key, "kind", "item").agg(F.max("p").alias("p"), F.max("t").alias("t"), F.max("_a").alias("_a"))
+    found, guessed, wanted = (F.col("p") == 1) & (F.col("t") == 1), F.col("p") == 1, F.col("t") == 1
+    rows = distinct.groupBy(*by, key).agg(
+        *[
+            F.count_if((F.col("kind") == kind) & which).alias(f"{kind}_{name}")
+            for kind in ("d", "e")
+            for name, which in (("hits", found), ("n_pred", guessed), ("n_true", wanted))
+        ],
+        F.max("_a").alias("_a"),
+    )
+    return _scorecard(rows.select("*", "_a.*"), by)
 
 
 def _effort() -> list[Column]:
@@ -407,7 +448,11 @@ def error_budget(scored: DataFrame, max_errors: int, by: Sequence[str] = ()) ->
 
 
 def require_budget(scored: DataFrame, max_errors: int) -> DataFrame:
-    """The rows themselves, or a failed job once ``max_errors`` rows carry an error."""
+    """The rows themselves, or a failed job once ``max_errors`` rows carry an error.
+
+    The rows are written once to the shared folder and read for both, so a scorer runs once per row.
+    """
+    scored = settle(scored)
     errors = scored.agg(F.count_if(F.col("error").isNotNull()).alias("n")).scalar()
     guard = F.when(
         errors >= max_errors, F.raise_error(F.lit("error budget exceeded")).cast("boolean")

@@ -144,8 +144,9 @@ def score_batch(
 ) -> DataFrame:
     """Run a Python scorer over Arrow batches of ``key, text``; the scorer is built once per task.
 
-    ``schema`` declares the fields the scorer returns. When a batch fails its rows are retried one
-    by one; a failing row gets nulls and its message in ``error_message``.
+    ``schema`` declares the fields the scorer returns. When a batch fails, or does not give one result
+    per text, its rows are retried one by one; a failing row gets nulls and its message in
+    ``error_message``.
     """
     fields = T.StructType.fromDDL(schema)
     names = [f.name for f in fields]
@@ -156,16 +157,22 @@ def score_batch(
     def run(batches: Iterable[pd.DataFrame]) -> Iterable[pd.DataFrame]:
         scorer = build()
 
+        def scores(values: list[str]) -> list[dict]:
+            results = list(scorer(values))
+            if len(results) != len(values):
+                raise ValueError(f"the scorer gave {len(results)} results for {len(values)} texts")
+            return [{**r, "error_message": None} for r in results]
+
         def one(value: str) -> dict:
             try:
-                return {**scorer([value])[0], "error_message": None}
+                return scores([value])[0]
             except Exception as failure:  # a bad row must not stop the run
                 return {"error_message": str(failure)}
 
         for rows in batches:
             texts = rows[text].tolist()
             try:
-                results = [{**r, "error_message": None} for r in scorer(texts)]
+                results = scores(texts)
             except Exception:
                 results = [one(value) for value in texts]
             scored = pd.DataFrame(results, columns=[*names, "error_message"])

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.ratios import pct_round, safe_ratio
 from ..functions.text import snippet
-from ..session import settle
+from .corpus import text_key
 
 
 def _stack(tables: Sequence[DataFrame]) -> DataFrame:
@@ -90,7 +90,7 @@ def _text_presence(configs: dict[str, Column | DataFrame], text: str) -> DataFra
     tagged = []
     for name, df in configs.items():
         flags = [F.lit(name == other).alias(f"in_{other}") for other in configs]
-        tagged.append(df.select(F.sha2(F.col(text), 256).alias("text_key"), *flags))
+        tagged.append(df.where(F.col(text).isNotNull()).select(F.sha2(F.col(text), 256).alias("text_key"), *flags))
     return _stack(tagged).groupBy("text_key").agg(
         *[F.bool_or(f"in_{name}").alias(f"in_{name}") for name in configs]
     )
@@ -115,7 +115,7 @@ def shared_text_annotations(configs: dict[str, DataFrame], shown: dict[str, Sequ
     """All rows of one text that every configuration has (the smallest digest): ``config, row``."""
     presence = _text_presence(configs, text)
     every = reduce(lambda x, y: x & y, [F.col(f"in_{n}") for n in configs])
-    sample = settle(presence.filter(every).agg(F.min("text_key").alias("k"))).scalar()
+    sample = presence.filter(every).agg(F.min("text_key").alias("k")).scalar()
     parts = [
         df.filter(F.sha2(F.col(text), 256) == sample).select(
             F.lit(name).alias("config"), F.to_json(F.struct(*shown[name])).alias("row")
@@ -125,14 +125,21 @@ def shared_text_annotations(configs: dict[str, DataFrame], shown: dict[str, Sequ
     return _stack(parts)
 
 
+def _texts(df: DataFrame, text: str) -> DataFrame:
+    """Each distinct text once beside its digest; all null texts are one."""
+    return df.select(text_key(F.col(text)).alias("_key"), text).groupBy("_key").agg(F.first(text).alias(text))
+
+
 def intersect_texts(left: DataFrame, right: DataFrame, text: str = "text") -> DataFrame:
-    """Distinct texts present on both sides."""
-    return left.select(text).intersect(right.select(text))
+    """Distinct texts present on both sides: only digests of the right side are moved."""
+    other = right.select(text_key(F.col(text)).alias("_key")).distinct()
+    return _texts(left, text).join(other, "_key", "left_semi").select(text)
 
 
 def except_texts(left: DataFrame, right: DataFrame, text: str = "text") -> DataFrame:
     """Distinct texts of the left side that the right side lacks."""
-    return left.select(text).subtract(right.select(text))
+    other = right.select(text_key(F.col(text)).alias("_key")).distinct()
+    return _texts(left, text).join(other, "_key", "left_anti").select(text)
 
 
 def behaviour_rates(scored: DataFrame, by: Sequence[str] = ()) -> DataFrame:

@@ -1,10 +1,9 @@
-"""Exact ranks, cut points and running totals without a single-task window.
+"""Exact ranks, cut points and running totals without a single-task window, and without a job at build time.
 
-Rows are spread over many buckets of the ordering key; a small table of per-bucket sums gives
-each bucket its offset, and windows only ever run inside one bucket. Hash order buckets by the
-leading hex digits of ``md5(key|seed)``; id order buckets a unique integer id by ranges of
-``ID_BUCKET`` values, so a bucket can hold at most that many rows. Groups of ordinary size are
-ranked by one plain window; only groups counted above ``ID_BUCKET`` rows are bucketed.
+Rows are spread over buckets of the ordering key; a small table of per-bucket sums gives each bucket
+its offset, and windows only ever run inside one bucket. Hash order buckets by the leading hex digits
+of ``md5(key|seed)``; id order buckets by ``ID_BUCKETS`` quantiles of the ids, read from a sketch inside
+the same query, so dense, sparse and packed ids spread alike and no group, however hot, is one task.
 """
 
 from __future__ import annotations
@@ -14,72 +13,55 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import lookup_side
 from .joins import null_safe_join
 
-ID_BITS = 20
-ID_BUCKET = 1 << ID_BITS
+ID_BUCKETS = 256
 HASH_DIGITS = 4
 
 
 def hash_key(key: str | Sequence[str], seed: int | str) -> Column:
-    """The shuffle order: md5 of the key column(s) and the seed."""
-    names = [key] if isinstance(key, str) else list(key)
-    parts = [F.coalesce(F.col(n).cast("string"), F.lit("")) for n in names]
-    return F.md5(F.concat_ws("|", *parts, F.lit(str(seed))))
+    """The shuffle order: md5 of the key and the seed; several key columns are told apart, nulls too."""
+    if isinstance(key, str):
+        text = F.coalesce(F.col(key).cast("string"), F.lit(""))
+    else:
+        text = F.to_json(F.struct(*[F.col(n).cast("string").alias(f"k{i}") for i, n in enumerate(key)]))
+    return F.md5(F.concat_ws("|", text, F.lit(str(seed))))
 
 
 def hash_bucket() -> Column:
     return F.conv(F.substring("_hash", 1, HASH_DIGITS), 16, 10).cast("long")
 
 
-def hot_groups(rows: DataFrame, keys: Sequence[str], limit: int) -> DataFrame:
-    """Groups with more than ``limit`` rows and their sizes (``n_rows``): counted once, usually none."""
-    sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"))
-    return lookup_side(sizes.filter(F.col("n_rows") > limit))
+def with_id_bucket(df: DataFrame, order: str, name: str = "_bucket") -> DataFrame:
+    """Number of quantiles of the whole table below the row's id, as column ``name``."""
+    shares = F.array(*[F.lit(i / ID_BUCKETS) for i in range(1, ID_BUCKETS)])
+    edges = df.agg(F.percentile_approx(F.col(order).cast("long"), shares).alias("e")).scalar()
+    below = F.size(F.filter("_edges", lambda e: e < F.col(order)))
+    return df.withColumn("_edges", edges).withColumn(name, F.greatest(below, F.lit(0)).cast("long")).drop("_edges")
 
 
 def _offsets(buckets: DataFrame, sums: Sequence[str]) -> DataFrame:
-    """Exclusive running sums over the bucket table, two levels deep so no window sees all buckets."""
-    level = buckets.withColumn("_upper", F.shiftright("_bucket", ID_BITS))
-    above = level.groupBy("_group", "_upper").agg(*[F.sum(s).alias(s) for s in sums])
-    before = Window.partitionBy("_group").orderBy("_upper").rowsBetween(Window.unboundedPreceding, -1)
-    above = above.select(
-        "_group", "_upper", *[F.coalesce(F.sum(s).over(before), F.lit(0)).alias(f"_above_{s}") for s in sums]
-    )
-    inside = (
-        Window.partitionBy("_group", "_upper")
-        .orderBy("_bucket")
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    within = level.select(
-        "_group",
-        "_upper",
-        "_bucket",
-        *[F.coalesce(F.sum(s).over(inside), F.lit(0)).alias(f"_within_{s}") for s in sums],
-    )
-    return within.join(above, ["_group", "_upper"]).select(
-        "_group",
-        "_bucket",
-        *[(F.col(f"_above_{s}") + F.col(f"_within_{s}")).alias(f"_before_{s}") for s in sums],
+    """Exclusive running sums over the bucket table, which has few rows per group."""
+    before = Window.partitionBy("_group").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    return buckets.select(
+        "_group", "_bucket", *[F.coalesce(F.sum(s).over(before), F.lit(0)).alias(f"_before_{s}") for s in sums]
     )
 
 
 def _bucketed(
     df: DataFrame,
-    bucket: Column,
     order: Sequence[Column],
     by: Sequence[str],
     totals: Mapping[str, Column],
 ) -> DataFrame:
-    """Inclusive running totals of each value within ``by``, in ``order``.
+    """Inclusive running totals of each value within ``by``, in ``order``, of rows with a ``_bucket``.
 
     The group is one struct column: never null, so the join needs no null handling and reuses the
     partitioning of the window. The rows are shuffled once.
     """
     names = list(totals)
     group = F.struct(*[F.col(n) for n in by]) if by else F.struct(F.lit(0).alias("all"))
-    rows = df.withColumns({"_group": group, "_bucket": bucket, **{f"_v_{n}": c for n, c in totals.items()}})
+    rows = df.withColumns({"_group": group, **{f"_v_{n}": c for n, c in totals.items()}})
     sums = rows.groupBy("_group", "_bucket").agg(*[F.sum(f"_v_{n}").alias(n) for n in names])
     inside = (
         Window.partitionBy("_group", "_bucket")
@@ -88,37 +70,18 @@ def _bucketed(
     )
     local = rows.withColumns({f"_w_{n}": F.sum(f"_v_{n}").over(inside) for n in names})
     return local.join(_offsets(sums, names), ["_group", "_bucket"]).select(
-        *df.columns, *[(F.col(f"_before_{n}") + F.col(f"_w_{n}")).alias(n) for n in names]
+        *[c for c in df.columns if c != "_bucket"], *[(F.col(f"_before_{n}") + F.col(f"_w_{n}")).alias(n) for n in names]
     )
 
 
-def running_totals(
-    df: DataFrame,
-    order: str,
-    totals: Mapping[str, Column],
-    by: Sequence[str] = (),
-    group_limit: int = ID_BUCKET,
-) -> DataFrame:
+def running_totals(df: DataFrame, order: str, totals: Mapping[str, Column], by: Sequence[str] = ()) -> DataFrame:
     """Running totals along a unique integer id, per group when ``by`` is given."""
-    by = list(by)
-    bucket = F.shiftright(F.col(order).cast("long"), ID_BITS)
-    if not by:
-        return _bucketed(df, bucket, [F.col(order)], by, totals)
-    hot = hot_groups(df, by, group_limit).drop("n_rows")
-    ordinary = null_safe_join(df, hot, by, "left_anti")
-    inside = (
-        Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    plain = ordinary.withColumns({n: F.sum(c).over(inside) for n, c in totals.items()})
-    spread = _bucketed(null_safe_join(df, hot, by, "left_semi"), bucket, [F.col(order)], by, totals)
-    return plain.unionByName(spread)
+    return _bucketed(with_id_bucket(df, order), [F.col(order)], list(by), totals)
 
 
-def id_rank(
-    df: DataFrame, order: str, by: Sequence[str] = (), name: str = "rank", group_limit: int = ID_BUCKET
-) -> DataFrame:
+def id_rank(df: DataFrame, order: str, by: Sequence[str] = (), name: str = "rank") -> DataFrame:
     """1-based rank in the order of a unique integer id."""
-    return running_totals(df, order, {name: F.lit(1).cast("long")}, by, group_limit)
+    return running_totals(df, order, {name: F.lit(1).cast("long")}, by)
 
 
 def hash_rank(
@@ -126,9 +89,9 @@ def hash_rank(
 ) -> DataFrame:
     """1-based rank in the seeded hash order; reproducible on any cluster size."""
     keys = [key] if isinstance(key, str) else list(key)
-    rows = df.withColumn("_hash", hash_key(keys, seed))
+    rows = df.withColumn("_hash", hash_key(key, seed)).withColumn("_bucket", hash_bucket())
     order = [F.col("_hash"), *[F.col(k) for k in keys]]
-    return _bucketed(rows, hash_bucket(), order, list(by), {name: F.lit(1).cast("long")}).drop("_hash")
+    return _bucketed(rows, order, list(by), {name: F.lit(1).cast("long")}).drop("_hash")
 
 
 def hash_cuts(
@@ -141,7 +104,8 @@ def hash_cuts(
     """Hash values at chosen ranks, one row per group: columns ``by``, ``cut_0``, ``cut_1``, …
 
     ``targets`` maps the group size to the wanted ranks. Two narrow scans: one counts hash
-    buckets, one ranks only the buckets that contain a wanted rank. A rank of 0 gives a null cut.
+    buckets, one ranks only the buckets that contain a wanted rank (a small table that AQE broadcasts
+    when it is). A rank of 0 gives a null cut.
     """
     group = list(by)
     narrow = df.select(*group, F.col(key).alias("_key")).withColumn("_hash", hash_key("_key", seed))
@@ -161,9 +125,7 @@ def hash_cuts(
     edges = edges.withColumn("_cut", F.explode(F.array(*ranks))).filter(
         (rank <= upto) & (rank > upto - F.col("_n"))
     )
-    hit = lookup_side(
-        edges.select(*group, "_bucket", F.col("_cut.no").alias("_no"), (rank - (upto - F.col("_n"))).alias("_nth"))
-    )
+    hit = edges.select(*group, "_bucket", F.col("_cut.no").alias("_no"), (rank - (upto - F.col("_n"))).alias("_nth"))
     candidates = null_safe_join(narrow, hit, [*group, "_bucket"])
     nth = Window.partitionBy(*group, "_bucket", "_no").orderBy("_hash", "_key")
     found = candidates.withColumn("_rn", F.row_number().over(nth)).filter(F.col("_rn") == F.col("_nth"))

@@ -7,11 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import lookup_side, settle
-from .joins import null_safe_join
 from .ranks import hash_cuts, hash_key, id_rank
 
 RATIOS = (0.7, 0.15, 0.15)
+# Most groups whose cut points are held as one value beside every row.
+MOST_GROUPS = 100_000
 
 
 def _rounded(total: Column, ratio: float) -> Column:
@@ -27,11 +27,31 @@ def _name_split(h: Column, cut_train: Column, cut_val: Column) -> Column:
     return F.when(h <= cut_train, "train").when(h <= cut_val, "val").otherwise("test")
 
 
+def _group_name(by: Sequence[str]) -> Column:
+    return F.to_json(F.struct(*[F.col(n).cast("string").alias(f"g{i}") for i, n in enumerate(by)]))
+
+
+def _cuts_of_row(cuts: DataFrame, by: Sequence[str]) -> Column:
+    """The cut points of a row's group as a struct, without a join: no shuffle of the rows.
+
+    The cut points of all groups are one value of the query, at most ``MOST_GROUPS`` of them; a table
+    with more groups fails with a message, since a split by so many labels is a mistake.
+    """
+    points = F.struct(*[c for c in cuts.columns if c.startswith("cut_")])
+    if not by:
+        return cuts.select(points.alias("p")).scalar()
+    few = F.when(
+        F.count(F.lit(1)) > MOST_GROUPS, F.raise_error(F.lit(f"more than {MOST_GROUPS} groups")).cast("boolean")
+    ).otherwise(F.lit(True))
+    entries = F.collect_list(F.struct(_group_name(by).alias("k"), points.alias("v")))
+    table = cuts.limit(MOST_GROUPS + 1).agg(F.when(few, F.map_from_entries(entries)).alias("m")).scalar()
+    return F.try_element_at(table, _group_name(by))
+
+
 def _by_cuts(df: DataFrame, cuts: DataFrame, by: Sequence[str], key: str, seed: int | str) -> DataFrame:
-    """Assign every row by comparing its hash with its group's cut points: no shuffle of the rows."""
-    joined = null_safe_join(df, lookup_side(cuts), by, "left")
-    named = _name_split(hash_key(key, seed), F.col("cut_0"), F.col("cut_1"))
-    return joined.select(*df.columns, named.alias("split"))
+    """Assign every row by comparing its hash with its group's cut points."""
+    own = _cuts_of_row(cuts, by)
+    return df.withColumn("split", _name_split(hash_key(key, seed), own["cut_0"], own["cut_1"]))
 
 
 def split_stratified(
@@ -60,22 +80,17 @@ def split_plain(
         train = _rounded(total, ratios[0])
         return [train, train + _rounded(total, ratios[1])]
 
-    cuts = settle(hash_cuts(df, key, seed, [], sizes))
-    h = hash_key(key, seed)
-    return df.withColumn(
-        "split", _name_split(h, cuts.select("cut_0").scalar(), cuts.select("cut_1").scalar())
-    )
+    return _by_cuts(df, hash_cuts(df, key, seed, [], sizes), [], key, seed)
 
 
 def split_tiny(
     df: DataFrame, key: str, ratios: Sequence[float] = RATIOS, seed: int | str = 42
 ) -> DataFrame:
     """``split_plain``, except that up to three rows give the last row to val and the rest to train."""
-    whole = settle(df.agg(F.count(F.lit(1)).alias("n"), F.max(key).alias("last")))
-    tiny = whole.select(F.col("n") <= 3).scalar()
-    small = F.when(F.col(key) == whole.select("last").scalar(), "val").otherwise("train")
+    whole = df.agg(F.struct(F.count(F.lit(1)).alias("n"), F.max(key).alias("last")).alias("w")).scalar()
+    small = F.when(F.col(key) == whole["last"], "val").otherwise("train")
     plain = split_plain(df, key, ratios, seed)
-    return plain.withColumn("split", F.when(tiny, small).otherwise(F.col("split")))
+    return plain.withColumn("split", F.when(whole["n"] <= 3, small).otherwise(F.col("split")))
 
 
 def leakage_check(df: DataFrame, key: str, split: str = "split") -> DataFrame:
@@ -95,8 +110,9 @@ def leakage_check(df: DataFrame, key: str, split: str = "split") -> DataFrame:
 
 
 def take_first(df: DataFrame, n: int, key: str, seed: int | str = 42) -> DataFrame:
-    """The first n rows in the seeded order (a per-task heap, no global sort)."""
-    return df.withColumn("_hash", hash_key(key, seed)).orderBy("_hash", key).limit(n).drop("_hash")
+    """The first n rows in the seeded order: rows up to one cut hash, so no task gathers them."""
+    cuts = hash_cuts(df, key, seed, [], lambda total: [F.least(total, F.lit(n).cast("long"))])
+    return df.where(hash_key(key, seed) <= _cuts_of_row(cuts, [])["cut_0"])
 
 
 sample_n = take_first
@@ -104,8 +120,9 @@ sample_n = take_first
 
 def take_last(df: DataFrame, n: int, key: str, seed: int | str = 42) -> DataFrame:
     """The last n rows in the seeded order."""
-    ordered = df.withColumn("_hash", hash_key(key, seed)).orderBy(F.desc("_hash"), F.desc(key))
-    return ordered.limit(n).drop("_hash")
+    cuts = hash_cuts(df, key, seed, [], lambda total: [F.greatest(total - F.lit(n), F.lit(0).cast("long"))])
+    before = F.coalesce(_cuts_of_row(cuts, [])["cut_0"], F.lit(""))  # no cut: all rows
+    return df.where((hash_key(key, seed) > before) & (F.lit(n) > 0))
 
 
 def train_val_edges(
@@ -117,11 +134,11 @@ def train_val_edges(
         tail = F.greatest(F.lit(val_min).cast("long"), total - F.lit(train_n))
         return [F.least(total, F.lit(train_n).cast("long")), total - tail]
 
-    cuts, h = settle(hash_cuts(df, key, seed, [], edges)), hash_key(key, seed)
-    before_val = F.coalesce(cuts.select("cut_1").scalar(), F.lit(""))  # no cut: every row is val
+    cuts, h = _cuts_of_row(hash_cuts(df, key, seed, [], edges), []), hash_key(key, seed)
+    before_val = F.coalesce(cuts["cut_1"], F.lit(""))  # no cut: every row is val
     roles = F.array_compact(
         F.array(
-            F.when(h <= cuts.select("cut_0").scalar(), F.lit("train")),
+            F.when(h <= cuts["cut_0"], F.lit("train")),
             F.when(h > before_val, F.lit("val")),
         )
     )
@@ -144,8 +161,7 @@ def cap_splits(
     capped = hash_cuts(
         df.withColumn("_cap", cap), key, seed, [split, "_cap"], lambda n: [F.least(n, F.col("_cap"))]
     )
-    kept = null_safe_join(df, lookup_side(capped.drop("_cap")), [split])
-    return kept.filter(hash_key(key, seed) <= F.col("cut_0")).select(*df.columns)
+    return df.where(hash_key(key, seed) <= _cuts_of_row(capped.drop("_cap"), [split])["cut_0"])
 
 
 def sequence_ids(
@@ -166,13 +182,9 @@ def batch_slices(df: DataFrame, order: str, size: int, by: Sequence[str] = ()) -
 def few_shot_select(
     df: DataFrame, key: str, k: int, by: Sequence[str] = (), seed: int | str = 42
 ) -> DataFrame:
-    """Up to k rows per class. Only keys are ranked, and each task keeps k per class before the shuffle."""
-    if not by:
-        return take_first(df, k, key, seed)
-    narrow = df.select(key, *by).withColumn("_hash", hash_key(key, seed))
-    first = Window.partitionBy(*by).orderBy("_hash", key)
-    picked = narrow.withColumn("_rn", F.row_number().over(first)).filter(F.col("_rn") <= k)
-    return df.join(lookup_side(picked.select(key)), key, "left_semi")
+    """Up to k rows per class in the seeded order: rows up to the class's cut hash."""
+    cuts = hash_cuts(df, key, seed, list(by), lambda total: [F.least(total, F.lit(k).cast("long"))])
+    return df.where(hash_key(key, seed) <= _cuts_of_row(cuts, list(by))["cut_0"])
 
 
 def bootstrap_set_count(candidates: int) -> int:
@@ -183,20 +195,15 @@ def bootstrap_set_count(candidates: int) -> int:
 def bootstrap_sets(df: DataFrame, key: str, sets: int, k: int, seed: int | str = 42) -> DataFrame:
     """``sets`` seeded draws of up to k rows each, as columns ``set_no, position`` and the key.
 
-    Each draw is a top-k over the key column alone, so the table itself is never multiplied.
+    One scan of the key column; each task keeps k keys per set before the shuffle.
     """
-    keys = df.select(key)
-    draws = None
-    for number in range(sets):
-        draw = (
-            keys.withColumn("_hash", hash_key(key, f"{seed}/{number}"))
-            .orderBy("_hash", key)
-            .limit(k)
-            .withColumn("set_no", F.lit(number).cast("long"))
-        )
-        draws = draw if draws is None else draws.unionByName(draw)
+    number = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(sets - 1).cast("long")))
+    drawn = df.select(key, number.alias("set_no")).withColumn(
+        "_hash", F.md5(F.concat_ws("|", F.coalesce(F.col(key).cast("string"), F.lit("")), F.concat(F.lit(f"{seed}/"), F.col("set_no").cast("string"))))
+    )
     order = Window.partitionBy("set_no").orderBy("_hash", key)
-    return draws.withColumn("position", F.row_number().over(order).cast("long")).drop("_hash")
+    placed = drawn.withColumn("position", F.row_number().over(order).cast("long"))
+    return placed.where(F.col("position") <= k).select(key, "set_no", "position")
 
 
 def enough_examples(df: DataFrame, needed: int = 3) -> DataFrame:

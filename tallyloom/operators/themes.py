@@ -8,12 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import fixed
 from ..functions.text import word_hits
-from ..session import lookup_side
 from .ranks import id_rank
 from .splits import batch_slices
 
@@ -47,6 +46,10 @@ GENERIC_WORDS = (
     "new",
 )
 
+STOP_WORDS = ("a", "and", "for", "in", "of", "on", "the", "to", "with")
+# Least share of common words (Jaccard) of two theme names that mean one theme.
+ALIKE = 0.5
+
 
 def rule_words(text: Column, *rule_sets: Rules) -> Column:
     """Distinct rule words found in a text: one scan, however many rules there are."""
@@ -114,32 +117,42 @@ def group_features(categorized: DataFrame, vocabulary: Sequence[str], size: int
     )
 
 
-def assign_themes(
+def themed_rows(
     prs: DataFrame,
     rules: Rules = SERVICE_RULES,
-    batch_size: int = 5,
     descriptions: Mapping[str, str] | None = None,
     default: str = fixed.SERVICES[-1],
     sub_rules: Rules | None = None,
 ) -> DataFrame:
-    """Map every pull request of every batch to one theme: ``batch_no, theme, theme_description, pr``.
+    """Theme of every pull request, decided where its text is read: ``pr, theme, theme_description``.
 
     With ``sub_rules`` the subtheme is decided in the same scan and kept as ``subtheme``.
     """
     about = F.concat(F.lit("Changes to "), F.col("theme"))
     for name, text in (descriptions or {}).items():
         about = F.when(F.col("theme") == name, F.lit(text)).otherwise(about)
-    # Decided where the texts are read: only ids and names are shuffled.
     found = F.col("_found")
     decided = {"theme": rule_value(found, rules, default)}
     if sub_rules is not None:
         decided["subtheme"] = rule_value(found, sub_rules, "General")
-    scanned = prs.select("pr", rule_words(pr_text(), rules, sub_rules or {}).alias("_found"))
-    narrow = scanned.select("pr", *[c.alias(n) for n, c in decided.items()])
-    extra = [n for n in decided if n != "theme"]
-    return batch_slices(narrow, "pr", batch_size).select(
-        "batch_no", "theme", about.alias("theme_description"), "pr", *extra
-    )
+    scanned = prs.withColumn("_found", rule_words(pr_text(), rules, sub_rules or {}))
+    kept = [c for c in ("month", "year") if c in prs.columns]
+    narrow = scanned.select("pr", *kept, *[c.alias(n) for n, c in decided.items()])
+    return narrow.withColumn("theme_description", about)
+
+
+def assign_themes(
+    prs: DataFrame,
+    rules: Rules = SERVICE_RULES,
+    batch_size: int = 5,
+    descriptions: Mapping[str, str] | None = None,
+    default: str = fixed.SERVICES[-1],
+    sub_rules: Rules | None = None,
+) -> DataFrame:
+    """Map every pull request of every batch to one theme: ``batch_no, theme, theme_description, pr``."""
+    narrow = themed_rows(prs, rules, descriptions, default, sub_rules)
+    extra = [] if sub_rules is None else ["subtheme"]
+    return batch_slices(narrow, "pr", batch_size).select("batch_no", "theme", "theme_description", "pr", *extra)
 
 
 def batch_theme_lists(mapping: DataFrame) -> DataFrame:
@@ -151,7 +164,7 @@ def batch_theme_lists(mapping: DataFrame) -> DataFrame:
 
 def theme_key(name: Column, generic: Sequence[str] = GENERIC_WORDS) -> Column:
     """Similarity key of a theme name: its distinct specific words, singular and sorted."""
-    words = F.filter(F.split(F.lower(name), r"[^\p{L}\p{N}]+"), lambda w: w != "")
+    words = F.filter(F.split(F.lower(name), r"[^\p{L}\p{N}]+"), lambda w: (w != "") & ~w.isin(*STOP_WORDS))
     specific = F.filter(words, lambda w: ~w.isin(*generic))
     kept = F.when(F.size(specific) > 0, specific).otherwise(words)
     singular = F.transform(kept, lambda w: F.regexp_replace(w, "(?<=[^s]{2})s$", ""))
@@ -161,8 +174,50 @@ def theme_key(name: Column, generic: Sequence[str] = GENERIC_WORDS) -> Column:
 def theme_names(rows: DataFrame) -> DataFrame:
     """One name and description per theme key: the earliest ``origin`` wins."""
     first = F.min(F.struct("origin", "theme", "theme_description"))
-    return rows.groupBy("theme_key").agg(first.alias("_f")).select(
-        "theme_key", "_f.theme", "_f.theme_description"
+    return rows.groupBy("theme_key").agg(first.alias("_f")).select("theme_key", "_f.*")
+
+
+def alike_keys(names: DataFrame, alike: float = ALIKE) -> DataFrame:
+    """Pairs of different theme keys whose words agree in the share ``alike``: ``theme_key, other``.
+
+    Keys meet by their rarest words only: of n words, n - ceil(alike n) + 1 suffice to miss no pair, so a word
+    that most names have forms no block of all of them.
+    """
+    words = names.select("theme_key", F.explode(F.split("theme_key", " ")).alias("w"))
+    counts = words.groupBy("w").agg(F.count(F.lit(1)).alias("n"))
+    # A key has few words: they are listed again beside how common each is.
+    ranked = words.join(counts, "w").groupBy("theme_key").agg(F.sort_array(F.collect_list(F.struct("n", "w"))).alias("ws"))
+    ws = F.transform("ws", lambda x: x["w"])
+    prefix = F.slice(ws, 1, (F.size(ws) - F.ceil(F.size(ws) * F.lit(alike)) + 1).cast("int"))
+    keyed = ranked.select("theme_key", ws.alias("ws"), F.explode(prefix).alias("w"))
+    a, b = keyed.alias("a"), keyed.alias("b")
+    common = F.size(F.array_intersect("a.ws", "b.ws"))
+    close = common >= F.lit(alike) * (F.size("a.ws") + F.size("b.ws") - common)
+    meet = (F.col("a.w") == F.col("b.w")) & (F.col("a.theme_key") != F.col("b.theme_key")) & close
+    return a.join(b, meet).select("a.theme_key", F.col("b.theme_key").alias("other")).distinct()
+
+
+def theme_leaders(names: DataFrame, alike: float = ALIKE) -> DataFrame:
+    """The theme each key belongs to: ``theme_key, leader, theme, theme_description, origin``.
+
+    In the order of ``origin`` and key, a key that is alike no earlier one leads a theme; another one joins
+    the earliest leader it is alike, or leads its own if it is only alike keys that joined others. A
+    later name therefore never changes an earlier theme. ``names`` is one row per key (``theme_names``).
+    """
+    place = names.select("theme_key", F.struct("origin", "theme_key").alias("at"))
+    pairs = (
+        alike_keys(names, alike)
+        .join(place, "theme_key")
+        .join(place.select(F.col("theme_key").alias("other"), F.col("at").alias("other_at")), "other")
+        .where("other_at < at")
+    )
+    followers = pairs.select("theme_key").distinct()
+    leaders = names.select(F.col("theme_key").alias("other")).join(followers.withColumnRenamed("theme_key", "other"), "other", "left_anti")
+    joined = pairs.join(leaders, "other").groupBy("theme_key").agg(F.min("other_at").alias("_l"))
+    led = names.select("theme_key").join(joined, "theme_key", "left")
+    led = led.select("theme_key", F.coalesce("_l.theme_key", "theme_key").alias("leader"))
+    return led.join(names.withColumnRenamed("theme_key", "leader"), "leader").select(
+        "theme_key", "leader", "theme", "theme_description", "origin"
     )
 
 
@@ -178,17 +233,24 @@ def merge_themes(existing: DataFrame, new: DataFrame) -> DataFrame:
     return merged_view(rows)
 
 
+def with_theme_key(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("theme_key", F.coalesce(theme_key(F.col("theme")), F.lit("")))
+
+
 def merged_view(rows: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Merged themes from contributions with an ``origin`` order; ``keep`` adds member columns.
 
-    There is one name per theme, so the names are joined as a size-checked lookup: a theme that
-    owns a third of the members makes no large partition.
+    Names are few beside members: AQE broadcasts them when they are small, and else splits the partition
+    of a theme that owns most members.
     """
-    keyed = rows.withColumn("theme_key", F.coalesce(theme_key(F.col("theme")), F.lit("")))
-    members = keyed.select("theme_key", "pr", *keep).distinct()
-    return members.join(lookup_side(theme_names(keyed)), "theme_key").select(
-        "theme_key", "theme", "theme_description", "pr", *keep
-    )
+    keyed = with_theme_key(rows)
+    return named_members(keyed, theme_leaders(theme_names(keyed)), keep)
+
+
+def named_members(keyed: DataFrame, leaders: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Members under the key and name of their theme, each once."""
+    named = keyed.select("theme_key", "pr", *keep).join(leaders, "theme_key")
+    return named.select(F.col("leader").alias("theme_key"), "theme", "theme_description", "pr", *keep).distinct()
 
 
 def theme_details(members: DataFrame, prs: DataFrame) -> DataFrame:
@@ -203,72 +265,86 @@ def subthemes(details: DataFrame, rules: Rules, default: str = "General") -> Dat
 
 
 def render_changelog(
-    themed: DataFrame, month: str, year: int, ids_per_list: int = 1000, as_attribute: bool = True
+    themed: DataFrame, month: str | None = None, year: int | None = None, ids_per_list: int = 1000, as_attribute: bool = True
 ) -> DataFrame:
-    """Changelog blocks of one month: ``document, theme, subtheme, part, block``.
+    """Changelog pieces of every document: ``document, theme, subtheme, part, block``.
 
-    ``themed`` holds ``theme, theme_description, subtheme, pr``. Blocks sorted by the first four
-    columns and joined by a blank line form the document; the head has empty theme and subtheme.
-    Ids of a large subtheme continue in further parts.
+    ``themed`` holds ``theme, theme_description, subtheme, pr``, and ``month`` and ``year`` unless one month
+    is given. Pieces in the order of the first four columns, one after the other, are the document
+    (``changelog_text``): each brings the blank line before it, and the ids of a large subtheme, cut into
+    parts of ``ids_per_list``, are one list whatever the size of the parts.
     """
-    spark = themed.sparkSession
-    name = f"{month} {year}"
-    head = spark.range(1).select(
-        F.lit(name).alias("document"),
-        F.lit("").alias("theme"),
-        F.lit("").alias("subtheme"),
-        F.lit(0).cast("long").alias("part"),
-        F.lit(f'---\ntitle: "{name}"\n---\n\nimport {{ PrList }} from "@components/PrList"').alias("block"),
-    )
-    titles = themed.groupBy("theme").agg(F.min("theme_description").alias("about"))
-    titles = titles.select(
-        F.lit(name).alias("document"),
-        "theme",
-        F.lit("").alias("subtheme"),
-        F.lit(0).cast("long").alias("part"),
-        F.concat(F.lit("## "), F.col("theme"), F.lit("\n\n"), F.col("about")).alias("block"),
-    )
-    ids = F.array_join(F.col("pr_ids").cast("array<string>"), ", ")
-    if as_attribute:
-        listed = F.concat(F.lit("<PrList ids={["), ids, F.lit("]}></PrList>"))
+    if month is None:
+        themed = themed.withColumn("document", F.concat_ws(" ", "month", "year"))
+        names = themed.select("document").distinct()
     else:
-        listed = F.concat(F.lit("<PrList>{["), ids, F.lit("]}</PrList>"))
-    heading = F.when(F.col("part") == 0, F.concat(F.lit("### "), F.col("subtheme"), F.lit("\n\n"))).otherwise("")
-    lists = id_slices(themed, ["theme", "subtheme"], size=ids_per_list).select(
-        F.lit(name).alias("document"), "theme", "subtheme", "part", F.concat(heading, listed).alias("block")
+        themed = themed.withColumn("document", F.lit(f"{month} {year}"))
+        names = themed.sparkSession.range(1).select(F.lit(f"{month} {year}").alias("document"))
+
+    def pieces(df: DataFrame, theme: Column, subtheme: Column, block: Column) -> DataFrame:
+        part = F.col("part") if "part" in df.columns else F.lit(0).cast("long")
+        return df.select("document", theme.alias("theme"), subtheme.alias("subtheme"), part.alias("part"), block.alias("block"))
+
+    none = F.lit("")
+    title = F.concat(F.lit('---\ntitle: "'), F.col("document"), F.lit('"\n---\n\nimport { PrList } from "@components/PrList"'))
+    titles = themed.groupBy("document", "theme").agg(F.min("theme_description").alias("about"))
+    about = F.concat(F.lit("\n\n## "), F.col("theme"), F.lit("\n\n"), F.col("about"))
+    start, end = ("<PrList ids={[", "]}></PrList>") if as_attribute else ("<PrList>{[", "]}</PrList>")
+    by = ["document", "theme", "subtheme"]
+    slices = id_slices(themed, by, size=ids_per_list)
+    slices = slices.withColumn("_last", F.max("part").over(Window.partitionBy(*by)))
+    opened = F.concat(F.lit("\n\n### "), F.col("subtheme"), F.lit("\n\n" + start))
+    listed = F.concat(
+        F.when(F.col("part") == 0, opened).otherwise(", "),
+        F.array_join(F.col("pr_ids").cast("array<string>"), ", "),
+        F.when(F.col("part") == F.col("_last"), F.lit(end)).otherwise(""),
+    )
+    head = pieces(names, none, none, title)
+    return head.unionByName(pieces(titles, F.col("theme"), none, about)).unionByName(
+        pieces(slices, F.col("theme"), F.col("subtheme"), listed)
     )
-    return head.unionByName(titles).unionByName(lists)
 
 
-def changelog_text(blocks: DataFrame, max_blocks: int = 10_000) -> DataFrame:
-    """Whole documents as one text where they have at most ``max_blocks`` blocks.
+def changelog_blocks(pieces: DataFrame) -> DataFrame:
+    """Whole headings and lists in place of their parts: ``document, theme, subtheme, block``."""
+    rows = F.sort_array(F.collect_list(F.struct("part", "block")))
+    return pieces.groupBy("document", "theme", "subtheme").agg(
+        F.array_join(F.transform(rows, lambda r: r["block"]), "").alias("block")
+    )
 
-    Larger documents are written block by block (``write_blocks``); their text is null here.
-    """
-    sizes = blocks.groupBy("document").agg(F.count(F.lit(1)).alias("n_blocks"))
-    small = sizes.filter(F.col("n_blocks") <= max_blocks)
-    rows = F.collect_list(F.struct("theme", "subtheme", "part", "block"))
-    texts = (
-        blocks.join(small.drop("n_blocks"), "document")
-        .groupBy("document")
-        .agg(F.array_join(F.transform(F.sort_array(rows), lambda r: r["block"]), "\n\n").alias("text"))
+
+def changelog_text(pieces: DataFrame) -> DataFrame:
+    """Every document as one text: ``document, n_blocks, text``."""
+    rows = F.sort_array(F.collect_list(F.struct("theme", "subtheme", "part", "block")))
+    return pieces.groupBy("document").agg(
+        F.count_if(F.col("part") == 0).alias("n_blocks"),
+        F.array_join(F.transform(rows, lambda r: r["block"]), "").alias("text"),
     )
-    return sizes.join(texts, "document", "left")
 
 
 def document_ids(documents: DataFrame, text: str = "text") -> Column:
-    """All numbers inside the id lists of a document, distinct and sorted."""
-    lists = F.regexp_extract_all(F.col(text), F.lit(r"\[([0-9, ]*)\]"), 1)
+    """All numbers inside the id lists of a document, distinct and sorted; a list may begin or end at the text's edge."""
+    lists = F.regexp_extract_all(F.col(text), F.lit(r"(?:\[|^)([0-9, ]*)(?:\]|$)"), 1)
     numbers = F.flatten(F.transform(lists, lambda s: F.split(s, r"\s*,\s*")))
     kept = F.array_compact(F.transform(numbers, lambda s: s.try_cast("bigint")))
     return F.sort_array(F.array_distinct(kept))
 
 
-def document_coverage(documents: DataFrame, expected: Sequence[int], text: str = "text") -> DataFrame:
-    """Expected ids each document lacks, and whether it has them all."""
-    wanted = F.array(*[F.lit(int(i)).cast("bigint") for i in expected])
-    missing = F.array_except(wanted, document_ids(documents, text))
-    return documents.withColumns({"missing_ids": missing, "covers_all": F.size(missing) == 0})
+def missing_ids(documents: DataFrame, expected: DataFrame, by: str = "document", pr: str = "pr", text: str = "text") -> DataFrame:
+    """Ids of ``expected`` (``by, pr``) that their document does not list, one row each.
+
+    A document may come in pieces; the ids of all its pieces count.
+    """
+    listed = documents.select(by, F.explode(document_ids(documents, text)).alias(pr))
+    return expected.select(by, pr).distinct().join(listed, [by, pr], "left_anti")
+
+
+def document_coverage(documents: DataFrame, expected: DataFrame, by: str = "document", pr: str = "pr", text: str = "text") -> DataFrame:
+    """Per document with expected ids: how many, how many are missing, and whether it has them all."""
+    missing = missing_ids(documents, expected, by, pr, text).groupBy(by).agg(F.count(F.lit(1)).alias("n_missing"))
+    wanted = expected.select(by, pr).distinct().groupBy(by).agg(F.count(F.lit(1)).alias("n_expected"))
+    found = wanted.join(missing, by, "left").withColumn("n_missing", F.coalesce("n_missing", F.lit(0)))
+    return found.withColumn("covers_all", F.col("n_missing") == 0)
 
 
 def assemble_document(
@@ -281,7 +357,7 @@ def assemble_document(
 ) -> DataFrame:
     """Sections in order as ``## heading`` blocks joined by blank lines: ``by, part, text``.
 
-    Parts follow the position, so a document of any length is cut into bounded pieces.
+    Parts follow the position: storage units of a document of any length, which ``join_parts`` puts together.
     """
     block = F.concat(F.lit("## "), F.col(heading), F.lit("\n\n"), F.col(content))
     part = F.floor(F.col(pos) / sections_per_part).cast("long")
@@ -289,3 +365,9 @@ def assemble_document(
     return sections.groupBy(*by, part.alias("part")).agg(
         F.array_join(F.transform(F.sort_array(rows), lambda r: r["b"]), "\n\n").alias("text")
     )
+
+
+def join_parts(parts: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Whole documents from the parts of ``assemble_document``; the same text whatever the part size."""
+    rows = F.sort_array(F.collect_list(F.struct("part", "text")))
+    return parts.groupBy(*by).agg(F.array_join(F.transform(rows, lambda r: r["text"]), "\n\n").alias("text"))

@@ -16,9 +16,11 @@ from ..operators.costs import (
     cost_recommendations,
     cost_summary,
     phase_costs,
+    phase_files,
     phase_join,
+    phase_total,
 )
-from ..operators.metrics import add_grades, add_safety, classification_metrics, pipeline_scorecard
+from ..operators.metrics import add_grades, add_safety, classification_metrics, pipeline_scorecard_parts
 from ..operators.reports import (
     comparison_lines,
     finding_lines,
@@ -30,13 +32,11 @@ from ..operators.splits import split_stratified
 from ..operators.themes import (
     SERVICE_RULES,
     Rules,
-    assign_themes,
     categorize,
     customer_facing,
-    merged_view,
     render_changelog,
+    themed_rows,
 )
-from ..session import settle
 
 
 def graded_run(scored: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -56,14 +56,15 @@ def corpus_scorecard(
 ) -> DataFrame:
     """Unify, split, score the chosen split and report all metric families.
 
-    ``scorer`` adds ``y_pred, pred_drugs, pred_effects`` to examples with ``text, drugs, effects``.
+    ``scorer`` adds ``y_pred, pred_drugs, pred_effects`` to examples with ``text, drugs, effects``. The
+    lists of a text come in parts, one row each; predicted items of all parts count, ``y_pred`` that of part 0.
     """
     labelled = split_stratified(base, key, "label", seed=seed).filter(F.col("split") == split)
     examples = classification_examples(unify_corpus(labelled, effects, dosages))
     scored = scorer(examples).withColumns(
         {"y_true": F.col("has_ade"), "true_drugs": F.col("drugs"), "true_effects": F.col("effects")}
     )
-    return pipeline_scorecard(scored, by)
+    return pipeline_scorecard_parts(scored, key, by)
 
 
 def experiment(scored: DataFrame, base: str, candidate: str, names: Sequence[str]) -> dict[str, DataFrame]:
@@ -87,7 +88,7 @@ def approach_report(
     facts: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """Report lines of a run table: title, result table, findings, numbered recommendations."""
-    runs = settle(metrics)  # one row per run, read by every section
+    runs = metrics
     parts = [
         metric_table(runs, 1),
         finding_lines(cost_efficiency(runs, staged, direct, optimized), 2),
@@ -102,27 +103,30 @@ def approach_report(
 def cost_report(interactions: DataFrame, whole_path: bool = True) -> dict[str, DataFrame]:
     """Per-file costs, totals, phases and advice for recorded interactions."""
     costs = cassette_costs(calls_with_usage(interactions))
-    phases = phase_costs(phase_join(costs, whole_path=whole_path))
+    matched = phase_join(costs, whole_path=whole_path)
+    phases = phase_costs(matched)
     return {
         "files": costs,
         "summary": cost_summary(cassette_filter(costs)),
         "phases": phases,
+        "phase_files": phase_files(matched),
+        "phase_total": phase_total(phases),
         "recommendations": cost_recommendations(phases),
     }
 
 
 def changelog(
     prs: DataFrame,
-    month: str,
-    year: int,
+    month: str | None = None,
+    year: int | None = None,
     rules: Rules = SERVICE_RULES,
     sub_rules: Rules | None = None,
-    batch_size: int = 5,
     internal_hidden: bool = True,
 ) -> DataFrame:
-    """Pull requests of one month to changelog blocks."""
+    """Pull requests to changelog pieces: of one month, or of every month if ``prs`` has ``month`` and ``year``.
+
+    One rule set names every theme once, so there is nothing to merge here (``merge_themes`` is for themes
+    that were named apart).
+    """
     visible = customer_facing(categorize(prs)).drop("category", "service") if internal_hidden else prs
-    # Ids and names only, settled once: the texts are scanned a single time.
-    mapping = settle(assign_themes(visible, rules, batch_size, sub_rules=sub_rules or {}))
-    merged = settle(merged_view(mapping.withColumn("origin", F.col("batch_no")), ["subtheme"]))
-    return render_changelog(merged, month, year)
+    return render_changelog(themed_rows(visible, rules, sub_rules=sub_rules or {}), month, year)

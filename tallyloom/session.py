@@ -2,13 +2,9 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-BROADCAST_ROW_LIMIT = 100_000
 
 
 def local_session(cpus: int | str = 8, name: str = "tallyloom") -> SparkSession:
@@ -27,39 +23,25 @@ def local_session(cpus: int | str = 8, name: str = "tallyloom") -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Root of the shared scratch folder: ``spark.checkpoint.dir`` when the cluster names one.
+    """Root of scratch tables: ``spark.checkpoint.dir`` when the session names one, else the warehouse.
 
-    Only a session without that setting (a local test) gets a temporary folder.
+    Both are folders of the session's file system that the driver and all executors reach; a local folder of
+    one machine is never chosen.
     """
-    context = spark.sparkContext
-    named = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
-    if not named:
-        named = context.getCheckpointDir()
-    if not named:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-        named = tempfile.mkdtemp(prefix="tallyloom-")
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(named)
-    return named
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    return (named or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path under the shared folder for one table or stream checkpoint."""
-    return f"{shared_dir(spark).rstrip('/')}/tallyloom/{label}-{uuid.uuid4().hex}"
-
-
-def settle(df: DataFrame) -> DataFrame:
-    """Write an intermediate table to the shared folder once and read it from there."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
-def lookup_side(small: DataFrame, max_rows: int = BROADCAST_ROW_LIMIT) -> DataFrame:
-    """Materialise a lookup table once and hint a broadcast only when its counted size allows it.
-
-    The rows are checkpointed to the shared folder, so an executor loss does not recompute
-    them; above ``max_rows`` the hint is left off and the join shuffles as usual.
-    """
-    kept = settle(small)
-    return F.broadcast(kept) if kept.limit(max_rows + 1).count() <= max_rows else kept
+    """A fresh path under the shared folder for one table or stream checkpoint; it goes when the session ends."""
+    path = f"{shared_dir(spark)}/tallyloom/{label}-{uuid.uuid4().hex}"
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
+    return path
+
+
+def settle(df: DataFrame, label: str = "settled") -> DataFrame:
+    """Write a table that is read more than once as Parquet to the shared folder and read it from there."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Mapping, Sequence
 
 import pandas as pd
@@ -93,6 +94,8 @@ def _yaml_parser():
 
     def flatten(path: str, recorded: dict) -> Iterable[tuple]:
         for idx, call in enumerate(recorded.get("http_interactions") or []):
+            if call is None:
+                continue
             request, response = call.get("request") or {}, call.get("response") or {}
             stamp = call.get("recorded_at")
             yield (
@@ -111,30 +114,34 @@ def _yaml_parser():
 
         loader = getattr(yaml, "CSafeLoader", yaml.SafeLoader)
         for files in batches:
-            rows = []
             for path, content in zip(files["path"], files["content"]):
                 try:
-                    rows.extend(flatten(path, yaml.load(content, Loader=loader) or {}))
+                    rows = list(flatten(path, yaml.load(content, Loader=loader) or {}))
                 except (yaml.YAMLError, AttributeError):
                     continue
-            yield pd.DataFrame(rows, columns=columns)
+                yield pd.DataFrame(rows, columns=columns)
 
     return parse
 
 
-def read_interactions(spark: SparkSession, path: str) -> DataFrame:
+def read_interactions(spark: SparkSession, path: str, names: str = "*.yml") -> DataFrame:
     """Recorded calls of a directory tree of YAML files; a file that does not parse gives no rows.
 
+    ``cassette`` is the path below ``path``, so folder names of the machine match no pattern.
+
     One file is read by one task. Large recordings belong in JSON lines (``read_interactions_json``).
     """
     files = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.yml")
+        .option("pathGlobFilter", names)
         .load(path)
         .select("path", "content")
     )
-    return files.mapInPandas(_yaml_parser(), INTERACTION_SCHEMA)
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    root = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(root).toUri().getPath()
+    relative = F.regexp_replace("path", F.lit(r"^([a-z0-9]+:)?/*" + re.escape(root.strip("/")) + "/"), F.lit(""))
+    return files.withColumn("path", relative).mapInPandas(_yaml_parser(), INTERACTION_SCHEMA)
 
 
 def read_interactions_json(spark: SparkSession, path: str) -> DataFrame:

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.themes import changelog_blocks
+
 REGISTRY_SCHEMA = (
     "run_id string, best_score_name string, best_score_value double, "
-    "metadata map<string,string>, saved_at timestamp"
+    "metadata map<string,string>, program string, saved_at timestamp"
 )
 
 
@@ -29,22 +32,29 @@ def write_report_text(lines: DataFrame, path: str, order: Sequence[str] = ("sect
     lines.orderBy(*order).select("line").write.mode("overwrite").text(path)
 
 
-def write_blocks(blocks: DataFrame, path: str) -> None:
-    """Write changelog blocks in document order, each followed by a blank line."""
-    text = F.concat(F.col("block"), F.lit("\n")).alias("line")
-    ordered = blocks.orderBy("document", "theme", "subtheme", "part")
-    ordered.select("document", text).write.partitionBy("document").mode("overwrite").text(path)
+def write_blocks(pieces: DataFrame, path: str) -> None:
+    """Write changelog documents in order; the parts of a list are joined, so part sizes leave no trace."""
+    ordered = changelog_blocks(pieces).orderBy("document", "theme", "subtheme")
+    ordered.select("document", F.regexp_replace("block", "^\n\n", "\n").alias("line")).write.partitionBy("document").mode(
+        "overwrite"
+    ).text(path)
 
 
 def run_record(
-    spark: SparkSession, run_id: str, score_name: str, score: float, metadata: Mapping[str, str] | None = None
+    spark: SparkSession,
+    run_id: str,
+    score_name: str,
+    score: float,
+    metadata: Mapping[str, str] | None = None,
+    program: Mapping[str, object] | None = None,
 ) -> DataFrame:
-    """One registry row stamped with the current time."""
+    """One registry row stamped with the current time; ``program`` (rules, demonstrations, settings) is kept as JSON."""
     return spark.range(1).select(
         F.lit(run_id).alias("run_id"),
         F.lit(score_name).alias("best_score_name"),
         F.lit(float(score)).alias("best_score_value"),
-        F.create_map(*[F.lit(str(x)) for kv in (metadata or {"": ""}).items() for x in kv]).alias("metadata"),
+        F.create_map(*[F.lit(str(x)) for kv in (metadata or {}).items() for x in kv]).cast("map<string,string>").alias("metadata"),
+        F.lit(None if program is None else json.dumps(program, sort_keys=True)).cast("string").alias("program"),
         F.current_timestamp().alias("saved_at"),
     )
 
@@ -66,9 +76,13 @@ def latest_runs(registry: DataFrame, tie: Sequence[str] = ()) -> DataFrame:
 
 
 def read_registry(spark: SparkSession, path: str) -> DataFrame:
+    """All saved versions; no row when the registry does not exist yet."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    if not folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder):
+        return spark.createDataFrame([], REGISTRY_SCHEMA)
     return spark.read.schema(REGISTRY_SCHEMA).parquet(path)
 
 
 def load_run(spark: SparkSession, path: str, run_id: str) -> DataFrame:
-    """Newest version of one run; no row when the run is unknown."""
+    """Newest version of one run with the program that was saved; no row when the run is unknown."""
     return latest_runs(read_registry(spark, path).filter(F.col("run_id") == run_id))

@@ -1,4 +1,4 @@
-"""Running token sums per module, and themes that accumulate batch by batch."""
+"""Running token sums per module, and themes that merge batch by batch."""
 
 from __future__ import annotations
 
@@ -7,28 +7,62 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.costs import tokens_by_module
-from ..operators.themes import SERVICE_RULES, Rules, assign_themes, merged_view
+from ..operators.themes import SERVICE_RULES, Rules, assign_themes, named_members, theme_leaders, theme_names, with_theme_key
 
+# Result versions that stay in the folder: the newest, and the one before for readers that have begun.
+VERSIONS = 2
 
-def stream_token_usage(events: DataFrame, out: str, checkpoint: str, once: bool = True) -> StreamingQuery:
-    """Keep token sums per module current in a Parquet table.
 
-    Every micro-batch writes the complete (one row per module) result under its batch number and
-    replaces that folder when the batch runs again, so a restart never counts an event twice.
+def _versions(spark: SparkSession, out: str) -> list[int]:
+    """Numbers of the versions in a folder of ``batch=…`` folders."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(out)
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(folder):
+        return []
+    names = [status.getPath().getName() for status in fs.listStatus(folder)]
+    return sorted(int(n.split("=")[1]) for n in names if n.startswith("batch="))
+
+
+def _version(out: str, number: int) -> str:
+    return f"{out}/batch={number:012d}"
+
+
+def _drop_old(spark: SparkSession, out: str) -> None:
+    for number in _versions(spark, out)[:-VERSIONS]:
+        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_version(out, number))
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def stream_token_usage(
+    events: DataFrame,
+    out: str,
+    checkpoint: str,
+    once: bool = True,
+    event_id: str = "event_id",
+    ts: str = "ts",
+    horizon: str = "7 days",
+) -> StreamingQuery:
+    """Keep token sums per module current in a Parquet table; a repeated event counts once.
+
+    ``horizon`` bounds the state: ids are remembered for so long after the newest event time, and events
+    that are later than that are left out. Every micro-batch writes the complete result (one row per
+    module) under its batch number and replaces that folder when the batch runs again, so a restart never
+    counts an event twice; the last ``VERSIONS`` results stay.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{out}/batch={batch_id:012d}")
+        batch.write.mode("overwrite").parquet(_version(out, batch_id))
+        _drop_old(batch.sparkSession, out)
 
-    stream = tokens_by_module(events).writeStream.outputMode("complete").foreachBatch(write)
+    known = events.withWatermark(ts, horizon).dropDuplicatesWithinWatermark([event_id])
+    stream = tokens_by_module(known).writeStream.outputMode("complete").foreachBatch(write)
     stream = stream.option("checkpointLocation", checkpoint)
     return (stream.trigger(availableNow=True) if once else stream).start()
 
 
 def latest_token_usage(spark: SparkSession, out: str) -> DataFrame:
     """The newest sums written by the stream."""
-    table = spark.read.parquet(out)
-    return table.filter(F.col("batch") == table.agg(F.max("batch")).scalar()).drop("batch")
+    return spark.read.parquet(_version(out, _versions(spark, out)[-1]))
 
 
 def stream_merge_themes(
@@ -39,21 +73,36 @@ def stream_merge_themes(
     batch_size: int = 5,
     once: bool = True,
 ) -> StreamingQuery:
-    """Append each micro-batch's theme memberships under its batch number.
+    """Merge each micro-batch's themes into the themes so far.
 
-    Only the new rows are written, never the accumulated state; a repeated batch replaces its own
-    folder. ``accumulated_themes`` merges everything that has arrived.
+    The state is one row per theme name: the theme it belongs to, with name and description. A micro-batch
+    reads the version before it, lets its new names join the themes they are alike (or begin new ones) and
+    writes the next version under its batch number; a repeated batch starts from the same version again. The
+    memberships of a batch are only appended. Earlier themes never change, so none has to be merged anew.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        rows = assign_themes(batch, rules, batch_size)
-        rows.write.mode("overwrite").parquet(f"{out}/batch={batch_id:012d}")
+        spark = batch.sparkSession
+        rows = with_theme_key(assign_themes(batch, rules, batch_size)).withColumn("origin", F.lit(batch_id).cast("long"))
+        rows.select("theme_key", "pr", "batch_no").write.mode("overwrite").parquet(_version(f"{out}/members", batch_id))
+        names = theme_names(rows)
+        before = [v for v in _versions(spark, f"{out}/names") if v < batch_id]
+        if before:
+            known = spark.read.parquet(_version(f"{out}/names", before[-1]))
+            known = known.select("theme_key", F.col("origin"), F.col("own_theme").alias("theme"), F.col("own_description").alias("theme_description"))
+            names = known.unionByName(names.join(known, "theme_key", "left_anti"))
+        own = names.select("theme_key", F.col("theme").alias("own_theme"), F.col("theme_description").alias("own_description"), F.col("origin").alias("_o"))
+        led = theme_leaders(names).drop("origin").join(own, "theme_key").withColumnRenamed("_o", "origin")
+        led.write.mode("overwrite").parquet(_version(f"{out}/names", batch_id))
+        _drop_old(spark, f"{out}/names")
 
     stream = prs.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return (stream.trigger(availableNow=True) if once else stream).start()
 
 
 def accumulated_themes(spark: SparkSession, out: str) -> DataFrame:
-    """Merged themes over all batches so far; the earliest batch names a theme."""
-    rows = spark.read.parquet(out).withColumn("origin", F.col("batch").cast("long"))
-    return merged_view(rows)
+    """Themes over all batches so far, with their members; the earliest batch names a theme."""
+    newest = _versions(spark, f"{out}/names")[-1]
+    leaders = spark.read.parquet(_version(f"{out}/names", newest))
+    members = spark.read.parquet(f"{out}/members").where(F.col("batch").cast("long") <= newest)
+    return named_members(members, leaders)

@@ -6,9 +6,9 @@ import pathlib
 import pytest
 
 import __spark_entry__ as entry
+import catalog
 
 SMALL = "/root/testdata/sf0.001"
-PYTHON_ALLOWED = {"score_batch"}
 needs_data = pytest.mark.skipif(not os.path.isdir(SMALL), reason="no driver tables")
 
 
@@ -26,14 +26,54 @@ def test_survey_names_are_registered():
     assert missing == set()
 
 
+# Queries whose operator is a sink or a stream, or scores with Python: they write, or run Python workers.
+SINKS = {
+    "write_report_json", "write_report_text", "run_registry", "read_interactions", "read_pull_requests",
+    "stream_token_usage", "stream_merge_themes",
+}
+PYTHON = {"score_batch", "evaluate", "evaluate_sample", "read_interactions"}
+
+
+def _jobs(spark, group):
+    """Jobs of a group, but for those that read the schema of an input."""
+    tracker = spark.sparkContext.statusTracker()
+    found = []
+    for job in tracker.getJobIdsForGroup(group):
+        names = [tracker.getStageInfo(s).name for s in tracker.getJobInfo(job).stageIds if tracker.getStageInfo(s)]
+        if not all(n.startswith("parquet at") for n in names):
+            found += names
+    return found
+
+
 @needs_data
-@pytest.mark.parametrize("name", ["classification_metrics", "evaluator_summary", "cost_summary", "phase_costs", "split_stratified", "merge_themes", "extraction_metrics"])
-def test_hot_paths_stay_in_the_jvm(spark, name):
-    plan = entry.queries()[name](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
-    for node in ("Python", "InPandas", "CartesianProduct", "BroadcastNestedLoopJoin"):
+@pytest.mark.parametrize("name", sorted(set(catalog.QUERIES) - SINKS))
+def test_queries_are_lazy_and_stay_in_the_jvm(spark, name):
+    spark.sparkContext.setJobGroup(f"build {name}", name)
+    try:
+        plan = catalog.QUERIES[name](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.sparkContext.setJobGroup("rest", "rest")
+    assert _jobs(spark, f"build {name}") == []
+    for node in ("CartesianProduct", "BroadcastNestedLoopJoin", *([] if name in PYTHON else ["Python", "InPandas", "Arrow"])):
         assert node not in plan
 
 
+@pytest.mark.parametrize("module, name, called", [
+    ("readers", "read_interactions", "read_interactions"), ("readers", "read_interactions_json", "read_interactions"),
+    ("readers", "read_pull_requests", "read_pull_requests"), ("writers", "write_report_text", "write_report_text"),
+    ("writers", "save_run", "run_registry"), ("writers", "load_run", "run_registry"), ("splits", "split_tiny", "split_three_rows"),
+])
+@needs_data
+def test_queries_call_the_operator_they_are_named_after(spark, monkeypatch, module, name, called):
+    import importlib
+
+    where = importlib.import_module(f"tallyloom.{'operators' if module == 'splits' else 'sources'}.{module}")
+    calls, real = [], getattr(where, name)
+    monkeypatch.setattr(where, name, lambda *a, **k: calls.append(name) or real(*a, **k))
+    catalog.QUERIES[called](spark, SMALL)
+    assert calls
+
+
 @needs_data
 def test_entry(spark):
     assert entry.entry(spark).count() == 3

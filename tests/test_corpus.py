@@ -35,15 +35,19 @@ def test_counts_agree_with_lists(rows):
     assert collected(light, "row_id") == collected(corpus.unify_corpus(*small(rows)).select(*keep), "row_id")
 
 
-def test_hot_text_stays_whole(rows):
-    """One text owns most annotations: its list is left out, its pairs are complete in long form."""
+def test_lists_come_in_parts(rows):
+    """One text owns most annotations: its rows come part by part, and nothing is left out."""
     base, _, dosages = small(rows)
     notes = [(i, "a", f"d{i}", f"e{i}") for i in range(50)] + [(100, "b", "x", "y")]
     effects = rows(notes, EFFECTS)
-    got = {r["row_id"]: r for r in corpus.unify_corpus(base, effects, dosages, list_limit=10).collect()}
-    assert got[1]["drug_effect_pairs"] is None and got[1]["n_effects"] == 50
-    assert [tuple(p) for p in got[1]["drug_dosage_pairs"]] == [("d8", "1 g")]
-    assert [tuple(p) for p in got[2]["drug_effect_pairs"]] == [("x", "y")] and got[2]["n_effects"] == 1
+    got = defaultdict(list)
+    for r in corpus.unify_corpus(base, effects, dosages, part_size=8).orderBy("row_id", "part").collect():
+        got[r["row_id"]].append(r)
+    assert [r["part"] for r in got[1]] == list(range(7)) and [r["part"] for r in got[5]] == [0]
+    assert [tuple(p) for r in got[3] for p in r["drug_effect_pairs"]] == [(f"d{i}", f"e{i}") for i in range(50)]
+    assert all(r["drug_effect_pairs"] is not None and r["n_effects"] == 50 for r in got[1])
+    assert [tuple(p) for p in got[1][0]["drug_dosage_pairs"]] == [("d8", "1 g")]
+    assert [tuple(p) for p in got[2][0]["drug_effect_pairs"]] == [("x", "y")] and got[2][0]["n_effects"] == 1
     long = corpus.long_pairs(effects, "text", "drug", "effect", "row_id")
     hot = long.filter(F.col("text_key") == F.sha2(F.lit("a"), 256))
     assert [(r["pos"], r["drug"]) for r in hot.orderBy("pos").collect()] == [(i + 1, f"d{i}") for i in range(50)]
@@ -51,7 +55,7 @@ def test_hot_text_stays_whole(rows):
 
 def test_pairs_are_cut_into_parts(rows):
     notes = [(i, "a", f"d{i}", f"e{i}") for i in range(25)] + [(100, "b", "x", None), (99, None, "n", "m")]
-    parts = corpus.pairs_by_text(rows(notes, EFFECTS), "text", "drug", "effect", "row_id", list_limit=10)
+    parts = corpus.pairs_by_text(rows(notes, EFFECTS), "text", "drug", "effect", "row_id", part_size=10)
     got = defaultdict(list)
     for r in parts.orderBy("part").collect():
         got[r["text"]].append([tuple(p) for p in r["pairs"]])
@@ -60,6 +64,49 @@ def test_pairs_are_cut_into_parts(rows):
     assert got["b"] == [[("x", None)]] and got[None] == [[("n", "m")]]
 
 
+def test_distinct_items_over_parts(rows):
+    """An item of an earlier part is not listed again."""
+    base = rows([(1, "a", 1), (2, "a", 0)], BASE)
+    effects = rows([(i, "a", f"d{i % 7}", f"e{i % 3}") for i in range(30)], EFFECTS)
+    unified = corpus.unify_corpus(base, effects, rows([], DOSAGES), part_size=4)
+    got = defaultdict(list)
+    for r in corpus.extraction_examples(unified).orderBy("part").collect():
+        got[r["row_id"], r["kind"]] += r["items"]
+    assert got[1, "drugs"] == got[2, "drugs"] == [f"d{i}" for i in range(7)] and got[1, "effects"] == ["e0", "e1", "e2"]
+
+
+def test_scorecard_of_a_large_text(spark, rows):
+    """25,000 pairs of one text count in full: the figures are those of the plain rows."""
+    from tallyloom.operators import metrics
+
+    base = rows([(1, "big", 1), (2, "small", 0), (3, "none", 0)], BASE)
+    big = spark.range(25_000).selectExpr("id as row_id", "'big' as text", "concat('d', id % 20000) as drug", "concat('e', id % 300) as effect")
+    effects = big.unionByName(rows([(30_000, "small", "x", "y")], EFFECTS))
+    examples = corpus.classification_examples(corpus.unify_corpus(base, effects, rows([], DOSAGES)))
+    wrong = F.transform("drugs", lambda d: F.when(F.substring(d, -1, 1) == "7", F.concat(F.lit("no"), d)).otherwise(d))
+    scored = examples.withColumns(
+        {"y_true": F.col("has_ade"), "y_pred": F.col("has_ade"), "true_drugs": F.col("drugs"), "true_effects": F.col("effects"),
+         "pred_drugs": wrong, "pred_effects": F.col("effects")}
+    )
+    card = metrics.pipeline_scorecard_parts(scored, "row_id").first()
+    assert (card["drug_item_tp"], card["drug_item_fp"], card["drug_item_fn"]) == (18_001, 2_000, 2_000)
+    assert (card["effect_item_tp"], card["effect_item_fn"], card["effect_f1"]) == (301, 0, 1.0)
+    assert (card["drug_valid_examples"], card["examples_evaluated"], card["tp"], card["tn"]) == (2, 3, 1, 2)
+
+
+def test_scorecard_of_parts_equals_the_plain_one(rows):
+    from tallyloom.operators import metrics
+
+    lists = "array<string>"
+    data = [(1, True, True, ["A", "b"], ["a"], ["x"], ["X", None]), (2, False, None, [], [], None, ["y"]), (3, True, False, ["q", "q"], None, [], [])]
+    schema = f"id long, y_true boolean, y_pred boolean, pred_drugs {lists}, true_drugs {lists}, pred_effects {lists}, true_effects {lists}"
+    plain = rows(data, schema)
+    parts = [(*r, 0) for r in data] + [(1, False, False, ["b"], ["b2"], None, None, 1)]
+    whole = [(1, True, True, ["A", "b"], ["a", "b2"], ["x"], ["X", None]), *data[1:]]
+    cut = metrics.pipeline_scorecard_parts(rows(parts, schema + ", part long"), "id").first()
+    assert cut == metrics.pipeline_scorecard(rows(whole, schema)).first() != metrics.pipeline_scorecard(plain).first()
+
+
 def test_examples(rows):
     base, effects, dosages = small(rows)
     unified = corpus.unify_corpus(base, effects, dosages)

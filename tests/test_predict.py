@@ -125,3 +125,35 @@ def test_replay(rows):
     )
     got = {r["id"]: (r["response_body"], r["error"]) for r in replay_responses(asked, kept).collect()}
     assert got == {1: ("first", None), 2: (None, "no recorded response"), 3: (None, "no recorded response"), 4: ("empty", None)}
+
+
+def test_wrong_number_of_results_is_an_error_of_the_rows(rows):
+    df = rows([(i, f"t{i}") for i in range(3)], "example_id long, text string")
+    for give in (lambda texts: [{"y": 1}], lambda texts: [{"y": 1}] * (len(texts) + 1)):
+        got = predict.score_batch(df, lambda give=give: give, "y int").collect()
+        assert len(got) == 3 and {r["example_id"] for r in got} == {0, 1, 2}
+        # One result per row is right when rows are tried one by one; two never are.
+        assert all((r["y"] == 1) == (r["error_message"] is None) for r in got)
+    assert all("2 results for 1 texts" in r["error_message"] for r in got)
+
+
+def test_a_budget_scores_each_row_once(spark, rows, tmp_path):
+    log = str(tmp_path / "calls")
+
+    def build():
+        def scorer(texts):
+            with open(log, "a") as f:
+                f.write("x" * len(texts))
+            return [{"y_pred": True, "confidence": 0.9} for _ in texts]
+
+        return scorer
+
+    df = rows([(i, f"t{i}", True) for i in range(10)], "example_id long, text string, y_true boolean")
+
+    def score(examples):
+        made = predict.score_batch(examples, build, "y_pred boolean, confidence double")
+        return examples.join(made.withColumnRenamed("error_message", "error").drop("text"), "example_id")
+
+    assert predict.evaluate(df, score, scoring.metric_safety, max_errors=3).count() == 10
+    with open(log) as f:
+        assert len(f.read()) == 10

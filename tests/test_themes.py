@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.operators import themes
 from tallyloom.plans import flows
+from tallyloom.sources import writers
 
 from .conftest import collected
 
@@ -79,25 +80,58 @@ def test_name_keys(rows):
 
 
 def test_changelog_document(rows):
-    blocks = flows.changelog(prs(rows), "May", 2025, NAMES, {"Firewall": ("firewall",)}, batch_size=3)
+    blocks = flows.changelog(prs(rows), "May", 2025, NAMES, {"Firewall": ("firewall",)})
     text = themes.changelog_text(blocks).first()["text"]
     assert text.startswith('---\ntitle: "May 2025"\n---\n\nimport { PrList }')
     assert "## Managed PostgreSQL" in text and "### Firewall" in text and "### General" in text
     assert "<PrList ids={[3248, 3274]}></PrList>" in text and "3001" not in text
     sections = text.split("\n## ")[1:]
     assert len(sections) == 2 and all("\n### " in s for s in sections)
-    covered = themes.document_coverage(themes.changelog_text(blocks), [3170, 3366]).first()
-    assert covered["covers_all"] is True
-    lacking = themes.document_coverage(themes.changelog_text(blocks), [3170, 3001]).first()
-    assert lacking["missing_ids"] == [3001]
-
-
-def test_large_subtheme_continues_in_parts(rows):
-    themed = rows([("T", "about", "S", i) for i in range(25)], "theme string, theme_description string, subtheme string, pr long")
-    blocks = themes.render_changelog(themed, "May", 2025, ids_per_list=10, as_attribute=False)
-    lists = [r["block"] for r in blocks.filter("subtheme = 'S'").orderBy("part").collect()]
-    assert len(lists) == 3 and lists[0].startswith("### S") and lists[2] == "<PrList>{[20, 21, 22, 23, 24]}</PrList>"
-    assert themes.changelog_text(blocks, max_blocks=3).first()["text"] is None
+    wanted = rows([("May 2025", 3170), ("May 2025", 3366), ("June 2025", 1)], "document string, pr long")
+    for documents, column in ((themes.changelog_text(blocks), "text"), (blocks, "block")):
+        got = collected(themes.document_coverage(documents, wanted, text=column), "document")
+        assert got == [("June 2025", 1, 1, False), ("May 2025", 2, 0, True)]
+    lacking = themes.missing_ids(blocks, rows([("May 2025", 3170), ("May 2025", 3001)], "document string, pr long"), text="block")
+    assert collected(lacking) == [("May 2025", 3001)]
+
+
+def test_part_size_leaves_no_trace(spark, rows, tmp_path):
+    themed = rows([("T", "about", "S", i) for i in range(25)] + [("T", "about", "R", 7)], "theme string, theme_description string, subtheme string, pr long")
+    texts, written = [], []
+    for size in (3, 10, 1000):
+        pieces = themes.render_changelog(themed, "May", 2025, ids_per_list=size, as_attribute=False)
+        assert pieces.filter("subtheme = 'S'").count() == -(-25 // size)
+        row = themes.changelog_text(pieces).first()
+        assert row["n_blocks"] == 4 and row["text"].endswith("### S\n\n<PrList>{[" + ", ".join(map(str, range(25))) + "]}</PrList>")
+        texts.append(row["text"])
+        writers.write_blocks(pieces, str(tmp_path / f"out{size}"))
+        files = sorted((tmp_path / f"out{size}").glob("document=*/part-*.txt"))
+        written.append(b"".join(f.read_bytes() for f in files))
+        covered = themes.document_coverage(pieces, themed.selectExpr("'May 2025' as document", "pr"), text="block").first()
+        assert covered["covers_all"] is True and covered["n_expected"] == 25
+    assert len(set(texts)) == len(set(written)) == 1
+    assert written[0].decode().rstrip("\n") == texts[0]
+
+
+def test_one_document_per_month(rows):
+    data = [(i, f"t{i}", "", "", ["May", "June"][i % 2], 2025) for i in range(6)]
+    blocks = flows.changelog(rows(data, SCHEMA + ", month string, year int"), rules=NAMES, internal_hidden=False)
+    got = dict(themes.changelog_text(blocks).select("document", "text").collect())
+    assert set(got) == {"May 2025", "June 2025"}
+    assert got["May 2025"].endswith("<PrList ids={[0, 2, 4]}></PrList>") and 'title: "June 2025"' in got["June 2025"]
+
+
+def test_near_names_merge(rows):
+    def merged(old, new):
+        both = themes.merge_themes(rows([(n, "old", i) for i, n in enumerate(old)], THEME), rows([(n, "new", 100 + i) for i, n in enumerate(new)], THEME))
+        return {r["pr"]: r["theme"] for r in both.collect()}
+
+    assert merged(["PostgreSQL Backups"], ["PostgreSQL Backup and Restore"]) == {0: "PostgreSQL Backups", 100: "PostgreSQL Backups"}
+    assert merged(["GitHub Runners"], ["GitHub Runner Caching"]) == {0: "GitHub Runners", 100: "GitHub Runners"}
+    assert merged(["GitHub Runners"], ["GitHub Login", "Billing Page"])[101] == "Billing Page"
+    # A hot word alone brings no names together.
+    many = [f"cloud topic{i} item{i}" for i in range(60)]
+    assert len(set(merged(many, ["cloud"]).values())) == 61
 
 
 def test_details_keep_unknown_ids(rows):
@@ -112,3 +146,4 @@ def test_documents(rows):
     assert got == {"d": "## A\n\none\n\n## B\n\ntwo", "e": "## C\n\nx"}
     parts = themes.assemble_document(sections, ["doc"], "pos", "h", "c", sections_per_part=1)
     assert collected(parts.filter("doc = 'd'").select("part", "text"), "part") == [(0, "## A\n\none"), (1, "## B\n\ntwo")]
+    assert dict(themes.join_parts(parts, ["doc"]).collect()) == got
