@@ -108,21 +108,12 @@ class PrefixHash:
         return low
 
 
-def sketch(codes: np.ndarray) -> np.ndarray:
-    """The smallest mixed span hashes of a text, ascending; none for an empty one. Blocks overlap by a span."""
-    if len(codes) == 0:
-        return np.zeros(0, dtype=np.uint64)
-    found = np.zeros(0, dtype=np.uint64)
-    width = min(SPAN, len(codes))
-    for at in range(0, len(codes) - width + 1, BLOCK):
-        part = PrefixHash(codes[at : at + BLOCK + width - 1])
-        values = _mix(part.windows(width))
-        if len(values) > 4 * SKETCH:
-            bound = np.partition(values, 4 * SKETCH)[4 * SKETCH]
-            few = np.unique(values[values <= bound])
-            values = few if len(few) >= SKETCH else np.unique(values)
-        found = np.unique(np.concatenate((found, values)))[:SKETCH]
-    return found
+def _smallest(found: np.ndarray, values: np.ndarray) -> np.ndarray:
+    if len(values) > 4 * SKETCH:
+        bound = np.partition(values, 4 * SKETCH)[4 * SKETCH]
+        few = np.unique(values[values <= bound])
+        values = few if len(few) >= SKETCH else np.unique(values)
+    return np.unique(np.concatenate((found, values)))[:SKETCH]
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -132,19 +123,38 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def whole(codes: np.ndarray) -> int:
-    """Hash of the whole text, block by block."""
-    value = len(codes)
-    for at in range(0, len(codes), BLOCK):
-        part = PrefixHash(codes[at : at + BLOCK])
-        value = (value * BASES[0] + int(part.spans(0, part.n))) % ((1 << 61) - 1)
-    return value
+class Print:
+    """Fingerprint of a text: 8 bytes of the whole, the first 4 of each of its smallest span hashes.
+
+    Prefix arrays are built block by block, with blocks that overlap by a span; those of a text of one block
+    are kept for further comparisons.
+    """
 
+    __slots__ = ("key", "text", "codes", "sketch", "name", "prefixes")
 
-def fingerprint(codes: np.ndarray) -> tuple[bytes, np.ndarray]:
-    """Fingerprint (8 bytes of the whole, the first 4 of each span hash) and its sketch."""
-    smallest = sketch(codes)
-    return whole(codes).to_bytes(8, "big") + (smallest >> np.uint64(32)).astype(">u4").tobytes(), smallest
+    def __init__(self, text: str | None, key: int | None = None):
+        self.key, self.text = key, text or ""
+        self.codes = codes = points(self.text)
+        n, width = len(codes), min(SPAN, len(codes))
+        value, smallest, part = n, np.zeros(0, dtype=np.uint64), PrefixHash(codes[:0])
+        for at in range(0, n, BLOCK):
+            part = PrefixHash(codes[at : at + BLOCK + width - 1])
+            value = (value * BASES[0] + int(part.spans(0, min(BLOCK, n - at)))) % ((1 << 61) - 1)
+            if part.n >= width:
+                smallest = _smallest(smallest, _mix(part.windows(width)))
+        self.sketch, self.prefixes = smallest, part if n <= BLOCK else None
+        self.name = value.to_bytes(8, "big") + (smallest >> np.uint64(32)).astype(">u4").tobytes()
+
+    def common_prefix(self, other: Print) -> int:
+        """Code points both texts begin with: whole blocks by their hashes, the last one by binary search."""
+        if self.prefixes is not None and other.prefixes is not None:
+            return self.prefixes.common_extension(0, 0, other.prefixes)
+        for at in range(0, max(len(self.codes), len(other.codes)), BLOCK):
+            x, y = (PrefixHash(c[at : at + BLOCK]) for c in (self.codes, other.codes))
+            n = x.common_extension(0, 0, y)
+            if n < BLOCK:
+                return at + n
+        return min(len(self.codes), len(other.codes))
 
 
 def likeness(a: np.ndarray, b: np.ndarray) -> float:
@@ -168,34 +178,11 @@ def edited(text: str, after: str) -> str:
     return text[: len(text) - k] + after[:k]
 
 
-class Print:
-    """A document on its way to its successor."""
-
-    __slots__ = ("key", "text", "codes", "name", "sketch")
-
-    def __init__(self, key: int | None, text: str | None):
-        self.key, self.text = key, text or ""
-        self.codes = points(self.text)
-        self.name, self.sketch = fingerprint(self.codes)
-
-
 def compared(doc: Print, after: Print) -> tuple:
-    text = edited(doc.text, after.text)
-    codes = points(text)
-    name, smallest = fingerprint(codes)
-    shared = _common(doc.codes, codes)
-    digest = hashlib.sha256(text.encode("utf-8", "surrogatepass")).digest()
-    return (doc.key, len(doc.codes), digest, doc.name, name, likeness(doc.sketch, smallest), likeness(doc.sketch, after.sketch), shared)
-
-
-def _common(a: np.ndarray, b: np.ndarray) -> int:
-    """Code points that both texts begin with: whole blocks by their hashes, the last one by binary search."""
-    for at in range(0, max(len(a), len(b)), BLOCK):
-        x, y = PrefixHash(a[at : at + BLOCK]), PrefixHash(b[at : at + BLOCK])
-        n = x.common_extension(0, 0, y)
-        if n < BLOCK:
-            return at + n
-    return min(len(a), len(b))
+    other = Print(edited(doc.text, after.text))
+    digest = hashlib.sha256(other.text.encode("utf-8", "surrogatepass")).digest()
+    near = likeness(doc.sketch, other.sketch), likeness(doc.sketch, after.sketch)
+    return (doc.key, len(doc.codes), digest, doc.name, other.name, *near, doc.common_prefix(other))
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
@@ -213,7 +200,7 @@ def _walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows: list[tuple] = []
         for key, text in zip(batch.column(0), batch.column(1)):
-            doc = Print(key.as_py(), text.as_py())
+            doc = Print(text.as_py(), key.as_py())
             rows.append(edge(doc, "first") if last is None else (*compared(last, doc), task, None, None))
             last = doc
         if rows:
@@ -226,7 +213,7 @@ def _bridge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows = []
         for key, text, after_key, after in zip(*[batch.column(i).to_pylist() for i in range(4)]):
-            rows.append((*compared(Print(key, text), Print(after_key, after)), None, None, None))
+            rows.append((*compared(Print(text, key), Print(after, after_key)), None, None, None))
         if rows:
             yield _batch(rows).select(NAMES[:8])
 

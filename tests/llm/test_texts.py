@@ -26,17 +26,18 @@ def test_spans_and_extensions_equal_brute_force():
 
 
 def test_blocks_do_not_change_sketches(monkeypatch, letters):
-    codes = prefixhash.points(letters(600, 3))
-    want = prefixhash.sketch(codes)
+    text = letters(600, 3)
+    want = prefixhash.Print(text)
     monkeypatch.setattr(prefixhash, "BLOCK", 300)
-    assert (prefixhash.sketch(codes) == want).all()
-    assert prefixhash._common(codes, codes[:1000]) == 1000
-    assert prefixhash._common(codes[1:], codes) == 0 or codes[1] == codes[0]
+    cut = prefixhash.Print(text)
+    assert (cut.sketch == want.sketch).all() and len(cut.sketch) == prefixhash.SKETCH
+    assert cut.common_prefix(prefixhash.Print(text[:1000])) == 1000
+    assert cut.common_prefix(prefixhash.Print(text[:1000] + "!" + text[1000:])) == 1000
+    assert prefixhash.Print(text).name == cut.name != prefixhash.Print(text + "x").name
 
 
 def test_likeness():
-    one, other = (prefixhash.sketch(prefixhash.points(t)) for t in ("the quick brown fox " * 40, "pack my box with jugs " * 40))
-    none = prefixhash.sketch(prefixhash.points(""))
+    one, other, none = (prefixhash.Print(t).sketch for t in ("the quick brown fox " * 40, "pack my box with jugs " * 40, ""))
     assert prefixhash.likeness(one, one) == prefixhash.likeness(none, none) == 1.0
     assert prefixhash.likeness(one, other) == prefixhash.likeness(one, none) == 0.0
 
