@@ -52,7 +52,7 @@ def test_grades_of_tricky_documents(rated, documents, crowded_columns, no_docume
     assert ordinal.grade(no_documents, model).count() == 0
     docs, labels = rated
     none = ordinal.train(docs, labels.limit(0), rating())
-    assert {(r.expected_grade, r.tail_probability) for r in ordinal.grade(documents, none).collect()} == {(0.0, 0.0)}
+    assert {(r.expected_grade, r.tail_probability) for r in ordinal.grade(documents, none).collect()} == {(0.0, 1.0)}
     one = ordinal.train(docs, labels.where("quality = 1 and toxic = 0"), rating())
     assert {r.expected_grade for r in ordinal.grade(documents, one).collect()} == {2.0}
     odd = labels.union(spark.createDataFrame([(None, 1, 0), (5, None, None), (0, 0, 0)], labels.schema))
