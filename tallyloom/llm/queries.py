@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import chat, licences, mixing, ordinal, packing, prefixhash, repeats, simhash, toxicity, weakrules
-from .staging import stage, word_count
+from .staging import ship, stage, word_count
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
@@ -16,10 +16,14 @@ CHECKS: dict[str, str] = {}
 
 def query(name: str, sql: str | None = None):
     def add(run):
-        QUERIES[name] = run
+        def shipped(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship(spark)
+            return run(spark, sf_dir)
+
+        QUERIES[name] = shipped
         if sql is not None:
             CHECKS[name] = sql
-        return run
+        return shipped
 
     return add
 

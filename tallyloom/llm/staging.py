@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -24,6 +26,23 @@ def shared_root(spark: SparkSession) -> str:
     return named.rstrip("/")
 
 
+def ship(spark: SparkSession) -> None:
+    """Hand this package to the Python workers of a session, once, through Spark's own file server.
+
+    For entry points that a session calls without having installed the package on its executors.
+    """
+    context = spark.sparkContext
+    if getattr(context, "_tallyloom_shipped", False):
+        return
+    package = Path(__file__).resolve().parents[1]
+    archive = Path(tempfile.mkdtemp(prefix="tallyloom-code-")) / f"{package.name}.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for source in sorted(package.rglob("*.py")):
+            out.write(source, source.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    context._tallyloom_shipped = True
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once as Parquet below the shared folder and read it from there.
 
