@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.llm import mixing, ordinal, packing, repeats, simhash
 from tallyloom.llm.queries import quality_model, tokenizer_path
-from tallyloom.llm.staging import spare, stage, word_count
+from tallyloom.llm.staging import ship, spare, stage, word_count
 
 
 #: Least probability of being above the lowest grade.
@@ -18,6 +18,7 @@ QUALITY = 0.5
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier, fitted on the rated ones, does not put into the lowest grade."""
+    ship(spark)
     graded = ordinal.grade(docs, quality_model(spark, docs, sf_dir))
     return graded.where(F.col("tail_probability") >= QUALITY).select(*docs.columns)
 
@@ -27,6 +28,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
     Of rows with that key and one text, one stays; rows without key stay if their group has no key.
     """
+    ship(spark)
     found = simhash.near_duplicates(docs)
     kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
     chosen = docs.join(kept, docs["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi")
@@ -36,6 +38,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the passages that also start earlier; ``n_chars`` is counted anew."""
+    ship(spark)
     cut = repeats.without_repeats(docs)
     return cut.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
@@ -49,6 +52,7 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sequences of at most 1024 tokens."""
+    ship(spark)
     return packing.pack(docs, tokenizer_path())
 
 
