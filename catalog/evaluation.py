@@ -424,7 +424,7 @@ def recall_on_positives(spark, sf):
 
 @query(
     "error_budget",
-    f"""WITH {LINES_SQL} SELECT run_id, y_true, y_pred, api_calls, count(*) AS "rows", count(*) FILTER (error IS NOT NULL) AS errors,
+    f"""WITH {LINES_SQL} SELECT run_id, y_true, y_pred, api_calls::BIGINT AS api_calls, count(*) AS "rows", count(*) FILTER (error IS NOT NULL) AS errors,
       count(*) FILTER (error IS NOT NULL) >= 100 AS stopped FROM scored GROUP BY run_id, y_true, y_pred, api_calls""",
 )
 def error_budget(spark, sf):
