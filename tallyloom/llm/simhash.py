@@ -187,10 +187,12 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
     every = stage(fingerprints(docs, key, text, shingle), "fingerprints")
     distinct = stage(every.groupBy("bits").agg(F.min("doc_id").alias("least")), "distinct-fingerprints")
     linked = links(distinct.select("bits"), max_bits)
-    rooted = distinct.join(linked, "bits", "left").withColumn("root", F.coalesce("root", "bits"))
-    least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = rooted.join(least, "root").select("bits", "component_id")
-    return every.join(named, "bits").select("doc_id", "bits", "component_id")
+    members = linked.join(distinct, "bits")
+    # Written, so that the joins have two plain sides: a component or a fingerprint with many rows can be split.
+    tops = stage(members.groupBy("root").agg(F.min("least").alias("top")), "simhash-tops")
+    topped = members.join(tops, "root").select("bits", "top")
+    named = distinct.join(topped, "bits", "left").select("bits", F.coalesce("top", "least").alias("component_id"))
+    return every.join(stage(named, "simhash-named"), "bits").select("doc_id", "bits", "component_id")
 
 
 def hex_of(bits: Column) -> Column:
