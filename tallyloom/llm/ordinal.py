@@ -11,7 +11,8 @@ Fitted on the driver from a bounded sample of rated documents (``PER_GRADE`` of
 every document is scored in place, whole, in one pass without a shuffle.
 
 Edge cases: a null or empty text has the score of the token for "no words"; with fewer than two grades among
-the ratings every document gets that grade (0 without ratings); repeated rows get equal results; rows
+the ratings nothing can be told apart: every document gets that grade (0 without ratings) and tail
+probability 1, so none is rejected; repeated rows get equal results; rows
 without key or rating are not fitted; further columns pass through, of the same name as a result they go.
 """
 
@@ -107,7 +108,8 @@ def fit(sample: list[tuple[int, int, bytes, bytes]]) -> Model:
     grades, y = np.unique(np.array([r[0] for r in sample], dtype=float), return_inverse=True)
     if len(grades) < 2:
         return Model(np.zeros(0, dtype=int), np.zeros(0), np.zeros(0), grades if len(grades) else np.zeros(1))
-    x = Rows([(np.frombuffer(r[2], "<i4").astype(np.int64), np.frombuffer(r[3], "<f8")) for r in sample], WIDTH)
+    x = Rows([np.frombuffer(r[2], "<i4") for r in sample], WIDTH, [np.frombuffer(r[3], "<f8") for r in sample])
+    sample.clear()  # the matrix holds it now
     weight = 1 / np.bincount(y)[y] / len(grades)
     k = len(grades) - 1
     w, theta = np.zeros(WIDTH), np.concatenate(([-1.0], np.zeros(k - 1)))
@@ -137,8 +139,9 @@ def fit(sample: list[tuple[int, int, bytes, bytes]]) -> Model:
 def train(docs: DataFrame, ratings: DataFrame, grade: Column, key: str = "doc_id", text: str = "text") -> Model:
     sample = sample_of_labels(ratings, docs, key, text, grade.cast("int"), PER_GRADE)
     kept = sample.select("doc_id", "grade", "of", "text").mapInArrow(_features, "doc_id long, grade int, of long, slots binary, values binary")
-    rows = sorted(kept.collect(), key=lambda r: r["doc_id"])
-    return fit([(r["grade"], r["of"], bytes(r["slots"]), bytes(r["values"])) for r in rows])
+    rows = [tuple(r) for r in kept.collect()]
+    rows.sort(key=lambda r: r[0])
+    return fit([r[1:] for r in rows])
 
 
 def _grades(model: Model, text: str, names: list[str]):
@@ -158,7 +161,7 @@ def _grades(model: Model, text: str, names: list[str]):
                 score[i] = total / len(words)
             above = _sigmoid(score[:, None] - model.thresholds[None, :])
             expected = model.grades[0] + above @ np.diff(model.grades)
-            tail = above[:, 0] if len(model.thresholds) else np.full(len(score), float(model.grades[0] > 0))
+            tail = above[:, 0] if len(model.thresholds) else np.ones(len(score))
             columns = [batch.column(batch.schema.get_field_index(c)) for c in names]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(expected), pa.array(tail)], names=[*names, "expected_grade", "tail_probability"])
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import zlib
-from collections.abc import Callable, Iterable
+from collections.abc import Callable
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -11,21 +11,25 @@ from pyspark.sql import functions as F
 
 
 class Rows:
-    """Rows of a sparse matrix: slots and values of each row, one after the other."""
+    """Rows of a sparse matrix: slots and values of each row, one after the other; without values all are 1."""
 
-    def __init__(self, rows: Iterable[tuple[np.ndarray, np.ndarray]], width: int):
-        pairs = list(rows)
-        self.width, self.n = width, len(pairs)
-        self.sizes = np.array([len(s) for s, _ in pairs], dtype=np.int64)
-        self.slots = np.concatenate([s for s, _ in pairs]) if pairs else np.zeros(0, dtype=np.int64)
-        self.values = np.concatenate([v for _, v in pairs]).astype(np.float64) if pairs else np.zeros(0)
-        self.row = np.repeat(np.arange(self.n), self.sizes)
+    def __init__(self, slots: list[np.ndarray], width: int, values: list[np.ndarray] | None = None):
+        self.width, self.n = width, len(slots)
+        sizes = np.array([len(s) for s in slots], dtype=np.int64)
+        self.slots = np.concatenate(slots).astype(np.int32) if slots else np.zeros(0, dtype=np.int32)
+        self.values = None if values is None else np.concatenate([*values, np.zeros(0)])
+        self.row = np.repeat(np.arange(self.n, dtype=np.int32), sizes)
+
+    def _weighted(self, x: np.ndarray) -> np.ndarray:
+        if self.values is not None:
+            x *= self.values
+        return x
 
     def dot(self, weights: np.ndarray) -> np.ndarray:
-        return np.bincount(self.row, weights=weights[self.slots] * self.values, minlength=self.n)
+        return np.bincount(self.row, weights=self._weighted(weights[self.slots]), minlength=self.n)
 
     def back(self, errors: np.ndarray) -> np.ndarray:
-        return np.bincount(self.slots, weights=errors[self.row] * self.values, minlength=self.width)
+        return np.bincount(self.slots, weights=self._weighted(errors[self.row]), minlength=self.width)
 
     def norm(self) -> float:
         """Largest eigenvalue of the Gram matrix, nearly: a few power steps from a fixed start."""

@@ -81,8 +81,7 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _rows(packed: list[bytes]) -> Rows:
-    arrays = [np.frombuffer(p, dtype="<i4").astype(np.int64) for p in packed]
-    return Rows([(a, np.ones(len(a))) for a in arrays], WIDTH)
+    return Rows([np.frombuffer(p, dtype="<i4") for p in packed], WIDTH)
 
 
 def fit(sample: list[tuple[int, int, bytes, bytes]]) -> tuple[np.ndarray, float]:
@@ -150,7 +149,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str
     sample = sample_of_labels(labels.where(~held_out), docs, key, text, F.col(label).cast("int"), PER_LABEL)
     kept = sample.select("doc_id", "grade", "of", "text").mapInArrow(_features, "doc_id long, grade int, of long, slots binary, twin binary")
     rows = sorted(kept.collect(), key=lambda r: r["doc_id"])
-    weights, bias = fit([(int(r["grade"] > 0), r["of"], bytes(r["slots"]), bytes(r["twin"])) for r in rows])
+    weights, bias = fit([(int(r["grade"] > 0), r["of"], r["slots"], r["twin"]) for r in rows])
     used = np.flatnonzero(weights)
     return docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string"), held_out.alias("held_out")).mapInArrow(
         _scores(used, weights[used], bias), "doc_id long, held_out boolean, score double, predicted int"
