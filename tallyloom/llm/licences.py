@@ -3,14 +3,16 @@
 Native: DataFrame functions and ``pyspark.ml`` only.
 
 A paragraph is a line with a word. Features are the 1- to 3-word n-grams of the templates below that hold a
-telling word: one that a sample of the corpus has in less than ``COMMON`` of its paragraphs. A multinomial
+telling word: any but ``GRAMMAR``, digits and single letters, whatever the corpus has often. A multinomial
 logistic regression with an L1 penalty is fitted on varied templates (words dropped, corpus words before or
-after) against the class "unknown": sampled corpus paragraphs and sentences that only sound like licences.
+after) against the class "unknown": sentences that only sound like licences and sampled corpus paragraphs,
+without those that resemble a template.
 A second regression on variations not used for the first turns the margin of the best family over "unknown"
 into a calibrated probability; below ``CERTAIN`` the paragraph is unknown. A prediction is confirmed when
 the paragraph's words agree with a template of the family in ``ALIKE`` of the smaller word set.
 
-A paragraph without a telling word has no feature at all, so it is unknown without being scored; the others
+A paragraph is scored if it has a word of every n-gram that can speak for a family; without one its margin
+is at most that of no n-gram at all, which is unknown. Paragraphs
 are scored once per distinct wording, so a notice that a third of all documents carry is scored once. All
 that is broadcast is bounded by the templates, the fit by ``SAMPLE_DOCS`` and ``SAMPLE_LINES``.
 
@@ -20,6 +22,8 @@ gives no rows (the model is then fitted on the templates alone); further columns
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import CountVectorizerModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -31,7 +35,6 @@ from .staging import stage
 UNKNOWN = "unknown"
 SAMPLE_DOCS = 400
 SAMPLE_LINES = 3000
-COMMON = 0.005
 VARIATIONS = 12
 CERTAIN = 0.5
 ALIKE = 0.6
@@ -132,6 +135,13 @@ LOOKALIKES = [
     "The fishing license office is in compliance with the law.",
     "The domain of the function is public.",
 ]
+#: Words of the templates that tell nothing by themselves.
+GRAMMAR = set(
+    "above all along and any are at be by can except for has have http https if in into is it its may more neither no nor not"
+    " of one only or org shall should that the this to under was with without www you".split()
+)
+#: Words that only licences have: a corpus line with one is no safe negative.
+NAMES = ["bsd", "cc0", "gpl", "gplv3", "lgpl", "mpl", "sharealike", "spdx", "unlicense"]
 
 
 def wording(text: Column) -> Column:
@@ -176,15 +186,11 @@ def train(docs: DataFrame, key: str = "doc_id", text: str = "text", seed: int =
     lines = stage(lines, "licence-lines")
     templates = _listed(spark, [(f, t) for f, ts in TEMPLATES.items() for t in ts])
 
-    # Telling words: in a template, and in few sampled paragraphs.
-    total = lines.count()
-    seen = lines.select(F.explode(F.array_distinct(F.split("wording", " "))).alias("w")).groupBy("w").count()
-    common = seen.where(F.col("count") > COMMON * total)
-    ours = templates.select(F.explode(F.split("wording", " ")).alias("w")).distinct()
-    telling = sorted(r["w"] for r in ours.join(common, "w", "left_anti").collect())
+    known = [set(r["wording"].split()) for r in templates.collect()]
+    telling = sorted(w for w in set().union(*known) - GRAMMAR if len(w) > 1 and not w.isdigit())
     marks = F.array(*map(F.lit, telling))
 
-    # Variations of the templates; a corpus line that has two telling words in a row is no safe negative.
+    # Variations of the templates against corpus lines that resemble none.
     word, last = F.split("wording", " "), F.lit(VARIATIONS - 1)
     dice = lambda *salt: F.pmod(F.xxhash64("wording", "variation", *salt, F.lit(seed)), F.lit(100))
     kept = lambda w, i: (F.col("variation") == 0) | (F.pmod(F.xxhash64("wording", "variation", i, F.lit(seed)), F.lit(100)) >= 8)
@@ -198,8 +204,7 @@ def train(docs: DataFrame, key: str = "doc_id", text: str = "text", seed: int =
         F.when(dice(F.lit(1)) < 25, F.concat(filler, "words")).when(dice(F.lit(1)) < 50, F.concat("words", filler)).otherwise(F.col("words")).alias("words"),
         (F.col("variation") % 4 == 3).alias("held"),
     )
-    pair = F.exists(grams(word), lambda g: F.instr(g, " ") > 0) & (F.size(F.array_intersect(word, marks)) >= 2)
-    negatives = lines.where(~pair).select(F.lit(UNKNOWN).alias("family"), word.alias("words"), (F.pmod(F.xxhash64("wording"), F.lit(4)) == 3).alias("held"))
+    negatives = lines.where(~_resembles(F.array_distinct(word), known, marks)).select(F.lit(UNKNOWN).alias("family"), word.alias("words"), (F.pmod(F.xxhash64("wording"), F.lit(4)) == 3).alias("held"))
     alike = _listed(spark, [(UNKNOWN, t) for t in LOOKALIKES]).select("family", word.alias("words"), F.explode(F.array(F.lit(False), F.lit(True))).alias("held"))
     families = [*TEMPLATES, UNKNOWN]
     number = F.array_position(F.array(*map(F.lit, families)), F.col("family")) - 1
@@ -223,8 +228,33 @@ def train(docs: DataFrame, key: str = "doc_id", text: str = "text", seed: int =
     )
     platt = LogisticRegression(regParam=1e-3, maxIter=50, weightCol="weight").fit(tried)
     scale = (float(platt.coefficients[0]), float(platt.intercept))
-    used = sorted({w for g in weights for w in g.split()} & set(telling))
-    return Model(families, weights, bias.tolist(), used, scale)
+    return Model(families, weights, bias.tolist(), _needed(weights, bias.tolist(), set(telling), scale), scale)
+
+
+def _resembles(words: Column, known: list[set[str]], marks: Column) -> Column:
+    """Whether a line has a licence's name, or is part of a template, alike, or has half of its telling words (two at least)."""
+    templates = F.array(*[F.array(*map(F.lit, sorted(t))) for t in known])
+
+    def like(t: Column) -> Column:
+        own, telling = F.size(F.array_intersect(words, t)), F.array_intersect(t, marks)
+        shared = F.size(F.array_intersect(words, telling))
+        part = (own == F.size(words)) & (own >= 2) & (shared >= 1)
+        alike = (own >= ALIKE * F.least(F.size(words), F.size(t))) & (shared >= 3)
+        return part | alike | ((shared >= 2) & (2 * shared >= F.size(telling)))
+
+    return F.arrays_overlap(words, F.array(*map(F.lit, NAMES))) | F.exists(templates, like)
+
+
+def _needed(weights: dict[str, list[float]], bias: list[float], telling: set[str], scale: tuple[float, float]) -> list[str]:
+    """Words one of which every paragraph that is no "unknown" has.
+
+    Only n-grams that some family weighs above "unknown" raise a margin; each is there only if its longest
+    telling word is. If no n-gram at all would already be certain, every n-gram counts.
+    """
+    nothing = scale[0] * (max(bias[:-1]) - bias[-1]) + scale[1]
+    exact = scale[0] > 0 and 1 / (1 + math.exp(-nothing)) < CERTAIN
+    raising = [g for g, w in weights.items() if not exact or max(w[:-1]) > w[-1]]
+    return sorted({max(telling & set(g.split()), key=lambda w: (len(w), w)) for g in raising})
 
 
 def scan(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:

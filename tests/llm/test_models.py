@@ -136,6 +136,17 @@ def test_licences_in_tricky_documents(spark, licence_model, documents, crowded_c
     assert licences.scan(noted, alone).count() == 3
 
 
+def test_licence_training_on_the_scanned_documents(spark, letters):
+    """A notice is found however often the corpus, that the model is also fitted on, has its words."""
+    few = [(i, f"{letters(12, i)}\n{'Released under the MIT License.' if i == 4 else letters(9, i + 20)}") for i in range(10)]
+    firms = [letters(1, i + 900).title() for i in range(400)]
+    many = [(i, f"{letters(12, i)}\n" + (f"Copyright {1980 + i % 40} {firms[i]}. All rights reserved." if i % 3 == 0 else letters(9, i + 500))) for i in range(400)]
+    for rows, want in ((few, {(4, 1, "MIT")}), (many, {(i, 1, "proprietary") for i in range(0, 400, 3)})):
+        docs = spark.createDataFrame(rows, "doc_id long, text string")
+        got = licences.scan(docs, licences.train(docs)).where("confirmed").collect()
+        assert {(r.doc_id, r.paragraph, r.family) for r in got} == want
+
+
 def test_licence_scan_stays_in_the_jvm(licence_model, documents):
     plan = licences.scan(documents, licence_model)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan
