@@ -150,3 +150,24 @@ def test_ids_equal_those_of_the_files_own_library(tricky):
     texts = [r[1] or "" for r in tricky] + ["<|endoftext|> in text", "it's  10,000\t\n\n x", "🙂🙃 ça", "\x00\x7f�", "ـ عربى 中文"]
     for text in texts:
         assert encode(text) == file.encode(text, add_special_tokens=False).ids
+
+
+def test_added_tokens_are_found_as_by_the_unmodified_library(spark):
+    from tokenizers import Tokenizer
+
+    file = Tokenizer.from_file(tokenizer_path())
+    texts = [
+        "a <|endoftext|> b", "<|endoftext|>", "<|endoftext|><|endoftext|>", "x  <|endoftext|>  y", "\n<|endoftext|>\n\n", "é<|endoftext|>🙂",
+        "<|endoftext|", "<|ENDOFTEXT|>", "<<|endoftext|>>", "word " * 1500 + "<|endoftext|> end",
+    ]
+    encode = packing.encoder(tokenizer_path()).encode
+    want = {}
+    for i, text in enumerate(texts):
+        ids = file.encode(text, add_special_tokens=False).ids
+        assert encode(text, allowed_special="all") == ids
+        first = len(ids + [packing.END]) % packing.LIMIT or packing.LIMIT
+        want[i] = (len(ids) + 1, zlib.crc32(np.array((ids + [packing.END])[:first], dtype="<u4").tobytes()))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = packed_rows(docs)
+    got = {i: (sum(r.length for r in rows if r.doc_id == i), next(r.ids_crc32 for r in rows if r.doc_id == i and r.piece == 0)) for i in want}
+    assert got == want
