@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from math import prod
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .joins import null_safe_join
 from .ranks import hash_cuts, hash_key, id_rank
 
 RATIOS = (0.7, 0.15, 0.15)
-# Most groups whose cut points are held as one value beside every row.
-MOST_GROUPS = 100_000
+# Most groups, by the types of their columns, whose cut points are held as one value beside every row.
+FEW_GROUPS = 1000
 
 
 def _rounded(total: Column, ratio: float) -> Column:
@@ -31,27 +33,37 @@ def _group_name(by: Sequence[str]) -> Column:
     return F.to_json(F.struct(*[F.col(n).cast("string").alias(f"g{i}") for i, n in enumerate(by)]))
 
 
-def _cuts_of_row(cuts: DataFrame, by: Sequence[str]) -> Column:
-    """The cut points of a row's group as a struct, without a join: no shuffle of the rows.
+def _few_groups(df: DataFrame, by: Sequence[str]) -> bool:
+    """Whether the types of the group columns allow at most ``FEW_GROUPS`` groups."""
+    values = [{"boolean": 3, "tinyint": 257}.get(df.schema[n].dataType.simpleString(), FEW_GROUPS + 1) for n in by]
+    return prod(values) <= FEW_GROUPS
 
-    The cut points of all groups are one value of the query, at most ``MOST_GROUPS`` of them; a table
-    with more groups fails with a message, since a split by so many labels is a mistake.
+
+def _with_cuts(df: DataFrame, cuts: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Add the cut points of a row's group as struct ``_cuts``, null for a group without any.
+
+    Without groups, or where their types leave few of them, the cut points are one value of the query and
+    the rows are not shuffled; otherwise the cut table, one row per group, is joined on the group.
     """
     points = F.struct(*[c for c in cuts.columns if c.startswith("cut_")])
     if not by:
-        return cuts.select(points.alias("p")).scalar()
-    few = F.when(
-        F.count(F.lit(1)) > MOST_GROUPS, F.raise_error(F.lit(f"more than {MOST_GROUPS} groups")).cast("boolean")
-    ).otherwise(F.lit(True))
-    entries = F.collect_list(F.struct(_group_name(by).alias("k"), points.alias("v")))
-    table = cuts.limit(MOST_GROUPS + 1).agg(F.when(few, F.map_from_entries(entries)).alias("m")).scalar()
-    return F.try_element_at(table, _group_name(by))
+        return df.withColumn("_cuts", cuts.select(points.alias("p")).scalar())
+    if _few_groups(df, by):
+        entries = F.collect_list(F.struct(_group_name(by).alias("k"), points.alias("v")))
+        table = cuts.agg(F.map_from_entries(entries).alias("m")).scalar()
+        return df.withColumn("_cuts", F.try_element_at(table, _group_name(by)))
+    return null_safe_join(df, cuts.select(*by, points.alias("_cuts")), by, "left")
 
 
 def _by_cuts(df: DataFrame, cuts: DataFrame, by: Sequence[str], key: str, seed: int | str) -> DataFrame:
     """Assign every row by comparing its hash with its group's cut points."""
-    own = _cuts_of_row(cuts, by)
-    return df.withColumn("split", _name_split(hash_key(key, seed), own["cut_0"], own["cut_1"]))
+    named = _name_split(hash_key(key, seed), F.col("_cuts.cut_0"), F.col("_cuts.cut_1"))
+    return _with_cuts(df, cuts, by).withColumn("split", named).drop("_cuts")
+
+
+def _up_to_cut(df: DataFrame, cuts: DataFrame, by: Sequence[str], key: str, seed: int | str) -> DataFrame:
+    """Rows up to their group's first cut point."""
+    return _with_cuts(df, cuts, by).where(hash_key(key, seed) <= F.col("_cuts.cut_0")).drop("_cuts")
 
 
 def split_stratified(
@@ -112,7 +124,7 @@ def leakage_check(df: DataFrame, key: str, split: str = "split") -> DataFrame:
 def take_first(df: DataFrame, n: int, key: str, seed: int | str = 42) -> DataFrame:
     """The first n rows in the seeded order: rows up to one cut hash, so no task gathers them."""
     cuts = hash_cuts(df, key, seed, [], lambda total: [F.least(total, F.lit(n).cast("long"))])
-    return df.where(hash_key(key, seed) <= _cuts_of_row(cuts, [])["cut_0"])
+    return _up_to_cut(df, cuts, [], key, seed)
 
 
 sample_n = take_first
@@ -121,8 +133,8 @@ sample_n = take_first
 def take_last(df: DataFrame, n: int, key: str, seed: int | str = 42) -> DataFrame:
     """The last n rows in the seeded order."""
     cuts = hash_cuts(df, key, seed, [], lambda total: [F.greatest(total - F.lit(n), F.lit(0).cast("long"))])
-    before = F.coalesce(_cuts_of_row(cuts, [])["cut_0"], F.lit(""))  # no cut: all rows
-    return df.where((hash_key(key, seed) > before) & (F.lit(n) > 0))
+    before = F.coalesce(F.col("_cuts.cut_0"), F.lit(""))  # no cut: all rows
+    return _with_cuts(df, cuts, []).where((hash_key(key, seed) > before) & (F.lit(n) > 0)).drop("_cuts")
 
 
 def train_val_edges(
@@ -134,15 +146,15 @@ def train_val_edges(
         tail = F.greatest(F.lit(val_min).cast("long"), total - F.lit(train_n))
         return [F.least(total, F.lit(train_n).cast("long")), total - tail]
 
-    cuts, h = _cuts_of_row(hash_cuts(df, key, seed, [], edges), []), hash_key(key, seed)
-    before_val = F.coalesce(cuts["cut_1"], F.lit(""))  # no cut: every row is val
+    cuts, h = hash_cuts(df, key, seed, [], edges), hash_key(key, seed)
+    before_val = F.coalesce(F.col("_cuts.cut_1"), F.lit(""))  # no cut: every row is val
     roles = F.array_compact(
         F.array(
-            F.when(h <= cuts["cut_0"], F.lit("train")),
+            F.when(h <= F.col("_cuts.cut_0"), F.lit("train")),
             F.when(h > before_val, F.lit("val")),
         )
     )
-    return df.withColumn("role", F.explode(roles))
+    return _with_cuts(df, cuts, []).withColumn("role", F.explode(roles)).drop("_cuts")
 
 
 def cap_splits(
@@ -161,7 +173,7 @@ def cap_splits(
     capped = hash_cuts(
         df.withColumn("_cap", cap), key, seed, [split, "_cap"], lambda n: [F.least(n, F.col("_cap"))]
     )
-    return df.where(hash_key(key, seed) <= _cuts_of_row(capped.drop("_cap"), [split])["cut_0"])
+    return _up_to_cut(df, capped.drop("_cap"), [split], key, seed)
 
 
 def sequence_ids(
@@ -184,7 +196,7 @@ def few_shot_select(
 ) -> DataFrame:
     """Up to k rows per class in the seeded order: rows up to the class's cut hash."""
     cuts = hash_cuts(df, key, seed, list(by), lambda total: [F.least(total, F.lit(k).cast("long"))])
-    return df.where(hash_key(key, seed) <= _cuts_of_row(cuts, list(by))["cut_0"])
+    return _up_to_cut(df, cuts, list(by), key, seed)
 
 
 def bootstrap_set_count(candidates: int) -> int:

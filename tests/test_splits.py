@@ -179,3 +179,13 @@ def test_sizes_are_exact(spark, n, train):
     t, v = int(n * train + 0.5), int(n * val + 0.5)
     assert got.get("train", 0) == min(n, t) and got.get("val", 0) == min(v, n - min(n, t))
     assert sum(got.values()) == n
+
+
+def test_any_number_of_groups(spark):
+    """Two rows a group and a group of nulls: more groups than one value should hold."""
+    groups = 100_050
+    df = spark.range(2 * groups + 2).select(F.col("id").alias("key"), F.when(F.col("id") < 2 * groups, F.col("id") % groups).alias("user"))
+    got = splits.split_stratified(df, "key", "user", (0.5, 0.5, 0.0))
+    assert sizes(got) == {"train": groups + 1, "val": groups + 1}
+    assert got.groupBy("user").agg(F.count_distinct("split").alias("n")).where("n = 2").count() == groups + 1
+    assert splits.few_shot_select(df, "key", 1, ["user"]).count() == groups + 1
