@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, licences, mixing, ordinal, packing, prefixhash, repeats, simhash, toxicity, weakrules
+from . import backoff, chat, licences, mixing, ordinal, packing, prefixhash, repeats, simhash, toxicity, weakrules
 from .staging import ship, stage, word_count
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -140,3 +140,9 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return licences.scan(docs, licences.train(docs))
+
+
+@query("op11_lm_scoring")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    apart = F.crc32(F.col("doc_id").cast("long").cast("string").cast("binary")) % 7 == 2
+    return backoff.scores(table(spark, sf_dir, "documents"), apart)
