@@ -51,17 +51,17 @@ class Plain:
             after = defaultdict(list)
             for gram, c in self.count[n].items():
                 after[gram[:-1]].append(c)
-            self.after.append(after)
+            cut = lambda c, n=n: self.discount[n][min(c, 3) - 1]
+            self.after.append({h: (sum(counts), sum(map(cut, counts))) for h, counts in after.items()})
 
     def probability(self, history, word):
         n = len(history) + 1
         below = self.probability(history[1:], word) if history else 1 / (len(self.known) + 1)
-        counts = self.after[n].get(history)
-        if not counts:
+        if history not in self.after[n]:
             return below
-        cut = lambda c: self.discount[n][min(c, 3) - 1]
+        total, lost = self.after[n][history]
         own = self.count[n][(*history, word)]
-        return ((own - cut(own)) if own else 0) / sum(counts) + sum(map(cut, counts)) / sum(counts) * below
+        return ((own - self.discount[n][min(own, 3) - 1]) if own else 0) / total + lost / total * below
 
     def score(self, words):
         read = [" "] * (self.order - 1) + words
