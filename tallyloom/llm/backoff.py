@@ -44,7 +44,7 @@ from .blobs import pack, steps, unpack
 from .staging import drop_staged, stage
 
 ORDER = 2
-CHUNK = 1 << 22
+CHUNK = 1 << 21
 PIECE = 2048
 BLOCK = 1 << 20
 BLOCKS = 512
