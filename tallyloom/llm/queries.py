@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import backoff, chat, licences, mixing, ordinal, packing, prefixhash, repeats, simhash, toxicity, weakrules
+from . import backoff, chat, collocations, licences, mixing, ordinal, packing, prefixhash, repeats, simhash, toxicity, weakrules, whitening
 from .staging import ship, stage, word_count
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -146,3 +146,52 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     apart = F.crc32(F.col("doc_id").cast("long").cast("string").cast("binary")) % 7 == 2
     return backoff.scores(table(spark, sf_dir, "documents"), apart)
+
+
+PHRASE_SQL = r"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang,
+           unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents
+), listed AS (
+    SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
+), grams AS (
+    SELECT lang, k, list_slice(w, i, i + k - 1) AS p
+    FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM listed, (VALUES (1), (2), (3)) sizes(k) WHERE len(w) >= k)
+), counts AS (
+    SELECT lang, k, array_to_string(p, ' ') AS phrase, p, count(*)::HUGEINT AS f FROM grams GROUP BY lang, k, p
+), sizes AS (
+    SELECT lang, sum(f) AS n FROM counts WHERE k = 1 GROUP BY lang
+), cuts AS (
+    SELECT c.lang, c.k, c.phrase, c.p, c.f AS a, x.cut,
+           array_to_string(list_slice(c.p, 1, x.cut), ' ') AS head, array_to_string(list_slice(c.p, x.cut + 1, c.k), ' ') AS tail
+    FROM counts c JOIN (VALUES (1), (2)) x(cut) ON x.cut < c.k WHERE c.f >= 10
+), valued AS (
+    SELECT c.*, h.f AS l, t.f AS r, (1000000 * c.a * c.a) // (h.f * t.f) AS score
+    FROM cuts c JOIN counts h ON h.lang = c.lang AND h.phrase = c.head AND h.k = c.cut
+    JOIN counts t ON t.lang = c.lang AND t.phrase = c.tail AND t.k = c.k - c.cut
+), least AS (
+    SELECT * FROM valued QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1
+), inner_pairs AS (
+    SELECT lang, phrase, max(f) AS over FROM (
+        SELECT lang, array_to_string(list_slice(p, 1, 2), ' ') AS phrase, f FROM counts WHERE k = 3 AND f >= 10
+        UNION ALL SELECT lang, array_to_string(list_slice(p, 2, 3), ' '), f FROM counts WHERE k = 3 AND f >= 10
+    ) GROUP BY lang, phrase
+), ranked AS (
+    SELECT l.lang, row_number() OVER (PARTITION BY l.lang ORDER BY l.score DESC, l.a DESC, l.phrase) AS rank, l.phrase, l.a, l.l, l.r, l.score
+    FROM least l LEFT JOIN inner_pairs i ON i.lang = l.lang AND i.phrase = l.phrase AND l.k = 2
+    WHERE i.over IS NULL OR 100 * i.over < 50 * l.a
+)
+SELECT r.lang, r.rank::BIGINT AS rank, r.phrase, r.a::BIGINT AS a, r.l::BIGINT AS l, r.r::BIGINT AS r, s.n::BIGINT AS n, r.score::BIGINT AS score
+FROM ranked r JOIN sizes s ON s.lang = r.lang WHERE r.rank <= 2000
+"""
+
+
+@query("op12_collocations", PHRASE_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+@query("op13_whitening")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
