@@ -44,7 +44,7 @@ from .blobs import pack, steps, unpack
 from .staging import drop_staged, stage
 
 ORDER = 2
-CHUNK = 1 << 21
+CHUNK = 1 << 20
 PIECE = 2048
 BLOCK = 1 << 20
 BLOCKS = 512
@@ -167,19 +167,19 @@ class Chunk:
     def __init__(self, payload: bytes, order: int):
         self.order = order
         self.hashes, tokens, sizes, self.row, self.key, self.missing, self.held = unpack(payload)
-        self.tokens, self.sizes = tokens.astype(np.int64), sizes.astype(np.int64)
+        self.tokens, self.sizes = tokens.astype(np.int32), sizes.astype(np.int64)
         self.begins = np.cumsum(self.sizes) - self.sizes
-        within = np.arange(len(tokens)) - np.repeat(self.begins, self.sizes)
+        within = np.arange(len(tokens), dtype=np.int32) - np.repeat(self.begins, self.sizes).astype(np.int32)
         self.read = within >= order - 1  # the others only lead to a piece
         self.trained = self.read & ~np.repeat(self.held, self.sizes)
         # Number of the n-gram that ends at each place (-1 where it would start before its piece), by length.
-        self.ending = [np.zeros(len(tokens), dtype=np.int64), self.tokens]
+        self.ending = [np.zeros(0, dtype=np.int32), self.tokens]
         self.parts = [(np.zeros(1, dtype=np.int64), np.zeros(1, dtype=np.int64)), (np.zeros(len(self.hashes), dtype=np.int64), np.arange(len(self.hashes)))]
         self.keys = [np.full(1, ROOT), extended(np.full(len(self.hashes), ROOT), self.hashes)]
         for n in range(2, order + 1):
             here = np.flatnonzero(within >= n - 1)
-            whole, at = np.unique(self.ending[-1][here - 1] * len(self.hashes) + self.tokens[here], return_inverse=True)
-            ending = np.full(len(tokens), -1, dtype=np.int64)
+            whole, at = np.unique(self.ending[-1][here - 1] * np.int64(len(self.hashes)) + self.tokens[here], return_inverse=True)
+            ending = np.full(len(tokens), -1, dtype=np.int32)
             ending[here] = at
             history, word = np.divmod(whole, len(self.hashes))
             self.ending.append(ending), self.parts.append((history, word))
