@@ -13,8 +13,8 @@ that mostly occur inside a longer candidate are dropped; the best of each langua
    phrases (``quotient.py``), one for each block of the permuted key. Blocks hold about ``BLOCK`` occurrences,
    however frequent a word or a language is. A block's filters are merged, and the n-grams with enough
    occurrences are read back from it.
-4. The rest is joins over these n-grams in long form. The best of a language are chosen within ``PARTS`` hash
-   parts first.
+4. The rest is joins over these n-grams in long form. Candidates are ranked by range partitions of the whole
+   order, so no language is one task's work.
 
 Scores are exact: products are decimals of 38 digits, enough for 10^15 occurrences.
 
@@ -30,7 +30,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .backoff import Numbers
@@ -41,7 +41,6 @@ from .staging import drop_staged, numbered, stage
 CHUNK = 1 << 21
 BLOCK = 1 << 20
 BLOCK_BITS = 9
-PARTS = 64
 SLICE = 1 << 20
 UNKNOWN_LANGUAGE = "und"
 
@@ -258,11 +257,12 @@ def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", least:
     dealt = together.mapInArrow(_count(bits, block_bits), FILTERS).repartition("block").sortWithinPartitions("block")
     grams = stage(dealt.mapInArrow(_merge(bits, least), GRAMS), "phrase-grams")
 
-    best = [F.col("score").desc(), F.col("a").desc(), F.col("phrase")]
-    found = scored(grams, often, inside).withColumn("part", F.pmod(F.xxhash64("phrase"), F.lit(PARTS)))
-    some = found.withColumn("rank", F.row_number().over(Window.partitionBy("lang", "part").orderBy(*best))).where(F.col("rank") <= top)
-    ranked = some.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*best)).cast("long")).where(F.col("rank") <= top)
-    out = ranked.join(sizes, "lang").select("lang", "rank", F.col("phrase").cast("string").alias("phrase"), "a", "l", "r", "n", "score")
+    found = stage(scored(grams, often, inside), "phrase-scores")
+    best = [F.col("lang"), F.col("score").desc(), F.col("a").desc(), F.col("phrase")]
+    placed = stage(numbered(found, *best, name="place", label="phrase-places"), "phrase-ranks")
+    firsts = placed.groupBy("lang").agg(F.min("place").alias("first")).join(sizes, "lang")
+    ranked = placed.join(firsts, "lang").withColumn("rank", F.col("place") - F.col("first") + 1).where(F.col("rank") <= top)
+    out = ranked.select("lang", "rank", F.col("phrase").cast("string").alias("phrase"), "a", "l", "r", "n", "score")
     out = stage(out, "phrases")
-    drop_staged(chunks, grams)
+    drop_staged(chunks, grams, found, placed)
     return out

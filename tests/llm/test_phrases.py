@@ -53,7 +53,6 @@ def random_rows(seed, n=120):
 @pytest.mark.parametrize("chunk, slices, top", [(1 << 21, 1 << 20, 2000), (7, 40, 2000), (60, 100, 5)])
 def test_phrases_are_those_of_plain_counts(spark, monkeypatch, chunk, slices, top):
     monkeypatch.setattr(collocations, "SLICE", slices)
-    monkeypatch.setattr(collocations, "PARTS", 3)
     rows = random_rows(chunk)
     docs = spark.createDataFrame(rows, SCHEMA).repartition(3)
     got = sorted(map(tuple, collocations.collocations(docs, chunk=chunk, top=top).collect()))
