@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.functions import pricing
 from tallyloom.functions.text import approx_tokens
-from tallyloom.operators import costs
+from tallyloom.operators import costs, rules
 from tallyloom.plans import flows
 from tallyloom.session import scratch_path
 from tallyloom.sources import readers
@@ -171,6 +171,21 @@ def phase_join(spark, sf):
     return costs.phase_join(files).select("phase", "cassette")
 
 
+@query(
+    "phase_join_table",
+    """WITH p AS (SELECT 'phase ' || page_id % 5 AS phase, substr(url, 9 + (page_id % 20)::INT, 4 + (page_id % 9)::INT) AS pattern FROM pages)
+    SELECT phase, cassette, count(*) AS n_patterns FROM p JOIN (SELECT DISTINCT url AS cassette FROM pages) f ON contains(cassette, pattern)
+    WHERE pattern <> '' GROUP BY phase, cassette""",
+)
+def phase_join_table(spark, sf):
+    """One pattern cut from each page's address, looked for in all addresses."""
+    pages = table(spark, sf, "pages")
+    cut = F.expr("substr(url, cast(9 + page_id % 20 as int), cast(4 + page_id % 9 as int))")
+    patterns = pages.select(F.concat(F.lit("phase "), (F.col("page_id") % 5).cast("string")).alias("phase"), cut.alias("pattern"))
+    found = rules.match_patterns(pages.select(F.col("url").alias("cassette")).distinct(), patterns, "cassette")
+    return found.groupBy("phase", "cassette").agg(F.count(F.lit(1)).alias("n_patterns"))
+
+
 @query(
     "phase_costs",
     f"""WITH {PHASES_SQL} SELECT name AS phase, coalesce(micro, 0) / 1000000.0::DOUBLE AS total_cost, coalesce(requests, 0) AS requests,
@@ -281,6 +296,31 @@ def stream_token_usage(spark, sf):
     return folds.latest_token_usage(spark, f"{out}/table")
 
 
+@query(
+    "stream_late_events",
+    """WITH e AS (SELECT event_id, CASE WHEN event_type = 'view' THEN 'unknown' ELSE event_type END AS module, (props->>'$.k')::BIGINT AS i,
+        CASE WHEN user_id % 3 > 0 THEN user_id ELSE 0 END AS o, ts, event_id % 3 AS b FROM events),
+      sent AS (SELECT *, false AS again FROM e UNION ALL SELECT event_id, module, i, o, ts, 2, true FROM e WHERE event_id % 30 = 3),
+      cuts AS (SELECT x.b, max(e.ts) - INTERVAL 10 DAY AS cut FROM (VALUES (0), (1), (2)) x(b) LEFT JOIN e ON e.b < x.b GROUP BY x.b),
+      judged AS (SELECT s.*, coalesce(s.ts < c.cut, false) AS late FROM sent s JOIN cuts c ON c.b = s.b)
+    SELECT module, sum(CASE WHEN NOT late AND (NOT again OR event_id % 7 = 0) THEN i ELSE 0 END)::BIGINT AS input,
+      sum(CASE WHEN NOT late AND (NOT again OR event_id % 7 = 0) THEN o ELSE 0 END)::BIGINT AS output,
+      count(*) FILTER (late) AS late_events FROM judged GROUP BY module""",
+)
+def stream_late_events(spark, sf):
+    """Three files, ten days of horizon in a month of events; a thirtieth comes again, a seventh has no id."""
+    out = scratch_path(spark, "late-events")
+    stamp = F.timestamp_micros(F.unix_micros(F.col("ts").cast("timestamp"))).alias("ts")
+    rows = token_events(table(spark, sf, "events"), F.when(F.col("event_id") % 7 != 0, F.col("event_id")).alias("id"), "event_id", stamp)
+    for b in range(3):
+        part = rows.where(F.col("event_id") % 3 == b)
+        part = part.union(rows.where("event_id % 30 = 3")) if b == 2 else part
+        part.drop("event_id").coalesce(1).write.mode("append").parquet(f"{out}/arriving")
+    stream = spark.readStream.schema(rows.drop("event_id").schema).option("maxFilesPerTrigger", 1).parquet(f"{out}/arriving")
+    folds.stream_token_usage(stream, f"{out}/table", f"{out}/checkpoint", "10 days", event_id="id").awaitTermination()
+    return folds.token_usage_and_late_events(spark, f"{out}/table")
+
+
 @query(
     "optimizer_cost_estimate",
     """SELECT event_id, CASE event_type WHEN 'click' THEN 50 WHEN 'view' THEN 150 END::BIGINT AS estimated_api_calls,

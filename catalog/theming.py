@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tallyloom.operators import themes
+from tallyloom.operators import rules, themes
 from tallyloom.plans import flows
 from tallyloom.session import scratch_path
 from tallyloom.streaming import folds
@@ -50,6 +50,32 @@ def categorize(spark, sf):
     return themes.categorize(document_requests(spark, sf), SERVICES, CATEGORIES).select("pr", "category", "service")
 
 
+WORD_RULES_SQL = r"""tokens AS (SELECT DISTINCT pr, token FROM (SELECT doc_id AS pr, unnest(list_transform(
+      regexp_extract_all(source || ' ' || text || ' ', '[\p{L}\p{M}\p{N}_]+'), lambda w: lower(w))) AS token FROM documents)),
+  words AS (SELECT DISTINCT token, md5(token) AS h FROM tokens WHERE length(token) >= 4),
+  word_rules AS (SELECT 'service' AS kind, token, 'service ' || substr(h, 31, 2) AS value, h AS priority FROM words
+    UNION ALL SELECT 'category', token, 'category ' || substr(h, 1, 2), h FROM words WHERE h < '4' AND length(token) >= 6),
+  picked AS (SELECT pr, min_by(value, priority) FILTER (kind = 'service') AS service, min_by(value, priority) FILTER (kind = 'category') AS category
+    FROM tokens JOIN word_rules USING (token) GROUP BY pr)"""
+
+
+@query(
+    "categorize_table",
+    f"""WITH {WORD_RULES_SQL} SELECT doc_id AS pr, coalesce(category, 'customer_facing_available') AS category, coalesce(service, 'Other') AS service
+    FROM documents LEFT JOIN picked ON pr = doc_id""",
+)
+def categorize_table(spark, sf):
+    """One rule for each word of at least four letters in the documents, some hundred thousand at sf0.1."""
+    requests = document_requests(spark, sf)
+    found = F.regexp_extract_all(F.lower(themes.pr_text()), F.lit(rules.TOKEN), 0)
+    words = requests.select(F.explode(found).alias("token")).where(F.length("token") >= 4).distinct().withColumn("priority", F.md5("token"))
+    services = words.select(F.lit("service").alias("kind"), "token", F.concat(F.lit("service "), F.substring("priority", 31, 2)).alias("value"), "priority")
+    categories = words.where("priority < '4' and length(token) >= 6")
+    categories = categories.select(F.lit("category"), "token", F.concat(F.lit("category "), F.substring("priority", 1, 2)), "priority")
+    defaults = {"category": "customer_facing_available", "service": "Other"}
+    return rules.decide(requests, services.union(categories), themes.pr_text(), "pr", defaults).select("pr", "category", "service")
+
+
 @query(
     "customer_facing",
     f"WITH {CATEGORIZED_SQL} SELECT pr, category FROM categorized WHERE category <> 'internal_improvement'",

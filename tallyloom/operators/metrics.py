@@ -6,8 +6,11 @@ api_calls, latency_s, error``. Every metric is one aggregation with map-side com
 
 from __future__ import annotations
 
+import threading
+import uuid
 from collections.abc import Mapping, Sequence
 
+from pyspark import InheritableThread
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,7 +29,7 @@ from ..functions.ratios import (
 )
 from ..functions.scoring import Metric
 from ..functions.text import snippet
-from ..session import settle
+from ..session import scratch_path
 
 _CELLS = ("tp", "fp", "tn", "fn")
 
@@ -447,17 +450,49 @@ def error_budget(scored: DataFrame, max_errors: int, by: Sequence[str] = ()) ->
     return counted.withColumn("stopped", F.col("errors") >= max_errors)
 
 
+class BudgetExceeded(RuntimeError):
+    """Scoring was stopped because too many rows failed."""
+
+
 def require_budget(scored: DataFrame, max_errors: int) -> DataFrame:
-    """The rows themselves, or a failed job once ``max_errors`` rows carry an error.
+    """The rows themselves, written once to the shared folder; scoring stops when ``max_errors`` rows carry an error.
 
-    The rows are written once to the shared folder and read for both, so a scorer runs once per row.
+    Tasks count their errors in an accumulator while rows are written; when the tasks that have ended reach the
+    budget, the job's other tasks are cancelled, nothing is kept and ``BudgetExceeded`` is raised. So a run that goes
+    wrong pays for the tasks that run at that time, not for all rows.
     """
-    scored = settle(scored)
-    errors = scored.agg(F.count_if(F.col("error").isNotNull()).alias("n")).scalar()
-    guard = F.when(
-        errors >= max_errors, F.raise_error(F.lit("error budget exceeded")).cast("boolean")
-    ).otherwise(F.lit(True))
-    return scored.filter(guard)
+    spark = scored.sparkSession
+    context = spark.sparkContext
+    errors, group, ended = context.accumulator(0), f"budget-{uuid.uuid4().hex}", threading.Event()
+
+    def counted(batches):
+        for batch in batches:
+            failed = batch.column(batch.schema.get_field_index("error"))
+            errors.add(len(failed) - failed.null_count)
+            yield batch
+
+    def watch() -> None:
+        while not ended.wait(0.1):
+            if errors.value >= max_errors:
+                context.cancelJobGroup(group)
+                return
+
+    path = scratch_path(spark, "scored")
+    watcher = InheritableThread(target=watch, daemon=True)
+    watcher.start()
+    context.setJobGroup(group, "scoring under an error budget", interruptOnCancel=True)
+    try:
+        scored.mapInArrow(counted, scored.schema).write.parquet(path)
+    except Exception:
+        if errors.value < max_errors:
+            raise
+    finally:
+        ended.set()
+        for name in ("spark.jobGroup.id", "spark.job.description", "spark.job.interruptOnCancel"):
+            context.setLocalProperty(name, None)
+    if errors.value >= max_errors:
+        raise BudgetExceeded(f"error budget exceeded: {errors.value} of {max_errors} rows failed")
+    return spark.read.schema(scored.schema).parquet(path)
 
 
 def error_cases(

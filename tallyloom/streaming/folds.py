@@ -29,40 +29,83 @@ def _version(out: str, number: int) -> str:
 
 def _drop_old(spark: SparkSession, out: str) -> None:
     for number in _versions(spark, out)[:-VERSIONS]:
-        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_version(out, number))
-        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+        _drop(spark, _version(out, number))
+
+
+def _drop(spark: SparkSession, path: str) -> None:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def stream_token_usage(
     events: DataFrame,
     out: str,
     checkpoint: str,
+    horizon: str,
     once: bool = True,
     event_id: str = "event_id",
     ts: str = "ts",
-    horizon: str = "7 days",
 ) -> StreamingQuery:
-    """Keep token sums per module current in a Parquet table; a repeated event counts once.
+    """Keep token sums per module current; a repeated event counts once, a late one is counted apart.
 
-    ``horizon`` bounds the state: ids are remembered for so long after the newest event time, and events
-    that are later than that are left out. Every micro-batch writes the complete result (one row per
-    module) under its batch number and replaces that folder when the batch runs again, so a restart never
-    counts an event twice; the last ``VERSIONS`` results stay.
+    An event is late if it is older than the newest time of earlier micro-batches by more than ``horizon``
+    (an interval such as ``7 days``); late events add to ``late_events`` of their module and to nothing else. Ids
+    are remembered as long as an event that repeats them would not be late. Events without an id are never taken
+    for repeats, events without a time are never late and their ids are remembered with the batch they came in.
+
+    Each micro-batch writes the ids it has met, then the complete sums (one row per module) under its batch number,
+    and replaces both when it runs again, so a restart never counts an event twice. The sums of the last
+    ``VERSIONS`` batches stay, and ids of batches whose newest time is within the horizon.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(_version(out, batch_id))
-        _drop_old(batch.sparkSession, out)
-
-    known = events.withWatermark(ts, horizon).dropDuplicatesWithinWatermark([event_id])
-    stream = tokens_by_module(known).writeStream.outputMode("complete").foreachBatch(write)
-    stream = stream.option("checkpointLocation", checkpoint)
+        spark = batch.sparkSession
+        versions = [v for v in _versions(spark, f"{out}/sums") if v < batch_id]
+        before = spark.read.parquet(_version(f"{out}/sums", versions[-1])) if versions else None
+        newest = before.agg(F.max(F.unix_micros("newest"))).first()[0] if versions else None
+        back = F.expr(f"INTERVAL {horizon}")
+        late = F.lit(False) if newest is None else F.coalesce(F.col("ts") < F.timestamp_micros(F.lit(newest)) - back, F.lit(False))
+        tokens = [F.coalesce("module", F.lit("unknown")).alias("module"), "tokens_input", "tokens_output"]
+        rows = batch.select(F.col(event_id).alias("id"), F.col(ts).cast("timestamp").alias("ts"), *tokens).withColumn("late", late).persist()
+        latest = rows.agg(F.max(F.unix_micros("ts"))).first()[0]
+        latest = max((t for t in (newest, latest) if t is not None), default=None)
+        now = F.timestamp_micros(F.lit(latest).cast("long"))
+
+        # Of an event that comes several times in a batch the least row counts.
+        timely = rows.where("not late")
+        fresh = timely.where("id is not null").groupBy("id").agg(F.min(F.struct("ts", "module", "tokens_input", "tokens_output")).alias("e"))
+        fresh = fresh.select("id", F.coalesce("e.ts", now).alias("ts"), "e.module", "e.tokens_input", "e.tokens_output")
+        if any(v < batch_id for v in _versions(spark, f"{out}/ids")):
+            seen = spark.read.schema(fresh.schema.add("batch", "string")).parquet(f"{out}/ids").where(F.col("batch").cast("long") < batch_id)
+            fresh = fresh.join(seen.select("id"), "id", "left_anti")
+        fresh.write.mode("overwrite").parquet(_version(f"{out}/ids", batch_id))
+        counted = spark.read.schema(fresh.schema).parquet(_version(f"{out}/ids", batch_id)).drop("id", "ts")
+
+        zero = F.lit(0).cast("long")
+        new = tokens_by_module(counted.unionByName(timely.where("id is null").drop("id", "ts", "late"))).withColumn("late_events", zero)
+        missed = rows.where("late").groupBy("module").agg(F.count(F.lit(1)).alias("late_events")).withColumns({"input": zero, "output": zero})
+        parts = new.unionByName(missed) if before is None else new.unionByName(missed).unionByName(before.drop("newest"))
+        sums = parts.groupBy("module").agg(*[F.sum(c).alias(c) for c in ("input", "output", "late_events")])
+        sums.withColumn("newest", now).write.mode("overwrite").parquet(_version(f"{out}/sums", batch_id))
+        rows.unpersist()
+        _drop_old(spark, f"{out}/sums")
+        ends = spark.read.schema(fresh.schema.add("batch", "string")).parquet(f"{out}/ids").groupBy("batch").agg(F.max("ts").alias("ts"))
+        for gone in ends.where((F.col("ts") < now - back) & (F.col("batch").cast("long") < batch_id)).collect():
+            _drop(spark, _version(f"{out}/ids", int(gone["batch"])))
+
+    stream = events.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return (stream.trigger(availableNow=True) if once else stream).start()
 
 
 def latest_token_usage(spark: SparkSession, out: str) -> DataFrame:
-    """The newest sums written by the stream."""
-    return spark.read.parquet(_version(out, _versions(spark, out)[-1]))
+    """The newest sums written by the stream: ``module, input, output``."""
+    return token_usage_and_late_events(spark, out).drop("late_events")
+
+
+def token_usage_and_late_events(spark: SparkSession, out: str) -> DataFrame:
+    """The newest sums with the number of events that came too late: ``module, input, output, late_events``."""
+    newest = _versions(spark, f"{out}/sums")[-1]
+    return spark.read.parquet(_version(f"{out}/sums", newest)).drop("newest")
 
 
 def stream_merge_themes(

@@ -1,11 +1,13 @@
 import json
+import time
+import uuid
 
 import pytest
 from pyspark.sql import functions as F
 
 from tallyloom.functions import scoring
 from tallyloom.functions.text import extract_medications, has_word
-from tallyloom.operators import predict
+from tallyloom.operators import metrics, predict
 from tallyloom.operators.joins import replay_responses
 
 from .conftest import collected
@@ -157,3 +159,27 @@ def test_a_budget_scores_each_row_once(spark, rows, tmp_path):
     assert predict.evaluate(df, score, scoring.metric_safety, max_errors=3).count() == 10
     with open(log) as f:
         assert len(f.read()) == 10
+
+
+def test_scoring_stops_at_the_budget(spark, rows, tmp_path):
+    """Of 64 tasks of ten failing rows, only those that run before the budget is seen to be used up are paid for."""
+    log = tmp_path / "calls"
+    log.mkdir()
+
+    def build():
+        def scorer(texts):
+            time.sleep(0.3)
+            (log / uuid.uuid4().hex).write_text("x" * len(texts))
+            raise ValueError("no answer")
+
+        return scorer
+
+    df = rows([(i, f"t{i}", True) for i in range(640)], "example_id long, text string, y_true boolean").repartition(64)
+
+    def score(examples):
+        return predict.score_batch(examples, build, "y_pred boolean, confidence double").withColumnRenamed("error_message", "error")
+
+    with pytest.raises(metrics.BudgetExceeded, match="error budget exceeded"):
+        predict.evaluate(df, score, scoring.metric_safety, max_errors=5)
+    assert 5 <= sum(len(f.read_text()) for f in log.iterdir()) < 11 * 640 / 2
+    assert spark.range(5).count() == 5  # the session goes on
