@@ -8,8 +8,10 @@ logistic regression with an L1 penalty is fitted on varied templates (words drop
 after) against the class "unknown": sentences that only sound like licences and sampled corpus paragraphs,
 without those that resemble a template.
 A second regression on variations not used for the first turns the margin of the best family over "unknown"
-into a calibrated probability; below ``CERTAIN`` the paragraph is unknown. A prediction is confirmed when
-the paragraph's words agree with a template of the family in ``ALIKE`` of the smaller word set.
+into a calibrated probability, families and "unknown" weighing the same; the paragraph is unknown below
+``CERTAIN``, and wherever "unknown" scores higher. A prediction is confirmed when the paragraph's words agree
+with a template of the family in ``ALIKE`` of the smaller word set; only confirmed ones are notices.
+``MIT`` counts as the licence's name in capitals or before "license", so the German word is none.
 
 A paragraph is scored if it has a word of every n-gram that can speak for a family; without one its margin
 is at most that of no n-gram at all, which is unknown. Paragraphs
@@ -33,6 +35,7 @@ from pyspark.sql import functions as F
 from .staging import stage
 
 UNKNOWN = "unknown"
+MIT = "mitlicence"
 SAMPLE_DOCS = 400
 SAMPLE_LINES = 3000
 VARIATIONS = 12
@@ -145,8 +148,9 @@ NAMES = ["bsd", "cc0", "gpl", "gplv3", "lgpl", "mpl", "sharealike", "spdx", "unl
 
 
 def wording(text: Column) -> Column:
-    """Lower-cased words separated by single spaces."""
-    return F.trim(F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]+", " "))
+    """Lower-cased words separated by single spaces; the name MIT becomes a word of its own."""
+    named = F.regexp_replace(text, r"(?<![\p{L}\p{N}])(MIT(?![\p{L}\p{N}])|(?i:mit)(?=[\s-]+(?i:licen[cs]e)))", MIT)
+    return F.trim(F.regexp_replace(F.lower(named), r"[^\p{L}\p{N}]+", " "))
 
 
 def grams(words: Column) -> Column:
@@ -216,7 +220,7 @@ def train(docs: DataFrame, key: str = "doc_id", text: str = "text", seed: int =
     counter = CountVectorizerModel.from_vocabulary(vocabulary, inputCol="grams", outputCol="features")
     share = rows.groupBy("label").agg((1 / F.count(F.lit(1))).alias("weight"))
     vectors = counter.transform(rows.join(F.broadcast(share), "label"))
-    learner = LogisticRegression(weightCol="weight", regParam=2e-4, elasticNetParam=0.9, maxIter=60, family="multinomial", standardization=False)
+    learner = LogisticRegression(weightCol="weight", regParam=5e-5, elasticNetParam=0.9, maxIter=100, family="multinomial", standardization=False)
     fitted = learner.fit(vectors.where("not held"))
     matrix, bias = fitted.coefficientMatrix.toArray(), fitted.interceptVector.toArray()
     weights = {g: matrix[:, i].tolist() for i, g in enumerate(vocabulary) if matrix[:, i].any()}
@@ -224,7 +228,9 @@ def train(docs: DataFrame, key: str = "doc_id", text: str = "text", seed: int =
     raw = vector_to_array("rawPrediction")
     margin = F.array_max(F.slice(raw, 1, len(TEMPLATES))) - F.element_at(raw, -1)
     tried = fitted.transform(vectors.where("held")).select(
-        (F.col("label") < len(TEMPLATES)).cast("double").alias("label"), array_to_vector(F.array(margin)).alias("features"), "weight"
+        (F.col("label") < len(TEMPLATES)).cast("double").alias("label"),
+        array_to_vector(F.array(margin)).alias("features"),
+        F.when(F.col("label") < len(TEMPLATES), F.col("weight") / len(TEMPLATES)).otherwise(F.col("weight")).alias("weight"),
     )
     platt = LogisticRegression(regParam=1e-3, maxIter=50, weightCol="weight").fit(tried)
     scale = (float(platt.coefficients[0]), float(platt.intercept))
@@ -251,14 +257,17 @@ def _needed(weights: dict[str, list[float]], bias: list[float], telling: set[str
     Only n-grams that some family weighs above "unknown" raise a margin; each is there only if its longest
     telling word is. If no n-gram at all would already be certain, every n-gram counts.
     """
-    nothing = scale[0] * (max(bias[:-1]) - bias[-1]) + scale[1]
-    exact = scale[0] > 0 and 1 / (1 + math.exp(-nothing)) < CERTAIN
+    margin = max(bias[:-1]) - bias[-1]
+    exact = margin <= 0 or (scale[0] > 0 and 1 / (1 + math.exp(-(scale[0] * margin + scale[1]))) < CERTAIN)
     raising = [g for g, w in weights.items() if not exact or max(w[:-1]) > w[-1]]
     return sorted({max(telling & set(g.split()), key=lambda w: (len(w), w)) for g in raising})
 
 
-def scan(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id, paragraph, family, probability, similarity, confirmed`` for every paragraph that is a licence notice."""
+def scan(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text", confirmed_only: bool = True) -> DataFrame:
+    """``doc_id, paragraph, family, probability, similarity, confirmed`` for every paragraph that is a licence notice.
+
+    ``confirmed_only=False`` adds predictions that no template confirms.
+    """
     spark = docs.sparkSession
     words = F.split("wording", " ")
     telling = F.arrays_overlap(words, F.array(*map(F.lit, model.telling))) if model.telling else F.lit(False)
@@ -276,7 +285,8 @@ def scan(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text")
     logits = [F.col(f"s{i}") + F.lit(model.bias[i]) for i in classes]
     best = F.array_max(F.array(*[F.struct(v.alias("score"), F.lit(f).alias("family")) for v, f in zip(logits[:-1], model.families)]))
     certain = 1 / (1 + F.exp(-(F.lit(model.scale[0]) * (F.col("best.score") - logits[-1]) + F.lit(model.scale[1]))))
-    named = scored.withColumn("best", best).select("wording", "best.family", certain.alias("probability")).where(F.col("probability") >= CERTAIN)
+    named = scored.withColumn("best", best).where(F.col("best.score") > logits[-1])
+    named = named.select("wording", "best.family", certain.alias("probability")).where(F.col("probability") >= CERTAIN)
     forms = F.create_map(
         *[x for f, ts in TEMPLATES.items() for x in (F.lit(f), F.array(*[F.array_distinct(F.split(wording(F.lit(t)), " ")) for t in ts]))]
     )
@@ -284,4 +294,6 @@ def scan(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text")
     agree = lambda t: F.size(F.array_intersect(own, t)) / F.least(F.size(own), F.size(t))
     named = named.withColumn("similarity", F.array_max(F.transform(F.element_at(forms, F.col("family")), agree)))
     named = named.withColumn("confirmed", F.col("similarity") >= ALIKE)
+    if confirmed_only:
+        named = named.where("confirmed")
     return candidates.join(named, "wording").select("doc_id", "paragraph", "family", "probability", "similarity", "confirmed")

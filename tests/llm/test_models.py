@@ -147,6 +147,24 @@ def test_licence_training_on_the_scanned_documents(spark, letters):
         assert {(r.doc_id, r.paragraph, r.family) for r in got} == want
 
 
+PROSE = [
+    "Wir fahren mit dem Zug, und mit uns fahren die Kinder mit.", "Der Mann mit dem Hut ging mit seiner Frau nach Hause.",
+    "Le chat et le chien sont dans la maison, avec une copie du texte.", "La licence de pêche est obligatoire pour tous.",
+    "El permiso de conducir y la copia de la llave están en la mesa.", "Todos los derechos humanos son del público general.",
+]
+
+
+def test_foreign_prose_is_no_licence(spark, letters):
+    """Every row counts: only the notices are returned, whichever sample the model was fitted on."""
+    found = []
+    for seed in (1, 2):
+        rows = [(i, "\n".join([PROSE[i % 6], letters(8, seed * 1000 + i), PROSE[(i + seed) % 6]])) for i in range(120)]
+        rows += [(500, f"{PROSE[0]}\nReleased under the MIT License."), (501, "SPDX-License-Identifier: GPL-3.0-or-later"), (502, "the mit license applies: released under the mit license")]
+        docs = spark.createDataFrame(rows, "doc_id long, text string")
+        found.append({(r.doc_id, r.paragraph, r.family) for r in licences.scan(docs, licences.train(docs, seed=seed)).collect()})
+    assert found[0] == found[1] == {(500, 1, "MIT"), (501, 0, "GPL"), (502, 0, "MIT")}
+
+
 def test_licence_scan_stays_in_the_jvm(licence_model, documents):
     plan = licences.scan(documents, licence_model)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan
