@@ -57,6 +57,22 @@ def encoder(path: str):
     return tiktoken.Encoding("file", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=added)
 
 
+@lru_cache(maxsize=2)
+def named_encoder(path: str):
+    """The vocabulary file's own library."""
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(path)
+
+
+def token_ids(path: str, text: str) -> list[int]:
+    """Ids of a text; one that the faster implementation refuses (long white space) goes to the file's own library."""
+    try:
+        return encoder(path).encode(text, allowed_special="all")
+    except ValueError:
+        return named_encoder(path).encode(text, add_special_tokens=False).ids
+
+
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, task long, place long"
 
 
@@ -67,7 +83,7 @@ def _cut(path: str, limit: int, end: int):
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, task = partial(encoder(path).encode, allowed_special="all"), TaskContext.get().partitionId()
+        encode, task = partial(token_ids, path), TaskContext.get().partitionId()
         seen = [0] * (limit + 1)
         for batch in batches:
             rows: list[tuple] = []

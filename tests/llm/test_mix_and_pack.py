@@ -134,6 +134,20 @@ def test_pack_of_tricky_documents(documents, crowded_columns, tricky):
         assert sorted((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in packed_rows(docs)) == sorted(want)
 
 
+@pytest.mark.parametrize("mark", [" ", "\n"])
+def test_long_white_space_has_the_ids_of_the_files_own_library(spark, mark):
+    from tokenizers import Tokenizer
+
+    texts = ["a" + mark * 1_000_000 + "b", mark * 3_000_000]
+    ids = [Tokenizer.from_file(tokenizer_path()).encode(t, add_special_tokens=False).ids for t in texts]
+    assert [packing.token_ids(tokenizer_path(), t) for t in texts] == ids
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    total = Counter()
+    for r in packing.pack(docs, tokenizer_path()).collect():
+        total[r.doc_id] += r.length
+    assert total == {i: len(x) + 1 for i, x in enumerate(ids)}
+
+
 def test_pack_over_many_tasks_and_nothing(spark, no_documents):
     docs = spark.range(3000).selectExpr("id as doc_id", "repeat('word ', int(id % 1500)) as text").repartition(13)
     assert len({(r.doc_id, r.piece) for r in packed_rows(docs)}) == len(packed_rows(docs))
