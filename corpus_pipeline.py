@@ -12,6 +12,16 @@ from tallyloom.llm.queries import quality_model, tokenizer_path
 from tallyloom.llm.staging import ship, spare, stage, word_count
 
 
+#: Columns that stages read or change; all others pass through them under names of no operator.
+OWN = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def shielded(docs: DataFrame) -> tuple[DataFrame, list]:
+    """The documents with other columns renamed, and the columns that undo it."""
+    inner = {c: c if c in OWN else f"_kept_{i}" for i, c in enumerate(docs.columns)}
+    return docs.select(*[F.col(f"`{c}`").alias(n) for c, n in inner.items()]), [F.col(n).alias(c) for c, n in inner.items()]
+
+
 #: Least probability of being above the lowest grade.
 QUALITY = 0.5
 
@@ -19,8 +29,9 @@ QUALITY = 0.5
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier, fitted on the rated ones, does not put into the lowest grade."""
     ship(spark)
-    graded = ordinal.grade(docs, quality_model(spark, docs, sf_dir))
-    return graded.where(F.col("tail_probability") >= QUALITY).select(*docs.columns)
+    inner, outer = shielded(docs)
+    graded = ordinal.grade(inner, quality_model(spark, inner, sf_dir))
+    return graded.where(F.col("tail_probability") >= QUALITY).select(*outer)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,15 +50,15 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the passages that also start earlier; ``n_chars`` is counted anew."""
     ship(spark)
-    cut = repeats.without_repeats(docs)
-    return cut.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    inner, outer = shielded(docs)
+    return repeats.without_repeats(inner).withColumn("n_chars", F.length("text").cast("long")).select(*outer)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Whole and fractional repetitions of every document, as rows."""
-    (size,) = spare(docs, "_size")
-    sized = docs.withColumn(size, word_count(F.col("text")))
-    return mixing.repeated(mixing.mix(sized, size=size)).select(*docs.columns)
+    inner, outer = shielded(docs)
+    sized = inner.withColumn("_size", word_count(F.col("text")))
+    return mixing.repeated(mixing.mix(sized, size="_size")).select(*outer)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

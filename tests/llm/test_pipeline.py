@@ -78,6 +78,16 @@ def test_stages_take_tricky_documents(spark, documents, no_documents, crowded_co
         assert (now.count() > 0) == (docs.count() > 0)
 
 
+@pytest.mark.parametrize("name", [n for n, _ in corpus_pipeline.STAGES[:-1]])
+def test_stages_hand_on_other_columns_as_they_were(spark, crowded_columns, name):
+    """Columns named like those that the operators add keep their values and types."""
+    docs = crowded_columns.withColumns({"_size": F.lit(1), "_kept_0": F.lit("mine"), "n_removed": F.lit(2.5)})
+    kept = dict(corpus_pipeline.STAGES)[name](spark, docs, SMALL)
+    own = [c for c in docs.columns if c not in corpus_pipeline.OWN]
+    assert kept.columns == docs.columns and [kept.schema[c].dataType for c in docs.columns] == [docs.schema[c].dataType for c in docs.columns]
+    assert set(kept.select(own).distinct().collect()) == set(docs.select(own).distinct().collect())
+
+
 def test_near_duplicates_leave_one_row_of_repeated_rows(spark, documents):
     kept = Counter(r.doc_id for r in corpus_pipeline.near_duplicates(spark, documents, SMALL).collect())
     assert set(kept.values()) == {1} and 6 not in kept and 5 in kept
