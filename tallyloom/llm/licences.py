@@ -149,8 +149,10 @@ NAMES = ["bsd", "cc0", "gpl", "gplv3", "lgpl", "mpl", "sharealike", "spdx", "unl
 
 def wording(text: Column) -> Column:
     """Lower-cased words separated by single spaces; the name MIT becomes a word of its own."""
-    named = F.regexp_replace(text, r"(?<![\p{L}\p{N}])(MIT(?![\p{L}\p{N}])|(?i:mit)(?=[\s-]+(?i:licen[cs]e)))", MIT)
-    return F.trim(F.regexp_replace(F.lower(named), r"[^\p{L}\p{N}]+", " "))
+    named = F.lower(F.replace(text, F.lit("MIT"), F.lit(MIT)))
+    for gap in (" ", "-"):
+        named = F.replace(named, F.lit(f"mit{gap}licen"), F.lit(f"{MIT}{gap}licen"))
+    return F.trim(F.regexp_replace(named, r"[^\p{L}\p{N}]+", " "))
 
 
 def grams(words: Column) -> Column:
