@@ -111,6 +111,11 @@ def train_val_edges(spark, sf):
     return splits.train_val_edges(table(spark, sf, "labels"), "doc_id").select("doc_id", "role")
 
 
+@query("sample_share", f"SELECT event_id, event_type FROM events WHERE md5(event_id || '|s2') < '{int(0.05 * 16**15):015x}'")
+def sample_share(spark, sf):
+    return splits.sample_share(table(spark, sf, "events"), 0.05, "event_id", "s2").select("event_id", "event_type")
+
+
 @query("sample_n", "SELECT event_id FROM events ORDER BY md5(event_id || '|s1'), event_id LIMIT 500")
 def sample_n(spark, sf):
     return splits.sample_n(table(spark, sf, "events"), 500, "event_id", "s1").select("event_id")

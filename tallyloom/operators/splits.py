@@ -130,6 +130,22 @@ def take_first(df: DataFrame, n: int, key: str, seed: int | str = 42) -> DataFra
 sample_n = take_first
 
 
+def sample_share(df: DataFrame, share: float, key: str, seed: int | str = 42) -> DataFrame:
+    """Each row with probability ``share``, by the seeded hash of its key: a filter, without a count, rank or shuffle.
+
+    Reruns take the same rows, and rows of a smaller share are among those of a larger one. Of n rows with unique
+    keys n * share are expected; the size misses that by more than ``sample_bound`` less than once in a million.
+    """
+    if share >= 1:
+        return df
+    return df.where(hash_key(key, seed) < F.lit(f"{int(max(share, 0) * 16**15):015x}"))
+
+
+def sample_bound(n: int, share: float) -> float:
+    """Five standard deviations of the size of ``sample_share``."""
+    return 5 * (n * share * (1 - share)) ** 0.5
+
+
 def take_last(df: DataFrame, n: int, key: str, seed: int | str = 42) -> DataFrame:
     """The last n rows in the seeded order."""
     cuts = hash_cuts(df, key, seed, [], lambda total: [F.greatest(total - F.lit(n), F.lit(0).cast("long"))])

@@ -189,3 +189,13 @@ def test_any_number_of_groups(spark):
     assert sizes(got) == {"train": groups + 1, "val": groups + 1}
     assert got.groupBy("user").agg(F.count_distinct("split").alias("n")).where("n = 2").count() == groups + 1
     assert splits.few_shot_select(df, "key", 1, ["user"]).count() == groups + 1
+
+
+def test_a_share_of_the_rows(spark):
+    df = spark.range(20_000)
+    small, large = ({r.id for r in splits.sample_share(df, s, "id", 7).collect()} for s in (0.1, 0.3))
+    assert small < large
+    for share, found in ((0.1, small), (0.3, large)):
+        assert abs(len(found) - 20_000 * share) <= splits.sample_bound(20_000, share)
+    assert {r.id for r in splits.sample_share(df.repartition(7), 0.1, "id", 7).collect()} == small
+    assert splits.sample_share(df, 0, "id").count() == 0 and splits.sample_share(df, 1, "id").count() == 20_000
