@@ -68,16 +68,30 @@ WITH sized AS (
            target - CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END * source_size AS more
     FROM targets
 ), buckets AS (
-    SELECT source, bucket, sum(size) AS words, sum(sum(size)) OVER (PARTITION BY source ORDER BY bucket) AS up_to
-    FROM sized GROUP BY source, bucket
-), cuts AS (
-    SELECT p.source, max(b.bucket) AS cut FROM planned p JOIN buckets b ON p.source IS NOT DISTINCT FROM b.source
-    WHERE p.more > 0 AND b.up_to - b.words / 2.0 <= p.more GROUP BY p.source
+    SELECT source, list({'bucket': bucket, 'words': words, 'left': 0::BIGINT, 'taken': []::BIGINT[], 'least': NULL::STRUCT(words BIGINT, bucket BIGINT)}
+                        ORDER BY bucket) AS rows
+    FROM (SELECT source, bucket, sum(size)::BIGINT AS words FROM sized GROUP BY source, bucket HAVING sum(size) > 0)
+    GROUP BY source
+), filled AS (
+    -- Every bucket in seeded order, taken if it fits into what is still wanted.
+    SELECT p.source, list_reduce(
+        list_prepend({'bucket': -1::BIGINT, 'words': 0::BIGINT, 'left': floor(p.more)::BIGINT, 'taken': []::BIGINT[],
+                      'least': NULL::STRUCT(words BIGINT, bucket BIGINT)}, b.rows),
+        lambda s, r: {'bucket': r.bucket, 'words': r.words,
+                'left': CASE WHEN r.words <= s.left THEN s.left - r.words ELSE s.left END,
+                'taken': CASE WHEN r.words <= s.left THEN list_append(s.taken, r.bucket) ELSE s.taken END,
+                'least': CASE WHEN r.words <= s.left THEN s.least
+                              WHEN s.least IS NULL OR r.words < s.least.words THEN {'words': r.words, 'bucket': r.bucket}
+                              ELSE s.least END}) AS f
+    FROM planned p JOIN buckets b ON p.source IS NOT DISTINCT FROM b.source
+), chosen AS (
+    SELECT source, unnest(f.taken) AS bucket FROM filled
+    UNION ALL SELECT source, f.least.bucket FROM filled WHERE f.least.words <= 2 * f.left
 )
 SELECT s.doc_id, s.size, p.source_size, p.target,
-       (s.size * (p.whole + CASE WHEN s.bucket <= c.cut THEN 1 ELSE 0 END))::BIGINT AS taken
+       (s.size * (p.whole + CASE WHEN c.bucket IS NOT NULL THEN 1 ELSE 0 END))::BIGINT AS taken
 FROM sized s JOIN planned p ON s.source IS NOT DISTINCT FROM p.source
-LEFT JOIN cuts c ON s.source IS NOT DISTINCT FROM c.source
+LEFT JOIN chosen c ON s.source IS NOT DISTINCT FROM c.source AND s.bucket = c.bucket
 """
 
 

@@ -58,6 +58,25 @@ def test_taken_words_come_near_targets_and_repeat(spark):
     assert mixing.repeated(out).groupBy().agg(F.sum(size)).first()[0] == sum(r.taken for r in by)
 
 
+def test_fill_goes_on_behind_a_long_document(spark):
+    """One document of 600 words among short ones: the words wanted are found wherever it stands."""
+    for seed in range(6):
+        rows = [(0, "a", 600)] + [(i, "a", 1 + i % 3) for i in range(1, 201)] + [(1000 + i, "b", 50) for i in range(40)]
+        docs = spark.createDataFrame(rows, "doc_id long, source string, size long")
+        out = mixing.mix(docs, seed=seed, share=1.2, weights=(5, 7)).collect()
+        for name in "ab":
+            mine = [r for r in out if r.source == name]
+            left_out = [r["size"] for r in mine if r.copies == min(x.copies for x in mine)]
+            assert abs(sum(r.taken for r in mine) - mine[0].target) <= min(left_out) + 1
+            assert all(r.taken <= 2 * r["size"] for r in mine)
+
+
+def test_nothing_is_wanted_beyond_whole_repetitions(spark):
+    docs = spark.createDataFrame([(i, "a", 3) for i in range(50)], "doc_id long, source string, size long")
+    assert {r.copies for r in mixing.mix(docs, share=2.0).collect()} == {2}
+    assert {r.copies for r in mixing.mix(docs, share=1.0).collect()} == {1}
+
+
 def test_water_filling_in_many_rounds(spark):
     sizes = {f"s{i:02}": 3**i for i in range(10)} | {None: 5, "": 0}
     docs = spark.createDataFrame(list(sizes.items()), "source string, size long")
