@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -60,8 +61,28 @@ def run_record(
 
 
 def save_run(record: DataFrame, path: str) -> None:
-    """Append registry rows; earlier versions stay."""
-    record.write.mode("append").partitionBy("run_id").parquet(path)
+    """Append registry rows; earlier versions stay, and writers at the same time keep all of theirs.
+
+    The rows of a run are one file, written in a folder of this call alone and then renamed into the run's
+    folder. So a reader sees a version whole or not at all (where the file system renames in one step), and
+    no writer's clean-up meets another writer's unfinished files.
+    """
+    spark = record.sparkSession
+    jvm = spark.sparkContext._jvm.org.apache.hadoop.fs
+    mark = uuid.uuid4().hex
+    own = jvm.Path(f"{path}/_saving-{mark}")  # readers skip names that start with "_"
+    record.repartition("run_id").write.partitionBy("run_id").parquet(own.toString())
+    files = own.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for run in files.listStatus(own):
+        if not run.isDirectory():
+            continue
+        target = jvm.Path(path, run.getPath().getName())
+        files.mkdirs(target)
+        for part in files.listStatus(run.getPath()):
+            if part.getPath().getName().startswith("part-"):
+                if not files.rename(part.getPath(), jvm.Path(target, f"part-{mark}-{part.getPath().getName()[5:]}")):
+                    raise OSError(f"cannot publish {part.getPath().toString()}")
+    files.delete(own, True)
 
 
 def latest_runs(registry: DataFrame, tie: Sequence[str] = ()) -> DataFrame:

@@ -1,4 +1,5 @@
 import json
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from pyspark.sql import functions as F
@@ -170,3 +171,31 @@ def test_registry_keeps_the_program(spark, tmp_path):
     got = writers.load_run(spark, path, "r").first()
     assert json.loads(got["program"]) == {"rules": ["a"], "score": 0.9} and got["metadata"] == {} and got["versions"] == 2
     assert writers.load_run(spark, path, "other").count() == 0
+
+
+def test_writers_of_one_run_at_the_same_time_keep_all_versions(spark, tmp_path):
+    path = str(tmp_path / "shared runs")
+    writers.save_run(writers.run_record(spark, "r", "f1", 0.0), path)
+    seen = []
+
+    def write(first):
+        for i in range(4):
+            writers.save_run(writers.run_record(spark, "r" if i % 2 else f"r{first}", "f1", first + i / 10), path)
+            seen.append(writers.read_registry(spark, path).count())
+
+    with ThreadPoolExecutor(3) as pool:
+        for done in [pool.submit(write, k) for k in (1, 2, 3)]:
+            done.result()
+    table = {r["run_id"]: r["versions"] for r in writers.latest_runs(writers.read_registry(spark, path)).collect()}
+    assert table == {"r": 7, "r1": 2, "r2": 2, "r3": 2}
+    assert min(seen) >= 2 and not [p for p in (tmp_path / "shared runs").iterdir() if p.name.startswith("_")]
+
+
+def test_unfinished_save_is_not_read(spark, tmp_path):
+    path = str(tmp_path / "runs")
+    writers.save_run(writers.run_record(spark, "r", "f1", 0.5), path)
+    writers.run_record(spark, "r", "f1", 0.9).write.partitionBy("run_id").parquet(f"{path}/_saving-other")
+    got = writers.load_run(spark, path, "r").first()
+    assert got["best_score_value"] == 0.5 and got["versions"] == 1
+    writers.save_run(writers.run_record(spark, "r", "f1", 0.6).unionByName(writers.run_record(spark, "s", "f1", 0.7)), path)
+    assert {r["run_id"]: r["versions"] for r in writers.latest_runs(writers.read_registry(spark, path)).collect()} == {"r": 2, "s": 1}
