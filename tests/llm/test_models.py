@@ -168,3 +168,25 @@ def test_foreign_prose_is_no_licence(spark, letters):
 def test_licence_scan_stays_in_the_jvm(licence_model, documents):
     plan = licences.scan(documents, licence_model)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_middle_tells_labels_apart_as_well_as_any_cut(seed):
+    rng = np.random.default_rng(seed)
+    label = (rng.random(60) < 0.3).astype(int)
+    label[:2] = 0, 1
+    margins = np.round(rng.normal(size=60) + label, 1)  # with ties
+
+    def balanced(cut):
+        return np.mean(margins[label == 1] >= cut) + np.mean(margins[label == 0] < cut)
+
+    best = max(balanced(c) for c in [*margins, margins.max() + 1])
+    assert balanced(toxicity.middle(margins, label)) >= best - 0.08  # the middle of the stretch from the first to the last best cut
+    apart = np.where(label == 1, 2.0, -1.0)
+    assert toxicity.middle(apart, label) == 0.5
+
+
+def test_slots_of_few_texts_get_no_weight():
+    often, rare = np.array([3], dtype="<i4").tobytes(), np.array([3, 9], dtype="<i4").tobytes()
+    sample = [(i % 2, 10, rare if i < toxicity.SEEN - 1 else often, b"") for i in range(20)]
+    assert {r[2] for r in toxicity.common_slots(sample)} == {often}
