@@ -38,8 +38,8 @@ from .blobs import pack, unpack
 from .quotient import LEAST_BITS, MOST_BITS, Filter, Permutation, filters, merged
 from .staging import drop_staged, numbered, stage
 
-CHUNK = 1 << 21
-BLOCK = 1 << 20
+CHUNK = 1 << 20
+BLOCK = 1 << 19
 BLOCK_BITS = 9
 SLICE = 1 << 20
 UNKNOWN_LANGUAGE = "und"
