@@ -260,9 +260,10 @@ def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", least:
     found = stage(scored(grams, often, inside), "phrase-scores")
     best = [F.col("lang"), F.col("score").desc(), F.col("a").desc(), F.col("phrase")]
     placed = stage(numbered(found, *best, name="place", label="phrase-places"), "phrase-ranks")
-    firsts = placed.groupBy("lang").agg(F.min("place").alias("first")).join(sizes, "lang")
+    # One row per language, written: its size is known when the join is planned, so ranked rows are not dealt by language.
+    firsts = stage(placed.groupBy("lang").agg(F.min("place").alias("first")).join(sizes, "lang"), "phrase-firsts")
     ranked = placed.join(firsts, "lang").withColumn("rank", F.col("place") - F.col("first") + 1).where(F.col("rank") <= top)
     out = ranked.select("lang", "rank", F.col("phrase").cast("string").alias("phrase"), "a", "l", "r", "n", "score")
     out = stage(out, "phrases")
-    drop_staged(chunks, grams, found, placed)
+    drop_staged(chunks, grams, found, placed, firsts)
     return out
