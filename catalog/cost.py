@@ -94,6 +94,29 @@ def read_interactions(spark, sf):
     return costs.calls_with_usage(named).select("form", *CALL_COLUMNS)
 
 
+@query(
+    "read_interactions_split",
+    """SELECT 'g=' || conv_id // 500 AS cassette, idx, CASE WHEN role = 'assistant' THEN 0 ELSE n END AS input_tokens,
+      CASE WHEN role = 'assistant' THEN n ELSE 0 END AS output_tokens, n AS total_tokens
+    FROM (SELECT *, ceil(length(text) / 4.0)::BIGINT AS n, row_number() OVER (PARTITION BY conv_id // 500 ORDER BY conv_id, turn) - 1 AS idx FROM conversations)
+    WHERE turn <> 5 AND role <> 'system'""",
+)
+def read_interactions_split(spark, sf):
+    """Recorded calls of five hundred conversations a file, in the recorder's layout, read back call by call."""
+    out = scratch_path(spark, "recorded-long")
+    rows = interactions(spark, sf).withColumn("g", F.floor(F.col("conv_id") / 500).cast("long"))
+    quoted = F.to_json(F.array("response_body"))
+    call = F.concat(
+        F.lit("- request:\n    method: "), "method", F.lit("\n    uri: "), "uri", F.lit("\n  response:\n    body:\n      string: "),
+        F.substring(quoted, F.lit(2), F.length(quoted) - 2),
+    )
+    heads = rows.select("g", F.lit(-1).cast("long").alias("conv_id"), F.lit(0).cast("long").alias("idx"), F.lit("---\nhttp_interactions:").alias("value"))
+    lines = rows.select("g", "conv_id", F.col("idx").cast("long").alias("idx"), call.alias("value")).unionByName(heads.distinct())
+    lines.repartition("g").sortWithinPartitions("g", "conv_id", "idx").select("g", "value").write.partitionBy("g").text(out)
+    calls = readers.read_interactions_split(spark, out, "*.txt").withColumn("cassette", F.regexp_extract("cassette", "^([^/]+)/", 1))
+    return costs.calls_with_usage(calls).select(*CALL_COLUMNS)
+
+
 @query(
     "usage_tokens",
     """SELECT event_id, CASE WHEN event_type = 'view' THEN 0 ELSE user_id END AS input, value::BIGINT AS output,

@@ -145,6 +145,25 @@ def read_examples(spark, sf):
     return examples.select(F.md5("text").alias("text_md5"), "label", "drug", "effect")
 
 
+@query(
+    "unreadable_examples",
+    """SELECT count(*) AS n_rows, sum((label = 1)::BIGINT)::BIGINT AS n_positive, 2::BIGINT AS n_unreadable, 'not a Parquet file' AS reason
+    FROM (SELECT quality AS label FROM documents LEFT JOIN labels USING (doc_id))""",
+)
+def unreadable_examples(spark, sf):
+    """Noted documents read from a folder that also holds two files of another format."""
+    path = scratch_path(spark, "examples")
+    noted = table(spark, sf, "documents").join(table(spark, sf, "labels"), "doc_id", "left")
+    noted.select("text", F.col("quality").alias("label")).write.parquet(path)
+    for name in ("region", "nation"):
+        table(spark, sf, name).coalesce(1).select(F.col(f"{name[0]}_name")).write.mode("append").text(path)
+    read = readers.read_examples(spark, [path], names="part-*")
+    read = read.agg(F.count("text").alias("n_rows"), F.count_if(F.col("label") == 1).alias("n_positive"))
+    bad = readers.unreadable_examples(spark, [path], names="part-*", whole=True)
+    bad = bad.groupBy("reason").agg(F.count(F.lit(1)).alias("n_unreadable"))
+    return read.withColumn("_k", F.lit(1)).join(bad.withColumn("_k", F.lit(1)), "_k").drop("_k")
+
+
 @query(
     "read_pull_requests",
     "SELECT page_id AS pr, url AS title, md5(html) AS description, '' AS ellipsis_summary FROM pages",

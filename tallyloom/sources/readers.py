@@ -6,7 +6,8 @@ import re
 from collections.abc import Iterable, Mapping, Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import fixed
@@ -65,49 +66,112 @@ def normalize_examples(
     )
 
 
+def _raw_examples(spark: SparkSession, path: str, names: str) -> DataFrame | None:
+    """All columns of a directory; None where no file of it has a schema that can be read."""
+    reader = spark.read.option("mergeSchema", True).option("ignoreCorruptFiles", True).option("pathGlobFilter", names)
+    try:
+        return reader.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+            raise
+        return None
+
+
 def read_examples(
     spark: SparkSession,
     paths: Sequence[str],
     aliases: Mapping[str, Sequence[str]] = fixed.FIELD_ALIASES,
     words: Sequence[str] = fixed.MEDICATIONS,
+    names: str = "*.parquet",
 ) -> DataFrame:
     """Examples of Parquet directories; files inside one directory may differ in columns.
 
-    Unreadable files give no rows.
+    Unreadable files give no rows; ``unreadable_examples`` names them.
     """
-    merged = None
+    merged = spark.createDataFrame([], "text string, label bigint, drug string, effect string")
     for path in paths:
-        raw = (
-            spark.read.option("mergeSchema", True)
-            .option("ignoreCorruptFiles", True)
-            .option("pathGlobFilter", "*.parquet")
-            .parquet(path)
-        )
-        part = normalize_examples(raw, aliases, words)
-        merged = part if merged is None else merged.unionByName(part)
+        raw = _raw_examples(spark, path, names)
+        if raw is not None:
+            merged = merged.unionByName(normalize_examples(raw, aliases, words))
     return merged
 
 
+PARQUET_MARK = b"PAR1"
+# Files without rows are opened again up to this size, to tell other formats from tables without rows.
+SMALL_FILE = 1 << 20
+
+
+def unreadable_examples(
+    spark: SparkSession,
+    paths: Sequence[str],
+    aliases: Mapping[str, Sequence[str]] = fixed.FIELD_ALIASES,
+    names: str = "*.parquet",
+    whole: bool = False,
+) -> DataFrame:
+    """Files that ``read_examples`` cannot read in full: ``file, bytes, reason, rows_lost``.
+
+    Listed files are compared with the row counts of the footers that can be read, which costs no data pages.
+    A file without rows is ``not a Parquet file`` or has ``no rows`` (an empty table, a damaged footer, a
+    file above ``SMALL_FILE`` bytes, or one whose bytes cannot be read at all); ``rows_lost`` is null. ``whole``
+    also decodes the columns that examples are made of and reports files with ``damaged pages`` and the number
+    of their rows that were not read. Files of no bytes are not listed by Spark.
+    """
+    file = F.col("_metadata.file_path").alias("file")
+    out = None
+    for path in paths:
+        listed = spark.read.format("binaryFile").option("ignoreCorruptFiles", True).option("pathGlobFilter", names).load(path)
+        marks = (F.substring("content", 1, 4) == F.lit(PARQUET_MARK)) & (F.substring("content", -4, 4) == F.lit(PARQUET_MARK))
+        small = listed.where(F.col("length") <= SMALL_FILE).select(file, marks.alias("marked"))
+        sizes = listed.select(file, F.col("length").alias("bytes"))
+        raw = _raw_examples(spark, path, names)
+        if raw is None:
+            counts = spark.createDataFrame([], "file string, n_rows bigint, n_read bigint")
+        else:
+            counts = raw.groupBy(file).agg(F.count(F.lit(1)).alias("n_rows"))
+            used = [n for listed_names in aliases.values() for n in listed_names if n in raw.columns]
+            if whole and used:
+                # The digest must be there for a file to count, so its columns are decoded and not pruned.
+                decoded = raw.groupBy(file).agg(F.count(F.lit(1)).alias("n_read"), F.bit_xor(F.xxhash64(*used)).alias("_digest"))
+                decoded = decoded.where(F.col("_digest").isNotNull()).drop("_digest")
+                counts = counts.join(decoded, "file", "left").withColumn("n_read", F.coalesce("n_read", F.lit(0).cast("long")))
+            else:
+                counts = counts.withColumn("n_read", F.col("n_rows"))
+        bad = sizes.join(counts, "file", "left").where(F.col("n_rows").isNull() | (F.col("n_read") < F.col("n_rows")))
+        reason = (
+            F.when(F.col("n_rows").isNotNull(), "damaged pages").when(~F.col("marked"), "not a Parquet file").otherwise("no rows")
+        )
+        part = bad.join(small, "file", "left").select("file", "bytes", reason.alias("reason"), (F.col("n_rows") - F.col("n_read")).alias("rows_lost"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def _call_fields():
+    """The columns of one recorded call after its place, as a closure."""
+
+    def fields(call: dict) -> tuple:
+        request, response = call.get("request") or {}, call.get("response") or {}
+        stamp = call.get("recorded_at")
+        return (
+            request.get("method"),
+            request.get("uri"),
+            (request.get("body") or {}).get("string"),
+            (response.get("status") or {}).get("code"),
+            (response.get("body") or {}).get("string"),
+            None if stamp is None else str(stamp),
+        )
+
+    return fields
+
+
 def _yaml_parser():
     """The batch parser as a closure, so that tasks need no installed package but PyYAML."""
     columns = [f.split()[0] for f in INTERACTION_SCHEMA.split(", ")]
+    fields = _call_fields()
 
     def flatten(path: str, recorded: dict) -> Iterable[tuple]:
         for idx, call in enumerate(recorded.get("http_interactions") or []):
-            if call is None:
-                continue
-            request, response = call.get("request") or {}, call.get("response") or {}
-            stamp = call.get("recorded_at")
-            yield (
-                path,
-                idx,
-                request.get("method"),
-                request.get("uri"),
-                (request.get("body") or {}).get("string"),
-                (response.get("status") or {}).get("code"),
-                (response.get("body") or {}).get("string"),
-                None if stamp is None else str(stamp),
-            )
+            if call is not None:
+                yield path, idx, *fields(call)
 
     def parse(batches: Iterable[pd.DataFrame]) -> Iterable[pd.DataFrame]:
         import yaml
@@ -129,7 +193,7 @@ def read_interactions(spark: SparkSession, path: str, names: str = "*.yml") -> D
 
     ``cassette`` is the path below ``path``, so folder names of the machine match no pattern.
 
-    One file is read by one task. Large recordings belong in JSON lines (``read_interactions_json``).
+    One file is read by one task as one value. Large recordings are read by ``read_interactions_split``.
     """
     files = (
         spark.read.format("binaryFile")
@@ -138,10 +202,70 @@ def read_interactions(spark: SparkSession, path: str, names: str = "*.yml") -> D
         .load(path)
         .select("path", "content")
     )
+    return files.withColumn("path", _below(spark, path, F.col("path"))).mapInPandas(_yaml_parser(), INTERACTION_SCHEMA)
+
+
+def _below(spark: SparkSession, path: str, file: Column) -> Column:
+    """A file's path below ``path``."""
     root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     root = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(root).toUri().getPath()
-    relative = F.regexp_replace("path", F.lit(r"^([a-z0-9]+:)?/*" + re.escape(root.strip("/")) + "/"), F.lit(""))
-    return files.withColumn("path", relative).mapInPandas(_yaml_parser(), INTERACTION_SCHEMA)
+    return F.regexp_replace(file, F.lit(r"^([a-z0-9]+:)?/*" + re.escape(root.strip("/")) + "/"), F.lit(""))
+
+
+CALL_START = "- request:"
+SPLIT_CALL = "cassette string, block bigint, place bigint, " + INTERACTION_SCHEMA.split(", ", 2)[2]
+
+
+def _split_parser():
+    """The parser of single calls as a closure; each comes without its first words."""
+    columns = [f.split()[0] for f in SPLIT_CALL.split(", ")]
+    fields, start = _call_fields(), CALL_START
+
+    def parse(batches: Iterable[pd.DataFrame]) -> Iterable[pd.DataFrame]:
+        import yaml
+
+        loader = getattr(yaml, "CSafeLoader", yaml.SafeLoader)
+        for calls in batches:
+            rows = []
+            for cassette, block, place, value in zip(calls["cassette"], calls["block"], calls["place"], calls["value"]):
+                item = re.split(r"\n(?=[A-Za-z_])", start + value, maxsplit=1)[0]  # keys after the list are no part of a call
+                try:
+                    read = yaml.load(item, Loader=loader)
+                    if len(read) == 1:
+                        rows.append((cassette, block, place, *fields(read[0])))
+                except (yaml.YAMLError, AttributeError, TypeError):
+                    continue
+            yield pd.DataFrame(rows, columns=columns)
+
+    return parse
+
+
+def read_interactions_split(spark: SparkSession, path: str, names: str = "*.yml") -> DataFrame:
+    """The rows of ``read_interactions`` from files of any size in the layout that the recorder writes.
+
+    There, every call begins with ``CALL_START`` at the start of a line. Files are cut at these places, so Spark
+    splits them, any number of tasks reads one file, and none holds more than a batch of calls. ``idx`` counts
+    the calls of the splits before (one row per split) and the place inside the split; no rows are sorted. A call that
+    does not parse gives no row, but the others of its file do. Calls in another layout are not found.
+    """
+    raw = (
+        spark.read.option("lineSep", "\n" + CALL_START)
+        .option("recursiveFileLookup", True)
+        .option("pathGlobFilter", names)
+        .text(path)
+    )
+    calls = raw.select(
+        _below(spark, path, F.col("_metadata.file_path")).alias("cassette"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("place"),
+        "value",
+    )
+    blocks = calls.groupBy("cassette", "block").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("n"))
+    before = F.sum("n").over(Window.partitionBy("cassette").orderBy("block")) - F.col("n")
+    blocks = blocks.select("cassette", "block", (before - F.col("first") - 1).alias("shift"))  # what precedes the first call is no call
+    parsed = calls.mapInPandas(_split_parser(), SPLIT_CALL).join(blocks, ["cassette", "block"])
+    columns = [f.split()[0] for f in INTERACTION_SCHEMA.split(", ")]
+    return parsed.withColumn("idx", F.col("place") + F.col("shift")).where(F.col("idx") >= 0).select(*columns)
 
 
 def read_interactions_json(spark: SparkSession, path: str) -> DataFrame:

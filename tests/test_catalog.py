@@ -28,8 +28,8 @@ def test_survey_names_are_registered():
 
 # Queries whose operator is a sink or a stream, or scores with Python: they write, or run Python workers.
 SINKS = {
-    "write_report_json", "write_report_text", "run_registry", "read_interactions", "read_pull_requests",
-    "stream_token_usage", "stream_late_events", "stream_merge_themes",
+    "write_report_json", "write_report_text", "run_registry", "read_interactions", "read_interactions_split",
+    "read_pull_requests", "unreadable_examples", "stream_token_usage", "stream_late_events", "stream_merge_themes",
 }
 PYTHON = {"score_batch", "evaluate", "evaluate_sample", "read_interactions"}
 

@@ -34,6 +34,44 @@ def test_examples_resolve_names(spark, rows, tmp_path):
     assert got["c"] == ("c", 0, None, "z")
 
 
+def test_unreadable_files_are_named(spark, rows, tmp_path):
+    """A truncated file, another format, a table without rows and damaged pages; the rest is read and not listed."""
+    folder = tmp_path / "raw files"
+    table = rows([(f"text {i}", i % 2) for i in range(3000)], "text string, label long").coalesce(1)
+    for _ in range(3):
+        table.write.option("parquet.enable.dictionary", "false").mode("append").parquet(str(folder))
+    kept, cut, broken = sorted(folder.glob("part-*.parquet"))
+    for sums in folder.glob(".*.crc"):
+        sums.unlink()
+    cut.write_bytes(cut.read_bytes()[:-100])
+    raw = bytearray(broken.read_bytes())
+    raw[4:204] = bytes(200)
+    broken.write_bytes(raw)
+    (folder / "note.parquet").write_bytes(b"x")
+    (folder / "void.parquet").write_bytes(b"")
+    rows([], "text string, label long").coalesce(1).write.parquet(str(tmp_path / "empty"))
+    none = next((tmp_path / "empty").glob("part-*.parquet"))
+    (folder / "none.parquet").write_bytes(none.read_bytes())
+
+    def listed(**options):
+        got = readers.unreadable_examples(spark, [str(folder)], **options).collect()
+        return {r["file"].rsplit("/", 1)[1]: (r["reason"], r["rows_lost"]) for r in got}
+
+    footers = {cut.name: ("not a Parquet file", None), "note.parquet": ("not a Parquet file", None), "none.parquet": ("no rows", None)}
+    assert listed() == footers
+    found = listed(whole=True)
+    lost = found.pop(broken.name)
+    assert found == footers and lost[0] == "damaged pages"
+    assert len(readers.read_examples(spark, [str(folder)]).collect()) == 6000 - lost[1]
+
+
+def test_folder_without_a_readable_file(spark, tmp_path):
+    (tmp_path / "a.parquet").write_bytes(b"not a parquet file")
+    assert readers.read_examples(spark, [str(tmp_path)]).count() == 0
+    got = readers.unreadable_examples(spark, [str(tmp_path)], whole=True).collect()
+    assert [(r["bytes"], r["reason"], r["rows_lost"]) for r in got] == [(18, "not a Parquet file", None)]
+
+
 YAML = """---
 http_interactions:
 - request:
@@ -78,6 +116,38 @@ def test_interactions(spark, tmp_path):
     assert (priced["input_tokens"], priced["output_tokens"], priced["total_tokens"]) == (730, 104, 834)
 
 
+def test_split_files_give_the_rows_of_whole_ones(spark, tmp_path):
+    """Hundreds of calls over many splits, files that end without further keys, and folders with blanks."""
+    call = "- request:\n    method: post\n    uri: https://api.example/{n}\n  response:\n    status:\n      code: {n}\n    body:\n      string: |\n        line {n}\n\n        - request: no call\n"
+    root = tmp_path / "re corded"
+    (root / "a b").mkdir(parents=True)
+    many = "".join(call.format(n=n) for n in range(400))
+    (root / "a b" / "long.yml").write_text("---\nhttp_interactions:\n" + many + "recorded_with: recorder\n")
+    (root / "short.yml").write_text("http_interactions:\n" + call.format(n=7))
+    (root / "shape.yml").write_text(YAML.format(body="x"))
+    (root / "none.yml").write_text("---\nhttp_interactions: []\n")
+    (root / "empty.yml").write_text("")
+    whole = collected(readers.read_interactions(spark, str(root)), "cassette", "idx")
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        for size in ("3000", "777", "128m"):
+            for key, value in zip(before, (size, "1")):
+                spark.conf.set(key, value)
+            assert collected(readers.read_interactions_split(spark, str(root)), "cassette", "idx") == whole
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert len(whole) == 403 and {r[0] for r in whole} == {"a b/long.yml", "short.yml", "shape.yml"}
+
+
+def test_a_call_that_does_not_parse_leaves_the_others(spark, tmp_path):
+    good = "- request:\n    method: get\n    uri: u\n  response: {}\n"
+    (tmp_path / "x.yml").write_text("http_interactions:\n" + good + "- request:\n    method: [unclosed\n" + good + "- request: text\n" + good)
+    got = readers.read_interactions_split(spark, str(tmp_path)).orderBy("idx").collect()
+    assert [(r["idx"], r["method"]) for r in got] == [(0, "get"), (2, "get"), (4, "get")]
+    assert readers.read_interactions(spark, str(tmp_path)).count() == 0
+
+
 def test_interactions_json_lines(spark, tmp_path):
     (tmp_path / "a.jsonl").write_text(json.dumps({"cassette": "c", "idx": 0, "uri": "u", "response_body": "{}"}) + "\n")
     assert readers.read_interactions_json(spark, str(tmp_path)).first()["cassette"] == "c"
