@@ -96,6 +96,11 @@ def read_examples(
     return merged
 
 
+def _file_path() -> Column:
+    """The path of a row's file as it is on the file system; Spark gives it in the form of an address."""
+    return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+
+
 PARQUET_MARK = b"PAR1"
 # Files without rows are opened again up to this size, to tell other formats from tables without rows.
 SMALL_FILE = 1 << 20
@@ -116,7 +121,7 @@ def unreadable_examples(
     also decodes the columns that examples are made of and reports files with ``damaged pages`` and the number
     of their rows that were not read. Files of no bytes are not listed by Spark.
     """
-    file = F.col("_metadata.file_path").alias("file")
+    file = _file_path().alias("file")
     out = None
     for path in paths:
         listed = spark.read.format("binaryFile").option("ignoreCorruptFiles", True).option("pathGlobFilter", names).load(path)
@@ -228,7 +233,8 @@ def _split_parser():
         for calls in batches:
             rows = []
             for cassette, block, place, value in zip(calls["cassette"], calls["block"], calls["place"], calls["value"]):
-                item = re.split(r"\n(?=[A-Za-z_])", start + value, maxsplit=1)[0]  # keys after the list are no part of a call
+                # Keys after the list are no part of a call; its last line end went with the cut.
+                item = re.split(r"\n(?=[A-Za-z_])", start + value, maxsplit=1)[0] + "\n"
                 try:
                     read = yaml.load(item, Loader=loader)
                     if len(read) == 1:
@@ -255,7 +261,7 @@ def read_interactions_split(spark: SparkSession, path: str, names: str = "*.yml"
         .text(path)
     )
     calls = raw.select(
-        _below(spark, path, F.col("_metadata.file_path")).alias("cassette"),
+        _below(spark, path, _file_path()).alias("cassette"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("place"),
         "value",

@@ -69,6 +69,7 @@ def test_folder_without_a_readable_file(spark, tmp_path):
     (tmp_path / "a.parquet").write_bytes(b"not a parquet file")
     assert readers.read_examples(spark, [str(tmp_path)]).count() == 0
     got = readers.unreadable_examples(spark, [str(tmp_path)], whole=True).collect()
+    assert got[0]["file"].endswith(f"{tmp_path}/a.parquet")
     assert [(r["bytes"], r["reason"], r["rows_lost"]) for r in got] == [(18, "not a Parquet file", None)]
 
 
@@ -119,7 +120,7 @@ def test_interactions(spark, tmp_path):
 def test_split_files_give_the_rows_of_whole_ones(spark, tmp_path):
     """Hundreds of calls over many splits, files that end without further keys, and folders with blanks."""
     call = "- request:\n    method: post\n    uri: https://api.example/{n}\n  response:\n    status:\n      code: {n}\n    body:\n      string: |\n        line {n}\n\n        - request: no call\n"
-    root = tmp_path / "re corded"
+    root = tmp_path / "re corded+100%25"
     (root / "a b").mkdir(parents=True)
     many = "".join(call.format(n=n) for n in range(400))
     (root / "a b" / "long.yml").write_text("---\nhttp_interactions:\n" + many + "recorded_with: recorder\n")
