@@ -20,15 +20,24 @@ def text_key(text: Column) -> Column:
     return F.coalesce(F.sha2(text, 256), F.lit(""))
 
 
+def _digest(text: Column) -> Column:
+    """The same key in half the bytes, for rows that move."""
+    return F.coalesce(F.unhex(F.sha2(text, 256)), F.lit(b""))
+
+
+def _shown(digest: Column) -> Column:
+    return F.lower(F.hex(digest))
+
+
 def long_pairs(notes: DataFrame, text: str, a: str, b: str, row_id: str) -> DataFrame:
     """Annotations in long form with their position inside the text: ``text_key, pos, a, b``.
 
     Linear in the input whatever the number of annotations of one text.
     """
     keyed = notes.select(
-        text_key(F.col(text)).alias("text_key"), F.col(row_id).alias("row_id"), F.col(a), F.col(b)
+        _digest(F.col(text)).alias("text_key"), F.col(row_id).alias("row_id"), F.col(a), F.col(b)
     )
-    return id_rank(keyed, "row_id", ["text_key"], name="pos")
+    return id_rank(keyed, "row_id", ["text_key"], name="pos").withColumn("text_key", _shown(F.col("text_key")))
 
 
 def _pair_list(rows: Column, a: str, b: str) -> Column:

@@ -3,7 +3,8 @@
 Rows are spread over buckets of the ordering key; a small table of per-bucket sums gives each bucket
 its offset, and windows only ever run inside one bucket. Hash order buckets by the leading hex digits
 of ``md5(key|seed)``; id order buckets by ``ID_BUCKETS`` quantiles of the ids, read from a sketch inside
-the same query, so dense, sparse and packed ids spread alike and no group, however hot, is one task.
+the same query, so dense, sparse and packed ids spread alike and no group, however hot, is one task. Ranks use
+buckets for groups of many rows only; others are found by counting and ranked in one piece.
 """
 
 from __future__ import annotations
@@ -17,6 +18,9 @@ from .joins import null_safe_join
 
 ID_BUCKETS = 256
 HASH_DIGITS = 4
+# Groups are counted by cells of their hash. A cell of more rows is spread over buckets, others are ranked in one piece.
+CELLS = 1 << 20
+HOT_ROWS = 10_000
 
 
 def hash_key(key: str | Sequence[str], seed: int | str) -> Column:
@@ -45,6 +49,20 @@ def with_id_bucket(df: DataFrame, order: str, name: str = "_bucket") -> DataFram
     return out.withColumn(name, F.col(name).cast("long")).drop("_edges")
 
 
+def split_hot(
+    df: DataFrame, counted: DataFrame, group: Sequence[Column], rows: int = HOT_ROWS, cells: int = CELLS
+) -> tuple[DataFrame, DataFrame]:
+    """``df`` as its cold and its hot rows: those of groups with at most ``rows`` rows in ``counted``, and the rest.
+
+    Groups share ``cells`` cells, so a small group may be hot by chance, but none is cut in two and every cold one
+    is as small as promised. Only cell numbers and counts are shuffled; the hot cells, ``cells`` at most, are broadcast.
+    """
+    cell = F.pmod(F.xxhash64(*group), F.lit(cells))
+    hot = counted.groupBy(cell.alias("_cell")).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > rows)
+    hot, celled = F.broadcast(hot.select("_cell")), df.withColumn("_cell", cell)
+    return celled.join(hot, "_cell", "left_anti").drop("_cell"), celled.join(hot, "_cell", "left_semi").drop("_cell")
+
+
 def _offsets(buckets: DataFrame, sums: Sequence[str]) -> DataFrame:
     """Exclusive running sums over the bucket table, which has few rows per group."""
     before = Window.partitionBy("_group").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -84,9 +102,22 @@ def running_totals(df: DataFrame, order: str, totals: Mapping[str, Column], by:
     return _bucketed(with_id_bucket(df, order), [F.col(order)], list(by), totals)
 
 
+def _ranked(
+    df: DataFrame, order: Sequence[Column], by: Sequence[str], name: str, bucket: Callable[[DataFrame], DataFrame]
+) -> DataFrame:
+    """Rank within ``by``: cold groups move once and are ranked whole, only hot ones fall into buckets."""
+    one = {name: F.lit(1).cast("long")}
+    if not by:
+        return _bucketed(bucket(df), order, by, one)
+    cold, hot = split_hot(df, df, [F.col(n) for n in by])
+    inside = Window.partitionBy(*by).orderBy(*order)
+    whole = cold.withColumn(name, F.row_number().over(inside).cast("long"))
+    return whole.unionByName(_bucketed(bucket(hot), order, by, one))
+
+
 def id_rank(df: DataFrame, order: str, by: Sequence[str] = (), name: str = "rank") -> DataFrame:
     """1-based rank in the order of a unique integer id."""
-    return running_totals(df, order, {name: F.lit(1).cast("long")}, by)
+    return _ranked(df, [F.col(order)], list(by), name, lambda rows: with_id_bucket(rows, order))
 
 
 def hash_rank(
@@ -94,9 +125,9 @@ def hash_rank(
 ) -> DataFrame:
     """1-based rank in the seeded hash order; reproducible on any cluster size."""
     keys = [key] if isinstance(key, str) else list(key)
-    rows = df.withColumn("_hash", hash_key(key, seed)).withColumn("_bucket", hash_bucket())
+    rows = df.withColumn("_hash", hash_key(key, seed))
     order = [F.col("_hash"), *[F.col(k) for k in keys]]
-    return _bucketed(rows, order, list(by), {name: F.lit(1).cast("long")}).drop("_hash")
+    return _ranked(rows, order, list(by), name, lambda r: r.withColumn("_bucket", hash_bucket())).drop("_hash")
 
 
 def hash_cuts(

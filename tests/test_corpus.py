@@ -193,3 +193,14 @@ def test_required_fields(rows):
     assert check([])["error"] == "Invalid training examples: cannot be empty"
     assert check([(0, "a", "s"), (2, "b", None), (1, None, "s")])["error"] == "Invalid training examples: item 1 missing required fields"
     assert check([(0, "a", "s")])["error"] is None
+
+
+def moves(df):
+    """Shuffles by a key in the plan that ran."""
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0].count("Exchange hashpartitioning")
+
+
+def test_notes_of_small_texts_are_ranked_after_one_move(rows):
+    long = corpus.long_pairs(small(rows)[1], "text", "drug", "effect", "row_id").select("drug", "pos")
+    assert moves(long) == 1 and collected(long, "drug", "pos") == [("d1", 1), ("d1", 2), ("d2", 1), ("d3", 1)]

@@ -199,3 +199,19 @@ def test_a_share_of_the_rows(spark):
         assert abs(len(found) - 20_000 * share) <= splits.sample_bound(20_000, share)
     assert {r.id for r in splits.sample_share(df.repartition(7), 0.1, "id", 7).collect()} == small
     assert splits.sample_share(df, 0, "id").count() == 0 and splits.sample_share(df, 1, "id").count() == 20_000
+
+
+def test_ranks_of_small_groups_beside_a_hot_one(spark):
+    """Groups of few rows are ranked whole, one of many falls into buckets; null groups count as one."""
+    g = F.when(F.col("id") < 11_000, "hot").when(F.col("id") % 50 != 0, F.concat(F.lit("g"), (F.col("id") % 300).cast("string")))
+    df = spark.range(12_000).select("id", g.alias("g"))
+    cold, hot = ranks.split_hot(df, df, [F.col("g")])
+    assert {r["g"] for r in hot.select("g").distinct().collect()} == {"hot"} and cold.count() == 1_000
+    seen = Counter()
+    for r in ranks.id_rank(df, "id", ["g"]).orderBy("id").collect():
+        seen[r["g"]] += 1
+        assert r["rank"] == seen[r["g"]]
+    by_hash = {}
+    for r in ranks.hash_rank(df, "id", 7, ["g"]).collect():
+        by_hash.setdefault(r["g"], []).append(r["rank"])
+    assert all(sorted(v) == list(range(1, seen[k] + 1)) for k, v in by_hash.items()) and len(by_hash) == len(seen)
