@@ -9,10 +9,12 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed, text as txt
 from ..functions.status import PAIRS, label_to_bool, label_to_status
-from .ranks import id_rank
+from .ranks import id_rank, split_hot
 
 # Pairs of a text in one row. Lists of all texts are cut into parts of this size, so no row grows with a text.
 PART = 1_000
+# Cells in which the notes of texts are counted; a cell of more than PART notes takes the way of long lists.
+NOTE_CELLS = 1 << 24
 
 
 def text_key(text: Column) -> Column:
@@ -54,15 +56,30 @@ def pairs_by_text(
 ) -> DataFrame:
     """Annotation pairs per text in parts of ``part_size``: ``text, part, pairs``, parts from 0.
 
-    Duplicates and nulls are kept, in ``row_id`` order. Digests are grouped and ranked; each text is
-    attached once, at the end.
+    Duplicates and nulls are kept, in ``row_id`` order. Digests are grouped; only texts with many notes
+    are ranked. Each text is attached once, at the end.
     """
-    placed = long_pairs(notes, text, a, b, row_id)
-    parts = placed.groupBy("text_key", _part(F.col("pos"), part_size).alias("part")).agg(
-        _pair_list(F.collect_list(F.struct("pos", a, b)), a, b).alias("pairs")
-    )
-    texts = notes.groupBy(text_key(F.col(text)).alias("text_key")).agg(F.first(text).alias(text))
-    return parts.join(texts, "text_key").select(text, "part", "pairs")
+    few, many = split_hot(notes, notes, [F.col(text)], PART, NOTE_CELLS)
+    key, part = _digest(F.col(text)).alias("text_key"), _part(F.col("pos"), part_size).alias("part")
+    # Texts with few notes move once and are listed where they arrive.
+    near = few.select(key, F.col(row_id).alias("pos"), F.col(a), F.col(b)).repartition("text_key").groupBy("text_key")
+    lists = _cut(near.agg(F.sort_array(F.collect_list(F.struct("pos", a, b))).alias("rows")), ["rows"], part_size)
+    far = id_rank(many.select(key, F.col(row_id).alias("row_id"), F.col(a), F.col(b)), "row_id", ["text_key"], name="pos")
+    parts = far.groupBy("text_key", part).agg(F.collect_list(F.struct("pos", a, b)).alias("rows"))
+    texts = notes.select(key, text).distinct()
+    joined = [p.select("text_key", "part", "rows").join(texts, "text_key") for p in (lists, parts)]
+    return joined[0].unionByName(joined[1]).select(text, "part", _pair_list(F.col("rows"), a, b).alias("pairs"))
+
+
+def _cut(lists: DataFrame, columns: Sequence[str], size: int) -> DataFrame:
+    """Whole sorted lists of at most ``PART`` entries to parts of ``size``, beside the number ``n_parts`` of them."""
+    if size >= PART:
+        return lists.withColumns({"part": F.lit(0).cast("long"), "n_parts": F.lit(1).cast("long")})
+    longest = F.greatest(F.lit(1), *[F.size(c) for c in columns])
+    parts = lists.withColumn("n_parts", _part(longest, size) + 1)
+    parts = parts.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_parts") - 1)))
+    start = (F.col("part") * size + 1).cast("int")
+    return parts.withColumns({c: F.slice(c, start, F.lit(size)) for c in columns})
 
 
 def _tagged(notes: DataFrame, kind: str, second: str, text: str, row_id: str) -> DataFrame:

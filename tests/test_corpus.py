@@ -204,3 +204,18 @@ def moves(df):
 def test_notes_of_small_texts_are_ranked_after_one_move(rows):
     long = corpus.long_pairs(small(rows)[1], "text", "drug", "effect", "row_id").select("drug", "pos")
     assert moves(long) == 1 and collected(long, "drug", "pos") == [("d1", 1), ("d1", 2), ("d2", 1), ("d3", 1)]
+
+
+def many_notes(spark, n=1_500):
+    """One text with more notes than a list holds, beside texts with few."""
+    big = spark.range(n).selectExpr("id as row_id", "'big' as text", "concat('d', id % 1200) as drug", "concat('e', id % 3) as effect")
+    return big.unionByName(spark.range(40).selectExpr("id as row_id", "concat('t', id % 9) as text", "concat('x', id) as drug", "'y' as effect"))
+
+
+def test_texts_with_few_and_with_many_pairs(spark):
+    got = defaultdict(list)
+    pairs = corpus.pairs_by_text(many_notes(spark), "text", "drug", "effect", "row_id")
+    for r in pairs.orderBy("text", "part").collect():
+        got[r["text"]].append([p["drug"] for p in r["pairs"]])
+    assert [len(p) for p in got["big"]] == [1000, 500] and sum(got["big"], []) == [f"d{i % 1200}" for i in range(1500)]
+    assert len(got) == 10 and all(got[f"t{k}"] == [[f"x{i}" for i in range(k, 40, 9)]] for k in range(9))
