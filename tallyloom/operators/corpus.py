@@ -84,7 +84,7 @@ def _cut(lists: DataFrame, columns: Sequence[str], size: int) -> DataFrame:
 
 def _tagged(notes: DataFrame, kind: str, second: str, text: str, row_id: str) -> DataFrame:
     return notes.select(
-        text_key(F.col(text)).alias("text_key"),
+        text,
         F.lit(kind).alias("kind"),
         F.col(row_id).cast("long").alias("row_id"),
         F.col("drug").cast("string").alias("drug"),
@@ -128,18 +128,29 @@ def unify_counts(
     )
 
 
-def _note_parts(effects: DataFrame, dosages: DataFrame, text: str, row_id: str, size: int) -> DataFrame:
-    """Both pair lists of every annotated text, cut into parts, beside the counts of the whole text."""
-    placed = id_rank(_stacked(effects, dosages, text, row_id), "row_id", ["text_key", "kind"], name="_pos")
+def _collected(pos: str, kind: str) -> Column:
+    return F.collect_list(F.when(F.col("kind") == kind, F.struct(F.col(pos).alias("_pos"), "drug", "second")))
 
-    def collected(kind: str) -> Column:
-        return F.collect_list(F.when(F.col("kind") == kind, F.struct("_pos", "drug", "second")))
 
+def _note_lists(notes: DataFrame, size: int) -> DataFrame:
+    """Both sorted pair lists of every text with few notes, beside their lengths; a note moves once."""
+    lists = notes.repartition("text_key").groupBy("text_key").agg(
+        *_per_kind(F.lit(1)),
+        F.sort_array(_collected("row_id", "effect")).alias("effect_rows"),
+        F.sort_array(_collected("row_id", "dosage")).alias("dosage_rows"),
+    )
+    return _cut(lists, ["effect_rows", "dosage_rows"], size)
+
+
+def _note_parts(notes: DataFrame, size: int) -> DataFrame:
+    """Both pair lists of texts with many notes, cut into parts, beside the counts of the whole text."""
+    placed = id_rank(notes, "row_id", ["text_key", "kind"], name="_pos")
     parts = placed.groupBy("text_key", _part(F.col("_pos"), size).alias("part")).agg(
-        *_per_kind(F.lit(1)), collected("effect").alias("effect_rows"), collected("dosage").alias("dosage_rows")
+        *_per_kind(F.lit(1)), _collected("_pos", "effect").alias("effect_rows"), _collected("_pos", "dosage").alias("dosage_rows")
     )
     whole = Window.partitionBy("text_key")
-    return parts.withColumns({n: F.sum(n).over(whole) for n in ("n_effects", "n_dosages")})
+    totals = {n: F.sum(n).over(whole) for n in ("n_effects", "n_dosages")}
+    return parts.withColumns({**totals, "n_parts": F.max("part").over(whole) + 1})
 
 
 def unify_corpus(
@@ -154,12 +165,22 @@ def unify_corpus(
     """Every classification row (duplicates too) with a boolean label and both pair lists.
 
     Lists of every text are cut into parts of ``part_size`` pairs: a row comes once per ``part`` of its
-    text, from 0, and part 0 always exists. ``n_effects`` and ``n_dosages`` count the whole text.
-    Annotations are ranked and listed by digest, so a text with most of them is spread like any other.
+    text, from 0 to ``n_parts`` - 1. ``n_effects`` and ``n_dosages`` count the whole text.
+    Annotations are listed by digest. Those of a text with at most ``PART`` of them move once; others are
+    ranked and spread, so a text with most of them is no task's alone.
     """
-    lists = _note_parts(effects, dosages, text, row_id, part_size)
-    keyed = base.withColumn("text_key", text_key(F.col(text)))
-    joined = keyed.join(lists, "text_key", "left")
+    notes = _stacked(effects, dosages, text, row_id)
+    few, many = split_hot(notes, notes, [F.col(text)], PART, NOTE_CELLS)
+    plain, crowded = split_hot(base, notes, [F.col(text)], PART, NOTE_CELLS)
+    key = _digest(F.col(text))
+    few, many = (n.withColumn("text_key", key).drop(text) for n in (few, many))
+    plain, crowded = (b.withColumn("text_key", key) for b in (plain, crowded))
+    near = plain.join(_note_lists(few, part_size), "text_key", "left")
+    if part_size >= PART:  # also of rows without notes, and known to the planner
+        near = near.withColumn("n_parts", F.lit(1).cast("long"))
+    far = crowded.join(_note_parts(many, part_size), "text_key", "left")
+    columns = [*base.columns, "text_key", "part", "n_parts", "effect_rows", "dosage_rows", "n_effects", "n_dosages"]
+    joined = near.select(*columns).unionByName(far.select(*columns))
     none = F.array().cast("array<struct<_pos:bigint,drug:string,second:string>>")
 
     def pairs(column: str, second: str) -> Column:
@@ -169,9 +190,10 @@ def unify_corpus(
     return joined.select(
         *[c for c in base.columns if c not in (text, label)],
         F.col(text).alias("text"),
-        "text_key",
+        _shown(F.col("text_key")).alias("text_key"),
         label_to_bool(F.col(label)).alias("label"),
         F.coalesce("part", F.lit(0)).cast("long").alias("part"),
+        F.coalesce("n_parts", F.lit(1)).cast("long").alias("n_parts"),
         pairs("effect_rows", "effect").alias("drug_effect_pairs"),
         pairs("dosage_rows", "dosage").alias("drug_dosage_pairs"),
         F.coalesce("n_effects", F.lit(0)).alias("n_effects"),

@@ -219,3 +219,15 @@ def test_texts_with_few_and_with_many_pairs(spark):
         got[r["text"]].append([p["drug"] for p in r["pairs"]])
     assert [len(p) for p in got["big"]] == [1000, 500] and sum(got["big"], []) == [f"d{i % 1200}" for i in range(1500)]
     assert len(got) == 10 and all(got[f"t{k}"] == [[f"x{i}" for i in range(k, 40, 9)]] for k in range(9))
+
+
+def test_unified_rows_tell_the_number_of_parts(spark, rows):
+    """The notes of small texts move once: ranks and buckets are for the large ones only."""
+    base = rows([(1, "big", 1), (2, "t3", 0), (3, "none", 1), (4, "big", 0), (5, None, 0)], "row_id long, body string, label int")
+    effects = many_notes(spark).withColumnRenamed("text", "body")
+    unified = corpus.unify_corpus(base, effects, rows([(1, "t3", "p", "q")], "row_id long, body string, drug string, dosage string"), text="body")
+    got = defaultdict(list)
+    for r in unified.orderBy("row_id", "part").collect():
+        got[r["row_id"]].append((r["part"], r["n_parts"], len(r["drug_effect_pairs"]), r["n_effects"], r["n_dosages"]))
+    assert got[1] == got[4] == [(0, 2, 1000, 1500, 0), (1, 2, 500, 1500, 0)]
+    assert got[2] == [(0, 1, 5, 5, 1)] and got[3] == got[5] == [(0, 1, 0, 0, 0)]
