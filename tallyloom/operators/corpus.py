@@ -235,20 +235,26 @@ def extraction_examples(unified: DataFrame) -> DataFrame:
     drugs = F.when(F.col("n_effects") > 0, F.transform(effects, lambda p: p["drug"])).otherwise(
         F.transform(dosages, lambda p: p["drug"])
     )
+    kinds = {"drugs": drugs, "effects": F.transform(effects, lambda p: p["effect"])}
+    keep = [c for c in unified.columns if c not in ("drug_effect_pairs", "drug_dosage_pairs")]
+
+    # A record of one part holds all its items.
+    whole = [F.struct(F.lit(kind).alias("kind"), F.array_distinct(items).alias("items")) for kind, items in kinds.items()]
+    found = F.filter(F.array(*whole), lambda w: F.size(w["items"]) > 0)
+    single = unified.where(F.col("n_parts") == 1).select(*keep, F.explode(found).alias("_x")).select(*keep, "_x.*")
 
     def listed(kind: str, items: Column) -> Column:
         return F.transform(items, lambda i, n: F.struct(F.lit(kind).alias("kind"), n.cast("long").alias("at"), i.alias("item")))
 
-    found = F.concat(listed("drugs", drugs), listed("effects", F.transform(effects, lambda p: p["effect"])))
-    # Once per text, whatever the number of records that share it.
-    once = unified.groupBy("text_key", "part").agg(F.first(found).alias("_x"))
+    # Of others, each part is read once per text, whatever the number of records that share it.
+    cut = unified.where(F.col("n_parts") > 1)
+    once = cut.groupBy("text_key", "part").agg(F.first(F.concat(*[listed(k, i) for k, i in kinds.items()])).alias("_x"))
     seen = once.select("text_key", "part", F.explode("_x").alias("_x")).select("text_key", "part", "_x.*")
     first = seen.groupBy("text_key", "kind", "item").agg(F.min(F.struct("part", "at")).alias("_f"))
     items = first.groupBy("text_key", F.col("_f.part").alias("part"), "kind").agg(
         F.transform(F.sort_array(F.collect_list(F.struct(F.col("_f.at").alias("at"), "item"))), lambda r: r["item"]).alias("items")
     )
-    keep = [c for c in unified.columns if c not in ("drug_effect_pairs", "drug_dosage_pairs")]
-    return unified.select(*keep).join(items, ["text_key", "part"]).select(*keep, "kind", "items")
+    return single.unionByName(cut.select(*keep).join(items, ["text_key", "part"]).select(*keep, "kind", "items"))
 
 
 def classification_examples(unified: DataFrame) -> DataFrame:

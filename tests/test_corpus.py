@@ -231,3 +231,15 @@ def test_unified_rows_tell_the_number_of_parts(spark, rows):
         got[r["row_id"]].append((r["part"], r["n_parts"], len(r["drug_effect_pairs"]), r["n_effects"], r["n_dosages"]))
     assert got[1] == got[4] == [(0, 2, 1000, 1500, 0), (1, 2, 500, 1500, 0)]
     assert got[2] == [(0, 1, 5, 5, 1)] and got[3] == got[5] == [(0, 1, 0, 0, 0)]
+
+
+def test_items_of_one_part_need_no_shuffle(spark, rows):
+    base = rows([(1, "big", 1), (2, "t3", 0), (3, "t3", 1)], BASE)
+    unified = corpus.unify_corpus(base, many_notes(spark), rows([], DOSAGES))
+    got = defaultdict(list)
+    for r in corpus.extraction_examples(unified).orderBy("part").collect():
+        got[r["row_id"], r["kind"]].append(r["items"])
+    assert got[1, "drugs"] == [[f"d{i}" for i in range(1000)], [f"d{i}" for i in range(1000, 1200)]] and got[1, "effects"] == [["e0", "e1", "e2"]]
+    assert got[2, "drugs"] == got[3, "drugs"] == [[f"x{i}" for i in range(3, 40, 9)]] and got[2, "effects"] == [["y"]]
+    few = corpus.unify_corpus(base, effects := many_notes(spark, 20), rows([], DOSAGES)).select("row_id", "text_key", "part", "n_parts", "n_effects", "drug_effect_pairs", "drug_dosage_pairs")
+    assert moves(corpus.extraction_examples(few)) == moves(few) and effects.count() == 60
