@@ -47,23 +47,47 @@ def decide(df: DataFrame, rules: DataFrame, text: Column, key: str, defaults: Ma
     return found.withColumns(chosen).drop("_key", *[f"_{kind}" for kind in defaults])
 
 
-def _seed(pattern: Column) -> Column:
-    """The first piece of the longest seed length that the pattern has."""
-    seed = F.lit(None).cast("string")
-    for size in reversed(SEEDS):
-        seed = F.when(F.length(pattern) >= size, F.substring(pattern, 1, size)).otherwise(seed)
-    return seed
+def _pieces(text: Column, sizes: Column) -> Column:
+    """Every distinct piece of the given sizes."""
+    starts = F.sequence(F.lit(1), F.length(text))
+    pieces = F.flatten(F.transform(starts, lambda i: F.transform(sizes, lambda n: F.substring(text, i, n))))
+    return F.array_distinct(pieces)
+
+
+def _seeds(found: DataFrame, patterns: DataFrame, pattern: str) -> DataFrame:
+    """``pattern, _seed``: of each distinct pattern the piece that the fewest texts have.
+
+    Pieces have the longest seed length that the pattern has. ``found`` has a row per text and piece.
+    """
+    size = F.lit(None).cast("int")
+    for n in reversed(SEEDS):
+        size = F.when(F.length(pattern) >= n, F.lit(n)).otherwise(size)
+    wanted = patterns.select(pattern).where(F.length(pattern) > 0).distinct().withColumn("_size", size)
+    pieces = F.filter(_pieces(F.col(pattern), F.array("_size")), lambda p: F.length(p) == F.col("_size"))
+    wanted = wanted.select(pattern, F.explode(pieces).alias("_seed"))
+    texts = found.groupBy("_seed").agg(F.count(F.lit(1)).alias("_n"))
+    rated = wanted.join(texts, "_seed", "left").groupBy(pattern).agg(
+        F.min(F.struct(F.coalesce("_n", F.lit(0)).alias("n"), "_seed")).alias("_s")
+    )
+    return rated.where(F.col("_s.n") > 0).select(pattern, F.col("_s._seed").alias("_seed"))
 
 
 def match_patterns(df: DataFrame, patterns: DataFrame, text: str, pattern: str = "pattern") -> DataFrame:
     """One row per (row of ``df``, row of ``patterns``) whose pattern lies in the text; exact and case-sensitive.
 
-    Each pattern is found by its first 8, 4, 2 or 1 characters among the pieces of a distinct text, then compared
-    in full; no text meets a pattern that shares no such piece with it. Empty and null patterns match nothing.
+    Each pattern is found by its rarest piece of 8, 4, 2 or 1 characters among the pieces of a distinct text, then
+    compared in full; no text meets a pattern that shares no such piece with it, and common beginnings of many
+    patterns bring none together. Empty and null patterns match nothing.
     """
-    seeded = patterns.withColumn("_seed", _seed(F.col(pattern))).where("_seed is not null")
-    starts = F.sequence(F.lit(1), F.length(text))
-    pieces = F.flatten(F.transform(starts, lambda i: F.transform(F.array(*map(F.lit, SEEDS)), lambda n: F.substring(F.col(text), i, n))))
-    texts = df.select(text).where(F.length(text) > 0).distinct().withColumn("_seed", F.explode(F.array_distinct(pieces)))
-    found = texts.join(seeded, "_seed").where(F.contains(F.col(text), F.col(pattern))).drop("_seed")
-    return null_safe_join(df, found, [text])
+    texts = df.where(F.length(text) > 0).groupBy(text).agg(F.count(F.lit(1)).alias("_copies"))
+    # A short list of texts grows manyfold here, so it is dealt to as many tasks as a large one; without a key, as
+    # the rows lie by their key already.
+    texts = texts.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    found = texts.withColumn("_seed", F.explode(_pieces(F.col(text), F.array(*map(F.lit, SEEDS)))))
+    seeds = _seeds(found.select("_seed"), patterns, pattern)
+    # Dealt by piece, as the size of a short list says nothing about the pieces that it grows to.
+    matched = found.join(patterns.join(seeds, pattern).hint("merge"), "_seed").where(F.contains(F.col(text), F.col(pattern))).drop("_seed")
+    if df.columns == [text]:  # nothing to fetch from the rows but their number
+        rows = matched.withColumn("_copies", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))))
+        return rows.select(text, *patterns.columns)
+    return null_safe_join(df, matched.drop("_copies"), [text])

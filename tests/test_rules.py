@@ -1,4 +1,5 @@
 import random
+from collections import Counter
 
 from pyspark.sql import functions as F
 
@@ -51,3 +52,15 @@ def test_phases_by_table_are_those_by_mapping(spark, rows):
     table = spark.createDataFrame([(k, p) for k, ps in phases.items() for p in ps], "phase string, pattern string")
     by_table = rules.match_patterns(files, table, "cassette").select("cassette", "phase")
     assert collected(by_table, "cassette", "phase") == collected(costs.phase_join(files, phases).select("cassette", "phase"), "cassette", "phase")
+
+
+def test_patterns_meet_texts_by_their_rarest_piece(rows):
+    """A beginning that all texts and patterns share brings none together; repeated texts keep their number."""
+    texts = rows([(f"http://same.example/{i:04d}",) for i in range(300)] * 2 + [(None,), ("",)], "path string")
+    table = rows([(f".example/{i:04d}", i) for i in range(0, 600, 3)] + [("example/000", -1), ("", -2), (None, -3)], "pattern string, no int")
+    pieces = texts.distinct().where("length(path) > 0").select(F.explode(rules._pieces(F.col("path"), F.array(F.lit(8), F.lit(4)))).alias("_seed"))
+    chosen = {r["pattern"]: r["_seed"] for r in rules._seeds(pieces, table, "pattern").collect()}
+    assert chosen[".example/0003"] == "ple/0003" and len(set(chosen.values())) == len(chosen)
+    got = Counter((r["path"], r["no"]) for r in rules.match_patterns(texts, table, "path").collect())
+    want = {(f"http://same.example/{i:04d}", i): 2 for i in range(0, 300, 3)} | {(f"http://same.example/{i:04d}", -1): 2 for i in range(10)}
+    assert got == want
