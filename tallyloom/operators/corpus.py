@@ -62,8 +62,8 @@ def pairs_by_text(
     few, many = split_hot(notes, notes, [F.col(text)], PART, NOTE_CELLS)
     key, part = _digest(F.col(text)).alias("text_key"), _part(F.col("pos"), part_size).alias("part")
     # Texts with few notes move once and are listed where they arrive.
-    near = few.select(key, F.col(row_id).alias("pos"), F.col(a), F.col(b)).repartition("text_key").groupBy("text_key")
-    lists = _cut(near.agg(F.sort_array(F.collect_list(F.struct("pos", a, b))).alias("rows")), ["rows"], part_size)
+    near = _placed(few.select(key, F.col(row_id).alias("row_id"), F.col(a), F.col(b)), ["text_key"], "pos")
+    lists = _cut(near.groupBy("text_key").agg(F.sort_array(F.collect_list(F.struct("pos", a, b))).alias("rows")), ["rows"], part_size)
     far = id_rank(many.select(key, F.col(row_id).alias("row_id"), F.col(a), F.col(b)), "row_id", ["text_key"], name="pos")
     parts = far.groupBy("text_key", part).agg(F.collect_list(F.struct("pos", a, b)).alias("rows"))
     texts = notes.select(key, text).distinct()
@@ -71,6 +71,12 @@ def pairs_by_text(
     return joined[0].unionByName(joined[1]).select(text, "part", _pair_list(F.col("rows"), a, b).alias("pairs"))
 
 
+def _placed(notes: DataFrame, by: Sequence[str], name: str) -> DataFrame:
+    """Notes brought together by text and numbered there; equal and null ids keep the order in which they come."""
+    place = F.row_number().over(Window.partitionBy(*by).orderBy("row_id"))
+    return notes.repartition("text_key").withColumn(name, place.cast("long"))
+
+
 def _cut(lists: DataFrame, columns: Sequence[str], size: int) -> DataFrame:
     """Whole sorted lists of at most ``PART`` entries to parts of ``size``, beside the number ``n_parts`` of them."""
     if size >= PART:
@@ -128,16 +134,16 @@ def unify_counts(
     )
 
 
-def _collected(pos: str, kind: str) -> Column:
-    return F.collect_list(F.when(F.col("kind") == kind, F.struct(F.col(pos).alias("_pos"), "drug", "second")))
+def _collected(kind: str) -> Column:
+    return F.collect_list(F.when(F.col("kind") == kind, F.struct("_pos", "drug", "second")))
 
 
 def _note_lists(notes: DataFrame, size: int) -> DataFrame:
     """Both sorted pair lists of every text with few notes, beside their lengths; a note moves once."""
-    lists = notes.repartition("text_key").groupBy("text_key").agg(
+    lists = _placed(notes, ["text_key", "kind"], "_pos").groupBy("text_key").agg(
         *_per_kind(F.lit(1)),
-        F.sort_array(_collected("row_id", "effect")).alias("effect_rows"),
-        F.sort_array(_collected("row_id", "dosage")).alias("dosage_rows"),
+        F.sort_array(_collected("effect")).alias("effect_rows"),
+        F.sort_array(_collected("dosage")).alias("dosage_rows"),
     )
     return _cut(lists, ["effect_rows", "dosage_rows"], size)
 
@@ -146,7 +152,7 @@ def _note_parts(notes: DataFrame, size: int) -> DataFrame:
     """Both pair lists of texts with many notes, cut into parts, beside the counts of the whole text."""
     placed = id_rank(notes, "row_id", ["text_key", "kind"], name="_pos")
     parts = placed.groupBy("text_key", _part(F.col("_pos"), size).alias("part")).agg(
-        *_per_kind(F.lit(1)), _collected("_pos", "effect").alias("effect_rows"), _collected("_pos", "dosage").alias("dosage_rows")
+        *_per_kind(F.lit(1)), _collected("effect").alias("effect_rows"), _collected("dosage").alias("dosage_rows")
     )
     whole = Window.partitionBy("text_key")
     totals = {n: F.sum(n).over(whole) for n in ("n_effects", "n_dosages")}
