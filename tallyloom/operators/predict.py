@@ -137,19 +137,21 @@ def check_domains(
 
 
 Scorer = Callable[[list[str]], list[dict]]
+#: Texts scored and sent back at once; a batch of Arrow is cut into pieces of so many.
+SCORED_ROWS = 256
 
 
 def score_batch(
     df: DataFrame, build: Callable[[], Scorer], schema: str, key: str = "example_id", text: str = "text"
 ) -> DataFrame:
-    """Run a Python scorer over Arrow batches of ``key, text``; the scorer is built once per task.
+    """Run a Python scorer over ``key, text``, ``SCORED_ROWS`` at a time; the scorer is built once per task.
 
-    ``schema`` declares the fields the scorer returns. When a batch fails, or does not give one result
+    ``schema`` declares the fields the scorer returns. When a call fails, or does not give one result
     per text, its rows are retried one by one; a failing row gets nulls and its message in
     ``error_message``.
     """
     fields = T.StructType.fromDDL(schema)
-    names = [f.name for f in fields]
+    names, step = [f.name for f in fields], SCORED_ROWS
     out = T.StructType(
         [df.schema[key], df.schema[text], *fields, T.StructField("error_message", T.StringType())]
     )
@@ -169,14 +171,16 @@ def score_batch(
             except Exception as failure:  # a bad row must not stop the run
                 return {"error_message": str(failure)}
 
-        for rows in batches:
-            texts = rows[text].tolist()
-            try:
-                results = scores(texts)
-            except Exception:
-                results = [one(value) for value in texts]
-            scored = pd.DataFrame(results, columns=[*names, "error_message"])
-            yield pd.concat([rows[[key, text]].reset_index(drop=True), scored], axis=1)
+        for batch in batches:
+            for start in range(0, len(batch), step):
+                rows = batch.iloc[start : start + step]
+                texts = rows[text].tolist()
+                try:
+                    results = scores(texts)
+                except Exception:
+                    results = [one(value) for value in texts]
+                scored = pd.DataFrame(results, columns=[*names, "error_message"])
+                yield pd.concat([rows[[key, text]].reset_index(drop=True), scored], axis=1)
 
     return df.select(key, text).mapInPandas(run, out)
 

@@ -183,3 +183,15 @@ def test_scoring_stops_at_the_budget(spark, rows, tmp_path):
         predict.evaluate(df, score, scoring.metric_safety, max_errors=5)
     assert 5 <= sum(len(f.read_text()) for f in log.iterdir()) < 11 * 640 / 2
     assert spark.range(5).count() == 5  # the session goes on
+
+
+def test_a_scorer_never_gets_a_whole_batch(spark):
+    """A call holds a bounded number of texts, however many a batch of Arrow has."""
+
+    def build():
+        return lambda texts: [{"n": len(texts)} for _ in texts]
+
+    texts = spark.range(0, 1_000, 1, 1).selectExpr("id as example_id", "concat('t', id) as text")
+    got = predict.score_batch(texts, build, "n long").collect()
+    assert sorted((r["example_id"], r["text"]) for r in got) == [(i, f"t{i}") for i in range(1_000)]
+    assert max(r["n"] for r in got) == predict.SCORED_ROWS
