@@ -86,7 +86,9 @@ def read_interactions(spark, sf):
     )
     files = rows.groupBy("cassette").agg(every.alias("calls"))
     files = files.select("cassette", F.to_json(F.struct(F.col("calls").alias("http_interactions")), {"ignoreNullFields": "false"}).alias("value"))
-    files.repartition(8, "cassette").write.partitionBy("cassette").text(f"{out}/files")
+    # Each row is a file: they are dealt to all cores, and the tasks put them into place, not the driver one by one.
+    files = files.repartition(4 * spark.sparkContext.defaultParallelism)
+    files.write.option("mapreduce.fileoutputcommitter.algorithm.version", "2").partitionBy("cassette").text(f"{out}/files")
     yaml = readers.read_interactions(spark, f"{out}/files", "*.txt")
     folder = F.url_decode(F.regexp_extract("cassette", "^cassette=([^/]+)/", 1))
     lines = readers.read_interactions_json(spark, f"{out}/lines")
