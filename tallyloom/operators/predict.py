@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Mapping, Sequence
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -139,6 +140,11 @@ def check_domains(
 Scorer = Callable[[list[str]], list[dict]]
 #: Texts scored and sent back at once; a batch of Arrow is cut into pieces of so many.
 SCORED_ROWS = 256
+#: Types of fields, with Arrow's names, that need no pandas.
+PLAIN = {
+    "boolean": "bool", "tinyint": "int8", "smallint": "int16", "int": "int32", "bigint": "int64",
+    "float": "float32", "double": "float64", "string": "string",
+}
 
 
 def score_batch(
@@ -148,15 +154,18 @@ def score_batch(
 
     ``schema`` declares the fields the scorer returns. When a call fails, or does not give one result
     per text, its rows are retried one by one; a failing row gets nulls and its message in
-    ``error_message``.
+    ``error_message``. A task holds a batch of Arrow and the texts of one call; when a field is not
+    ``PLAIN`` or the text is no string, it holds the batch as a pandas frame too.
     """
     fields = T.StructType.fromDDL(schema)
     names, step = [f.name for f in fields], SCORED_ROWS
     out = T.StructType(
         [df.schema[key], df.schema[text], *fields, T.StructField("error_message", T.StringType())]
     )
+    kinds = [PLAIN.get(f.dataType.simpleString()) for f in fields]
+    safe = df.sparkSession.conf.get("spark.sql.execution.pandas.convertToArrowArraySafely") == "true"
 
-    def run(batches: Iterable[pd.DataFrame]) -> Iterable[pd.DataFrame]:
+    def calls() -> Callable[[list], list[dict]]:
         scorer = build()
 
         def scores(values: list[str]) -> list[dict]:
@@ -171,18 +180,42 @@ def score_batch(
             except Exception as failure:  # a bad row must not stop the run
                 return {"error_message": str(failure)}
 
+        def call(texts: list[str]) -> list[dict]:
+            try:
+                return scores(texts)
+            except Exception:
+                return [one(value) for value in texts]
+
+        return call
+
+    def typed(values: list, kind: str) -> pa.Array:
+        to = pa.type_for_alias(kind)
+        try:
+            return pa.array(values, to, from_pandas=True)
+        except pa.ArrowException:  # as 1 for true
+            return pa.array(values, from_pandas=True).cast(to, safe=safe)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
+        call, made = calls(), {**dict(zip(names, kinds)), "error_message": "string"}
+        for batch in batches:
+            for start in range(0, batch.num_rows, step):
+                rows = batch.slice(start, step)
+                results = call(rows.column(1).to_pylist())
+                scored = [typed([r.get(name) for r in results], kind) for name, kind in made.items()]
+                yield pa.RecordBatch.from_arrays([*rows.columns, *scored], [key, text, *made])
+
+    def run_frames(batches: Iterable[pd.DataFrame]) -> Iterable[pd.DataFrame]:
+        call = calls()
         for batch in batches:
             for start in range(0, len(batch), step):
                 rows = batch.iloc[start : start + step]
-                texts = rows[text].tolist()
-                try:
-                    results = scores(texts)
-                except Exception:
-                    results = [one(value) for value in texts]
-                scored = pd.DataFrame(results, columns=[*names, "error_message"])
+                scored = pd.DataFrame(call(rows[text].tolist()), columns=[*names, "error_message"])
                 yield pd.concat([rows[[key, text]].reset_index(drop=True), scored], axis=1)
 
-    return df.select(key, text).mapInPandas(run, out)
+    texts = df.select(key, text)
+    if all(kinds) and df.schema[text].dataType == T.StringType():
+        return texts.mapInArrow(run, out)
+    return texts.mapInPandas(run_frames, out)
 
 
 def stage_pipeline(df: DataFrame, stages: Mapping[str, Callable[[], Column]]) -> DataFrame:

@@ -195,3 +195,53 @@ def test_a_scorer_never_gets_a_whole_batch(spark):
     got = predict.score_batch(texts, build, "n long").collect()
     assert sorted((r["example_id"], r["text"]) for r in got) == [(i, f"t{i}") for i in range(1_000)]
     assert max(r["n"] for r in got) == predict.SCORED_ROWS
+
+
+def test_a_task_holds_the_texts_of_one_call(spark):
+    """Beside the bytes of a batch of Arrow, Python holds the texts of a call, not those of the whole batch once more."""
+
+    def build():
+        import tracemalloc
+
+        import pandas  # noqa: F401  pyarrow loads it; its code is not counted
+
+        tracemalloc.start()
+
+        def score(texts):
+            held = tracemalloc.get_traced_memory()[0]
+            if texts[-1].startswith("9999 "):
+                tracemalloc.stop()  # the worker goes on to other tasks
+            return [{"n": len(t), "held": held} for t in texts]
+
+        return score
+
+    texts = spark.range(0, 10_000, 1, 1).selectExpr("id as example_id", "concat(id, ' ', repeat('x', 2000)) as text")
+    got = predict.score_batch(texts, build, "n long, held long").drop("text").collect()
+    assert sorted((r["example_id"], r["n"]) for r in got) == [(i, 2001 + len(str(i))) for i in range(10_000)]
+    assert max(r["held"] for r in got) < 1.5 * 10_000 * 2000
+
+
+def test_values_of_scorers_become_the_declared_types(rows):
+    """Nulls and values of a near type come out alike with and without a nested field; long keys keep their digits."""
+    given = [
+        {"b": 1, "i": 2.0, "l": 1, "d": 3, "s": "x", "a": ["p", None]},
+        {"b": 0, "i": float("nan"), "l": 0, "d": float("nan"), "s": None, "a": None, "more": 1},
+        {"b": 1, "i": 7.0, "l": 1, "d": 2**53, "s": "é", "a": []},
+    ]
+    df = rows([(None, "0"), (2**60 + 1, "1"), (3, "2"), (4, None)], "example_id long, text string").coalesce(1)
+
+    def build():
+        return lambda texts: [given[int(t)] for t in texts]
+
+    plain = "b boolean, i int, l long, d double, s string"
+    out = predict.score_batch(df, build, plain).collect()
+    got = {r["text"]: tuple(r)[2:7] for r in out}
+    assert got == {
+        "0": (True, 2, 1, 3.0, "x"), "1": (False, None, 0, None, None), "2": (True, 7, 1, 2.0**53, "é"), None: (None,) * 5,
+    }
+    assert {r["text"]: r["example_id"] for r in out} == {"0": None, "1": 2**60 + 1, "2": 3, None: 4}
+    assert [r["text"] for r in out if r["error_message"]] == [None]
+    nested = predict.score_batch(df.filter("text is not null"), build, f"{plain}, a array<string>").collect()
+    assert {r["text"]: (*r[2:7], r["a"]) for r in nested} == {
+        t: (*got[t], a) for t, a in (("0", ["p", None]), ("1", None), ("2", []))
+    }
